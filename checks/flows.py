@@ -9,7 +9,7 @@ from siltworks import ColumnContract, FlattenContract, TableContract
 from siltworks.operators.merge import upsert, upsert_by_contract, upsert_small
 from siltworks.operators.keys import latest_by_contract
 from siltworks.plans.governance import compliance_report
-from siltworks.plans.silver import build_silver, fan_out, silver_frame
+from siltworks.plans.silver import build_silver, fan_out, merged_silver, silver_frame
 from siltworks.session import work_folder
 from siltworks.streaming.silver import start_silver
 
@@ -244,9 +244,7 @@ def silver_build(spark: SparkSession, sf: str) -> DataFrame:
     """Rows shipped before 1998 are there from an earlier load; then all rows arrive."""
     bronze = line_events(table(spark, sf, "lineitem"))
     early = silver_frame(bronze.filter("_ingested_at < timestamp '1998-01-01 00:00:00'"), CHARGES)
-    merged = upsert_by_contract(
-        early.withColumn("was_there", F.lit(True)), silver_frame(bronze, CHARGES), CHARGES
-    )
+    merged = merged_silver(early.withColumn("was_there", F.lit(True)), bronze, CHARGES)
     return merged.select(
         *CHARGES.output_names,
         F.col("_metadata.bronze_ingested_at").alias("ingested_at"),

@@ -46,11 +46,13 @@ def line_events(lineitem: DataFrame) -> DataFrame:
     charge = "struct<kind:string,amount:double,tax:struct<code:string,rate:double>>"
 
     def one(kind, amount, rate):
-        tax = F.struct(F.concat(F.lit("T-"), F.lit(kind)).alias("code"), rate.alias("rate"))
-        return F.struct(F.lit(kind).alias("kind"), amount.alias("amount"), tax.alias("tax"))
+        """No element, or one: plain conditional arrays stay in generated code, lambdas do not."""
+        tax = F.struct(F.lit(f"T-{kind}").alias("code"), rate.alias("rate"))
+        element = F.struct(F.lit(kind).alias("kind"), amount.alias("amount"), tax.alias("tax"))
+        return F.when(amount != 0, F.array(element)).otherwise(F.array().cast(f"array<{charge}>"))
 
     price, discount, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
-    charges = F.array(
+    charges = F.concat(
         one("base", price, tax), one("discount", -(price * discount), discount), one("tax", price * tax, tax)
     )
     steps = F.sequence(F.lit(0), F.ceil(F.col("l_quantity") / 20).cast("int") - 1)
@@ -63,7 +65,7 @@ def line_events(lineitem: DataFrame) -> DataFrame:
                 F.col("l_partkey").alias("partKey"), F.col("l_suppkey").alias("suppKey")
             ).alias("item"),
         ).alias("header"),
-        F.filter(charges, lambda c: c["amount"] != 0).cast(f"array<{charge}>").alias("chargeList"),
+        charges.alias("chargeList"),
         F.transform(
             steps,
             lambda i: F.struct(

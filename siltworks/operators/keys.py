@@ -32,6 +32,43 @@ def require_contract_keys(df: DataFrame, contract: TableContract) -> DataFrame:
     return require_keys(df, contract.key_groups)
 
 
+def _stand_in(dtype: T.DataType) -> Column:
+    """Any non-null constant of the type."""
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, T.BinaryType):
+        return F.lit(b"")
+    return F.lit("1970-01-01").cast(dtype)
+
+
+def match_columns(keys: Sequence[str]) -> list[str]:
+    """Names of the columns that stand for the keys where null must equal null."""
+    return [n for i in range(len(keys)) for n in (f"__key_{i}", f"__key_{i}_null")]
+
+
+def with_match_columns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add, per key, its value (a constant for null) and whether it is null.
+
+    Two keys are null-safe equal exactly when these columns are equal. As plain columns they also
+    carry the partitioning and sort order of one step to the next: a join on them after a window
+    over them needs no second exchange, which null-safe equality on the keys would cause.
+    """
+    names = match_columns(keys)
+    if set(names) <= set(df.columns):
+        return df
+    types = {f.name: f.dataType for f in df.schema.fields}
+    values = [
+        c
+        for k in keys
+        for c in (F.coalesce(ref(k), _stand_in(types[k])), ref(k).isNull())
+    ]
+    return df.select("*", *[v.alias(n) for v, n in zip(values, names)])
+
+
 def _orderable(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.ArrayType):
         return _orderable(dtype.elementType)
@@ -55,12 +92,14 @@ def latest_per_key(
     order_by: Sequence[str],
     whole_frame: bool = False,
     break_ties: bool = True,
+    keep_match_columns: bool = False,
 ) -> DataFrame:
     """One row per key: the greatest by ``order_by``, nulls last. A null key is a value.
 
     Catalyst turns ``row_number() = 1`` into a group limit that runs *before* the exchange too:
     each task forwards one row per key, so a key that holds a third of all rows costs the reducer
-    no more than one row per map task.
+    no more than one row per map task. ``keep_match_columns`` prepares the result for an upsert
+    that reuses this exchange.
     """
     if not keys and not whole_frame:
         raise ValueError("no keys: one row of the whole frame would survive; ask for it with whole_frame")
@@ -70,7 +109,10 @@ def latest_per_key(
     if break_ties or not order:
         order += _tie_break(df, {*keys, *order_by})
     order = order or [F.lit(1).asc()]
-    rank = F.row_number().over(Window.partitionBy(*[ref(k) for k in keys]).orderBy(*order))
+    partition = [ref(k) for k in keys]
+    if keep_match_columns:
+        df, partition = with_match_columns(df, keys), [F.col(n) for n in match_columns(keys)]
+    rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
     return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
 
 
@@ -82,5 +124,10 @@ def _latest_of_all(df: DataFrame, order_by: Sequence[str], break_ties: bool) ->
     return df.orderBy(*order).limit(1)
 
 
-def latest_by_contract(df: DataFrame, contract: TableContract) -> DataFrame:
-    return latest_per_key(df, contract.primary_keys, contract.deduplication_keys)
+def latest_by_contract(df: DataFrame, contract: TableContract, keep_match_columns=False) -> DataFrame:
+    return latest_per_key(
+        df,
+        contract.primary_keys,
+        contract.deduplication_keys,
+        keep_match_columns=keep_match_columns,
+    )

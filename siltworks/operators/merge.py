@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import TableContract
-from ..functions.columns import quoted
+from ..functions.names import quoted
+from .keys import latest_by_contract, match_columns, with_match_columns
 
 _OLD, _NEW = "__in_old", "__in_new"
 
@@ -67,16 +68,24 @@ def _merged_columns(old: DataFrame, new: DataFrame, take_new: Column) -> list[Co
 def upsert(
     old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Any sizes: one full outer join on the keys, both sides shuffled once.
+    """Any sizes: one full outer join on the keys, null equal to null, both sides shuffled once.
 
-    Keys are unique on both sides, so no key is hot. Matched and not older: new values. Matched
+    Keys are unique on both sides, so no key is hot. A side that comes from ``latest_per_key`` with
+    its match columns kept is joined where it lies, without another exchange or sort. Matched and not older: new values. Matched
     and older: old ones. Rows of one side only are kept or inserted.
     """
-    o = old.withColumn(_OLD, F.lit(True)).alias("old")
-    n = new.withColumn(_NEW, F.lit(True)).alias("new")
+    if not keys:
+        raise ValueError("an upsert needs at least one key")
+    prepared_old, prepared_new = with_match_columns(old, keys), with_match_columns(new, keys)
+    o = prepared_old.withColumn(_OLD, F.lit(True)).alias("old")
+    n = prepared_new.withColumn(_NEW, F.lit(True)).alias("new")
+    same_key = reduce(and_, [_side("old", m) == _side("new", m) for m in match_columns(keys)])
     matched = _side("old", _OLD).isNotNull() & _side("new", _NEW).isNotNull()
     take_new = _side("new", _NEW).isNotNull() & (~matched | may_replace(order_by))
-    return o.join(n, merge_key(keys), "full_outer").select(*_merged_columns(old, new, take_new))
+    helpers = match_columns(keys)
+    return o.join(n, same_key, "full_outer").select(
+        *_merged_columns(old.drop(*helpers), new.drop(*helpers), take_new)
+    )
 
 
 def upsert_small(
@@ -114,6 +123,13 @@ def upsert_by_contract(old: DataFrame, new: DataFrame, contract: TableContract)
     return upsert(old, new, contract.primary_keys, contract.deduplication_keys)
 
 
+def upsert_latest(old: DataFrame, rows: DataFrame, contract: TableContract) -> DataFrame:
+    """Latest row per key of ``rows``, upserted: the exchange by key serves both steps."""
+    return upsert_by_contract(
+        old, latest_by_contract(rows, contract, keep_match_columns=True), contract
+    )
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; an upsert of such a batch has no defined result."""
     return (

@@ -14,6 +14,7 @@ from ..operators.flatten import flatten_by_contract
 from ..operators.incremental import choose_reading
 from ..operators.keys import latest_by_contract, require_contract_keys
 from ..operators.mapping import apply_contract
+from ..operators.merge import upsert_latest
 from ..sinks.store import StoredTable
 
 
@@ -25,8 +26,18 @@ def cleaned_rows(bronze: DataFrame, contract: TableContract, on_error: str = "fa
 
 def silver_frame(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
     """One row per primary key; the only shuffle is by that key."""
-    rows = cleaned_rows(bronze, contract, on_error)
-    return latest_by_contract(require_contract_keys(rows, contract), contract)
+    return latest_by_contract(keyed_rows(bronze, contract, on_error), contract)
+
+
+def keyed_rows(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
+    return require_contract_keys(cleaned_rows(bronze, contract, on_error), contract)
+
+
+def merged_silver(
+    old: DataFrame, bronze: DataFrame, contract: TableContract, on_error: str = "fail"
+) -> DataFrame:
+    """Silver after this bronze has been upserted, as a frame: two exchanges, one per side."""
+    return upsert_latest(old, keyed_rows(bronze, contract, on_error), contract)
 
 
 def build_silver(
