@@ -6,9 +6,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import yaml
-from pyspark import SparkContext
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.columns import HASH_SUFFIX
@@ -34,13 +33,19 @@ def check_expression(text: str | None, target: str) -> str:
     found = [bad for bad in FORBIDDEN_TEXT if bad in text]
     if found:
         raise ContractError(f"column {target!r}: the transform may not contain {found}")
-    if SparkContext._active_spark_context is None:
+    spark = SparkSession.getActiveSession()
+    if spark is None:
         return text
-    try:
-        F.expr(text)
-        F.expr(f"({text})")
-    except ParseException as e:
-        raise ContractError(f"column {target!r}: the transform is no SQL expression: {text!r}") from e
+    nothing = spark.createDataFrame([], "nothing int")
+    for form in (text, f"({text})"):
+        try:
+            nothing.select(F.expr(form))
+        except ParseException as e:
+            raise ContractError(
+                f"column {target!r}: the transform is no SQL expression: {text!r}"
+            ) from e
+        except AnalysisException:
+            pass  # it parses; names are looked up when the input's schema is known
     return text
 
 
