@@ -79,7 +79,12 @@ class StoredTable:
         return self.spark.catalog.tableExists(self.name)
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.name).drop(BUCKET)
+        return self._stored_rows().drop(BUCKET)
+
+    def _stored_rows(self) -> DataFrame:
+        """Sessions remember a table's folder; another session may have moved it since."""
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name)
 
     @property
     def location(self) -> str:
@@ -194,7 +199,7 @@ class StoredTable:
         staged = self.spark.read.schema(new.schema).parquet(staged_path)
         if not keys_are_unique:
             self._refuse_repeats(staged, keys)
-        old = self.spark.table(self.name)
+        old = self._stored_rows()
         self._add_columns(old, staged)
         if self.buckets:
             staged = staged.withColumn(BUCKET, self._key_bucket(keys))

@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.columns import INGESTION_DATE, with_audit_columns
 from ..functions.names import with_safe_names
 from ..sinks import files
-from ..sinks.store import ddl
 from ..sources.landing import Landing, landing_stream, widened
 
 
@@ -95,18 +94,10 @@ def bronze_stream(
     return reader.parquet(target.path)
 
 
-def register_bronze(spark: SparkSession, target: BronzeTarget, table: str) -> None:
-    """Make bronze readable by name: create the table over the folder, or add what is new to it."""
-    schema = bronze_schema(spark, target)
-    if not spark.catalog.tableExists(table):
-        spark.sql(
-            f"CREATE TABLE {table} ({ddl(spark, schema)}) USING parquet "
-            f"PARTITIONED BY ({INGESTION_DATE}) LOCATION '{target.path}'"
-        )
-    else:
-        have = {c.lower() for c in spark.table(table).columns}
-        fresh = [f for f in schema.fields if f.name.lower() not in have]
-        if fresh:
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({ddl(spark, T.StructType(fresh))})")
-    spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
+def name_bronze(spark: SparkSession, target: BronzeTarget, view: str) -> None:
+    """Make bronze readable by name in this session, under the union schema.
+
+    A catalog table is not laid over the folder: for a folder written by a stream, Spark gives up
+    the table's stored schema and partitions and opens every file's footer instead.
+    """
+    read_bronze(spark, target).createOrReplaceTempView(view)

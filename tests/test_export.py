@@ -1,0 +1,70 @@
+import datetime as dt
+import os
+
+import pytest
+
+from conftest import rows
+from siltworks.sinks.export import export_frame, export_table
+
+NOW = dt.datetime(2024, 3, 5, 6, 7, 8, tzinfo=dt.timezone.utc)
+DATA = [("t1", "l1", "2024-01-01"), ("t2", "l2", "2024-01-02")]
+SCHEMA = "transaction string, location string, at string"
+
+
+@pytest.mark.parametrize(
+    ("file_format", "extension"),
+    [("csv", ".csv"), ("json", ".json"), ("jsonl", ".jsonl"), ("Parquet", ".parquet"), ("CSV", ".csv")],
+)
+def test_one_file_with_a_business_name(spark, tmp_path, file_format, extension):
+    df = spark.createDataFrame(DATA, SCHEMA).repartition(4)
+    path = export_frame(df, str(tmp_path), "sales", file_format, now=NOW)
+    assert path == f"{tmp_path}/20240305/sales_20240305060708{extension}"
+    assert [f for f in os.listdir(tmp_path / "20240305") if not f.startswith(".")] == [f"sales_20240305060708{extension}"]
+    reader = spark.read.schema(SCHEMA)
+    back = reader.parquet(path) if extension == ".parquet" else reader.csv(path) if extension == ".csv" else reader.json(path)
+    assert rows(back) == DATA
+
+
+def test_write_options(spark, tmp_path):
+    df = spark.createDataFrame(DATA[:1], SCHEMA)
+    path = export_frame(df, str(tmp_path), "s", options={"header": "true", "sep": "|", "quoteAll": "true"}, now=NOW)
+    assert open(path).read() == '"transaction"|"location"|"at"\n"t1"|"l1"|"2024-01-01"\n'
+
+
+def test_unknown_format(spark, tmp_path):
+    with pytest.raises(ValueError, match="csv, json, jsonl, parquet"):
+        export_frame(spark.range(1), str(tmp_path), "s", "xlsx")
+
+
+def test_large_tables_stay_in_parts_and_whole(spark, tmp_path):
+    df = spark.range(1000).repartition(5)
+    path = export_frame(df, str(tmp_path), "big", now=NOW, single_file_bytes=10)
+    assert os.path.isdir(path) and spark.read.csv(path).count() == 1000
+    path = export_frame(df, str(tmp_path), "asked", "parquet", single_file=False, now=NOW)
+    assert os.path.isdir(path) and spark.read.parquet(path).count() == 1000
+
+
+def test_other_runs_stay(spark, tmp_path):
+    first = export_frame(spark.range(3), str(tmp_path), "s", now=NOW)
+    second = export_frame(spark.range(4), str(tmp_path), "s", now=NOW + dt.timedelta(seconds=1))
+    assert spark.read.csv(first).count() == 3 and spark.read.csv(second).count() == 4
+
+
+def test_modes_concern_the_same_name(spark, tmp_path):
+    path = export_frame(spark.range(3), str(tmp_path), "s", now=NOW)
+    export_frame(spark.range(5), str(tmp_path), "s", now=NOW)
+    assert spark.read.csv(path).count() == 5
+    export_frame(spark.range(7), str(tmp_path), "s", mode="ignore", now=NOW)
+    assert spark.read.csv(path).count() == 5
+    with pytest.raises(FileExistsError):
+        export_frame(spark.range(7), str(tmp_path), "s", mode="error", now=NOW)
+
+
+def test_empty_table(spark, tmp_path):
+    path = export_frame(spark.range(0), str(tmp_path), "none", options={"header": "true"}, now=NOW)
+    assert open(path).read() in ("id\n", "")
+
+
+def test_by_table_name(spark, tmp_path):
+    spark.range(2).createOrReplaceTempView("export_me")
+    assert spark.read.csv(export_table(spark, "export_me", str(tmp_path), "v")).count() == 2
