@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Mapping, Sequence
+from pathlib import Path
 
 import yaml
 from pyspark.errors import PySparkException
@@ -60,6 +61,15 @@ def entries_of(document: Mapping, schema_name: str, layer: str) -> list[Row]:
     raise ValueError(f"unknown layer {layer!r}")
 
 
+def contract_files(root: str, layer: str) -> list[tuple[str, str]]:
+    """Contract files below a folder with their schema, which is the folder they lie in. Gold model
+    files that lie in the root itself describe no schema and are passed over."""
+    found = sorted(p for p in Path(root).rglob("*.yml"))
+    return [
+        (str(p), p.parent.name) for p in found if layer != GOLD or p.parent != Path(root)
+    ]
+
+
 def read_inventory(
     spark: SparkSession, files_by_schema: Iterable[tuple[str, str]], layer: str
 ) -> DataFrame:

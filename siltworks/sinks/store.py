@@ -133,11 +133,19 @@ class StoredTable:
     def _write(self, df: DataFrame, folder: str) -> None:
         if self.buckets:
             # Rebalancing keeps a bucket's rows together and splits a bucket that is too large.
-            df.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
+            together = df.hint("rebalance", BUCKET)
+            together = together.sortWithinPartitions(BUCKET, *[ref(c) for c in self.clustering])
+            together.write.partitionBy(BUCKET).parquet(folder)
         else:
             clustered(df, self.clustering).write.parquet(folder)
 
-    def create(self, df: DataFrame, keys: Sequence[str] = (), batch_id: int | None = None) -> None:
+    def create(
+        self,
+        df: DataFrame,
+        keys: Sequence[str] = (),
+        batch_id: int | None = None,
+        refuse_repeats: bool = False,
+    ) -> None:
         """First load: make the database when missing, write the rows, register the table."""
         ensure_database(self.spark, self.name)
         folder = self._new_folder(batch_id)
@@ -148,6 +156,12 @@ class StoredTable:
             stored = df.withColumn(BUCKET, self._key_bucket(keys))
             partitioning = f"PARTITIONED BY ({BUCKET})"
         self._write(stored, folder)
+        if refuse_repeats:
+            try:
+                self._refuse_repeats(self.spark.read.schema(stored.schema).parquet(folder), keys)
+            except ValueError:
+                files.delete(self.spark, folder)
+                raise
         self.spark.sql(
             f"CREATE TABLE {self.name} ({ddl(self.spark, stored.schema)}) USING parquet "
             f"{partitioning} LOCATION '{folder}'"
@@ -187,9 +201,7 @@ class StoredTable:
         if batch_id is not None and batch_id <= self.last_batch():
             return
         if not self.exists:
-            if not keys_are_unique:
-                self._refuse_repeats(new, keys)
-            self.create(new, keys, batch_id)
+            self.create(new, keys, batch_id, refuse_repeats=not keys_are_unique)
             return
         folder = self._new_folder(batch_id)
         # The batch is needed more than once: write it, so that it is computed once, survives the
@@ -198,7 +210,11 @@ class StoredTable:
         new.write.parquet(staged_path)
         staged = self.spark.read.schema(new.schema).parquet(staged_path)
         if not keys_are_unique:
-            self._refuse_repeats(staged, keys)
+            try:
+                self._refuse_repeats(staged, keys)
+            except ValueError:
+                files.delete(self.spark, staged_path)
+                raise
         old = self._stored_rows()
         self._add_columns(old, staged)
         if self.buckets:

@@ -24,7 +24,11 @@ CLOCK_SLACK = dt.timedelta(hours=1)
 
 @dataclass(frozen=True)
 class Landing:
-    """Where files land and how to read them; ``options`` reach the reader as they are."""
+    """Where files land and how to read them; ``options`` reach the reader as they are.
+
+    ``case_sensitive`` is for documents whose keys differ by case only: they are read in a session
+    of their own, and safe naming then makes the names unique.
+    """
 
     path: str
     format: str
@@ -32,6 +36,7 @@ class Landing:
     infer_types: bool = True
     options: Mapping[str, str] = field(default_factory=dict)
     rescue_column: str | None = "_rescued_data"
+    case_sensitive: bool = False
 
     def __post_init__(self):
         if self.format not in (JSON, CSV):
@@ -48,6 +53,17 @@ class Landing:
         return own | dict(self.options)
 
 
+def reading_session(spark: SparkSession, landing: Landing) -> SparkSession:
+    if not landing.case_sensitive:
+        return spark
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.caseSensitive", "true")
+    return session
+
+
 def _configured(spark: SparkSession, landing: Landing) -> DataFrameReader:
     return spark.read.format(landing.format).options(**landing.reader_options())
 
@@ -134,6 +150,7 @@ def landing_stream(
     max_files_per_batch: int | None = None,
 ) -> DataFrame:
     """Streaming frame over the landing tree. ``schema`` skips inference altogether."""
+    spark = reading_session(spark, landing)
     schema = schema or remembered_schema(spark, landing)
     reader = (
         spark.readStream.format(landing.format)
@@ -148,5 +165,6 @@ def landing_stream(
 def landing_batch(
     spark: SparkSession, landing: Landing, schema: T.StructType | None = None
 ) -> DataFrame:
+    spark = reading_session(spark, landing)
     schema = schema or remembered_schema(spark, landing)
     return _configured(spark, landing).schema(_with_rescue(schema, landing)).load(landing.path)

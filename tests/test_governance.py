@@ -78,3 +78,13 @@ def test_statements_stop_nothing_when_there_is_nothing_to_say(spark):
     assert documentation_statements(entry) == []
     (entry,) = entries_of({"table": {"name": "t", "description": "a 'b' \\ c"}}, "s", "silver")
     assert documentation_statements(entry) == ["COMMENT ON TABLE s.t IS 'a \\'b\\' \\\\ c'"]
+
+
+def test_files_of_a_layer(tmp_path):
+    from siltworks.plans.governance import contract_files
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "root.yml").write_text("x: 1")
+    (tmp_path / "a" / "m.yml").write_text("x: 1")
+    assert contract_files(str(tmp_path), "gold") == [(str(tmp_path / "a" / "m.yml"), "a")]
+    assert len(contract_files(str(tmp_path), "silver")) == 2

@@ -146,3 +146,12 @@ def test_bronze_can_be_streamed_on(spark, places):
     ingest(spark, landing, target)
     assert bronze_stream(spark, target).isStreaming
     assert bronze_frame(landing_batch(spark, landing)).columns[-1] == "_metadata"
+
+
+def test_keys_that_differ_by_case_only(spark, places):
+    landing, target = places("json", case_sensitive=True)
+    drop(landing, "a.json", '{"id": 1, "ID": "one", "v": true}')
+    ingest(spark, landing, target)
+    out = read_bronze(spark, target)
+    assert rows(out.select("ID", "id_1", "v")) in ([("one", 1, True)], [(1, "one", True)])
+    assert json.loads(out.first()["_raw_data"]) == {"id": 1, "ID": "one", "v": True}

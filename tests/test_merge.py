@@ -110,7 +110,7 @@ def test_small_batch_does_not_shuffle_the_table(spark):
 row = st.tuples(st.integers(0, 4), st.integers(0, 6).map(str), st.sampled_from("abc"))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(batches=st.lists(st.lists(row, min_size=1, max_size=6), min_size=1, max_size=3))
 def test_result_does_not_depend_on_the_cut_into_batches(spark, batches):
     """With one order key, and equal rows for equal (key, order), any cut gives the same table."""
