@@ -30,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores when a table has fewer splits than there are cores; a large table is left alone."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def stamp(column: str):
     """Timestamps of the given tables carry no zone; the engine works with UTC instants."""
     return F.col(column).cast("timestamp")
@@ -56,7 +62,7 @@ def line_events(lineitem: DataFrame) -> DataFrame:
         one("base", price, tax), one("discount", -(price * discount), discount), one("tax", price * tax, tax)
     )
     steps = F.sequence(F.lit(0), F.ceil(F.col("l_quantity") / 20).cast("int") - 1)
-    return lineitem.select(
+    return spread(lineitem).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("eventId"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("eventTime"),
         F.struct(

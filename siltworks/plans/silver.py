@@ -15,7 +15,7 @@ from ..operators.incremental import choose_reading
 from ..operators.keys import latest_by_contract, require_contract_keys
 from ..operators.mapping import apply_contract
 from ..operators.merge import upsert_latest
-from ..sinks.store import StoredTable
+from ..sinks.store import Batch, StoredTable
 
 
 def cleaned_rows(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
@@ -60,13 +60,13 @@ def build_silver(
 
 
 def store_silver(
-    rows: DataFrame, contract: TableContract, target: StoredTable, batch_id: int | None = None
+    rows: DataFrame, contract: TableContract, target: StoredTable, batch: Batch | None = None
 ) -> None:
     target.upsert(
         rows,
         contract.primary_keys,
         contract.deduplication_keys,
-        batch_id=batch_id,
+        batch=batch,
         keys_are_unique=True,
     )
 
@@ -83,7 +83,7 @@ def fan_out(bronze: DataFrame, contracts: Sequence[TableContract]) -> dict[str,
 def build_fan_out(
     bronze: DataFrame,
     targets: Mapping[str, tuple[TableContract, StoredTable]],
-    batch_id: int | None = None,
+    batch: Batch | None = None,
     share_scan: bool = False,
 ) -> None:
     """Upsert several silver tables from one source, side by side so that the cluster stays busy."""
@@ -91,7 +91,7 @@ def build_fan_out(
     try:
         with ThreadPoolExecutor(max_workers=max(1, len(targets))) as pool:
             jobs = [
-                pool.submit(store_silver, silver_frame(source, contract), contract, table, batch_id)
+                pool.submit(store_silver, silver_frame(source, contract), contract, table, batch)
                 for contract, table in targets.values()
             ]
             for job in jobs:

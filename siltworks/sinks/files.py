@@ -67,9 +67,16 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Written beside and renamed over the old file, so a reader finds one text or the other."""
     fs, p = _fs(spark, path)
-    stream = fs.create(p, True)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    stream = fs.create(draft, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(draft), fs.makeQualified(p), options)

@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +33,20 @@ BUCKET = "_key_bucket"
 MEMORY_PER_DISK_BYTE = 10
 # A batch is broadcast only when its measured size, blown up as above, stays below this.
 BROADCAST_BYTES = 256 << 20
-NO_BATCH = -1
 
-_SNAPSHOT = re.compile(r"snap-(\d+)(?:-batch-(\d+))?$")
+_BATCH_PROPERTY = "silver.last_batch"
+_SNAPSHOT = re.compile(r"snap-(\d+)(?:-batch-(\d+)-of-([0-9a-zA-Z-]+))?$")
+
+
+class Batch(NamedTuple):
+    """A micro-batch: the stream that made it, by the id its checkpoint holds, and its number there.
+
+    A stream that starts anew with another checkpoint has another id, so its batches are not taken
+    for those of the earlier one.
+    """
+
+    stream: str
+    number: int
 
 
 def ddl(spark: SparkSession, schema: T.StructType) -> str:
@@ -107,24 +119,29 @@ class StoredTable:
         ]
         return max(numbers, default=-1)
 
-    def last_batch(self) -> int:
-        """Id of the last committed micro-batch. It is part of the commit itself: the folder's name
+    def last_batch(self) -> Batch | None:
+        """The last committed micro-batch. It is part of the commit itself: the folder's name
         (plain layout), or a property set after the last bucket has been switched."""
         if not self.exists:
-            return NO_BATCH
+            return None
         if self.buckets:
-            found = self._properties().get("silver.last_batch")
-            return int(found) if found is not None else NO_BATCH
+            text = self._properties().get(_BATCH_PROPERTY)
+            stream, _, number = (text or "").rpartition(":")
+            return Batch(stream, int(number)) if text else None
         m = _SNAPSHOT.search(self.location)
-        return int(m.group(2)) if m and m.group(2) else NO_BATCH
+        return Batch(m.group(3), int(m.group(2))) if m and m.group(2) else None
+
+    def has(self, batch: Batch | None) -> bool:
+        last = self.last_batch() if batch else None
+        return last is not None and last.stream == batch.stream and batch.number <= last.number
 
     def _properties(self) -> dict[str, str]:
         return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
 
     # -- writing ---------------------------------------------------------------------------
 
-    def _new_folder(self, batch_id: int | None) -> str:
-        suffix = "" if batch_id is None else f"-batch-{batch_id}"
+    def _new_folder(self, batch: Batch | None) -> str:
+        suffix = f"-batch-{batch.number}-of-{batch.stream}" if batch else ""
         return f"{self.base_folder}/snap-{self._snapshot_number() + 1:06d}{suffix}"
 
     def _key_bucket(self, keys: Sequence[str]) -> Column:
@@ -143,12 +160,12 @@ class StoredTable:
         self,
         df: DataFrame,
         keys: Sequence[str] = (),
-        batch_id: int | None = None,
+        batch: Batch | None = None,
         refuse_repeats: bool = False,
     ) -> None:
         """First load: make the database when missing, write the rows, register the table."""
         ensure_database(self.spark, self.name)
-        folder = self._new_folder(batch_id)
+        folder = self._new_folder(batch)
         stored, partitioning = df, ""
         if self.buckets:
             if not keys:
@@ -168,7 +185,7 @@ class StoredTable:
         )
         if self.buckets:
             self._switch_buckets(folder)
-        self._finish(batch_id)
+        self._finish(batch)
 
     def overwrite(self, df: DataFrame, keys: Sequence[str] = ()) -> None:
         """Replace all rows; the schema may change. The query may read the table itself."""
@@ -184,7 +201,7 @@ class StoredTable:
             return None
         # Another schema: write first, then swap the catalog entry; the files stay in place.
         staged = f"{self._new_folder(None)}-staged"
-        df.write.parquet(staged)
+        df.write.mode("overwrite").parquet(staged)
         self.spark.sql(f"DROP TABLE {self.name}")
         self.create(self.spark.read.schema(df.schema).parquet(staged), keys)
         files.delete(self.spark, staged)
@@ -194,20 +211,20 @@ class StoredTable:
         new: DataFrame,
         keys: Sequence[str],
         order_by: Sequence[str] = (),
-        batch_id: int | None = None,
+        batch: Batch | None = None,
         keys_are_unique: bool = False,
     ) -> None:
-        """Create the table, or merge a batch into it. A batch id that was committed is skipped."""
-        if batch_id is not None and batch_id <= self.last_batch():
+        """Create the table, or merge a batch into it. A micro-batch that was committed is skipped."""
+        if self.has(batch):
             return
         if not self.exists:
-            self.create(new, keys, batch_id, refuse_repeats=not keys_are_unique)
+            self.create(new, keys, batch, refuse_repeats=not keys_are_unique)
             return
-        folder = self._new_folder(batch_id)
+        folder = self._new_folder(batch)
         # The batch is needed more than once: write it, so that it is computed once, survives the
         # loss of executors, and has a size that is known and not guessed.
         staged_path = f"{folder}-staged"
-        new.write.parquet(staged_path)
+        new.write.mode("overwrite").parquet(staged_path)
         staged = self.spark.read.schema(new.schema).parquet(staged_path)
         if not keys_are_unique:
             try:
@@ -230,7 +247,7 @@ class StoredTable:
             self._switch_buckets(folder)
         else:
             self._switch(folder)
-        self._finish(batch_id)
+        self._finish(batch)
         files.delete(self.spark, staged_path)
 
     def _refuse_repeats(self, new: DataFrame, keys: Sequence[str]) -> None:
@@ -263,19 +280,35 @@ class StoredTable:
                     self.spark.sql(f"ALTER TABLE {self.name} ADD {spec} LOCATION '{f.path}'")
         self.spark.catalog.refreshTable(self.name)
 
-    def _finish(self, batch_id: int | None) -> None:
-        if self.buckets and batch_id is not None:
+    def _finish(self, batch: Batch | None) -> None:
+        if self.buckets and batch:
             self.spark.sql(
-                f"ALTER TABLE {self.name} SET TBLPROPERTIES ('silver.last_batch' = '{batch_id}')"
+                f"ALTER TABLE {self.name} SET TBLPROPERTIES "
+                f"('{_BATCH_PROPERTY}' = '{batch.stream}:{batch.number}')"
             )
 
+    def _current_folders(self) -> set[str]:
+        """Names, below the base folder, of what the catalog points at."""
+        if not self.buckets:
+            return {self.location.rstrip("/").rsplit("/", 1)[-1]}
+        current = set()
+        for (spec,) in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
+            value = spec.split("=")[1]
+            about = self.spark.sql(
+                f"DESCRIBE TABLE EXTENDED {self.name} PARTITION ({BUCKET} = {value})"
+            ).filter("col_name = 'Location'")
+            current.add("/".join(about.first()["data_type"].rstrip("/").rsplit("/", 2)[-2:]))
+        return current
+
     def expire(self, keep: int) -> None:
-        """Delete the oldest snapshot folders of the plain layout, keeping the newest ``keep``."""
-        if self.buckets or keep < 1:
-            raise ValueError("expire keeps at least one version, of a table without buckets")
-        current = self.location.rstrip("/").rsplit("/", 1)[-1]
+        """Delete data of all but the newest ``keep`` commits, sparing what the table still uses."""
+        if keep < 1:
+            raise ValueError("at least one version must be kept")
+        current = self._current_folders()
         found = [f for f in files.listing(self.spark, self.base_folder) if _SNAPSHOT.search(f.name)]
         for f in sorted(found, key=lambda f: f.name)[:-keep]:
-            if f.name != current:
-                files.delete(self.spark, f.path)
-
+            parts = files.listing(self.spark, f.path) if self.buckets else [f]
+            for part in parts:
+                name = f"{f.name}/{part.name}" if self.buckets else part.name
+                if part.is_dir and name not in current:
+                    files.delete(self.spark, part.path)

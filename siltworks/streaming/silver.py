@@ -7,6 +7,7 @@ after a failure is recognised by its id, which is part of the commit.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..contract import TableContract
 from ..plans.silver import build_fan_out, silver_frame, store_silver
-from ..sinks.store import StoredTable
+from ..sinks import files
+from ..sinks.store import Batch, StoredTable
 
 
 def start_silver(
@@ -27,7 +29,7 @@ def start_silver(
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = silver_frame(batch, contract, on_error)
-        store_silver(rows, contract, _bound(target, batch), batch_id)
+        store_silver(rows, contract, _bound(target, batch), _identified(batch, batch_id, checkpoint))
 
     return _start(bronze, write, checkpoint, available_now)
 
@@ -44,7 +46,7 @@ def start_silver_fan_out(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         bound = {name: (c, _bound(t, batch)) for name, (c, t) in targets.items()}
-        build_fan_out(batch, bound, batch_id, share_scan)
+        build_fan_out(batch, bound, _identified(batch, batch_id, checkpoint), share_scan)
 
     return _start(bronze, write, checkpoint, available_now)
 
@@ -56,6 +58,12 @@ def _bound(target: StoredTable, batch: DataFrame) -> StoredTable:
     )
 
 
+def _identified(batch: DataFrame, number: int, checkpoint: str) -> Batch:
+    """Streams write their id into the checkpoint before the first batch runs."""
+    text = files.read_text(batch.sparkSession, f"{checkpoint.rstrip('/')}/metadata")
+    return Batch(json.loads(text)["id"], number)
+
+
 def _start(bronze: DataFrame, write, checkpoint: str, available_now: bool) -> StreamingQuery:
     writer = bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:

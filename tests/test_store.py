@@ -3,7 +3,7 @@ import pytest
 from conftest import rows
 from siltworks.sinks import files
 from siltworks.sinks import store as store_module
-from siltworks.sinks.store import NO_BATCH, StoredTable, clustered
+from siltworks.sinks.store import Batch, StoredTable, clustered
 
 SCHEMA = "id int, at int, v string"
 
@@ -18,7 +18,7 @@ def stored(request, spark, table_name, tmp_path):
 
 
 def test_create_then_upsert(spark, stored):
-    assert not stored.exists and stored.last_batch() == NO_BATCH
+    assert not stored.exists and stored.last_batch() is None
     stored.upsert(frame(spark, (1, 1, "a"), (2, 5, "b")), ["id"], ["at"])
     assert rows(stored.read()) == [(1, 1, "a"), (2, 5, "b")]
     stored.upsert(frame(spark, (1, 2, "A"), (2, 4, "B"), (3, 0, "C")), ["id"], ["at"])
@@ -33,11 +33,13 @@ def test_large_batches_take_the_join_without_broadcast(spark, stored, monkeypatc
 
 
 def test_batch_ids_are_committed_once(spark, stored):
-    stored.upsert(frame(spark, (1, 1, "a")), ["id"], [], batch_id=0)
-    stored.upsert(frame(spark, (1, 1, "b")), ["id"], [], batch_id=1)
-    stored.upsert(frame(spark, (1, 1, "again")), ["id"], [], batch_id=1)
-    stored.upsert(frame(spark, (1, 1, "older")), ["id"], [], batch_id=0)
-    assert rows(stored.read()) == [(1, 1, "b")] and stored.last_batch() == 1
+    stored.upsert(frame(spark, (1, 1, "a")), ["id"], [], batch=Batch("s-1", 0))
+    stored.upsert(frame(spark, (1, 1, "b")), ["id"], [], batch=Batch("s-1", 1))
+    stored.upsert(frame(spark, (1, 1, "again")), ["id"], [], batch=Batch("s-1", 1))
+    stored.upsert(frame(spark, (1, 1, "older")), ["id"], [], batch=Batch("s-1", 0))
+    assert rows(stored.read()) == [(1, 1, "b")] and stored.last_batch() == ("s-1", 1)
+    stored.upsert(frame(spark, (1, 1, "new stream")), ["id"], [], batch=Batch("s-2", 0))
+    assert rows(stored.read()) == [(1, 1, "new stream")] and stored.last_batch() == ("s-2", 0)
 
 
 def test_evolving_columns(spark, stored):
@@ -108,6 +110,24 @@ def test_old_versions_expire(spark, table_name, tmp_path):
     assert kept == ["snap-000002", "snap-000003"] and rows(t.read()) == [(1, 3, "a")]
 
 
+def test_replaced_buckets_expire(spark, table_name, tmp_path):
+    t = StoredTable(spark, table_name, buckets=3, base=str(tmp_path / "base"))
+    t.upsert(spark.range(60).selectExpr("cast(id as int) id", "0 at", "'a' v"), ["id"], ["at"])
+    for i in range(3):
+        t.upsert(frame(spark, (7, i, "b")), ["id"], ["at"])
+    t.expire(keep=1)
+    left = [d.name for f in files.listing(spark, t.base_folder) for d in files.listing(spark, f.path) if d.is_dir]
+    assert len(left) == 3 and t.read().count() == 60 and t.read().filter("at = 2").count() == 1
+
+
+def test_leftovers_of_a_broken_run_do_not_matter(spark, stored):
+    stored.upsert(frame(spark, (1, 1, "a")), ["id"], ["at"])
+    for leftover in ("snap-000001", "snap-000002-staged"):
+        frame(spark, (9, 9, "junk")).write.parquet(f"{stored.base_folder}/{leftover}")
+    stored.upsert(frame(spark, (2, 1, "b")), ["id"], ["at"])
+    assert rows(stored.read()) == [(1, 1, "a"), (2, 1, "b")]
+
+
 def test_a_hot_clustering_value_is_spread(spark):
     df = spark.range(20000).selectExpr("id", "if(id % 3 > 0, 'hot', cast(id as string)) k")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
