@@ -268,6 +268,30 @@ def latest_null_keys(spark: SparkSession, sf: str) -> DataFrame:
     return latest_per_key(e, ["uid"], ["seen_at"]).withColumn("uid", F.coalesce("uid", F.lit(-1)))
 
 
+@check(
+    "q25c_latest_of_the_frame",
+    """SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+       ORDER BY o_orderdate DESC, o_orderkey DESC, o_custkey DESC LIMIT 1""",
+)
+def latest_of_the_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """No key: one row of the whole table, found as a top-1 per task."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", stamp("o_orderdate").alias("o_orderdate")
+    )
+    return latest_per_key(orders, [], ["o_orderdate"], whole_frame=True)
+
+
+@check(
+    "q25d_latest_without_order",
+    """SELECT user_id, event_type, value, event_id FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_type DESC, value DESC, event_id DESC) = 1""",
+)
+def latest_without_order(spark: SparkSession, sf: str) -> DataFrame:
+    """No deduplication key: the other columns decide."""
+    events = table(spark, sf, "events").select("user_id", "event_type", "value", "event_id")
+    return latest_per_key(events, ["user_id"], [])
+
+
 @check(
     "q26_empty_input_policy",
     """SELECT 'nothing newer' AS situation, 'incremental' AS mode, true AS stops, count(*) AS bronze_rows FROM events

@@ -27,13 +27,17 @@ def above(df: DataFrame, mark: dt.datetime, column: str = INGESTED_AT) -> DataFr
 
 
 def _prune_days(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
-    """Bronze is partitioned by ingestion day: add the implied day filter, so old days are not opened."""
+    """Bronze is partitioned by ingestion day: add the implied day filter, so old days are not opened.
+
+    A day more on either side covers bronze that was written under another time zone.
+    """
     if column != INGESTED_AT or INGESTION_DATE not in df.columns:
         return df
+    day = lambda end, shift: F.date_add(F.lit(end).cast("timestamp").cast("date"), shift)
     if low is not None:
-        df = df.filter(ref(INGESTION_DATE) >= F.lit(low).cast("timestamp").cast("date"))
+        df = df.filter(ref(INGESTION_DATE) >= day(low, -1))
     if high is not None:
-        df = df.filter(ref(INGESTION_DATE) <= F.lit(high).cast("timestamp").cast("date"))
+        df = df.filter(ref(INGESTION_DATE) <= day(high, 1))
     return df
 
 

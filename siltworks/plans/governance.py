@@ -11,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ..contract import TableContract
 from ..functions.names import quoted
 
 log = logging.getLogger(__name__)
@@ -143,3 +144,16 @@ def document_tables(spark: SparkSession, inventory: DataFrame) -> list[str]:
             log.error("table %s could not be documented: %s", entry.qualified_name, e)
             failed.append(entry.qualified_name)
     return failed
+
+
+def document_by_contract(spark: SparkSession, contract: TableContract, table: str) -> None:
+    """Store the descriptions and tags of a contract with the table that was made from it."""
+    columns = [Row(name=c.name, description=c.description, tags=dict(c.tags)) for c in contract.columns]
+    entry = Row(
+        qualified_name=table,
+        description=contract.description,
+        tags=dict(contract.tags),
+        columns=columns,
+    )
+    for statement in documentation_statements(entry):
+        spark.sql(statement)

@@ -16,6 +16,7 @@ from ..operators.keys import latest_by_contract, require_contract_keys
 from ..operators.mapping import apply_contract
 from ..operators.merge import upsert_latest
 from ..sinks.store import Batch, StoredTable
+from .governance import document_by_contract
 
 
 def cleaned_rows(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
@@ -51,11 +52,17 @@ def build_silver(
     buckets: int = 0,
     base: str | None = None,
 ) -> str:
-    """One run of the silver job; gives the reading mode that was used."""
+    """One run of the silver job; gives the reading mode that was used.
+
+    The first load also stores the contract's descriptions and tags with the table.
+    """
     target = StoredTable(spark, table, contract.clustering_keys, buckets, base)
+    first_load = not target.exists
     reading = choose_reading(bronze, target.read() if target.exists else None, start, end)
     if not reading.nothing_to_do:
         store_silver(silver_frame(reading.rows, contract, on_error), contract, target)
+        if first_load:
+            document_by_contract(spark, contract, table)
     return reading.mode
 
 

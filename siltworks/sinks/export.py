@@ -6,7 +6,7 @@ import datetime as dt
 import logging
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import work_folder
 from . import files
@@ -91,5 +91,15 @@ def _may_write(df: DataFrame, target: str, mode: str) -> bool:
     raise FileExistsError(f"{target} exists (write mode {mode!r})")
 
 
-def export_table(spark, table: str, output: str, prefix: str, **kwargs) -> str:
-    return export_frame(spark.read.table(table), output, prefix, **kwargs)
+def export_table(
+    spark: SparkSession, table: str, output: str, prefix: str, **kwargs
+) -> str:
+    """Export a table or view by name. The files of a table tell its size, so one that is too large
+    for a single file goes straight into parts."""
+    df = spark.read.table(table)
+    limit = kwargs.get("single_file_bytes", SINGLE_FILE_BYTES)
+    is_table = spark.catalog.getTable(table).tableType in ("MANAGED", "EXTERNAL")
+    if is_table and kwargs.get("single_file", True):
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        kwargs["single_file"] = size <= limit
+    return export_frame(df, output, prefix, **kwargs)

@@ -234,10 +234,13 @@ class StoredTable:
                 raise
         old = self._stored_rows()
         self._add_columns(old, staged)
+        if staged.isEmpty():
+            files.delete(self.spark, staged_path)
+            return
         if self.buckets:
             staged = staged.withColumn(BUCKET, self._key_bucket(keys))
             touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
-            old = old.filter(ref(BUCKET).isin(touched)) if touched else old.limit(0)
+            old = old.filter(ref(BUCKET).isin(touched))
         small = (
             files.total_bytes(self.spark, staged_path) * MEMORY_PER_DISK_BYTE <= BROADCAST_BYTES
         )

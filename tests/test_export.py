@@ -68,3 +68,15 @@ def test_empty_table(spark, tmp_path):
 def test_by_table_name(spark, tmp_path):
     spark.range(2).createOrReplaceTempView("export_me")
     assert spark.read.csv(export_table(spark, "export_me", str(tmp_path), "v")).count() == 2
+
+
+def test_large_tables_are_not_staged(spark, tmp_path, table_name, monkeypatch):
+    from siltworks.sinks import export
+
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    spark.sql(f"create table {table_name} using parquet location '{tmp_path}/t'")
+    path = export_table(spark, table_name, str(tmp_path / "out"), "v")
+    assert os.path.isfile(path)
+    monkeypatch.setattr(export, "work_folder", lambda *_: pytest.fail("staged"))
+    path = export_table(spark, table_name, str(tmp_path / "out"), "w", single_file_bytes=100)
+    assert os.path.isdir(path) and spark.read.csv(path).count() == 1000
