@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterable
+from itertools import chain, count
 
 from pyspark.sql import DataFrame
 
@@ -23,21 +25,19 @@ def safe_name(name: str | None) -> str:
 
 
 def safe_names(names: Iterable[str]) -> list[str]:
-    """Safe names, made unique without regard to case; the first owner keeps the plain form."""
-    taken: set[str] = set()
-    next_suffix: dict[str, int] = {}
-    result = []
+    """Safe names, made unique without regard to case.
+
+    Every stem has its own run of endings (none, ``_1``, ``_2`` …) and never goes back in it; an
+    ending that would repeat a name already given out is passed over.
+    """
+    endings = defaultdict(lambda: chain([""], map("_{}".format, count(1))))
+    given: dict[str, str] = {}
     for base in map(safe_name, names):
-        stem = base.lower()
-        n = next_suffix.get(stem, 0)
-        candidate = f"{base}_{n}" if n else base
-        while candidate.lower() in taken:
-            n += 1
-            candidate = f"{base}_{n}"
-        next_suffix[stem] = n + 1
-        taken.add(candidate.lower())
-        result.append(candidate)
-    return result
+        unique = next(
+            base + end for end in endings[base.lower()] if (base + end).lower() not in given
+        )
+        given[unique.lower()] = unique
+    return list(given.values())
 
 
 def with_safe_names(df: DataFrame) -> DataFrame:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,12 +18,12 @@ def require_keys(df: DataFrame, groups: Iterable[Sequence[str]]) -> DataFrame:
     absent = sorted({c for g in groups for c in g} - set(df.columns))
     if absent:
         raise ValueError(f"cannot filter on columns that do not exist: {absent}")
-    if not groups:
-        return df
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return df.filter(
-        reduce(and_, [reduce(or_, [populated(c, types[c]) for c in g]) for g in groups])
-    )
+    for group in groups:
+        anything = F.lit(False)
+        for name in group:
+            anything |= populated(name, df.schema[name].dataType)
+        df = df.filter(anything)
+    return df
 
 
 def require_contract_keys(df: DataFrame, contract: TableContract) -> DataFrame:

@@ -53,6 +53,12 @@ class Landing:
         return own | dict(self.options)
 
 
+def landed_file(root: str, name: str, number: int, now: dt.datetime) -> str:
+    """Path of one landed document: day folder, hour folder, name with time and number (UTC)."""
+    at = now.astimezone(dt.timezone.utc)
+    return f"{root.rstrip('/')}/{at:%Y%m%d}/{at:%H}/{name}_{at:%Y%m%d%H%M%S}_{number}.json"
+
+
 def reading_session(spark: SparkSession, landing: Landing) -> SparkSession:
     if not landing.case_sensitive:
         return spark

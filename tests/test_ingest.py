@@ -155,3 +155,12 @@ def test_keys_that_differ_by_case_only(spark, places):
     out = read_bronze(spark, target)
     assert rows(out.select("ID", "id_1", "v")) in ([("one", 1, True)], [(1, "one", True)])
     assert json.loads(out.first()["_raw_data"]) == {"id": 1, "ID": "one", "v": True}
+
+
+def test_landed_file_names():
+    import datetime as dt
+
+    from siltworks.sources.landing import landed_file
+
+    now = dt.datetime(2024, 1, 2, 23, 4, 5, tzinfo=dt.timezone(dt.timedelta(hours=-2)))
+    assert landed_file("/land/", "places", 300, now) == "/land/20240103/01/places_20240103010405_300.json"
