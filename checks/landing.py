@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from siltworks.sinks.export import export_frame
 from siltworks.sources.landing import Landing
 from siltworks.streaming.ingest import BronzeTarget, ingest, read_bronze
 
-from .registry import check, stamp, table
+from .registry import check, spread, stamp, table
 
 
 def landing_and_bronze(spark: SparkSession, label: str, file_format: str, **options):
@@ -47,6 +48,27 @@ def ingest_json(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def json_array_lines(batches):
+    """Lines of one indented JSON array per task, written as they come."""
+    opening = "["
+    for batch in batches:
+        yield pd.DataFrame({"line": [(opening if i == 0 else ",") + doc for i, doc in enumerate(batch["doc"])]})
+        opening = "," if len(batch) else opening
+    yield pd.DataFrame({"line": ["[]" if opening == "[" else "]"]})
+
+
+@check("q02b_ingest_multi_line", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def ingest_multi_line(spark: SparkSession, sf: str) -> DataFrame:
+    """Each landed file is one indented document, an array of whole texts."""
+    landing, target = landing_and_bronze(spark, "q02b", "json", options={"multiLine": "true"})
+    documents = table(spark, sf, "documents")
+    indented = documents.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("doc"))
+    lines = spread(indented).mapInPandas(json_array_lines, "line string")
+    lines.write.text(f"{landing.path}/20240101/00")
+    ingest(spark, landing, target)
+    return read_bronze(spark, target).select("doc_id", "text", "lang", "source", "n_chars")
+
+
 @check(
     "q03_ingest_csv",
     """SELECT c_custkey AS "Cust_Key", c_name AS "Name", c_nationkey AS nation_key, c_acctbal AS "Acct_Bal_",

@@ -99,6 +99,7 @@ class TableContract:
     deduplication_keys: tuple[str, ...] = ()
     clustering_keys: tuple[str, ...] = ()
     flatten: FlattenContract | None = None
+    key_buckets: int = 0
 
     @property
     def output_names(self) -> list[str]:
@@ -152,6 +153,7 @@ def contract_from_dict(document: Mapping) -> TableContract:
         primary_keys=tuple(table.get("primary_keys") or ()),
         deduplication_keys=tuple(table.get("deduplication_keys") or ()),
         clustering_keys=tuple(table.get("clustering_keys") or ()),
+        key_buckets=int(table.get("key_buckets") or 0),
         flatten=None
         if flat is None
         else FlattenContract(

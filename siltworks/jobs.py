@@ -5,8 +5,8 @@ A settings file maps job names to their settings; each has a ``kind``:
 * ``bronze``: landing, format, bronze, checkpoint, schema_folder, infer_column_types,
   reader_options, write_options, available_now, max_files_per_batch
 * ``silver``: bronze + checkpoint (or bronze_table), contract, silver_table, start_date, end_date,
-  buckets, on_error
-* ``silver_stream``: bronze + checkpoint, silver_checkpoint, contracts (contract -> table), buckets
+  on_error
+* ``silver_stream``: bronze + checkpoint, silver_checkpoint, contracts (contract -> table)
 * ``export``: table, output, prefix, format, options, mode, single_file
 * ``document``: root, layer
 """
@@ -72,7 +72,7 @@ def _silver(spark: SparkSession, settings: Settings) -> str:
         settings["silver_table"],
         start=settings.get("start_date"),
         end=settings.get("end_date"),
-        **_given(settings, "on_error", "buckets", "base"),
+        **_given(settings, "on_error", "base"),
     )
 
 
@@ -80,10 +80,7 @@ def _silver_stream(spark: SparkSession, settings: Settings) -> None:
     targets = {}
     for path, table in settings["contracts"].items():
         contract = load_contract(path)
-        targets[table] = (
-            contract,
-            StoredTable(spark, table, contract.clustering_keys, int(settings.get("buckets", 0))),
-        )
+        targets[table] = (contract, StoredTable.of_contract(spark, contract, table))
     start_silver_fan_out(
         bronze_stream(spark, _target(settings)),
         targets,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contract import TableContract
@@ -49,14 +49,13 @@ def build_silver(
     start=None,
     end=None,
     on_error: str = "fail",
-    buckets: int = 0,
     base: str | None = None,
 ) -> str:
     """One run of the silver job; gives the reading mode that was used.
 
     The first load also stores the contract's descriptions and tags with the table.
     """
-    target = StoredTable(spark, table, contract.clustering_keys, buckets, base)
+    target = StoredTable.of_contract(spark, contract, table, base)
     first_load = not target.exists
     reading = choose_reading(bronze, target.read() if target.exists else None, start, end)
     if not reading.nothing_to_do:
@@ -98,7 +97,11 @@ def build_fan_out(
     try:
         with ThreadPoolExecutor(max_workers=max(1, len(targets))) as pool:
             jobs = [
-                pool.submit(store_silver, silver_frame(source, contract), contract, table, batch)
+                pool.submit(
+                    # The jobs keep the caller's pool, group and description.
+                    inheritable_thread_target(bronze.sparkSession)(store_silver),
+                    silver_frame(source, contract), contract, table, batch,
+                )
                 for contract, table in targets.values()
             ]
             for job in jobs:

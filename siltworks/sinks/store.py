@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..contract import TableContract
 from ..functions.columns import ref
 from ..operators.merge import repeated_keys, upsert, upsert_small
 from . import files
@@ -84,6 +85,12 @@ class StoredTable:
     buckets: int = 0
     base: str | None = None
 
+    @classmethod
+    def of_contract(
+        cls, spark: SparkSession, contract: TableContract, name: str, base: str | None = None
+    ) -> StoredTable:
+        return cls(spark, name, contract.clustering_keys, contract.key_buckets, base)
+
     # -- reading ---------------------------------------------------------------------------
 
     @property

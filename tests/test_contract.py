@@ -13,6 +13,7 @@ table:
   primary_keys: [id]
   deduplication_keys: [seen]
   clustering_keys: [seen]
+  key_buckets: 16
   unknown_key: ignored
   flatten_config:
     cols_to_explode: [list]
@@ -34,6 +35,7 @@ def test_yaml(tmp_path):
     assert c.key_groups == [["id"], ["seen"]]
     assert c.flatten.explode == ("list",) and c.flatten.keep == ("_metadata",) and c.flatten.with_index
     assert c.columns[2].transform == "to_timestamp(seen_text)" and c.tags == {"owner__tech": "us"}
+    assert c.key_buckets == 16
 
 
 @pytest.mark.parametrize(

@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import pytest
 
@@ -64,7 +65,8 @@ def test_frame(spark):
 
 @pytest.mark.parametrize("buckets", [0, 3])
 def test_job_runs(spark, table_name, tmp_path, buckets):
-    run = lambda b, **kw: build_silver(spark, b, PLACES, table_name, base=str(tmp_path), buckets=buckets, **kw)
+    contract = replace(PLACES, key_buckets=buckets)
+    run = lambda b, **kw: build_silver(spark, b, contract, table_name, base=str(tmp_path), **kw)
     now = lambda: rows(StoredTable(spark, table_name).read().select("place_id", "name"))
     assert run(bronze(spark, P1).limit(0)) == "full_load" and now() == []
     assert run(bronze(spark, P1)) == "full_load" and now() == AFTER_1
