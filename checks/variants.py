@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from checks.flows import CHARGES, HEADERS, ORDER_COLUMNS, QUANTITIES
 from checks.registry import line_events, stamp, stored, table
 from siltworks.operators.flatten import flatten
-from siltworks.operators.keys import latest_by_contract, latest_per_key
-from siltworks.operators.merge import merge_key, upsert, upsert_latest, upsert_small
-from siltworks.plans.silver import build_fan_out, keyed_rows, silver_frame
+from siltworks.operators.keys import latest_per_key
+from siltworks.operators.merge import merge_key, upsert, upsert_small
+from siltworks.plans.silver import build_fan_out, cleaned_rows, latest_rows, merged_silver, silver_frame
 from siltworks.session import build_session, work_folder
 from siltworks.sinks.export import export_frame
 from siltworks.sources.landing import Landing
@@ -93,11 +93,10 @@ def main(sf: str) -> None:
     old = silver_frame(line_events(half.withColumn("_x", F.lit(1)).drop("_x")), CHARGES)
     old.write.parquet(f"{home}/old.parquet")
     old = spark.read.parquet(f"{home}/old.parquet")
-    rows = keyed_rows(nested, CHARGES)
-    timed("silver rows upserted, exchange shared", lambda: noop(upsert_latest(old, rows, CHARGES)))
+    timed("silver rows upserted, exchange shared", lambda: noop(merged_silver(old, nested, CHARGES)))
 
     def apart():
-        new = latest_by_contract(rows, CHARGES).alias("new")
+        new = latest_rows(cleaned_rows(nested, CHARGES), CHARGES).alias("new")
         noop(old.alias("old").join(new, merge_key(CHARGES.primary_keys), "full_outer"))
 
     timed("silver rows joined null-safe, exchanges apart", apart)

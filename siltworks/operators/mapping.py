@@ -69,9 +69,13 @@ def _cast(value: Column, c: ColumnContract, on_error: str) -> Column:
     return value.try_cast(c.type) if on_error == "null" else value.cast(c.type)
 
 
-def apply_contract(df: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
+def apply_contract(
+    df: DataFrame, contract: TableContract, on_error: str = "fail", hashes: bool = True
+) -> DataFrame:
     """Contract columns in contract order, each hashed column after its base, ``_metadata`` last.
 
+    ``hashes=False`` leaves the hashed columns to ``with_hash_columns``.
+
     ``on_error``: ``fail`` lets a value that does not fit its type end the job (ANSI cast),
     ``null`` turns it into null.
     """
@@ -91,11 +95,33 @@ def apply_contract(df: DataFrame, contract: TableContract, on_error: str = "fail
             if source.lower() in todo.derived:
                 todo.settle()
             todo.define(c.name, _cast(todo.value(source), c, on_error), derived=False)
-        if c.hashed:
+        if c.hashed and hashes:
             if c.name.lower() in todo.derived:
                 todo.settle()
             todo.define(c.name + HASH_SUFFIX, pii_hash(todo.value(c.name)), derived=False)
-    wanted = contract.output_names
+    wanted = contract.output_names if hashes else [c.name for c in contract.columns]
     if METADATA.lower() in todo.names:
         wanted = [*wanted, METADATA]
     return todo.df.select(*[todo.value(n).alias(n) for n in wanted])
+
+
+def with_hash_columns(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Add each hashed column after its base; everything else keeps its place."""
+    hashed = set(contract.hashed_columns)
+    return df.select(
+        *[
+            value
+            for name in df.columns
+            for value in (
+                [ref(name), pii_hash(ref(name)).alias(name + HASH_SUFFIX)]
+                if name in hashed
+                else [ref(name)]
+            )
+        ]
+    )
+
+
+def hashes_can_wait(contract: TableContract) -> bool:
+    """Unless a key is a hashed column, hashes are made after the exchange, of the surviving rows."""
+    keys = {*contract.primary_keys, *contract.deduplication_keys}
+    return not keys & {name + HASH_SUFFIX for name in contract.hashed_columns}

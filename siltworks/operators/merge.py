@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..contract import TableContract
 from ..functions.names import quoted
-from .keys import latest_by_contract, match_columns, with_match_columns
+from .keys import match_columns, with_match_columns
 
 _OLD, _NEW = "__in_old", "__in_new"
 
@@ -123,13 +123,6 @@ def upsert_by_contract(old: DataFrame, new: DataFrame, contract: TableContract)
     return upsert(old, new, contract.primary_keys, contract.deduplication_keys)
 
 
-def upsert_latest(old: DataFrame, rows: DataFrame, contract: TableContract) -> DataFrame:
-    """Latest row per key of ``rows``, upserted: the exchange by key serves both steps."""
-    return upsert_by_contract(
-        old, latest_by_contract(rows, contract, keep_match_columns=True), contract
-    )
-
-
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; an upsert of such a batch has no defined result."""
     return (

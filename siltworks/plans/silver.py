@@ -13,32 +13,42 @@ from ..functions.columns import with_lineage
 from ..operators.flatten import flatten_by_contract
 from ..operators.incremental import choose_reading
 from ..operators.keys import latest_by_contract, require_contract_keys
-from ..operators.mapping import apply_contract
-from ..operators.merge import upsert_latest
+from ..operators.mapping import apply_contract, hashes_can_wait, with_hash_columns
+from ..operators.merge import upsert_by_contract
 from ..sinks.store import Batch, StoredTable
 from .governance import document_by_contract
 
 
 def cleaned_rows(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
-    """Flat, typed rows with lineage: narrow work only, no shuffle."""
+    """Flat, typed rows with lineage and populated keys: narrow work only, no shuffle."""
     flat = flatten_by_contract(bronze, contract.flatten)
-    return apply_contract(with_lineage(flat), contract, on_error)
+    rows = apply_contract(
+        with_lineage(flat), contract, on_error, hashes=not hashes_can_wait(contract)
+    )
+    return require_contract_keys(rows, contract)
 
 
-def silver_frame(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
-    """One row per primary key; the only shuffle is by that key."""
-    return latest_by_contract(keyed_rows(bronze, contract, on_error), contract)
+def latest_rows(
+    rows: DataFrame, contract: TableContract, keep_match_columns: bool = False
+) -> DataFrame:
+    """Latest row per key, then the hashed columns: they neither travel nor are made for rows that
+    do not survive."""
+    latest = latest_by_contract(rows, contract, keep_match_columns)
+    return with_hash_columns(latest, contract) if hashes_can_wait(contract) else latest
 
 
-def keyed_rows(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
-    return require_contract_keys(cleaned_rows(bronze, contract, on_error), contract)
+def silver_frame(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
+    """One row per primary key; the only shuffle is by that key."""
+    return latest_rows(cleaned_rows(bronze, contract, on_error), contract)
 
 
 def merged_silver(
     old: DataFrame, bronze: DataFrame, contract: TableContract, on_error: str = "fail"
 ) -> DataFrame:
-    """Silver after this bronze has been upserted, as a frame: two exchanges, one per side."""
-    return upsert_latest(old, keyed_rows(bronze, contract, on_error), contract)
+    """Silver after this bronze has been upserted, as a frame: two exchanges, one per side, since
+    the one of the latest-row step serves the join too."""
+    rows = cleaned_rows(bronze, contract, on_error)
+    return upsert_by_contract(old, latest_rows(rows, contract, keep_match_columns=True), contract)
 
 
 def build_silver(

@@ -6,16 +6,21 @@ from hypothesis import strategies as st
 
 from conftest import rows
 from siltworks import TableContract
+from siltworks.operators.keys import latest_by_contract
 from siltworks.operators.merge import (
     matching_rows,
     merge_key,
     repeated_keys,
     upsert,
-    upsert_latest,
+    upsert_by_contract,
     upsert_small,
 )
 
 SCHEMA = "id long, at string, v string"
+
+
+def upsert_latest(old, rows, contract):
+    return upsert_by_contract(old, latest_by_contract(rows, contract, keep_match_columns=True), contract)
 BOTH = pytest.mark.parametrize("merge", [upsert, upsert_small])
 
 

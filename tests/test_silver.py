@@ -63,6 +63,16 @@ def test_frame(spark):
     assert rows(meta.selectExpr("string(bronze_ingested_at)").distinct()) == [("2024-01-01 00:00:00",)]
 
 
+def test_hashes_are_made_after_the_exchange_unless_a_key_needs_them(spark):
+    plan = lambda c: silver_frame(bronze(spark, P1), c)._jdf.queryExecution().executedPlan().toString()
+    late = plan(PLACES)
+    assert "sha2" in late.partition("Exchange")[0] and "sha2" not in late.partition("Exchange")[2]
+    by_hash = replace(PLACES, primary_keys=("name_hashed_key",))
+    out = silver_frame(bronze(spark, P1), by_hash)
+    assert out.columns == silver_frame(bronze(spark, P1), PLACES).columns
+    assert rows(out.select("name")) == [("Alpha",), ("Alpha 2",), ("Beta",), ("Blank",)]
+
+
 @pytest.mark.parametrize("buckets", [0, 3])
 def test_job_runs(spark, table_name, tmp_path, buckets):
     contract = replace(PLACES, key_buckets=buckets)
