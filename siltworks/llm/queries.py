@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    # Python workers import this package from where the driver has it, unless it is installed.
+    root = str(Path(__file__).resolve().parents[2])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -81,3 +85,31 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_duplicates
 
     return exact_duplicates(table(spark, sf_dir))
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public vocabulary; the package is installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op1_token_records")
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_records import ids_crc32, write_records
+
+    written = write_records(table(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), end_id=2)
+    back = written.read(written.index(spark))
+    return back.select(
+        "doc_id", "start", F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), ids_crc32(F.col("ids")).alias("ids_crc32")
+    )
+
+
+@register("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .byte_bpe import decode, encode
+
+    path = tokenizer_file("byte_bpe_50k.tiktoken")
+    return decode(encode(table(spark, sf_dir), path), path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
