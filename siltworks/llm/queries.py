@@ -113,3 +113,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(encode(table(spark, sf_dir), path), path).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@register("op2_entropy_mix")
+def op2_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .entropy_mix import mixed
+
+    return mixed(table(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
