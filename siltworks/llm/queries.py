@@ -120,3 +120,14 @@ def op2_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .entropy_mix import mixed
 
     return mixed(table(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import held_out, scored, train
+
+    docs = table(spark, sf_dir).select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return scored(docs, model, "score").select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
