@@ -131,3 +131,24 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, model, "score").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@register("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import KINDS, personal_data, span_texts
+
+    found = personal_data(table(spark, sf_dir))
+    base, spans = span_texts(found)
+    return found.select(
+        "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS], F.sha2(base, 256).alias("base_sha256"), spans.alias("spans")
+    )
+
+
+@register("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import KINDS, secrets, span_text
+
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+    return secrets(table(spark, sf_dir)).select(
+        "doc_id", *map(count, KINDS), F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans")
+    )
