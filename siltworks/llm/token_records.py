@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions, work_folder
-from .vector import PieceCache, binary, per_text, slices, words
+from .vector import LOWER, PieceCache, binary, per_text, slices, words
 
 HEAD, TAIL = struct.Struct("<QI"), struct.Struct("<I")
 ID = struct.Struct("<q")
@@ -70,16 +70,56 @@ def document_of(record: bytes, width: int) -> tuple[int, bytes]:
     return ID.unpack_from(payload)[0], np.frombuffer(payload, f"<u{width}", offset=ID.size).astype("<u4").tobytes()
 
 
+# Between an ASCII letter and one of these a pre-token ends, whatever else is around.
+_CLASS = np.zeros(256, np.int8)
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_CLASS[list(b".,;:!?")] = -1
+
+
+def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of texts that this kind of tokenizer encodes each by itself, and each text's first one.
+
+    It drops white space and lower-cases. Lower-casing ASCII beforehand makes pieces repeat more; text that
+    may hold a special token, which is found before that, is left as it is.
+    """
+    kind = _CLASS[data]
+    cuts = np.append(False, kind[1:] * kind[:-1] == -1)[: len(data)]
+    return words(data if b"<|" in data.tobytes() else LOWER[data], offsets, cuts)
+
+
 @lru_cache(4)
 def word_encoder(path: str) -> PieceCache:
-    """Ids of single words. Words are separated by white space, which this kind of tokenizer drops."""
+    """Ids of pieces. A word of plain Latin letters is one pre-token and goes to the model directly."""
+    import unicodedata
+
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    model = tokenizer.model
+    # The rule of byte-level vocabularies: printable bytes stand for themselves, others are moved up in order.
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    moved = iter(range(0x100, 0x200))
+    table = {b: chr(b if b in shown else next(moved)) for b in range(256)}
 
     def encode(pieces: list[bytes]) -> list[tuple]:
-        found = tokenizer.encode_batch([p.decode("utf-8") for p in pieces], add_special_tokens=False)
-        return [tuple(e.ids) for e in found]
+        out: list = [None] * len(pieces)
+        rest = []
+        for i, piece in enumerate(pieces):
+            text = piece.decode("utf-8")
+            if text.isascii():
+                plain = text.lower() if text.isalpha() else None
+            else:
+                low = unicodedata.normalize("NFC", text).lower()
+                latin = text.isalpha() and low.isalpha() and max(text) < "\u0180"
+                plain = "".join(table[b] for b in low.encode()) if latin else None
+            if plain is None:
+                rest.append(i)
+            else:
+                out[i] = tuple(t.id for t in model.tokenize(plain))
+        found = tokenizer.encode_batch([pieces[i].decode("utf-8") for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, found, strict=True):
+            out[i] = tuple(e.ids)
+        return out
 
     return PieceCache(encode)
 
@@ -104,7 +144,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, width: int, bounds: list[in
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task a core
         encode = word_encoder(path)
         for rows, data, offsets in slices(batches):
-            pieces, first = words(data, offsets)
+            pieces, first = pieces_of(data, offsets)
             ids, lengths = encode(pieces)
             ends = per_text(lengths, first)[1:]
             ids = np.insert(ids, ends, end_id).astype(f"<u{width}")

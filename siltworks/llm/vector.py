@@ -39,8 +39,11 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = SL
             row = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """All words of the texts in order, and the number of the first word of each text (and the total)."""
+def words(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts in order, and the number of the first word of each text (and the total).
+
+    ``cuts`` marks bytes inside words at which a new piece begins.
+    """
     n = len(data)
     if not n:
         return pa.array([], pa.binary()), np.zeros(len(offsets), np.int64)
@@ -50,7 +53,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     before = np.empty(n, bool)
     before[0] = False
     before[1:] = inside[:-1]
-    begins = np.flatnonzero(inside & (~before | text_begins[:n]))
+    begins = np.flatnonzero(inside & (~before | text_begins[:n] | (False if cuts is None else cuts)))
     kept = np.cumsum(inside)
     ends = np.append(kept[begins[1:] - 1], kept[-1]) if len(begins) else np.zeros(0, np.int64)
     array = binary(data[inside], np.concatenate([[0], ends]))

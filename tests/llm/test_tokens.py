@@ -44,6 +44,16 @@ def test_records_of_awkward_rows(spark):
     assert sorted(map(tuple, got), key=key) == sorted(expected_records(docs.collect()), key=key)
 
 
+def test_pieces_at_random(spark):
+    rng = random.Random(5)
+    parts = ["a", "B", "é", "ß", "É", "e\u0301", "İ", "Σ", "'s", "'", ".", ",", "!", "1", " ", "\n", "<|endoftext|>", "<|ENDOFTEXT|>", "|", "中", "ll", "\u0345"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    docs = documents(spark, texts, clash=False)
+    written = token_records.write_records(docs, WORDS, end_id=2, shards=4)
+    got = written.read(written.index(spark)).select("doc_id", "start", F.octet_length("ids") / 4, F.crc32("ids")).collect()
+    assert sorted(map(tuple, got)) == sorted(expected_records(docs.collect()))
+
+
 def test_shuffled_reads_hold_the_same_records(spark):
     written = token_records.write_records(documents(spark), WORDS, end_id=2, shards=3)
     plain = [tuple(r) for r in written.read(written.index(spark)).collect()]
