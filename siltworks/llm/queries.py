@@ -152,3 +152,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir)).select(
         "doc_id", *map(count, KINDS), F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans")
     )
+
+
+@register("op6_jaccard_join")
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import similar_documents
+
+    return similar_documents(table(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
