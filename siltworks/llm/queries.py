@@ -159,3 +159,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import similar_documents
 
     return similar_documents(table(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+@register("op5_language_model")
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_model import scored
+
+    return scored(table(spark, sf_dir))

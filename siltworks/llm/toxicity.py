@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from .vector import LOWER, PieceCache, per_text, slices, words
 
 # Bounds of the training sample: confirmed toxic rows, and rows used without their label.
-POSITIVE_ROWS = 3_000
-UNLABELLED_ROWS = 7_000
+POSITIVE_ROWS = 2_500
+UNLABELLED_ROWS = 5_000
 # Features are words and beginnings of words. Those are used whose share of confirmed examples differs from
 # that of unlabelled ones by so many standard errors, the most telling ones at most.
 BEGINNINGS = (4, 5, 6)
@@ -76,7 +76,7 @@ class Model:
         return pairs % len(self.features), pairs // len(self.features)
 
 
-def distinct(texts: list[str], step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+def distinct(texts: list[str], step: int = 128) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts, once for each text, with the text's number; some texts at a time."""
     found = []
     for begin in range(0, len(texts), step):
@@ -146,7 +146,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     sample = F.broadcast(confirmed.unionByName(mixture))
     drawn = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", "__p").toPandas()
     drawn = drawn.sort_values(["__p", "doc_id", "text"], kind="stable").head(2 * (POSITIVE_ROWS + UNLABELLED_ROWS))
-    return fit(drawn["text"].tolist(), drawn["__p"].to_numpy(bool), toxic / n if n else 0.0)
+    model = fit(drawn["text"].tolist(), drawn["__p"].to_numpy(bool), toxic / n if n else 0.0)
+    word_hashes.cache_clear()
+    return model
 
 
 def scored(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
