@@ -32,6 +32,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_key() -> Column:
+    """A 64-bit number of (doc_id, text), by which decisions about documents are carried back to them."""
+    return F.xxhash64("doc_id", text_of())
+
+
+def without(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The documents that stay, all columns, given (key, kept) of every row.
+
+    Documents meet only the keys that go, and those that several rows share, of which one row stays.
+    """
+    counts = stored(decided.groupBy(F.col("key").alias("__key")).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")), "decided")
+    gone, shared = counts.filter("NOT stays").select("__key"), counts.filter("stays AND n > 1").select("__key")
+    own = docs.withColumn("__key", row_key())
+    single = own.join(gone.union(shared), "__key", "left_anti")
+    one = own.join(shared, "__key", "left_semi").dropDuplicates(["__key"])
+    return single.unionByName(one).select(*docs.columns)
+
+
 def prefix_sums(values: Column, block: int = 256) -> Column:
     """Sums of all *earlier* elements of an array of longs, one for each element.
 

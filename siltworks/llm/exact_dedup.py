@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, stored, text_of
+from .common import SPACE, row_key, stored, text_of, without
 
 # A chunk ends after 512 characters at the next word that ends in one of eight letters, 2,048 at most.
 CHUNK = r"(?s).{512,2048}?(?<=[aeknorst]\x20)|.{1,2048}"
@@ -22,9 +22,10 @@ def recipes(docs: DataFrame, chunk: str = CHUNK) -> DataFrame:
     """doc_id, a row number, the SHA-256 of the normalised text, and its chunks (identifier, SHA-256)."""
     normal = F.regexp_replace(text_of(), SPACE + "+", " ")
     return (
-        docs.select("doc_id", normal.alias("text"))
+        docs.select("doc_id", row_key().alias("key"), normal.alias("text"))
         .select(
             "doc_id",
+            "key",
             F.monotonically_increasing_id().alias("row"),
             F.sha2("text", 256).alias("text_sha256"),
             F.transform(
@@ -57,14 +58,15 @@ def verified(plain: DataFrame) -> DataFrame:
     ordinal = lambda i: F.coalesce(F.try_element_at("ordinals", i), F.lit(0))
     return plain.join(looked_up, "row", "left").select(
         "doc_id",
+        "key",
         "row",
         "text_sha256",
         F.transform("chunks", lambda c, i: F.struct(c["id"].alias("id"), ordinal(i).alias("ordinal"))).alias("recipe"),
     )
 
 
-def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, its row key, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after replacing each run of white space by one space; null counts as
     empty. Of equal texts the row with the smallest doc_id stays (null ids last; of repeated rows one
@@ -85,24 +87,18 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"),
         "text_sha256",
+        "key",
     )
 
 
+def exact_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256 of :func:`deduplicated`."""
+    return deduplicated(docs).drop("key")
+
+
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, all columns; decisions are as in :func:`exact_duplicates`.
+    """The documents that stay, all columns; decisions are as in :func:`deduplicated`.
 
-    The documents meet only the keys that go (doc_id and text hash): those of dropped rows, and, for rows
-    that repeat one key, all but one of them.
+    Only keys of rows come back to the documents; texts move where Spark joins them to a long list of keys.
     """
-    key = [F.col("doc_id").alias("__id"), F.xxhash64(F.sha2(F.regexp_replace(text_of(), SPACE + "+", " "), 256)).alias("__hash")]
-    decided = stored(exact_duplicates(docs), "exact").select(
-        F.col("doc_id").alias("__id"), F.xxhash64("text_sha256").alias("__hash"), "kept"
-    )
-    counts = decided.groupBy("__id", "__hash").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
-    gone = counts.filter(~F.col("stays"))
-    repeated = counts.filter("stays and n > 1")
-    keyed = docs.select("*", *key)
-    same = lambda right: keyed["__id"].eqNullSafe(right["__id"]) & (keyed["__hash"] == right["__hash"])
-    once = keyed.join(gone, same(gone), "left_anti").join(repeated, same(repeated), "left_anti")
-    again = keyed.join(repeated, same(repeated), "left_semi").dropDuplicates(["__id", "__hash"])
-    return once.unionByName(again).drop("__id", "__hash")
+    return without(docs, deduplicated(docs).select("key", "kept"))
