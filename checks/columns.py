@@ -28,11 +28,11 @@ def table_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     "q10_safe_names",
-    """SELECT c_custkey AS "A_B", c_name AS "a_b_1", c_nationkey AS "A_B_2",
-              c_acctbal AS "10X", c_mktsegment AS "col" FROM customer""",
+    """SELECT c_custkey AS "Cust_No", c_name AS "cust_no_1", c_nationkey AS "CUST_NO_2",
+              c_acctbal AS "2nd_amount", c_mktsegment AS "col" FROM customer""",
 )
 def safe_column_names(spark: SparkSession, sf: str) -> DataFrame:
-    return with_safe_names(table(spark, sf, "customer").toDF("A B", "a_b", "A-B", "10X", "!!!"))
+    return with_safe_names(table(spark, sf, "customer").toDF("Cust No", "cust_no", "CUST/NO", "2nd amount", "%"))
 
 
 @check(

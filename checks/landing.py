@@ -11,7 +11,7 @@ from siltworks.sinks.export import export_frame
 from siltworks.sources.landing import Landing
 from siltworks.streaming.ingest import BronzeTarget, ingest, read_bronze
 
-from .registry import check, spread, stamp, table
+from .registry import check, stamp, table
 
 
 def landing_and_bronze(spark: SparkSession, label: str, file_format: str, **options):
@@ -32,7 +32,7 @@ def ingest_json(spark: SparkSession, sf: str) -> DataFrame:
     landing, target = landing_and_bronze(spark, "q02", "json")
     events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("string"))
     day = F.regexp_replace(F.substring("ts", 1, 10), "-", "")
-    events.withColumn("day", day).repartition("day").write.partitionBy("day").json(landing.path)
+    events.withColumn("day", day).write.partitionBy("day").json(landing.path)
     ingest(spark, landing, target)
     bronze = read_bronze(spark, target)
     audit = (
@@ -63,7 +63,7 @@ def ingest_multi_line(spark: SparkSession, sf: str) -> DataFrame:
     landing, target = landing_and_bronze(spark, "q02b", "json", options={"multiLine": "true"})
     documents = table(spark, sf, "documents")
     indented = documents.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("doc"))
-    lines = spread(indented).mapInPandas(json_array_lines, "line string")
+    lines = indented.mapInPandas(json_array_lines, "line string")
     lines.write.text(f"{landing.path}/20240101/00")
     ingest(spark, landing, target)
     return read_bronze(spark, target).select("doc_id", "text", "lang", "source", "n_chars")

@@ -24,9 +24,9 @@ FORBIDDEN_TEXT = (";", "--", "/*", "*/")
 def check_expression(text: str | None, target: str) -> str:
     """Refuse a transform that is blank, carries separators or comments, or is no bare expression.
 
-    Spark's own parser decides. The text is parsed alone and inside brackets: brackets admit no
-    alias, and words such as ``show tables`` parse only as a column with an alias. Without a
-    running session the parser's part waits until the transform is put to use.
+    Spark's own parser decides, without a frame or an analysis. The text is parsed alone and inside
+    brackets: brackets admit no alias, and two bare words parse only as a column with an alias.
+    Without a running session the parser's part waits until the transform is put to use.
     """
     if text is None or not text.strip():
         raise ContractError(f"column {target!r}: the transform is blank")
@@ -36,16 +36,12 @@ def check_expression(text: str | None, target: str) -> str:
     spark = SparkSession.getActiveSession()
     if spark is None:
         return text
-    nothing = spark.createDataFrame([], "nothing int")
-    for form in (text, f"({text})"):
-        try:
-            nothing.select(F.expr(form))
-        except ParseException as e:
-            raise ContractError(
-                f"column {target!r}: the transform is no SQL expression: {text!r}"
-            ) from e
-        except AnalysisException:
-            pass  # it parses; names are looked up when the input's schema is known
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    try:
+        for form in (text, f"({text})"):
+            parser.parseExpression(form)
+    except ParseException as e:
+        raise ContractError(f"column {target!r}: the transform is no SQL expression: {text!r}") from e
     return text
 
 

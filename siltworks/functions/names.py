@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterable
-from itertools import chain, count
+from itertools import count
 
 from pyspark.sql import DataFrame
 
+# What a name may not hold, and what it must.
 _UNSAFE_RUN = re.compile(r"[^A-Za-z0-9_]+")
 _ALNUM = re.compile(r"[A-Za-z0-9]")
 FALLBACK_NAME = "col"
@@ -25,19 +25,14 @@ def safe_name(name: str | None) -> str:
 
 
 def safe_names(names: Iterable[str]) -> list[str]:
-    """Safe names, made unique without regard to case.
-
-    Every stem has its own run of endings (none, ``_1``, ``_2`` …) and never goes back in it; an
-    ending that would repeat a name already given out is passed over.
-    """
-    endings = defaultdict(lambda: chain([""], map("_{}".format, count(1))))
-    given: dict[str, str] = {}
+    """Safe names, unique without regard to case: the base if it is free, else with the smallest free number."""
+    given: list[str] = []
+    used: set[str] = set()
     for base in map(safe_name, names):
-        unique = next(
-            base + end for end in endings[base.lower()] if (base + end).lower() not in given
-        )
-        given[unique.lower()] = unique
-    return list(given.values())
+        name = base if base.lower() not in used else next(n for i in count(1) if (n := f"{base}_{i}").lower() not in used)
+        given.append(name)
+        used.add(name.lower())
+    return given
 
 
 def with_safe_names(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A settings file maps job names to their settings; each has a ``kind``:
 
-* ``bronze``: landing, format, bronze, checkpoint, schema_folder, infer_column_types,
+* ``bronze``: landing, format, bronze, checkpoint, bronze_table, schema_folder, infer_column_types,
   reader_options, write_options, available_now, max_files_per_batch
 * ``silver``: bronze + checkpoint (or bronze_table), contract, silver_table, start_date, end_date,
   on_error
@@ -43,6 +43,7 @@ def _target(settings: Settings) -> BronzeTarget:
         settings["checkpoint"],
         available_now=bool(settings.get("available_now", True)),
         write_options=settings.get("write_options") or {},
+        table=settings.get("bronze_table"),
     )
 
 

@@ -40,6 +40,10 @@ def _stand_in(dtype: T.DataType) -> Column:
         return F.lit(False)
     if isinstance(dtype, T.BinaryType):
         return F.lit(b"")
+    if isinstance(dtype, T.ArrayType):
+        return F.array().cast(dtype)
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[_stand_in(f.dataType).alias(f.name) for f in dtype.fields]).cast(dtype)
     return F.lit("1970-01-01").cast(dtype)
 
 
@@ -58,11 +62,11 @@ def with_match_columns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     names = match_columns(keys)
     if set(names) <= set(df.columns):
         return df
-    types = {f.name: f.dataType for f in df.schema.fields}
+    types = {f.name.lower(): f.dataType for f in df.schema.fields}
     values = [
         c
         for k in keys
-        for c in (F.coalesce(ref(k), _stand_in(types[k])), ref(k).isNull())
+        for c in (F.coalesce(ref(k), _stand_in(types[k.lower()])), ref(k).isNull())
     ]
     return df.select("*", *[v.alias(n) for v, n in zip(values, names)])
 

@@ -122,6 +122,10 @@ def with_hash_columns(df: DataFrame, contract: TableContract) -> DataFrame:
 
 
 def hashes_can_wait(contract: TableContract) -> bool:
-    """Unless a key is a hashed column, hashes are made after the exchange, of the surviving rows."""
-    keys = {*contract.primary_keys, *contract.deduplication_keys}
-    return not keys & {name + HASH_SUFFIX for name in contract.hashed_columns}
+    """Hashes are made after the exchange, of the surviving rows, unless a key or a column reads one."""
+    hashed = {(name + HASH_SUFFIX).lower() for name in contract.hashed_columns}
+    read = {k.lower() for k in (*contract.primary_keys, *contract.deduplication_keys)}
+    for c in contract.columns:
+        read.add((c.source or c.name).lower())
+        read.update(w.lower() for w in _WORD.findall(c.transform or ""))
+    return not any(read & {h, *_WORD.findall(h)} for h in hashed)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as named by the cluster; a local one only when none is set."""
+    """The folder all executors see, as named by the cluster.
+
+    Where none is named, a run on one machine gets one folder of its own for all of its life; on a
+    cluster that is an error, as executors would write to disks that the driver cannot see.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/") if named else tempfile.mkdtemp(prefix="siltworks-")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("name a folder that all executors see in spark.checkpoint.dir")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="siltworks-")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

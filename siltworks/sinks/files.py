@@ -66,6 +66,18 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, unpacked where its name says that it is packed; None for an empty file."""
+    fs, p = _fs(spark, path)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(p)
+    stream = fs.open(p)
+    try:
+        source = codec.createInputStream(stream) if codec is not None else stream
+        return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Written beside and renamed over the old file, so a reader finds one text or the other."""
     fs, p = _fs(spark, path)

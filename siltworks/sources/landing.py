@@ -1,25 +1,35 @@
 """Incremental JSON and CSV sources over a landing tree ``<root>/<yyyymmdd>/<HH>/<file>``.
 
-Structured Streaming's file source takes each file once per checkpoint. Column types are inferred
-by a batch read of files that no earlier run has looked at, and remembered in a folder, so a run
-costs what is new and not the whole history.
+Structured Streaming's file source lists each file once per checkpoint, whatever its time. Each micro-batch is
+then read as a batch of exactly its own files: column types are inferred over those, and added to what is
+remembered in a folder. CSV files are read by the names in their own headers, one reader per layout.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Mapping
+import re
+from collections import defaultdict
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import ref
 from ..sinks import files
 
 JSON, CSV = "json", "csv"
-# Files may carry times a little before they become visible; look back this far.
-CLOCK_SLACK = dt.timedelta(hours=1)
+# Spark's file source drops files that are older than its newest one by more than this; so: never.
+MAX_FILE_AGE = "36500d"
+# Files that one micro-batch takes at most, unless it is told otherwise; the driver holds their names.
+FILES_PER_BATCH = 5_000
+# Options of the file source itself, the others are for the reader.
+SOURCE_OPTIONS = ("pathGlobFilter", "modifiedAfter", "modifiedBefore", "cleanSource", "sourceArchiveDir", "latestFirst")
 
 
 @dataclass(frozen=True)
@@ -45,12 +55,11 @@ class Landing:
     def reader_options(self) -> dict[str, str]:
         own = {"recursiveFileLookup": "true"}
         if self.format == CSV:
-            # Names in each file's header are checked against the schema: a file with other
-            # columns ends the run instead of putting values under wrong names.
+            # Names in each file's header are checked against the schema it is read with.
             own |= {"header": "true", "enforceSchema": "false"}
         if self.rescue_column:
             own["columnNameOfCorruptRecord"] = self.rescue_column
-        return own | dict(self.options)
+        return own | {k: v for k, v in self.options.items() if k not in SOURCE_OPTIONS}
 
 
 def landed_file(root: str, name: str, number: int, now: dt.datetime) -> str:
@@ -74,20 +83,22 @@ def _configured(spark: SparkSession, landing: Landing) -> DataFrameReader:
     return spark.read.format(landing.format).options(**landing.reader_options())
 
 
+def literal_path(path: str) -> str:
+    """The path as a pattern that means this file alone."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def infer_schema(
-    spark: SparkSession, landing: Landing, since: dt.datetime | None = None
+    spark: SparkSession, landing: Landing, paths: Sequence[str] | None = None
 ) -> T.StructType | None:
-    """Schema of the landed files, all of their rows; ``since`` limits it to files that are newer."""
+    """Schema of all rows of the landed files, or of the given ones; None when there is nothing to tell it from."""
     reader = _configured(spark, landing)
     if landing.format == CSV:
         reader = reader.option("inferSchema", str(landing.infer_types).lower())
     else:
         reader = reader.option("primitivesAsString", str(not landing.infer_types).lower())
-    if since is not None:
-        reader = reader.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
-        reader = reader.option("timeZone", "UTC")
     try:
-        schema = reader.load(landing.path).schema
+        schema = reader.load(list(map(literal_path, paths)) if paths else landing.path).schema
     except Exception as e:
         if "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
@@ -116,30 +127,16 @@ def widened(known: T.DataType, seen: T.DataType) -> T.DataType:
     return known
 
 
-def remembered_schema(spark: SparkSession, landing: Landing) -> T.StructType:
-    """Schema kept beside the checkpoint, widened by what the newly landed files bring."""
-    now = dt.datetime.now(dt.timezone.utc)
+def remembered_schema(spark: SparkSession, landing: Landing, seen: T.StructType | None) -> T.StructType | None:
+    """What is kept in the schema folder, widened by what was seen now."""
     if landing.schema_folder is None:
-        schema = infer_schema(spark, landing)
-        if schema is None:
-            raise ValueError(f"no files to infer a schema from in {landing.path}")
-        return schema
+        return seen
     file = f"{landing.schema_folder.rstrip('/')}/schema.json"
     text = files.read_text(spark, file)
-    if text is None:
-        schema = infer_schema(spark, landing)
-        if schema is None:
-            raise ValueError(f"no files to infer a schema from in {landing.path}")
-    else:
-        kept = json.loads(text)
-        schema = T.StructType.fromJson(kept["schema"])
-        since = dt.datetime.fromisoformat(kept["looked_at"]) - CLOCK_SLACK
-        seen = infer_schema(spark, landing, since)
-        if seen is not None:
-            schema = widened(schema, seen)
-    files.write_text(
-        spark, file, json.dumps({"schema": schema.jsonValue(), "looked_at": now.isoformat()})
-    )
+    known = None if text is None else T.StructType.fromJson(json.loads(text)["schema"])
+    schema = seen if known is None else known if seen is None else widened(known, seen)
+    if schema is not None and schema != known:
+        files.write_text(spark, file, json.dumps({"schema": schema.jsonValue()}))
     return schema
 
 
@@ -149,28 +146,68 @@ def _with_rescue(schema: T.StructType, landing: Landing) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(landing.rescue_column, T.StringType())])
 
 
-def landing_stream(
-    spark: SparkSession,
-    landing: Landing,
-    schema: T.StructType | None = None,
-    max_files_per_batch: int | None = None,
+def layouts(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """CSV files by their header lines. Only first lines are fetched, of the files of one micro-batch."""
+    by_header = defaultdict(list)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        for path, line in zip(paths, pool.map(lambda p: files.first_line(spark, p), paths)):
+            if line is not None:
+                by_header[line].append(path)
+    return list(by_header.values())
+
+
+def read_files(
+    spark: SparkSession, landing: Landing, paths: Sequence[str], schema: T.StructType | None = None
+) -> DataFrame | None:
+    """The rows of these files, under the remembered schema and what they add to it.
+
+    ``schema`` skips inference altogether. None when no file holds anything.
+    """
+    if landing.format == JSON:
+        schema = schema or remembered_schema(spark, landing, infer_schema(spark, landing, paths))
+        if schema is None:
+            return None
+        reader = _configured(spark, landing).schema(_with_rescue(schema, landing))
+        return reader.load(list(map(literal_path, paths)))
+    groups = layouts(spark, paths)
+    own = [infer_schema(spark, landing, group) for group in groups]
+    if schema is None:
+        for seen in own:
+            schema = remembered_schema(spark, landing, seen if schema is None or seen is None else widened(schema, seen))
+    if schema is None or not any(own):
+        return None
+    types = {f.name: f.dataType for f in schema.fields}
+    frames = []
+    for group, seen in zip(groups, own):
+        if seen is not None:
+            ordered = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in seen.fields])
+            reader = _configured(spark, landing).schema(_with_rescue(ordered, landing))
+            frames.append(reader.load(list(map(literal_path, group))).select("*", "_metadata"))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    for f in schema.fields:
+        if f.name not in rows.columns:
+            rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return rows.select(*[ref(n) for n in (*_with_rescue(schema, landing).names, "_metadata")])
+
+
+def landed_files(
+    spark: SparkSession, landing: Landing, max_files_per_batch: int | None = None
 ) -> DataFrame:
-    """Streaming frame over the landing tree. ``schema`` skips inference altogether."""
-    spark = reading_session(spark, landing)
-    schema = schema or remembered_schema(spark, landing)
-    reader = (
-        spark.readStream.format(landing.format)
-        .options(**landing.reader_options())
-        .schema(_with_rescue(schema, landing))
-    )
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.load(landing.path)
+    """Stream of the paths of landed files, each once; their contents are not opened."""
+    own = {k: v for k, v in landing.options.items() if k in SOURCE_OPTIONS}
+    options = {"recursiveFileLookup": "true", "maxFileAge": MAX_FILE_AGE, "maxFilesPerTrigger": max_files_per_batch or FILES_PER_BATCH} | own
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    return spark.readStream.format("binaryFile").schema(schema).options(**options).load(landing.path).select("path")
 
 
 def landing_batch(
     spark: SparkSession, landing: Landing, schema: T.StructType | None = None
 ) -> DataFrame:
+    """All landed files as one batch."""
     spark = reading_session(spark, landing)
-    schema = schema or remembered_schema(spark, landing)
-    return _configured(spark, landing).schema(_with_rescue(schema, landing)).load(landing.path)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing.path).select("path")
+    paths = [r["path"] for r in listed.toLocalIterator()]
+    rows = read_files(spark, landing, paths, schema) if paths else None
+    if rows is None:
+        raise ValueError(f"no files with rows in {landing.path}")
+    return rows

@@ -1,4 +1,9 @@
-"""Bronze: landing files -> audit columns -> safe names -> append, once per file."""
+"""Bronze: landing files -> audit columns -> safe names -> append, once per file.
+
+Every micro-batch writes a folder of its own, so one that is run again replaces what it wrote before, and
+registers its partitions in the catalog, where there is a table. Nothing that grows with the history is kept
+but Spark's own list of files seen.
+"""
 
 from __future__ import annotations
 
@@ -11,23 +16,26 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import INGESTION_DATE, with_audit_columns
-from ..functions.names import with_safe_names
+from ..functions.names import quoted, with_safe_names
 from ..sinks import files
-from ..sources.landing import Landing, landing_stream, widened
+from ..sinks.store import ddl, ensure_database
+from ..sources.landing import MAX_FILE_AGE, Landing, landed_files, read_files, reading_session, widened
+
+BATCH = "_batch"
 
 
 @dataclass(frozen=True)
 class BronzeTarget:
-    """A Parquet folder partitioned by ingestion day, with its checkpoint.
+    """A Parquet folder partitioned by micro-batch and ingestion day, with its checkpoint.
 
-    Appends go to a folder and not through a table sink: a Parquet table sink silently drops
-    columns that the table does not have yet.
+    With ``table`` the folder is a catalog table too: other sessions read bronze by that name.
     """
 
     path: str
     checkpoint: str
     available_now: bool = True
     write_options: Mapping[str, str] = field(default_factory=dict)
+    table: str | None = None
 
     @property
     def schema_file(self) -> str:
@@ -38,12 +46,45 @@ def bronze_frame(landed: DataFrame) -> DataFrame:
     return with_safe_names(with_audit_columns(landed))
 
 
-def _remember(spark: SparkSession, target: BronzeTarget, schema: T.StructType) -> None:
+def _remember(spark: SparkSession, target: BronzeTarget, schema: T.StructType) -> T.StructType:
     """Keep the union of all schemas written, so readers need not open any file footer for it."""
     text = files.read_text(spark, target.schema_file)
-    if text is not None:
-        schema = widened(T.StructType.fromJson(json.loads(text)), schema)
-    files.write_text(spark, target.schema_file, json.dumps(schema.jsonValue()))
+    known = None if text is None else T.StructType.fromJson(json.loads(text))
+    union = schema if known is None else widened(known, schema)
+    if union != known:
+        files.write_text(spark, target.schema_file, json.dumps(union.jsonValue()))
+    return union
+
+
+def _register(spark: SparkSession, target: BronzeTarget, schema: T.StructType, folder: str) -> None:
+    """Add the partitions of one batch to the catalog table; it is made, or widened, where needed.
+
+    The table is external: to widen a nested column its entry is made anew over the same files.
+    """
+    if target.table is None:
+        return
+    name, batch = target.table, folder.rsplit("=", 1)[-1]
+    whole = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
+    create = (
+        f"CREATE TABLE IF NOT EXISTS {name} ({ddl(spark, whole)}) USING parquet "
+        f"PARTITIONED BY ({BATCH}, {INGESTION_DATE}) LOCATION '{target.path}'"
+    )
+    ensure_database(spark, name)
+    if spark.catalog.tableExists(name):
+        have = {f.name: f.dataType for f in spark.table(name).schema.fields}
+        fresh = T.StructType([f for f in schema.fields if f.name not in have])
+        if all(have.get(f.name, f.dataType) == f.dataType for f in schema.fields):
+            if fresh.fields:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl(spark, fresh)})")
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    if not spark.catalog.tableExists(name):
+        spark.sql(create)
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    days = [f.name.split("=", 1)[1] for f in files.listing(spark, folder) if f.is_dir and "=" in f.name]
+    for day in days:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({BATCH} = '{batch}', {INGESTION_DATE} = DATE '{day}')")
+    spark.catalog.refreshTable(name)
 
 
 def start_ingest(
@@ -53,18 +94,26 @@ def start_ingest(
     schema: T.StructType | None = None,
     max_files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    bronze = bronze_frame(landing_stream(spark, landing, schema, max_files_per_batch))
-    _remember(spark, target, bronze.schema)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = reading_session(batch.sparkSession, landing)
+        paths = [r["path"] for r in batch.collect()]
+        landed = read_files(session, landing, paths, schema) if paths else None
+        if landed is None:
+            return
+        bronze = bronze_frame(landed)
+        stream = json.loads(files.read_text(session, f"{target.checkpoint.rstrip('/')}/metadata"))["id"]
+        folder = f"{target.path.rstrip('/')}/{BATCH}={stream}-{batch_id:09d}"
+        bronze.write.mode("overwrite").options(**dict(target.write_options)).partitionBy(INGESTION_DATE).parquet(folder)
+        _register(batch.sparkSession, target, _remember(session, target, bronze.schema), folder)
+
     writer = (
-        bronze.writeStream.outputMode("append")
-        .format("parquet")
-        .partitionBy(INGESTION_DATE)
+        landed_files(spark, landing, max_files_per_batch)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", target.checkpoint)
-        .options(**dict(target.write_options))
     )
     if target.available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start(target.path)
+    return writer.start()
 
 
 def ingest(spark: SparkSession, landing: Landing, target: BronzeTarget, **kwargs) -> None:
@@ -79,25 +128,26 @@ def bronze_schema(spark: SparkSession, target: BronzeTarget) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 
 
+def _whole_schema(spark: SparkSession, target: BronzeTarget) -> T.StructType:
+    return T.StructType([*bronze_schema(spark, target).fields, T.StructField(BATCH, T.StringType())])
+
+
 def read_bronze(spark: SparkSession, target: BronzeTarget) -> DataFrame:
     """All bronze rows under the union schema; rows written before a column existed read null."""
-    return spark.read.schema(bronze_schema(spark, target)).parquet(target.path)
+    names = [quoted(n) for n in bronze_schema(spark, target).names]
+    return spark.read.schema(_whole_schema(spark, target)).parquet(target.path).select(*names)
 
 
 def bronze_stream(
     spark: SparkSession, target: BronzeTarget, max_files_per_batch: int | None = None
 ) -> DataFrame:
     """Bronze as a stream for downstream jobs with checkpoints of their own."""
-    reader = spark.readStream.schema(bronze_schema(spark, target))
+    reader = spark.readStream.schema(_whole_schema(spark, target)).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.parquet(target.path)
+    return reader.parquet(target.path).drop(BATCH)
 
 
 def name_bronze(spark: SparkSession, target: BronzeTarget, view: str) -> None:
-    """Make bronze readable by name in this session, under the union schema.
-
-    A catalog table is not laid over the folder: for a folder written by a stream, Spark gives up
-    the table's stored schema and partitions and opens every file's footer instead.
-    """
+    """Make bronze readable by name in this session, under the union schema."""
     read_bronze(spark, target).createOrReplaceTempView(view)

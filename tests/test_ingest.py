@@ -71,14 +71,58 @@ def test_types_can_be_left_as_text(spark, places, file_format):
     assert [f.dataType.simpleString() for f in infer_schema(spark, landing).fields] == ["string", "string"]
 
 
-def test_csv_with_other_columns_is_not_misread(spark, places):
+def test_csv_layouts_are_read_by_name(spark, places):
+    """Other orders, more and fewer columns, in one run and in a later one."""
     landing, target = places("csv")
     drop(landing, "a.csv", "id,v\n1,x\n")
-    ingest(spark, landing, target)
     drop(landing, "b.csv", "v,id\ny,2\n")
-    with pytest.raises(Exception):
+    drop(landing, "c.csv", "id,v,w\n3,z,7\n")
+    drop(landing, "empty.csv", "")
+    ingest(spark, landing, target)
+    drop(landing, "d.csv", "w,id\n8,4\n")
+    ingest(spark, landing, target)
+    assert rows(read_bronze(spark, target).select("id", "v", "w")) == [(1, "x", None), (2, "y", None), (3, "z", 7), (4, None, 8)]
+
+
+def test_late_files_and_their_fields(spark, places):
+    import os
+    import time
+
+    landing, target = places("json")
+    drop(landing, "a.json", '{"a": 1}')
+    ingest(spark, landing, target)
+    for name, text, hours in (("b.json", '{"a": 2, "new": "x"}', 2), ("c.json", '{"a": 3, "s": {"t": 1}}', 9 * 24)):
+        drop(landing, name, text)
+        then = time.time() - hours * 3600
+        os.utime(f"{landing.path}/20240101/07/{name}", (then, then))
+    ingest(spark, landing, target)
+    assert rows(read_bronze(spark, target).select("a", "new", "s.t")) == [(1, None, None), (2, "x", None), (3, None, 1)]
+
+
+def test_fields_that_arrive_while_a_stream_runs(spark, places):
+    from siltworks.streaming.ingest import start_ingest
+
+    landing, target = places("json")
+    drop(landing, "a.json", '{"a": 1}')
+    query = start_ingest(spark, landing, BronzeTarget(target.path, target.checkpoint, available_now=False))
+    try:
+        query.processAllAvailable()
+        drop(landing, "b[1].json", '{"a": 2, "later": true}')
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(read_bronze(spark, target).select("a", "later")) == [(1, None), (2, True)]
+
+
+def test_bronze_in_the_catalog(spark, places, table_name):
+    landing, target = places("json")
+    target = BronzeTarget(target.path, target.checkpoint, table=table_name)
+    for i, text in enumerate(('{"id": 1, "s": {"x": 1}}', '{"id": 2, "more": "m", "s": {"x": 2}}', '{"id": 3, "s": {"y": "n"}}')):
+        drop(landing, f"{i}.json", text)
         ingest(spark, landing, target)
-    assert rows(read_bronze(spark, target).select("id", "v")) == [(1, "x")]
+        assert spark.newSession().table(table_name).count() == i + 1
+    out = spark.newSession().table(table_name)
+    assert rows(out.select("id", "more", "s.x", "s.y")) == [(1, None, 1, None), (2, "m", 2, None), (3, None, None, "n")]
 
 
 def test_values_that_do_not_fit_are_kept_beside(spark, places):
@@ -103,14 +147,16 @@ def test_nested_fields_grow(spark, places):
 
 
 def test_remembered_schema_and_no_files(spark, places):
-    landing, _ = places("json")
-    with pytest.raises(Exception):
-        remembered_schema(spark, landing)
+    landing, target = places("json")
+    drop(landing, "none.json", "")
+    ingest(spark, landing, target)
+    with pytest.raises(ValueError):
+        landing_batch(spark, landing)
     drop(landing, "a.json", '{"id": 1}')
-    assert remembered_schema(spark, landing).names == ["id"]
-    assert remembered_schema(spark, landing).names == ["id"]
+    assert landing_batch(spark, landing).columns == ["id", "_rescued_data"]
     drop(landing, "b.json", '{"other": 1}')
-    assert remembered_schema(spark, landing).names == ["id", "other"]
+    assert landing_batch(spark, landing).columns == ["id", "other", "_rescued_data"]
+    assert remembered_schema(spark, landing, None).names == ["id", "other"]
     assert landing_batch(spark, landing).count() == 2
 
 
