@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.session import work_folder
+from siltworks.sinks import files
 from siltworks.sinks.export import export_frame
 from siltworks.sources.landing import Landing
 from siltworks.streaming.ingest import BronzeTarget, ingest, read_bronze
@@ -18,7 +22,7 @@ def landing_and_bronze(spark: SparkSession, label: str, file_format: str, **opti
     home = work_folder(spark, label)
     return (
         Landing(f"{home}/landing", file_format, f"{home}/schema", **options),
-        BronzeTarget(f"{home}/bronze", f"{home}/checkpoint"),
+        BronzeTarget(f"{home}/bronze", f"{home}/checkpoint", table=f"default.{label}_{uuid.uuid4().hex}"),
     )
 
 
@@ -28,13 +32,13 @@ def landing_and_bronze(spark: SparkSession, label: str, file_format: str, **opti
               '{"event_id":' || event_id || ',"event_type":"' || event_type || '"' AS raw_start FROM events""",
 )
 def ingest_json(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON lines in a tree of days, drained by one run."""
+    """JSON lines in a tree of days, drained by one run, read by name in another session."""
     landing, target = landing_and_bronze(spark, "q02", "json")
     events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("string"))
     day = F.regexp_replace(F.substring("ts", 1, 10), "-", "")
     events.withColumn("day", day).write.partitionBy("day").json(landing.path)
     ingest(spark, landing, target)
-    bronze = read_bronze(spark, target)
+    bronze = spark.newSession().table(target.table)
     audit = (
         F.col("_ingested_at").isNotNull()
         & (F.col("_ingestion_date") == F.to_date("_ingested_at"))
@@ -104,6 +108,38 @@ def ingest_evolving(spark: SparkSession, sf: str) -> DataFrame:
     return read_bronze(spark, target).select("o_orderkey", "o_totalprice", "o_orderpriority")
 
 
+@check("q03b_csv_layouts", "SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS c_mktsegment FROM customer")
+def ingest_csv_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Three layouts in one run: fewer columns, more columns, another order."""
+    landing, target = landing_and_bronze(spark, "q03b", "csv")
+    customer = table(spark, sf, "customer")
+    for rest, columns in enumerate((("c_mktsegment", "c_name", "c_custkey"), ("c_custkey", "c_name"), ("c_name", "c_custkey"))):
+        own = customer.filter(F.col("c_custkey") % 3 == rest).select(*columns)
+        own.write.option("header", True).csv(f"{landing.path}/20240101/0{rest}")
+    ingest(spark, landing, target)
+    return read_bronze(spark, target).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_mktsegment")
+
+
+@check(
+    "q04b_late_fields",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS o_orderpriority,
+              CASE WHEN o_orderkey % 3 = 2 THEN o_totalprice END AS o_totalprice FROM orders""",
+)
+def ingest_late_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """The second run finds files whose times lie two hours and nine days back, with columns of their own."""
+    landing, target = landing_and_bronze(spark, "q04b", "json")
+    orders = table(spark, sf, "orders")
+    drops = ((0, ("o_orderkey",)), (1, ("o_orderkey", "o_orderpriority")), (2, ("o_orderkey", "o_orderpriority", "o_totalprice")))
+    for rest, columns in drops:
+        folder = f"{landing.path}/2024010{rest + 1}/00"
+        orders.filter(F.col("o_orderkey") % 3 == rest).select(*columns).write.json(folder)
+        for f in files.listing(spark, folder) if rest else []:
+            files.set_time(spark, f.path, time.time() - (2, 9 * 24)[rest - 1] * 3600)
+        if rest != 1:
+            ingest(spark, landing, target)
+    return read_bronze(spark, target).select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
 def exported(spark: SparkSession, sf: str, label: str, file_format: str, **kwargs) -> tuple[DataFrame, str]:
     part = table(spark, sf, "part")
     path = export_frame(part, work_folder(spark, label), "parts", file_format, **kwargs)
@@ -117,6 +153,16 @@ def export_csv(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(part.schema).options(**options).csv(path)
 
 
+@check("q06b_single_file_any_size", "SELECT * FROM lineitem")
+def export_single_file(spark: SparkSession, sf: str) -> DataFrame:
+    """One file is asked for, and one file it is, whatever the size."""
+    lineitem = table(spark, sf, "lineitem")
+    path = export_frame(lineitem, work_folder(spark, "q06b"), "lines", "csv")
+    (only,) = files.listing(spark, path)
+    assert not only.is_dir
+    return spark.read.schema(lineitem.schema).csv(path)
+
+
 @check("q07_export_json", "SELECT * FROM part")
 def export_json(spark: SparkSession, sf: str) -> DataFrame:
     part, path = exported(spark, sf, "q07", "json")

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-import logging
+import uuid
 from collections.abc import Mapping
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import work_folder
 from . import files
 
-log = logging.getLogger(__name__)
-
 # Export format -> (Spark data source, extension of the exported file).
 FORMATS = {
     "csv": ("csv", ".csv"),
@@ -20,8 +18,7 @@ FORMATS = {
     "jsonl": ("json", ".jsonl"),
     "parquet": ("parquet", ".parquet"),
 }
-# Largest table, measured as Parquet, that one task may write as one file.
-SINGLE_FILE_BYTES = 1 << 30
+MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
 
 def export_frame(
@@ -33,13 +30,14 @@ def export_frame(
     mode: str = "overwrite",
     single_file: bool = True,
     now: dt.datetime | None = None,
-    single_file_bytes: int = SINGLE_FILE_BYTES,
 ) -> str:
     """Write ``<output>/<yyyymmdd>/<prefix>_<yyyymmddHHMMSS>`` and return its path.
 
-    A table that measures no more than ``single_file_bytes`` becomes one file with the format's
-    extension; a larger one, or ``single_file=False``, a folder of that name whose parts are
-    written in parallel. Nothing is left out either way. Files of other runs are not touched.
+    ``single_file`` alone decides the form: one file with the format's extension, written by one task, or a
+    folder of that name whose parts are written in parallel. The mode concerns a target of the same name and is looked at
+    first: ``overwrite`` replaces it once the new one is complete, ``append`` adds parts to the folder or
+    another file with the next free number, ``ignore`` leaves it, ``error`` refuses. Files of other runs are
+    not touched.
     """
     try:
         source, extension = FORMATS[file_format.lower()]
@@ -47,59 +45,40 @@ def export_frame(
         raise ValueError(
             f"cannot export as {file_format!r}; the formats are {', '.join(sorted(FORMATS))}"
         ) from None
+    if mode not in MODES:
+        raise ValueError(f"a write mode is one of {', '.join(MODES)}, not {mode!r}")
     spark = df.sparkSession
     now = now or dt.datetime.now(dt.timezone.utc)
     folder = f"{output.rstrip('/')}/{now:%Y%m%d}"
-    target = f"{folder}/{prefix}_{now:%Y%m%d%H%M%S}"
-
-    staged_path = None
-    if single_file:
-        # Measure before one task gets all rows; the staged copy also makes the result one version.
-        staged_path = work_folder(spark, "export")
-        df.write.parquet(staged_path)
-        size = files.total_bytes(spark, staged_path)
-        df = spark.read.schema(df.schema).parquet(staged_path)
-        if size > single_file_bytes:
-            log.warning("%s holds %d bytes: exported in parts", target, size)
-            single_file = False
-
-    if single_file:
-        target += extension
-        if not _may_write(df, target, mode):
-            return target
-        parts = f"{folder}/_writing_{prefix}_{now:%Y%m%d%H%M%S%f}"
-        df.coalesce(1).write.format(source).options(**dict(options or {})).save(parts)
-        (part,) = [f for f in files.listing(spark, parts) if f.name.startswith("part-")]
-        files.move(spark, part.path, target)
+    stem = f"{folder}/{prefix}_{now:%Y%m%d%H%M%S}"
+    target = stem + extension if single_file else stem
+    there = files.exists(spark, target)
+    if there and mode == "ignore":
+        return target
+    if there and mode in ("error", "errorifexists"):
+        raise FileExistsError(f"{target} exists (write mode {mode!r})")
+    if there and mode == "append" and single_file:
+        target = next(t for i in count(1) if not files.exists(spark, t := f"{stem}_{i}{extension}"))
+    writer = (df.coalesce(1) if single_file else df).write.format(source).options(**dict(options or {}))
+    if there and mode == "append" and not single_file:
+        writer.mode("append").save(target)
+        return target
+    # Written beside the target, on the same file system, and renamed when complete.
+    parts = f"{folder}/_writing_{prefix}_{uuid.uuid4().hex}"
+    try:
+        writer.save(parts)
+        if single_file:
+            (part,) = [f for f in files.listing(spark, parts) if f.name.startswith("part-")]
+            files.replace(spark, part.path, target)
+        else:
+            if there:
+                files.delete(spark, target)
+            files.move(spark, parts, target)
+    finally:
         files.delete(spark, parts)
-    elif _may_write(df, target, mode):
-        df.write.format(source).options(**dict(options or {})).save(target)
-    if staged_path:
-        files.delete(spark, staged_path)
     return target
 
 
-def _may_write(df: DataFrame, target: str, mode: str) -> bool:
-    """The write mode concerns a target of the same name only."""
-    if not files.exists(df.sparkSession, target):
-        return True
-    if mode == "overwrite":
-        files.delete(df.sparkSession, target)
-        return True
-    if mode == "ignore":
-        return False
-    raise FileExistsError(f"{target} exists (write mode {mode!r})")
-
-
-def export_table(
-    spark: SparkSession, table: str, output: str, prefix: str, **kwargs
-) -> str:
-    """Export a table or view by name. The files of a table tell its size, so one that is too large
-    for a single file goes straight into parts."""
-    df = spark.read.table(table)
-    limit = kwargs.get("single_file_bytes", SINGLE_FILE_BYTES)
-    is_table = spark.catalog.getTable(table).tableType in ("MANAGED", "EXTERNAL")
-    if is_table and kwargs.get("single_file", True):
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        kwargs["single_file"] = size <= limit
-    return export_frame(df, output, prefix, **kwargs)
+def export_table(spark: SparkSession, table: str, output: str, prefix: str, **kwargs) -> str:
+    """Export a table or view by name."""
+    return export_frame(spark.read.table(table), output, prefix, **kwargs)

@@ -50,11 +50,26 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Rename over what is there: readers find the old file or the new one."""
+    fs, s = _fs(spark, source)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(s), fs.makeQualified(hadoop.Path(target)), options)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
 
+def set_time(spark: SparkSession, path: str, seconds: float) -> None:
+    fs, p = _fs(spark, path)
+    fs.setTimes(p, int(seconds * 1000), -1)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -87,8 +102,4 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-    options[0] = hadoop.Options.Rename.OVERWRITE
-    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    context.rename(fs.makeQualified(draft), fs.makeQualified(p), options)
+    replace(spark, f"{path}.draft", path)

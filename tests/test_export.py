@@ -36,10 +36,10 @@ def test_unknown_format(spark, tmp_path):
         export_frame(spark.range(1), str(tmp_path), "s", "xlsx")
 
 
-def test_large_tables_stay_in_parts_and_whole(spark, tmp_path):
+def test_one_file_or_parts_as_asked(spark, tmp_path):
     df = spark.range(1000).repartition(5)
-    path = export_frame(df, str(tmp_path), "big", now=NOW, single_file_bytes=10)
-    assert os.path.isdir(path) and spark.read.csv(path).count() == 1000
+    path = export_frame(df, str(tmp_path), "big", now=NOW)
+    assert os.path.isfile(path) and spark.read.csv(path).count() == 1000
     path = export_frame(df, str(tmp_path), "asked", "parquet", single_file=False, now=NOW)
     assert os.path.isdir(path) and spark.read.parquet(path).count() == 1000
 
@@ -70,13 +70,24 @@ def test_by_table_name(spark, tmp_path):
     assert spark.read.csv(export_table(spark, "export_me", str(tmp_path), "v")).count() == 2
 
 
-def test_large_tables_are_not_staged(spark, tmp_path, table_name, monkeypatch):
-    from siltworks.sinks import export
-
-    spark.range(1000).write.parquet(str(tmp_path / "t"))
-    spark.sql(f"create table {table_name} using parquet location '{tmp_path}/t'")
-    path = export_table(spark, table_name, str(tmp_path / "out"), "v")
-    assert os.path.isfile(path)
-    monkeypatch.setattr(export, "work_folder", lambda *_: pytest.fail("staged"))
-    path = export_table(spark, table_name, str(tmp_path / "out"), "w", single_file_bytes=100)
-    assert os.path.isdir(path) and spark.read.csv(path).count() == 1000
+def test_append(spark, tmp_path):
+    first = export_frame(spark.range(3), str(tmp_path), "s", now=NOW, mode="append")
+    second = export_frame(spark.range(4), str(tmp_path), "s", now=NOW, mode="append")
+    assert first != second and spark.read.csv(first).count() == 3 and spark.read.csv(second).count() == 4
+    for _ in range(2):
+        folder = export_frame(spark.range(5), str(tmp_path), "p", now=NOW, mode="append", single_file=False)
+    assert spark.read.csv(folder).count() == 10
+
+
+@pytest.mark.parametrize("single_file", [True, False])
+def test_nothing_is_left_behind_and_failures_keep_the_old(spark, tmp_path, single_file):
+    path = export_frame(spark.range(3), str(tmp_path), "s", now=NOW, single_file=single_file)
+    bad = spark.range(1).selectExpr("raise_error('no') AS id")
+    with pytest.raises(Exception):
+        export_frame(bad, str(tmp_path), "s", now=NOW, single_file=single_file)
+    for mode in ("overwrite", "ignore"):
+        export_frame(spark.range(3), str(tmp_path), "s", now=NOW, single_file=single_file, mode=mode)
+    assert spark.read.csv(path).count() == 3
+    assert [f for f in os.listdir(tmp_path / "20240305") if not f.startswith(".")] == [os.path.basename(path)]
+    with pytest.raises(ValueError, match="write mode"):
+        export_frame(spark.range(3), str(tmp_path), "s", mode="sideways")
