@@ -95,7 +95,7 @@ class TableContract:
     deduplication_keys: tuple[str, ...] = ()
     clustering_keys: tuple[str, ...] = ()
     flatten: FlattenContract | None = None
-    key_buckets: int = 0
+    key_buckets: int | None = None
 
     @property
     def output_names(self) -> list[str]:
@@ -149,7 +149,7 @@ def contract_from_dict(document: Mapping) -> TableContract:
         primary_keys=tuple(table.get("primary_keys") or ()),
         deduplication_keys=tuple(table.get("deduplication_keys") or ()),
         clustering_keys=tuple(table.get("clustering_keys") or ()),
-        key_buckets=int(table.get("key_buckets") or 0),
+        key_buckets=None if table.get("key_buckets") is None else int(table["key_buckets"]),
         flatten=None
         if flat is None
         else FlattenContract(

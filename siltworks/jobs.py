@@ -5,8 +5,8 @@ A settings file maps job names to their settings; each has a ``kind``:
 * ``bronze``: landing, format, bronze, checkpoint, bronze_table, schema_folder, infer_column_types,
   reader_options, write_options, available_now, max_files_per_batch
 * ``silver``: bronze + checkpoint (or bronze_table), contract, silver_table, start_date, end_date,
-  on_error
-* ``silver_stream``: bronze + checkpoint, silver_checkpoint, contracts (contract -> table)
+  on_error, keep_versions
+* ``silver_stream``: bronze + checkpoint, silver_checkpoint, contracts (contract -> table), on_error, share_scan, keep_versions
 * ``export``: table, output, prefix, format, options, mode, single_file
 * ``document``: root, layer
 """
@@ -66,15 +66,20 @@ def _bronze_rows(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def _silver(spark: SparkSession, settings: Settings) -> str:
-    return build_silver(
+    contract, name = load_contract(settings["contract"]), settings["silver_table"]
+    mode = build_silver(
         spark,
         _bronze_rows(spark, settings),
-        load_contract(settings["contract"]),
-        settings["silver_table"],
+        contract,
+        name,
         start=settings.get("start_date"),
         end=settings.get("end_date"),
         **_given(settings, "on_error", "base"),
     )
+    table = StoredTable.of_contract(spark, contract, name, settings.get("base"))
+    if "keep_versions" in settings and table.exists:
+        table.expire(int(settings["keep_versions"]))
+    return mode
 
 
 def _silver_stream(spark: SparkSession, settings: Settings) -> None:
@@ -86,8 +91,11 @@ def _silver_stream(spark: SparkSession, settings: Settings) -> None:
         bronze_stream(spark, _target(settings)),
         targets,
         settings["silver_checkpoint"],
-        **_given(settings, "available_now"),
+        **_given(settings, "available_now", "on_error", "share_scan"),
     ).awaitTermination()
+    if "keep_versions" in settings:
+        for _, table in targets.values():
+            table.expire(int(settings["keep_versions"]))
 
 
 def _export(spark: SparkSession, settings: Settings) -> str:

@@ -52,7 +52,7 @@ def high_water_mark(silver: DataFrame) -> dt.datetime:
         micros = silver.agg(F.unix_micros(F.max(ingested))).first()[0]
     if micros is None:
         raise ValueError(f"silver has no {METADATA}.bronze_ingested_at; cannot read incrementally")
-    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
+    return moment(micros)
 
 
 @dataclass(frozen=True)
@@ -66,10 +66,21 @@ class Reading:
         return self.mode != FULL_LOAD and self.rows.isEmpty()
 
 
-def choose_reading(bronze: DataFrame, silver: DataFrame | None, start=None, end=None) -> Reading:
-    """Both dates: range. No silver, or an empty one: everything. Else: above the mark."""
+def moment(micros: int) -> dt.datetime:
+    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
+
+
+def choose_reading(
+    bronze: DataFrame, silver: DataFrame | None, start=None, end=None, mark: dt.datetime | None = None
+) -> Reading:
+    """Both dates: range. No silver, or an empty one: everything. Else: above the mark.
+
+    A ``mark`` that was kept with the last commit spares a look at silver.
+    """
     if start and end:
         return Reading(DATE_RANGE, in_range(bronze, start, end))
+    if silver is not None and mark is not None:
+        return Reading(INCREMENTAL, above(bronze, mark))
     if silver is None or silver.isEmpty():
         return Reading(FULL_LOAD, bronze)
     return Reading(INCREMENTAL, above(bronze, high_water_mark(silver)))

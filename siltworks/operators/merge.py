@@ -93,7 +93,7 @@ def upsert_small(
 ) -> DataFrame:
     """For a ``new`` whose size the caller has *measured* to fit in memory: ``old`` is not shuffled.
 
-    A full outer join cannot broadcast, so it is split in two. Updates: ``old`` left join
+    Gives what ``upsert`` gives. A full outer join cannot broadcast, so it is split in two. Updates: ``old`` left join
     broadcast ``new``. Inserts: ``new`` minus the old keys that occur in ``new``, of which there
     are no more than rows in ``new``.
     """

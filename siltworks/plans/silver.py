@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..contract import TableContract
 from ..functions.columns import with_lineage
 from ..operators.flatten import flatten_by_contract
-from ..operators.incremental import choose_reading
+from ..operators.incremental import choose_reading, moment
 from ..operators.keys import latest_by_contract, require_contract_keys
 from ..operators.mapping import apply_contract, hashes_can_wait, with_hash_columns
 from ..operators.merge import upsert_by_contract
@@ -66,8 +66,10 @@ def build_silver(
     The first load also stores the contract's descriptions and tags with the table.
     """
     target = StoredTable.of_contract(spark, contract, table, base)
-    first_load = not target.exists
-    reading = choose_reading(bronze, target.read() if target.exists else None, start, end)
+    known = target.manifest()
+    first_load = known is None
+    mark = moment(known.mark) if known and known.mark is not None else None
+    reading = choose_reading(bronze, None if first_load else target.read(), start, end, mark)
     if not reading.nothing_to_do:
         store_silver(silver_frame(reading.rows, contract, on_error), contract, target)
         if first_load:
@@ -87,6 +89,15 @@ def store_silver(
     )
 
 
+def _store_and_document(
+    rows: DataFrame, contract: TableContract, target: StoredTable, batch: Batch | None
+) -> None:
+    first_load = not target.exists
+    store_silver(rows, contract, target, batch)
+    if first_load:
+        document_by_contract(target.spark, contract, target.name)
+
+
 def fan_out(bronze: DataFrame, contracts: Sequence[TableContract]) -> dict[str, DataFrame]:
     """Silver frames of several contracts over one source, by table name.
 
@@ -101,16 +112,20 @@ def build_fan_out(
     targets: Mapping[str, tuple[TableContract, StoredTable]],
     batch: Batch | None = None,
     share_scan: bool = False,
+    on_error: str = "fail",
 ) -> None:
-    """Upsert several silver tables from one source, side by side so that the cluster stays busy."""
+    """Upsert several silver tables from one source, side by side so that the cluster stays busy.
+
+    A table's first load stores its contract's descriptions and tags, as a single build does.
+    """
     source = bronze.persist(StorageLevel.MEMORY_AND_DISK) if share_scan else bronze
     try:
         with ThreadPoolExecutor(max_workers=max(1, len(targets))) as pool:
             jobs = [
                 pool.submit(
                     # The jobs keep the caller's pool, group and description.
-                    inheritable_thread_target(bronze.sparkSession)(store_silver),
-                    silver_frame(source, contract), contract, table, batch,
+                    inheritable_thread_target(bronze.sparkSession)(_store_and_document),
+                    silver_frame(source, contract, on_error), contract, table, batch,
                 )
                 for contract, table in targets.values()
             ]

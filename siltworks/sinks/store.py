@@ -1,42 +1,49 @@
 """Parquet tables that can be replaced and upserted while they are being read.
 
 ``MERGE`` needs a table format that open Spark does not ship, and a Parquet table cannot be
-overwritten by a query that reads it. So each commit writes a new folder and then points the
-catalog at it; a reader sees the old rows or the new ones, never a mix. One writer per table.
-
-Two layouts:
-
-* plain: one folder per version, an upsert rewrites the table;
-* ``buckets=n``: the table is partitioned by a hash bucket of its primary key. An upsert reads
-  and rewrites only the buckets in which the batch has keys, and switches each of them. Choose
-  ``n`` so that a bucket is a few gigabytes. A commit that is cut short leaves some buckets
-  new and some old; running the same batch again completes it.
+overwritten by a query that reads it. So each commit writes a new folder and then replaces the table's
+*manifest*, a small file that names the folders the table consists of, its schema and layout, the
+last micro-batch and the high-water mark. Replacing it is one rename: a reader of ``StoredTable.read`` sees
+all of a commit or nothing, and so does the next run. The catalog follows: its locations are set after the commit, and again by the
+next writer where that was cut short. One writer per table.
+
+Two layouts, which belong to the table from its creation on:
+
+* plain: an upsert rewrites the table;
+* ``buckets=n``: rows are kept by a hash bucket of the primary key. An upsert reads and rewrites only
+  the buckets in which the batch has keys. Choose ``n`` so that a bucket is a few gigabytes;
+  ``rebucket`` changes it.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field, replace
+from functools import cached_property
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import TableContract
-from ..functions.columns import ref
+from ..functions.columns import METADATA, ref
+from ..functions.names import quoted
 from ..operators.merge import repeated_keys, upsert, upsert_small
 from . import files
 
 BUCKET = "_key_bucket"
-# Parquet is compressed; rows in memory may take this many times their size on disk.
-MEMORY_PER_DISK_BYTE = 10
-# A batch is broadcast only when its measured size, blown up as above, stays below this.
+# Buckets of a contract that names none, where there are keys.
+DEFAULT_BUCKETS = 32
+# A batch of this many bytes of Parquet at most is looked at more closely …
+SMALL_FILE_BYTES = 32 << 20
+# … and counts as small if its rows, as text, take no more than this: the table is not shuffled then.
 BROADCAST_BYTES = 256 << 20
 
-_BATCH_PROPERTY = "silver.last_batch"
-_SNAPSHOT = re.compile(r"snap-(\d+)(?:-batch-(\d+)-of-([0-9a-zA-Z-]+))?$")
+_VERSION_PROPERTY, _BASE_PROPERTY = "silver.published_version", "silver.base"
+_SNAPSHOT = re.compile(r"snap-(\d+)$")
 
 
 class Batch(NamedTuple):
@@ -77,6 +84,27 @@ def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Manifest:
+    """What a table consists of after a commit. Folders are relative to the table's base folder."""
+
+    version: int
+    schema: dict
+    buckets: int
+    keys: list[str]
+    folders: dict[str, str] = field(default_factory=dict)  # by bucket; the plain layout has one, named ""
+    batch: list | None = None
+    mark: int | None = None  # greatest bronze ingestion time, in microseconds
+
+    @property
+    def struct(self) -> T.StructType:
+        return T.StructType.fromJson(self.schema)
+
+    def key_types(self) -> dict[str, T.DataType]:
+        types = {f.name.lower(): f.dataType for f in self.struct.fields}
+        return {k: types[k.lower()] for k in self.keys}
+
+
 @dataclass(frozen=True)
 class StoredTable:
     spark: SparkSession
@@ -89,79 +117,97 @@ class StoredTable:
     def of_contract(
         cls, spark: SparkSession, contract: TableContract, name: str, base: str | None = None
     ) -> StoredTable:
-        return cls(spark, name, contract.clustering_keys, contract.key_buckets, base)
+        buckets = contract.key_buckets
+        if buckets is None:
+            buckets = DEFAULT_BUCKETS if contract.primary_keys else 0
+        return cls(spark, name, contract.clustering_keys, buckets, base)
 
     # -- reading ---------------------------------------------------------------------------
 
+    @cached_property
+    def base_folder(self) -> str:
+        """Where the table's folders are: as given, as the catalog has it, or below the database's folder."""
+        if self.base:
+            return self.base.rstrip("/")
+        if self.spark.catalog.tableExists(self.name) and (base := self._properties().get(_BASE_PROPERTY)):
+            return base
+        database, _, table = self.name.rpartition(".")
+        home = self.spark.catalog.getDatabase(database or self.spark.catalog.currentDatabase())
+        return f"{home.locationUri.rstrip('/')}/{table}"
+
+    def manifest(self) -> Manifest | None:
+        database = self.name.rpartition(".")[0]
+        if not self.base and database and not self.spark.catalog.databaseExists(database):
+            return None
+        text = files.read_text(self.spark, f"{self.base_folder}/manifest.json")
+        return Manifest(**json.loads(text)) if text else None
+
     @property
     def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
+        return self.manifest() is not None
+
+    def _known(self) -> Manifest:
+        known = self.manifest()
+        if known is None:
+            raise ValueError(f"the table {self.name} has not been stored")
+        return known
 
     def read(self) -> DataFrame:
-        return self._stored_rows().drop(BUCKET)
+        """The rows of the last commit."""
+        return self._rows(self._known())
 
-    def _stored_rows(self) -> DataFrame:
-        """Sessions remember a table's folder; another session may have moved it since."""
-        self.spark.catalog.refreshTable(self.name)
-        return self.spark.table(self.name)
+    def _rows(self, known: Manifest, buckets: Sequence[str] | None = None) -> DataFrame:
+        chosen = [f for b, f in known.folders.items() if buckets is None or b in buckets]
+        if not chosen:
+            return self.spark.createDataFrame([], known.struct)
+        paths = [f"{self.base_folder}/{f}" for f in chosen]
+        return self.spark.read.schema(known.struct).parquet(*paths)
 
     @property
     def location(self) -> str:
-        """Current data folder, as the catalog has it."""
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").filter("col_name = 'Location'")
-        return rows.first()["data_type"]
-
-    @property
-    def base_folder(self) -> str:
-        if self.base:
-            return self.base.rstrip("/")
-        database, _, table = self.name.rpartition(".")
-        home = self.spark.catalog.getDatabase(database or self.spark.catalog.currentDatabase())
-        return f"{home.locationUri.rstrip('/')}/{table}"
-
-    def _snapshot_number(self) -> int:
-        numbers = [
-            int(m.group(1)) for f in files.listing(self.spark, self.base_folder)
-            if (m := _SNAPSHOT.search(f.name))
-        ]
-        return max(numbers, default=-1)
+        """Current data folder of a plain table."""
+        return f"{self.base_folder}/{self._known().folders['']}"
 
     def last_batch(self) -> Batch | None:
-        """The last committed micro-batch. It is part of the commit itself: the folder's name
-        (plain layout), or a property set after the last bucket has been switched."""
-        if not self.exists:
-            return None
-        if self.buckets:
-            text = self._properties().get(_BATCH_PROPERTY)
-            stream, _, number = (text or "").rpartition(":")
-            return Batch(stream, int(number)) if text else None
-        m = _SNAPSHOT.search(self.location)
-        return Batch(m.group(3), int(m.group(2))) if m and m.group(2) else None
+        known = self.manifest()
+        return Batch(*known.batch) if known and known.batch else None
 
     def has(self, batch: Batch | None) -> bool:
         last = self.last_batch() if batch else None
         return last is not None and last.stream == batch.stream and batch.number <= last.number
 
-    def _properties(self) -> dict[str, str]:
-        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
-
     # -- writing ---------------------------------------------------------------------------
 
-    def _new_folder(self, batch: Batch | None) -> str:
-        suffix = f"-batch-{batch.number}-of-{batch.stream}" if batch else ""
-        return f"{self.base_folder}/snap-{self._snapshot_number() + 1:06d}{suffix}"
-
-    def _key_bucket(self, keys: Sequence[str]) -> Column:
-        return F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(self.buckets)).cast("int")
-
-    def _write(self, df: DataFrame, folder: str) -> None:
-        if self.buckets:
-            # Rebalancing keeps a bucket's rows together and splits a bucket that is too large.
-            together = df.hint("rebalance", BUCKET)
-            together = together.sortWithinPartitions(BUCKET, *[ref(c) for c in self.clustering])
-            together.write.partitionBy(BUCKET).parquet(folder)
-        else:
-            clustered(df, self.clustering).write.parquet(folder)
+    def _next_version(self, known: Manifest | None) -> int:
+        numbers = [int(m.group(1)) for f in files.listing(self.spark, self.base_folder) if (m := _SNAPSHOT.search(f.name))]
+        return max([*numbers, known.version if known else -1]) + 1
+
+    def _folder(self, version: int) -> str:
+        return f"{self.base_folder}/snap-{version:06d}"
+
+    def _write(self, df: DataFrame, keys: Sequence[str], buckets: int, version: int, gather: bool = True) -> dict[str, str]:
+        """Write rows into a new folder; what the manifest will say of them.
+
+        Clustering is kept inside buckets, so nothing but the rewritten buckets is sorted. ``gather`` brings a bucket's rows
+        together (and splits one that is too large); it is left out where they lie together already.
+        """
+        folder, name = self._folder(version), f"snap-{version:06d}"
+        if not buckets:
+            laid = clustered(df, self.clustering) if gather else df.sortWithinPartitions(*[ref(c) for c in self.clustering]) if self.clustering else df
+            laid.write.mode("overwrite").parquet(folder)
+            return {"": name}
+        placed = df.withColumn(BUCKET, F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(buckets)).cast("int"))
+        if gather:
+            placed = placed.hint("rebalance", BUCKET)
+        placed = placed.sortWithinPartitions(BUCKET, *[ref(c) for c in self.clustering])
+        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        made = [f.name for f in files.listing(self.spark, folder) if f.is_dir and f.name.startswith(BUCKET + "=")]
+        return {n.split("=")[1]: f"{name}/{n}" for n in made}
+
+    def _commit(self, new: Manifest) -> None:
+        """The rename in here is the commit. What comes after only brings the catalog up to date."""
+        files.write_text(self.spark, f"{self.base_folder}/manifest.json", json.dumps(asdict(new)))
+        self.publish()
 
     def create(
         self,
@@ -172,46 +218,35 @@ class StoredTable:
     ) -> None:
         """First load: make the database when missing, write the rows, register the table."""
         ensure_database(self.spark, self.name)
-        folder = self._new_folder(batch)
-        stored, partitioning = df, ""
-        if self.buckets:
-            if not keys:
-                raise ValueError("a bucketed table needs its primary keys")
-            stored = df.withColumn(BUCKET, self._key_bucket(keys))
-            partitioning = f"PARTITIONED BY ({BUCKET})"
-        self._write(stored, folder)
+        self._replace(df, keys, batch, refuse_repeats)
+
+    def _replace(self, df: DataFrame, keys: Sequence[str], batch: Batch | None = None, refuse_repeats: bool = False, buckets: int | None = None) -> None:
+        known = self.manifest()
+        buckets = (known.buckets if known else self.buckets) if buckets is None else buckets
+        keys = list(keys) or (known.keys if known else [])
+        if buckets and not keys:
+            raise ValueError("a bucketed table needs its primary keys")
+        version = self._next_version(known)
+        folders = self._write(df, keys, buckets, version)
+        new = Manifest(version, _stored_schema(df.schema), buckets, keys, folders, list(batch) if batch else None)
         if refuse_repeats:
             try:
-                self._refuse_repeats(self.spark.read.schema(stored.schema).parquet(folder), keys)
+                self._refuse_repeats(self._rows(new), keys)
             except ValueError:
-                files.delete(self.spark, folder)
+                files.delete(self.spark, self._folder(version))
                 raise
-        self.spark.sql(
-            f"CREATE TABLE {self.name} ({ddl(self.spark, stored.schema)}) USING parquet "
-            f"{partitioning} LOCATION '{folder}'"
-        )
-        if self.buckets:
-            self._switch_buckets(folder)
-        self._finish(batch)
+        self._commit(replace(new, mark=_mark_of(self._rows(new))))
 
     def overwrite(self, df: DataFrame, keys: Sequence[str] = ()) -> None:
-        """Replace all rows; the schema may change. The query may read the table itself."""
+        """Replace all rows; the schema may change. The query may read the table itself: it is written once, then switched to."""
         if not self.exists:
             return self.create(df, keys)
-        same = [(f.name, f.dataType) for f in df.schema] == [
-            (f.name, f.dataType) for f in self.read().schema
-        ]
-        if same and not self.buckets:
-            folder = self._new_folder(None)
-            self._write(df, folder)
-            self._switch(folder)
-            return None
-        # Another schema: write first, then swap the catalog entry; the files stay in place.
-        staged = f"{self._new_folder(None)}-staged"
-        df.write.mode("overwrite").parquet(staged)
-        self.spark.sql(f"DROP TABLE {self.name}")
-        self.create(self.spark.read.schema(df.schema).parquet(staged), keys)
-        files.delete(self.spark, staged)
+        return self._replace(df, keys)
+
+    def rebucket(self, buckets: int) -> None:
+        """Another number of buckets (0: plain): the table is rewritten."""
+        known = self._known()
+        self._replace(self.read(), known.keys, Batch(*known.batch) if known.batch else None, buckets=buckets)
 
     def upsert(
         self,
@@ -221,104 +256,151 @@ class StoredTable:
         batch: Batch | None = None,
         keys_are_unique: bool = False,
     ) -> None:
-        """Create the table, or merge a batch into it. A micro-batch that was committed is skipped."""
+        """Create the table, or merge a batch into it. A micro-batch that was committed is skipped.
+
+        Keys take the types that the table has before they are hashed or compared, and the table's own number of
+        buckets holds, whatever this object says.
+        """
         if self.has(batch):
             return
-        if not self.exists:
+        known = self.manifest()
+        if known is None:
             self.create(new, keys, batch, refuse_repeats=not keys_are_unique)
             return
-        folder = self._new_folder(batch)
+        if known.buckets and [k.lower() for k in keys] != [k.lower() for k in known.keys]:
+            raise ValueError(f"the table {self.name} is kept by {known.keys}, not by {list(keys)}")
+        self.publish()
+        types = {f.name.lower(): f.dataType for f in known.struct.fields}
+        for k in keys:
+            new = new.withColumn(k, ref(k).cast(types[k.lower()]))
+        version = self._next_version(known)
         # The batch is needed more than once: write it, so that it is computed once, survives the
         # loss of executors, and has a size that is known and not guessed.
-        staged_path = f"{folder}-staged"
+        staged_path = f"{self._folder(version)}-staged"
         new.write.mode("overwrite").parquet(staged_path)
-        staged = self.spark.read.schema(new.schema).parquet(staged_path)
-        if not keys_are_unique:
-            try:
+        try:
+            staged = self.spark.read.schema(new.schema).parquet(staged_path)
+            if not keys_are_unique:
                 self._refuse_repeats(staged, keys)
-            except ValueError:
-                files.delete(self.spark, staged_path)
-                raise
-        old = self._stored_rows()
-        self._add_columns(old, staged)
-        if staged.isEmpty():
+            marks = [m for m in (known.mark, _mark_of(staged)) if m is not None]
+            after = replace(known, version=version, batch=list(batch) if batch else known.batch, mark=max(marks, default=None))
+            if staged.isEmpty():
+                struct = _with_fields(known.struct, staged.schema)
+                self._commit(replace(after, schema=_stored_schema(struct)))
+                return
+            touched = None
+            if known.buckets:
+                bucket = F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(known.buckets))
+                touched = [str(r[0]) for r in staged.select(bucket).distinct().collect()]  # at most one row per bucket
+            small = self._is_small(staged, staged_path)
+            merged = (upsert_small if small else upsert)(self._rows(known, touched), staged, keys, order_by)
+            folders = self._write(merged, known.keys, known.buckets, version, gather=not small)
+            kept = {b: f for b, f in known.folders.items() if touched is not None and b not in touched}
+            self._commit(replace(after, schema=_stored_schema(merged.schema), folders={**kept, **folders}))
+        finally:
             files.delete(self.spark, staged_path)
-            return
-        if self.buckets:
-            staged = staged.withColumn(BUCKET, self._key_bucket(keys))
-            touched = [r[0] for r in staged.select(BUCKET).distinct().collect()]
-            old = old.filter(ref(BUCKET).isin(touched))
-        small = (
-            files.total_bytes(self.spark, staged_path) * MEMORY_PER_DISK_BYTE <= BROADCAST_BYTES
-        )
-        merged = (upsert_small if small else upsert)(old, staged, keys, order_by)
-        self._write(merged, folder)
-        if self.buckets:
-            self._switch_buckets(folder)
-        else:
-            self._switch(folder)
-        self._finish(batch)
-        files.delete(self.spark, staged_path)
+
+    def _is_small(self, staged: DataFrame, path: str) -> bool:
+        if files.total_bytes(self.spark, path) > SMALL_FILE_BYTES:
+            return False
+        text = F.octet_length(F.to_json(F.struct(*[ref(c) for c in staged.columns]), {"ignoreNullFields": "false"}))
+        return (staged.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES
 
     def _refuse_repeats(self, new: DataFrame, keys: Sequence[str]) -> None:
         if not repeated_keys(new, keys).isEmpty():
             raise ValueError(f"the batch for {self.name} has several rows with the same key {list(keys)}")
 
-    def _add_columns(self, old: DataFrame, new: DataFrame) -> None:
-        """Before the switch: the old folder reads null for them and no reader misses a column."""
-        have = {c.lower() for c in old.columns}
-        fresh = [f for f in new.schema.fields if f.name.lower() not in have]
-        if fresh:
-            columns = ddl(self.spark, T.StructType(fresh))
-            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({columns})")
+    # -- the catalog -----------------------------------------------------------------------
 
-    def _switch(self, folder: str) -> None:
-        self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{folder}'")
+    def publish(self) -> None:
+        """Bring the catalog up to the manifest. Safe to repeat; nothing to do when it is there already."""
+        known = self._known()
+        there = self.spark.catalog.tableExists(self.name)
+        properties = self._properties() if there else {}
+        if properties.get(_VERSION_PROPERTY) == str(known.version):
+            return
+        whole = T.StructType([*known.struct.fields, *([T.StructField(BUCKET, T.IntegerType())] if known.buckets else [])])
+        comment, comments = None, {}
+        if there:
+            have = self.spark.table(self.name).schema
+            same = {f.name: f.dataType for f in whole.fields if f.name in have.names}
+            grown = all(f.name in same and same[f.name] == f.dataType for f in have.fields)
+            if grown and (BUCKET in have.names) == bool(known.buckets):
+                fresh = T.StructType([f for f in known.struct.fields if f.name not in have.names])
+                if fresh.fields:
+                    self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({ddl(self.spark, fresh)})")
+            else:
+                # Another schema: the entry is made anew, the files stay, descriptions and tags are carried over.
+                comment = self.spark.catalog.getTable(self.name).description
+                comments = {c.name: c.description for c in self.spark.catalog.listColumns(self.name) if c.description}
+                self.spark.sql(f"DROP TABLE {self.name}")
+                there = False
+        if not there:
+            self._register(whole, known, comment, comments, properties)
+        if known.buckets:
+            self._point_buckets(known)
+        else:
+            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{self.base_folder}/{known.folders['']}'")
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{_VERSION_PROPERTY}' = '{known.version}', '{_BASE_PROPERTY}' = '{self.base_folder}')")
         self.spark.catalog.refreshTable(self.name)
 
-    def _switch_buckets(self, folder: str) -> None:
-        known = {
-            r[0].split("=")[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()
-        }
-        for f in files.listing(self.spark, folder):
-            if f.is_dir and f.name.startswith(BUCKET + "="):
-                value = f.name.split("=")[1]
-                spec = f"PARTITION ({BUCKET} = {value})"
-                if value in known:
-                    self.spark.sql(f"ALTER TABLE {self.name} {spec} SET LOCATION '{f.path}'")
-                else:
-                    self.spark.sql(f"ALTER TABLE {self.name} ADD {spec} LOCATION '{f.path}'")
-        self.spark.catalog.refreshTable(self.name)
+    def _register(self, whole: T.StructType, known: Manifest, comment: str | None, comments: dict, properties: dict) -> None:
+        described = T.StructType([
+            T.StructField(f.name, f.dataType, True, {"comment": comments[f.name]} if f.name in comments else {}) for f in whole.fields
+        ])
+        where = self._folder(known.version) if known.buckets else f"{self.base_folder}/{known.folders['']}"
+        literal = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        own = {k: v for k, v in properties.items() if k != _VERSION_PROPERTY and not k.startswith(("spark.", "transient_"))}
+        self.spark.sql(
+            f"CREATE TABLE {self.name} ({ddl(self.spark, described)}) USING parquet "
+            + (f"PARTITIONED BY ({BUCKET}) " if known.buckets else "")
+            + f"LOCATION '{where}' "
+            + (f"COMMENT {literal(comment)} " if comment else "")
+            + (f"TBLPROPERTIES ({', '.join(f'{literal(k)} = {literal(v)}' for k, v in own.items())})" if own else "")
+        )
+
+    def _point_buckets(self, known: Manifest) -> None:
+        there = {r[0].split("=")[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
+        for value, folder in known.folders.items():
+            spec = f"PARTITION ({BUCKET} = {value})"
+            path = f"{self.base_folder}/{folder}"
+            if value in there:
+                self.spark.sql(f"ALTER TABLE {self.name} {spec} SET LOCATION '{path}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {self.name} ADD {spec} LOCATION '{path}'")
+        for value in there - set(known.folders):
+            self.spark.sql(f"ALTER TABLE {self.name} DROP PARTITION ({BUCKET} = {value})")
 
-    def _finish(self, batch: Batch | None) -> None:
-        if self.buckets and batch:
-            self.spark.sql(
-                f"ALTER TABLE {self.name} SET TBLPROPERTIES "
-                f"('{_BATCH_PROPERTY}' = '{batch.stream}:{batch.number}')"
-            )
-
-    def _current_folders(self) -> set[str]:
-        """Names, below the base folder, of what the catalog points at."""
-        if not self.buckets:
-            return {self.location.rstrip("/").rsplit("/", 1)[-1]}
-        current = set()
-        for (spec,) in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
-            value = spec.split("=")[1]
-            about = self.spark.sql(
-                f"DESCRIBE TABLE EXTENDED {self.name} PARTITION ({BUCKET} = {value})"
-            ).filter("col_name = 'Location'")
-            current.add("/".join(about.first()["data_type"].rstrip("/").rsplit("/", 2)[-2:]))
-        return current
+    def _properties(self) -> dict[str, str]:
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
 
     def expire(self, keep: int) -> None:
         """Delete data of all but the newest ``keep`` commits, sparing what the table still uses."""
         if keep < 1:
             raise ValueError("at least one version must be kept")
-        current = self._current_folders()
-        found = [f for f in files.listing(self.spark, self.base_folder) if _SNAPSHOT.search(f.name)]
-        for f in sorted(found, key=lambda f: f.name)[:-keep]:
-            parts = files.listing(self.spark, f.path) if self.buckets else [f]
-            for part in parts:
-                name = f"{f.name}/{part.name}" if self.buckets else part.name
+        known = self._known()
+        self.publish()
+        current = set(known.folders.values())
+        found = [(int(m.group(1)), f) for f in files.listing(self.spark, self.base_folder) if (m := _SNAPSHOT.search(f.name))]
+        for _, f in sorted(found, key=lambda x: x[0])[:-keep]:
+            for part in files.listing(self.spark, f.path) if known.buckets else [f]:
+                name = f"{f.name}/{part.name}" if known.buckets else part.name
                 if part.is_dir and name not in current:
                     files.delete(self.spark, part.path)
+
+
+def _mark_of(rows: DataFrame) -> int | None:
+    """Greatest bronze ingestion time of rows with lineage, in microseconds."""
+    if METADATA not in rows.columns or "bronze_ingested_at" not in getattr(rows.schema[METADATA].dataType, "names", ()):
+        return None
+    return rows.agg(F.unix_micros(F.max(F.col(f"{quoted(METADATA)}.bronze_ingested_at").cast("timestamp")))).first()[0]
+
+
+def _stored_schema(schema: T.StructType) -> dict:
+    """The schema as files have it: anything may be null, at any depth."""
+    return json.loads(re.sub(r'"(nullable|containsNull|valueContainsNull)": ?false', r'"\1":true', json.dumps(schema.jsonValue())))
+
+
+def _with_fields(known: T.StructType, seen: T.StructType) -> T.StructType:
+    have = {f.name.lower() for f in known.fields}
+    return T.StructType([*known.fields, *(f for f in seen.fields if f.name.lower() not in have)])

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contract import TableContract
-from ..plans.silver import build_fan_out, silver_frame, store_silver
+from ..plans.silver import build_fan_out
 from ..sinks import files
 from ..sinks.store import Batch, StoredTable
 
@@ -28,8 +28,8 @@ def start_silver(
     on_error: str = "fail",
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = silver_frame(batch, contract, on_error)
-        store_silver(rows, contract, _bound(target, batch), _identified(batch, batch_id, checkpoint))
+        bound = {target.name: (contract, _bound(target, batch))}
+        build_fan_out(batch, bound, _identified(batch, batch_id, checkpoint), on_error=on_error)
 
     return _start(bronze, write, checkpoint, available_now)
 
@@ -40,13 +40,14 @@ def start_silver_fan_out(
     checkpoint: str,
     available_now: bool = True,
     share_scan: bool = False,
+    on_error: str = "fail",
 ) -> StreamingQuery:
     """Each micro-batch feeds all tables. Over Parquet every table reads its own columns, which
     measures faster than keeping the batch; ``share_scan`` is for sources that are slow to read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         bound = {name: (c, _bound(t, batch)) for name, (c, t) in targets.items()}
-        build_fan_out(batch, bound, _identified(batch, batch_id, checkpoint), share_scan)
+        build_fan_out(batch, bound, _identified(batch, batch_id, checkpoint), share_scan, on_error)
 
     return _start(bronze, write, checkpoint, available_now)
 

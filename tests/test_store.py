@@ -26,7 +26,7 @@ def test_create_then_upsert(spark, stored):
 
 
 def test_large_batches_take_the_join_without_broadcast(spark, stored, monkeypatch):
-    monkeypatch.setattr(store_module, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(store_module, "BROADCAST_BYTES", -1)
     stored.upsert(frame(spark, (1, 1, "a"), (2, 5, "b"), (None, 1, "n")), ["id"], ["at"])
     stored.upsert(frame(spark, (1, 2, "A"), (2, 4, "B"), (3, 0, "C"), (None, 1, "N")), ["id"], ["at"])
     assert rows(stored.read()) == rows(frame(spark, (1, 2, "A"), (2, 5, "b"), (3, 0, "C"), (None, 1, "N")))
@@ -71,7 +71,7 @@ def test_only_touched_buckets_are_rewritten(spark, table_name, tmp_path):
     t.upsert(spark.range(1000).selectExpr("cast(id as int) id", "1 at", "'a' v"), ["id"], ["at"])
     first = {f.path for f in files.listing(spark, str(tmp_path / "base"))}
     t.upsert(frame(spark, (5, 2, "b")), ["id"], ["at"])
-    (second,) = [f.path for f in files.listing(spark, str(tmp_path / "base")) if f.path not in first]
+    (second,) = [f.path for f in files.listing(spark, str(tmp_path / "base")) if f.is_dir and f.path not in first]
     assert len([f for f in files.listing(spark, second) if f.is_dir]) == 1
     assert t.read().count() == 1000 and t.read().filter("v = 'b'").count() == 1
 
@@ -106,7 +106,7 @@ def test_old_versions_expire(spark, table_name, tmp_path):
     for i in range(4):
         t.upsert(frame(spark, (1, i, "a")), ["id"], ["at"])
     t.expire(keep=2)
-    kept = [f.name for f in files.listing(spark, str(tmp_path / "base"))]
+    kept = [f.name for f in files.listing(spark, str(tmp_path / "base")) if f.is_dir]
     assert kept == ["snap-000002", "snap-000003"] and rows(t.read()) == [(1, 3, "a")]
 
 
@@ -116,7 +116,7 @@ def test_replaced_buckets_expire(spark, table_name, tmp_path):
     for i in range(3):
         t.upsert(frame(spark, (7, i, "b")), ["id"], ["at"])
     t.expire(keep=1)
-    left = [d.name for f in files.listing(spark, t.base_folder) for d in files.listing(spark, f.path) if d.is_dir]
+    left = [d.name for f in files.listing(spark, t.base_folder) if f.is_dir for d in files.listing(spark, f.path) if d.is_dir]
     assert len(left) == 3 and t.read().count() == 60 and t.read().filter("at = 2").count() == 1
 
 
@@ -138,3 +138,77 @@ def test_a_hot_clustering_value_is_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) == 8 and max(sizes) < 2 * 20000 / 8
+
+
+@pytest.mark.parametrize("step", ["data", "manifest", "catalog"])
+def test_a_commit_that_breaks_is_all_or_nothing(spark, stored, monkeypatch, step):
+    """Broken after the data, at the manifest, or between it and the catalog; then run again."""
+    stored.upsert(spark.range(40).selectExpr("cast(id as int) id", "0 at", "'a' v"), ["id"], ["at"], batch=Batch("s", 0))
+    new = spark.range(20, 60).selectExpr("cast(id as int) id", "1 at", "'b' v")
+    target, name = {"data": (StoredTable, "_commit"), "manifest": (files, "replace"), "catalog": (StoredTable, "_point_buckets" if stored.buckets else "publish")}[step]
+    original, calls = getattr(target, name), []
+
+    def broken(*args, **kwargs):
+        calls.append(1)
+        if name != "publish" or len(calls) > 1:
+            raise OSError("gone")
+        return original(*args, **kwargs)
+
+    monkeypatch.setattr(target, name, broken)
+    with pytest.raises(OSError):
+        stored.upsert(new, ["id"], ["at"], batch=Batch("s", 1))
+    monkeypatch.undo()
+    committed = stored.read().filter("at = 1").count()
+    assert committed == (40 if step == "catalog" else 0) and stored.read().count() == (60 if step == "catalog" else 40)
+    stored.upsert(new, ["id"], ["at"], batch=Batch("s", 1))
+    stored.upsert(frame(spark, (99, 1, "c")), ["id"], ["at"], batch=Batch("s", 2))
+    want = [(i, 0 if i < 20 else 1) for i in range(60)] + [(99, 1)]
+    assert rows(stored.read().select("id", "at")) == rows(spark.createDataFrame(want, "id int, at int"))
+    assert rows(spark.newSession().table(stored.name).select("id", "at")) == rows(spark.createDataFrame(want, "id int, at int"))
+
+
+def test_the_layout_belongs_to_the_table(spark, table_name, tmp_path):
+    base = str(tmp_path / "base")
+    make = lambda n: StoredTable(spark, table_name, buckets=n, base=base)
+    make(8).upsert(spark.range(100).selectExpr("cast(id as int) id", "0 at"), ["id"], ["at"])
+    for n in (16, 0):
+        make(n).upsert(spark.range(50).selectExpr("id", f"{n + 1} at"), ["id"], ["at"])
+    out = make(8).read()
+    assert out.count() == out.select("id").distinct().count() == 100 and out.schema["id"].dataType.simpleString() == "int"
+    with pytest.raises(ValueError, match="kept by"):
+        make(8).upsert(spark.range(1).selectExpr("id", "1 at"), ["at"], [])
+    for n in (3, 0):
+        make(8).rebucket(n)
+        make(8).upsert(spark.range(99, 101).selectExpr("id", "50 at"), ["id"], ["at"])
+        assert make(8).read().count() == 101 == spark.table(table_name).count()
+
+
+@pytest.mark.parametrize("limit", [-1, 1 << 30])
+def test_both_forms_take_the_same_keys(spark, stored, monkeypatch, limit):
+    monkeypatch.setattr(store_module, "BROADCAST_BYTES", limit)
+    old = spark.createDataFrame([([1, 2], ("a", 1), "x"), (None, ("b", 2), "y")], "Id array<int>, s struct<p:string,q:int>, v string")
+    new = spark.createDataFrame([([1, 2], ("a", 1), "X"), (None, None, "Z")], "id array<int>, s struct<p:string,q:int>, v string")
+    stored.upsert(old, ["Id", "s"])
+    stored.upsert(new, ["id", "s"])
+    assert sorted(r["v"] for r in stored.read().collect()) == ["X", "Z", "y"]
+
+
+def test_descriptions_survive_another_schema(spark, stored):
+    stored.create(frame(spark, (1, 1, "a")), ["id"])
+    spark.sql(f"COMMENT ON TABLE {stored.name} IS 'it''s a table'")
+    spark.sql(f"ALTER TABLE {stored.name} ALTER COLUMN v COMMENT 'a value'")
+    spark.sql(f"ALTER TABLE {stored.name} SET TBLPROPERTIES ('owner__tech' = 'me')")
+    stored.overwrite(spark.createDataFrame([(1, "w", 2.0)], "id int, v string, at double"), ["id"])
+    assert spark.catalog.getTable(stored.name).description == "it's a table"
+    assert {c.name: c.description for c in spark.catalog.listColumns(stored.name)}["v"] == "a value"
+    assert stored._properties()["owner__tech"] == "me" and rows(spark.table(stored.name).select("v", "at")) == [("w", 2.0)]
+
+
+def test_the_mark_is_part_of_the_commit(spark, stored):
+    rows_at = lambda *times: spark.createDataFrame(
+        [(i, t) for i, t in enumerate(times)], "id int, t string"
+    ).selectExpr("id", "1 at", "named_struct('bronze_ingested_at', timestamp(t)) _metadata")
+    stored.upsert(rows_at("2024-01-01", "2024-01-03"), ["id"], ["at"])
+    assert stored.manifest().mark == 1704240000000000
+    stored.upsert(rows_at("2024-01-02"), ["id"], ["at"])
+    assert stored.manifest().mark == 1704240000000000
