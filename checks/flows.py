@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
+from unittest import mock
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +15,8 @@ from siltworks.operators.keys import latest_by_contract
 from siltworks.plans.governance import compliance_report
 from siltworks.plans.silver import build_silver, fan_out, merged_silver, silver_frame
 from siltworks.session import work_folder
-from siltworks.streaming.silver import start_silver
+from siltworks.sinks.store import StoredTable
+from siltworks.streaming.silver import start_silver, start_silver_fan_out
 
 from .registry import check, line_events, stamp, stored, table
 
@@ -80,6 +85,63 @@ def upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return target.read()
 
 
+@check(
+    "q21d_upsert_array_key",
+    f"SELECT form, u.* FROM ({UPSERTED}) u, (VALUES ('joined'), ('broadcast')) AS f(form)",
+)
+def upsert_array_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Both forms take the same keys: here an array, named in another case by the batch."""
+    old, new = (df.withColumn(k, F.array("o_orderkey")).drop("o_orderkey") for df, k in zip(loads(spark, sf), ("Keys", "keys")))
+    both = [
+        form(old, new, ["keys"], ["o_orderdate"]).withColumn("form", F.lit(name))
+        for name, form in (("joined", upsert), ("broadcast", upsert_small))
+    ]
+    return both[0].unionByName(both[1]).select("form", F.col("Keys")[0].alias("o_orderkey"), *ORDER_COLUMNS[1:])
+
+
+@check("q21e_bucket_count_changes", UPSERTED)
+def upsert_other_bucket_count(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch comes through an object that has another number of buckets than the table."""
+    old, new = loads(spark, sf)
+    target = stored(spark, "q21e", buckets=8)
+    target.upsert(old, ["o_orderkey"], ["o_orderdate"], keys_are_unique=True)
+    for buckets in (16, 0):
+        half = new.filter(F.col("o_custkey") % 2 == int(buckets > 0))
+        StoredTable(spark, target.name, buckets=buckets, base=target.base).upsert(half, ["o_orderkey"], ["o_orderdate"])
+    return target.read()
+
+
+@check("q21f_key_widens", UPSERTED)
+def upsert_wider_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The table has int keys, the batch bigint ones."""
+    old, new = loads(spark, sf)
+    target = stored(spark, "q21f", buckets=8)
+    target.upsert(old.withColumn("o_orderkey", F.col("o_orderkey").cast("int")), ["o_orderkey"], ["o_orderdate"], keys_are_unique=True)
+    target.upsert(new.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint")), ["o_orderkey"], ["o_orderdate"])
+    return target.read().withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
+@check(
+    "q14c_hash_as_source",
+    """SELECT c_custkey, c_name AS name, sha256(c_name) AS name_hashed_key, sha256(c_name) AS who,
+              upper(sha256(c_name)) AS loud FROM customer""",
+)
+def hash_as_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Later columns read a hashed one, by source and in a transform; the input has a column of such a name too."""
+    contract = TableContract(
+        "customers",
+        primary_keys=("c_custkey",),
+        columns=(
+            ColumnContract("c_custkey", "bigint"),
+            ColumnContract("name", "string", source="c_name", hashed=True),
+            ColumnContract("who", "string", source="name_hashed_key"),
+            ColumnContract("loud", "string", transform="upper(name_hashed_key)"),
+        ),
+    )
+    customer = table(spark, sf, "customer").withColumn("who", F.lit("raw")).withColumn("_metadata", F.lit(None).cast("struct<file_name:string>"))
+    return silver_frame(customer.withColumn("_ingested_at", F.lit("2024-01-01").cast("timestamp")), contract).drop("_metadata")
+
+
 @check(
     "q22_upsert_null_key",
     """WITH o AS (SELECT user_id, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS kind,
@@ -163,7 +225,7 @@ def contract_upsert(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", stamp("l_shipdate").alias("l_shipdate"), "l_quantity"
     )
-    old = latest_by_contract(lines, LINES)
+    old = latest_by_contract(lines, LINES, keep_match_columns=True)
     new = old.select(
         "l_orderkey", (F.col("l_linenumber") + 1).alias("l_linenumber"), "l_shipdate",
         (F.col("l_quantity") + 100).alias("l_quantity"),
@@ -266,6 +328,24 @@ def silver_job_runs(spark: SparkSession, sf: str) -> DataFrame:
     return target.read().select(*CHARGES.output_names)
 
 
+@check("q32c_interrupted_run", CHARGE_SILVER.format(rows=CHARGE_ROWS))
+def silver_job_interrupted(spark: SparkSession, sf: str) -> DataFrame:
+    """The second run dies between its commit and the catalog, the third before its commit; the fourth goes on."""
+    bronze = line_events(table(spark, sf, "lineitem"))
+    target = stored(spark, "q32c")
+    run = lambda rows: build_silver(spark, rows, CHARGES, target.name, base=target.base)
+    run(bronze.filter("_ingested_at < timestamp '1996-01-01 00:00:00'"))
+    for broken, rows in (("_point_buckets", bronze.filter("_ingested_at < timestamp '1998-01-01 00:00:00'")), ("_commit", bronze)):
+        with mock.patch.object(StoredTable, broken, side_effect=OSError("gone")):
+            try:
+                run(rows)
+                raise AssertionError("the run should have been interrupted")
+            except OSError:
+                pass
+    run(bronze)
+    return spark.newSession().table(target.name).select(*CHARGES.output_names)
+
+
 QUANTITIES = TableContract(
     "line_quantities",
     primary_keys=("event_id", "step"),
@@ -291,9 +371,7 @@ HEADERS = TableContract(
 )
 
 
-@check(
-    "q33_fan_out",
-    f"""WITH q AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id, s AS step,
+FAN_OUT = f"""WITH q AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id, s AS step,
                           l_shipdate AS event_time, least(20.0, l_quantity - s * 20) AS amount
                    FROM lineitem, (SELECT unnest(range(0, 3)) AS s) WHERE s < ceil(l_quantity / 20))
         SELECT 'line_charges' AS label, event_id, charge_index AS position, amount
@@ -304,10 +382,10 @@ HEADERS = TableContract(
         UNION ALL
         SELECT 'line_headers', concat_ws('-', l_orderkey, l_linenumber), 0, cast(l_partkey AS double)
         FROM lineitem
-        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC) = 1""",
-)
-def one_source_three_tables(spark: SparkSession, sf: str) -> DataFrame:
-    frames = fan_out(line_events(table(spark, sf, "lineitem")), [CHARGES, QUANTITIES, HEADERS])
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC) = 1"""
+
+
+def shown_together(frames: Mapping[str, DataFrame]) -> DataFrame:
     shown = {
         "line_charges": ("charge_index", "amount"),
         "line_quantities": ("step", "amount"),
@@ -322,6 +400,27 @@ def one_source_three_tables(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@check("q33_fan_out", FAN_OUT)
+def one_source_three_tables(spark: SparkSession, sf: str) -> DataFrame:
+    return shown_together(fan_out(line_events(table(spark, sf, "lineitem")), [CHARGES, QUANTITIES, HEADERS]))
+
+
+@check("q33b_stored_fan_out", FAN_OUT)
+def one_stream_three_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Two drops, streamed into three stored tables, each read back by name."""
+    home = work_folder(spark, "q33b")
+    bronze = line_events(table(spark, sf, "lineitem"))
+    targets = {
+        c.name: (c, StoredTable.of_contract(spark, c, f"default.{c.name}_{uuid.uuid4().hex}", f"{home}/{c.name}"))
+        for c in (CHARGES, QUANTITIES, HEADERS)
+    }
+    for part in ("_ingested_at >= timestamp '1998-01-01 00:00:00'", "_ingested_at < timestamp '1998-01-01 00:00:00'"):
+        bronze.filter(part).write.mode("append").parquet(f"{home}/bronze")
+        stream = spark.readStream.schema(bronze.schema).parquet(f"{home}/bronze")
+        start_silver_fan_out(stream, targets, f"{home}/checkpoint", on_error="null").awaitTermination()
+    return shown_together({name: spark.newSession().table(t.name) for name, (_, t) in targets.items()})
+
+
 EVENT_SILVER = TableContract(
     "events_silver",
     primary_keys=("user_id", "event_type"),
