@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,11 +145,20 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     mixture = usable.orderBy(order(2), "doc_id").limit(UNLABELLED_ROWS).select("doc_id", F.lit(False).alias("__p"))
     # At most the two bounds above: small enough to send to all tasks.
     sample = F.broadcast(confirmed.unionByName(mixture))
-    drawn = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", "__p").toPandas()
-    drawn = drawn.sort_values(["__p", "doc_id", "text"], kind="stable").head(2 * (POSITIVE_ROWS + UNLABELLED_ROWS))
-    model = fit(drawn["text"].tolist(), drawn["__p"].to_numpy(bool), toxic / n if n else 0.0)
-    word_hashes.cache_clear()
-    return model
+    drawn = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", "__p")
+    prior = toxic / n if n else 0.0
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "__p": []}), *batches])
+        rows = rows.sort_values(["__p", "doc_id", "text"], ascending=[False, True, True], kind="stable").head(2 * (POSITIVE_ROWS + UNLABELLED_ROWS))
+        model = fit(rows["text"].tolist(), rows["__p"].to_numpy(bool), prior)
+        yield pd.DataFrame({"features": [model.features.tobytes()], "weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    # The bounded sample meets in one task; the driver gets the model alone.
+    row = drawn.repartition(1).mapInPandas(learn, "features binary, weights binary, bias double").first()
+    if row is None:
+        return fit([], np.zeros(0, bool), prior)
+    return Model(np.frombuffer(row["features"], np.uint64), np.frombuffer(row["weights"], np.float64), row["bias"])
 
 
 def scored(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
