@@ -474,3 +474,37 @@ def compliance(spark: SparkSession, sf: str) -> DataFrame:
         ).alias("tags"),
     )
     return compliance_report(inventory)
+
+
+@check(
+    "q35b_documented_table",
+    """SELECT c_nationkey, count(*) AS n_rows, 'One row per customer' AS about, 'it''s the key' AS about_key,
+              'sales' AS owner, 'none' AS key_pii FROM customer GROUP BY c_nationkey""",
+)
+def documented_table(spark: SparkSession, sf: str) -> DataFrame:
+    """What the contract says of table and columns is in the catalog, also after an overwrite with another schema."""
+    contract = TableContract(
+        "customers",
+        description="One row per customer",
+        tags={"owner__tech": "sales"},
+        primary_keys=("c_custkey",),
+        columns=(
+            ColumnContract("c_custkey", "bigint", description="it's the key", tags={"pii__classification": "none"}),
+            ColumnContract("c_nationkey", "int"),
+        ),
+    )
+    target = StoredTable.of_contract(spark, contract, f"default.q35b_{uuid.uuid4().hex}", work_folder(spark, "q35b"))
+    bronze = table(spark, sf, "customer").select(
+        "c_custkey", "c_nationkey", F.lit("2024-01-01").cast("timestamp").alias("_ingested_at"),
+        F.lit(None).cast("struct<file_name:string>").alias("_metadata"),
+    )
+    build_silver(spark, bronze, contract, target.name, base=target.base)
+    target.overwrite(target.read().withColumn("c_nationkey", F.col("c_nationkey").cast("bigint")))
+    catalog = spark.newSession().catalog
+    comments = {c.name: c.description for c in catalog.listColumns(target.name)}
+    tags = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {target.name}").collect()}
+    return spark.table(target.name).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "c_nationkey", "n_rows", F.lit(catalog.getTable(target.name).description).alias("about"),
+        F.lit(comments["c_custkey"]).alias("about_key"), F.lit(tags["tag.owner__tech"]).alias("owner"),
+        F.lit(tags["tag.c_custkey.pii__classification"]).alias("key_pii"),
+    )
