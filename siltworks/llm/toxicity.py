@@ -23,12 +23,14 @@ from pyspark.sql import types as T
 from .vector import LOWER, PieceCache, per_text, slices, words
 
 # Bounds of the training sample: confirmed toxic rows, and rows used without their label.
-POSITIVE_ROWS = 2_500
-UNLABELLED_ROWS = 5_000
+POSITIVE_ROWS = 3_000
+UNLABELLED_ROWS = 10_000
 # Features are words and beginnings of words. Those are used whose share of confirmed examples differs from
 # that of unlabelled ones by so many standard errors, the most telling ones at most.
 BEGINNINGS = (4, 5, 6)
 LEAST_DOCUMENTS, ERRORS, FEATURES = 3, 4.0, 20_000
+# A feature is a cell of this many; words that share one by chance hardly matter, as most words are rare.
+CELLS = 1 << 22
 ROUNDS, RATE, PENALTY = 300, 0.1, 1e-5
 
 # Letters and digits make words, lower-cased where they are ASCII; bytes of other characters count as letters.
@@ -49,15 +51,15 @@ def word_hashes() -> PieceCache:
 
 
 def hashed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words and their beginnings, and the number of the text each belongs to."""
+    """Cells of all words and their beginnings, and the number of the text each belongs to."""
     pieces, first = words(_WORD_BYTES[data], offsets)
     hashes, lengths = word_hashes()(pieces)
-    return hashes, np.repeat(np.arange(len(first) - 1), np.diff(per_text(lengths, first)))
+    return (hashes & np.uint64(CELLS - 1)).astype(np.int64), np.repeat(np.arange(len(first) - 1), np.diff(per_text(lengths, first)))
 
 
 @dataclass(frozen=True)
 class Model:
-    features: np.ndarray  # sorted hashes
+    features: np.ndarray  # sorted cells
     weights: np.ndarray
     bias: float
 
@@ -77,40 +79,33 @@ class Model:
         return pairs % len(self.features), pairs // len(self.features)
 
 
-def distinct(texts: list[str], step: int = 128) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all texts, once for each text, with the text's number; some texts at a time."""
-    found = []
+def distinct(texts: list[str], step: int = 128) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cells of some texts at a time, once for each text, with the text's number."""
     for begin in range(0, len(texts), step):
         encoded = [(t or "").encode() for t in texts[begin : begin + step]]
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in encoded])]).astype(np.int64)
-        hashes, rows = hashed(np.frombuffer(b"".join(encoded), np.uint8), offsets)
-        order = np.lexsort((hashes, rows))
-        hashes, rows = hashes[order], rows[order]
-        first = np.append(True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1]))[: len(hashes)]
-        found.append((hashes[first], rows[first] + begin))
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return tuple(map(np.concatenate, zip(*found)))
+        cells, rows = hashed(np.frombuffer(b"".join(encoded), np.uint8), offsets)
+        pairs = np.unique(rows * np.int64(CELLS) + cells)
+        yield pairs % CELLS, pairs // CELLS + begin
 
 
 def fit(texts: list[str], positive: np.ndarray, prior: float) -> Model:
     """Train on texts of which ``positive`` are confirmed; the others are unlabelled. Repeatable."""
-    hashes, rows = distinct(texts)
-    names, inverse = np.unique(hashes, return_inverse=True)
-    n = np.int64(max(len(names), 1))
-    pairs = rows * n + inverse
-    confirmed = np.bincount(pairs % n, positive[pairs // n], len(names))
-    others = np.bincount(pairs % n, ~positive[pairs // n], len(names))
+    confirmed, others = np.zeros(CELLS), np.zeros(CELLS)
+    for cells, rows in distinct(texts):
+        confirmed += np.bincount(cells[positive[rows]], minlength=CELLS)
+        others += np.bincount(cells[~positive[rows]], minlength=CELLS)
     n_p, n_u = max(positive.sum(), 1), max((~positive).sum(), 1)
     share = (confirmed + others + 1) / (n_p + n_u + 2)
     errors = np.abs(confirmed / n_p - others / n_u) / np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
     errors[confirmed + others < LEAST_DOCUMENTS] = 0
-    chosen = np.argsort(-errors, kind="stable")[:FEATURES]
-    chosen = np.sort(chosen[errors[chosen] >= ERRORS])
-    model = Model(names[chosen], np.zeros(len(chosen)), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
+    chosen = np.flatnonzero(errors >= ERRORS)
+    chosen = np.sort(chosen[np.argsort(-errors[chosen], kind="stable")[:FEATURES]])
+    model = Model(chosen, np.zeros(len(chosen)), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
     if not positive.any() or positive.all() or not len(chosen):
         return model
-    column, row = model.columns(hashes, rows)
+    held = [model.columns(cells, rows) for cells, rows in distinct(texts)]
+    column, row = (np.concatenate(x) for x in zip(*held))
     p, u = positive / positive.sum(), ~positive / (~positive).sum()
     w = np.append(np.zeros(len(chosen)), model.bias)
     first, second = np.zeros_like(w), np.zeros_like(w)
@@ -158,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     row = drawn.repartition(1).mapInPandas(learn, "features binary, weights binary, bias double").first()
     if row is None:
         return fit([], np.zeros(0, bool), prior)
-    return Model(np.frombuffer(row["features"], np.uint64), np.frombuffer(row["weights"], np.float64), row["bias"])
+    return Model(np.frombuffer(row["features"], np.int64), np.frombuffer(row["weights"], np.float64), row["bias"])
 
 
 def scored(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:

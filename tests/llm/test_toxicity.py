@@ -49,5 +49,5 @@ def test_awkward_rows(spark):
 
 
 def test_a_model_without_features_scores_its_bias():
-    model = Model(np.zeros(0, np.uint64), np.zeros(0), 0.0)
+    model = Model(np.zeros(0, np.int64), np.zeros(0), 0.0)
     assert model.score(np.frombuffer(b"any words", np.uint8), np.array([0, 9, 9])).tolist() == [0.5, 0.5]
