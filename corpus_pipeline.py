@@ -33,7 +33,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit), and digests of the ids and of what they decode to."""
     path = tokenizer_file("byte_bpe_50k.tiktoken")
-    return byte_bpe.decode(byte_bpe.encode(docs, path), path).select(
+    return byte_bpe.encode(docs, path, decoded=True).select(
         "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -199,14 +199,23 @@ def encode_texts(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.n
     return ids, per_text(lengths, np.searchsorted(begins, offsets)), np.repeat(begins, lengths)
 
 
-def encode(docs: DataFrame, path: str, offsets: bool = False) -> DataFrame:
+def decode_ids(data: np.ndarray, starts: np.ndarray, path: str) -> pa.Array:
+    """The bytes that runs of ids stand for; ``starts`` are the places of the runs in bytes."""
+    v, _ = vocabulary(path)
+    ids = np.ascontiguousarray(data).view(np.uint32)
+    lengths = v.lengths[ids]
+    bounds = np.concatenate([[0], np.cumsum(lengths)])[starts // 4]
+    return binary(v.bytes[spread(v.starts[ids], lengths)], bounds)
+
+
+def encode(docs: DataFrame, path: str, offsets: bool = False, decoded: bool = False) -> DataFrame:
     """doc_id, ``ids`` (little-endian unsigned 32-bit integers) and n_tokens of every whole text.
 
     With ``offsets`` also ``begins``: for each id, the byte of the text (32-bit) at which its piece begins, so
-    that a run of ids can be traced to its place. Null text counts as empty and gives no ids, an empty table gives none, repeated
+    that a run of ids can be traced to its place. With ``decoded`` also the bytes that the ids stand for, decoded in the same task. Null text counts as empty and gives no ids, an empty table gives none, repeated
     rows are encoded each, columns other than doc_id and text are dropped. ``path`` must exist on every executor.
     """
-    schema = "doc_id bigint, ids binary, n_tokens bigint" + (", begins binary" if offsets else "")
+    schema = "doc_id bigint, ids binary, n_tokens bigint" + (", begins binary" if offsets else "") + (", decoded binary" if decoded else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, starts in slices(batches):
@@ -215,6 +224,8 @@ def encode(docs: DataFrame, path: str, offsets: bool = False) -> DataFrame:
             if offsets:
                 local = begins - np.repeat(starts[:-1], np.diff(bounds))
                 columns.append(binary(local.astype(np.uint32).view(np.uint8), bounds * 4))
+            if decoded:
+                columns.append(decode_ids(ids.view(np.uint8), bounds * 4, path))
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")])
 
     return docs.select("doc_id", "text").withColumn("doc_id", docs["doc_id"].cast("bigint")).mapInArrow(run, schema)
@@ -227,12 +238,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     schema = T.StructType([*(f for f in encoded.schema if f.name != "decoded"), T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, _ = vocabulary(path)
         for rows, data, starts in slices(batches, "ids"):
-            ids = data.copy().view(np.uint32)
-            lengths = v.lengths[ids]
-            bounds = np.concatenate([[0], np.cumsum(lengths)])[starts // 4]
-            decoded = binary(v.bytes[spread(v.starts[ids], lengths)], bounds)
+            decoded = decode_ids(data.copy(), starts, path)
             names = [n for n in rows.schema.names if n != "decoded"]
             yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in names), decoded], names=[*names, "decoded"])
 

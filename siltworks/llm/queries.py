@@ -107,10 +107,10 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .byte_bpe import decode, encode
+    from .byte_bpe import encode
 
     path = tokenizer_file("byte_bpe_50k.tiktoken")
-    return decode(encode(table(spark, sf_dir), path), path).select(
+    return encode(table(spark, sf_dir), path, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 # Bytes of text that are worked on at a time; one longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
 # Entries a worker process keeps; the cache starts anew when it is full, which changes no result.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -37,6 +37,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = SL
             end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
             yield batch.slice(row, end - row), data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
             row = end
+            pa.default_memory_pool().release_unused()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
@@ -74,13 +75,22 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class PieceCache:
-    """Integers that distinct pieces of text stand for, computed once per worker and batch of new pieces."""
+    """Integers that distinct pieces of text stand for, computed once per worker and batch of new pieces.
+
+    Of the caches of one worker process, which serves many tasks, only the one in use keeps entries.
+    """
+
+    in_use: PieceCache | None = None
 
     def __init__(self, encode: Callable[[list[bytes]], Iterable[tuple]], dtype=np.uint32, limit: int = CACHE_ENTRIES):
         self.encode, self.dtype, self.limit, self.known = encode, dtype, limit, {}
 
     def __call__(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The integers of all pieces in order, and how many each piece has."""
+        if PieceCache.in_use is not self:
+            if PieceCache.in_use is not None:
+                PieceCache.in_use.known.clear()
+            PieceCache.in_use = self
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         found = list(map(self.known.get, distinct))
