@@ -36,6 +36,8 @@ from .vector import LOWER, PieceCache, binary, per_text, slices, words
 HEAD, TAIL = struct.Struct("<QI"), struct.Struct("<I")
 ID = struct.Struct("<q")
 MASK = 0xA282EAD8  # fixed value
+# Pieces cost more here than elsewhere, so a worker keeps more of them.
+CACHED_PIECES = 200_000
 INDEX = "doc_id bigint, shard int, file string, offset bigint, length bigint, n_tokens bigint, shard_start bigint"
 
 
@@ -121,7 +123,7 @@ def word_encoder(path: str) -> PieceCache:
             out[i] = tuple(e.ids)
         return out
 
-    return PieceCache(encode)
+    return PieceCache(encode, limit=CACHED_PIECES)
 
 
 def width_of(path: str) -> int:
