@@ -21,7 +21,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}+"
 WEAK = ("name", "key", "endpoint")
 NAME = r"""(?i:user_?name|user|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,}+"""
-KEY = r"(?:\G|(?<![A-Za-z0-9+/_=-]))[A-Za-z0-9+/_-]{16,}+={0,2}+"
+# A sign of equality ends a key as padding, but may as well stand before one, as in NAME=value.
+KEY = r"(?:\G|(?<![A-Za-z0-9+/_-]))[A-Za-z0-9+/_-]{16,}+={0,2}+"
 ENDPOINT = r"""https?://[^\x20\x09-\x0D"'<>]++"""
 # What each kind is a part of a credential as.
 PARTS = {"access": "identifier", "name": "identifier", "assign": "secret", "hex": "secret", "key": "secret", "endpoint": "endpoint"}

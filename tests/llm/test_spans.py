@@ -109,3 +109,15 @@ def test_weak_candidates_need_complementary_parts(spark):
     kinds = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets(documents(spark, texts)).collect()}
     assert kinds[0] == ["name", "key"] and kinds[1] == kinds[2] == kinds[3] == []
     assert kinds[4] == ["endpoint", "access", "key"] and kinds[5] == ["access"]
+
+
+def test_values_directly_after_a_sign_of_equality_are_candidates(spark):
+    key = "Zm9vYmFyMTIzNDU2Nzg5"
+    texts = [
+        f"user=alice SECRET_KEY={key}", f"user=alice client_key={key}==", f"https://db.example/x?k={key} with user=alice1", f"private_key={key} alone",
+        f"user: alice1 pad==={key}", f"user=alice A_NAME_OF_SIXTEEN={key}",
+    ]
+    found = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"]] for r in secrets(documents(spark, texts)).collect()}
+    assert found[0] == [("name", "user=alice"), ("key", key)] and found[1] == [("name", "user=alice"), ("key", key + "==")]
+    assert found[2] == [("endpoint", f"https://db.example/x?k={key}"), ("key", key), ("name", "user=alice1")] and found[3] == []
+    assert found[4] == [("name", "user: alice1"), ("key", key)] and found[5] == [("name", "user=alice"), ("key", key)]
