@@ -7,7 +7,8 @@ discloses of an entity: pointwise mutual information over the entity's informati
     disclosure(t, e) = log2(p(t, e) / (p(t) p(e))) / -log2(p(e)),
 
 one if the term occurs near this entity only, about zero if it is independent of it. Probabilities are shares of
-term positions. Terms beyond one threshold are generalised, beyond a higher one removed.
+term positions. Terms beyond one threshold are generalised, beyond a higher one removed, wherever they occur: a term
+that gives an entity away does so far from a mention, and in documents without one, as well.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, text_of
-from .spans import find, replaced, without_overlaps, written
+from .spans import find, masked, replaced, without_overlaps, written
 
 KINDS = ("email", "ip", "card", "phone")
 # The given patterns. Possessive repetition and the look-behind keep them linear and free of recursion in
@@ -28,10 +29,11 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 TERM = r"\p{L}{4,}+"
-WINDOW = 128  # code points before and after a mention that are its context
+WINDOW = 128  # code points before and after a mention that are its context in the estimate; not a bound of what is reported
 SUPPORT = 3  # co-occurrences below which nothing is said about a term
 GENERALISE, REMOVE = 0.8, 0.95
-# Candidate terms up to this many are sent to all tasks (under 50 MB); beyond it terms are counted first.
+# Candidate or telling terms up to this many are sent to all tasks (under 50 MB); beyond it terms are counted first, or
+# all their places are shuffled.
 BROADCAST_TERMS = 200_000
 
 
@@ -60,7 +62,7 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def contexts(text: Column, spans: dict[str, Column]) -> Column:
-    """(entity, term, start, end) of the terms around all mentions, each once.
+    """(entity, term) of the terms around all mentions, each place once; the text is masked.
 
     A term that the window's edge may have cut is left out. Addresses count without regard to case, numbers
     by their digits.
@@ -90,25 +92,27 @@ def contexts(text: Column, spans: dict[str, Column]) -> Column:
     def of(kind: str) -> Column:
         return F.flatten(F.transform(spans[kind], lambda s: around(kind, s)))
 
-    return F.array_distinct(F.concat(*map(of, KINDS)))
+    return F.transform(F.array_distinct(F.concat(*map(of, KINDS))), lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term")))
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """doc_id, a row number, spans of each kind, their contexts, and the number of terms; written once."""
+    """doc_id, a row number, spans of each kind, their contexts, the text without the spans, and its number of terms; written once."""
     found = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text_of().alias("text"))
     found = found.select("*", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-    near = contexts(F.col("text"), {k: F.col(k) for k in KINDS})
+    places = F.sort_array(F.concat(*[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]))
+    found = found.withColumn("places", places).withColumn("masked", masked(F.col("text"), F.col("places")))
+    near = contexts(F.col("masked"), {k: F.col(k) for k in KINDS})
     mentioned = sum((F.size(k) for k in KINDS), F.lit(0)) > 0
     return stored(
         found.select(
             "doc_id", "row", *KINDS,
-            F.when(mentioned, near).alias("contexts"), F.regexp_count("text", F.lit(TERM)).cast("bigint").alias("n_terms"),
+            F.when(mentioned, near).alias("contexts"), "masked", F.regexp_count("masked", F.lit(TERM)).cast("bigint").alias("n_terms"),
         ),
         "mentions",
     )
 
 
-def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
+def disclosing(found: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure) from the whole corpus, for terms at or beyond the threshold.
 
     All counts are combined in every task before they meet. Terms of the corpus are counted where they are
@@ -120,7 +124,7 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, thresh
     entities = pairs.groupBy("entity").agg(F.sum("together").alias("mentioned"))
     pairs = pairs.filter(F.col("together") >= support)
     candidates = stored(pairs.select("term").distinct(), "candidates")
-    terms = docs.select(F.explode(F.regexp_extract_all(F.lower(text_of()), F.lit(TERM), F.lit(0))).alias("term"))
+    terms = found.select(F.explode(F.regexp_extract_all("masked", F.lit(TERM), F.lit(0))).alias("term")).select(F.lower("term").alias("term"))
     if candidates.count() <= BROADCAST_TERMS:
         terms = terms.join(F.broadcast(candidates), "term", "left_semi")
     totals = terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
@@ -132,18 +136,29 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, thresh
     return scored.filter(F.col("disclosure") >= threshold)
 
 
+def occurrences(found: DataFrame, telling: DataFrame) -> DataFrame:
+    """(row, start, end, disclosure) of every place of a telling term (term, disclosure) in all texts.
+
+    Places meet one row per term. If these are few they are sent to all tasks; else both sides meet by plain
+    exchanges, whose large partitions adaptive execution splits.
+    """
+    places = found.select("row", F.explode(find(F.col("masked"), TERM, block=32)).alias("t"))
+    places = places.select("row", F.lower("t.value").alias("term"), "t.start", "t.end")
+    few = telling.count() <= BROADCAST_TERMS
+    return places.join(F.broadcast(telling) if few else telling, "term").select("row", "start", "end", "disclosure")
+
+
 def personal_data(docs: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """One row per document: doc_id, row, spans (start, end, value) of each kind, and ``terms`` (start, end, disclosure).
 
     Null text counts as empty and has none; repeated rows are treated each; columns besides doc_id and text are
-    ignored; an empty table gives an empty result. An entity or term that a third of all documents mention is one row
-    per task where counts meet, and its contexts are joined on (entity, term) by plain exchanges, which
-    adaptive execution splits.
+    ignored; an empty table gives an empty result. A term is reported wherever it occurs outside of base spans, with the
+    most that it discloses of any entity. An entity or term that a third of all documents mention is one row
+    per task where counts meet.
     """
     found = mentions(docs)
-    telling = stored(disclosing(docs, found, support, threshold), "disclosing")
-    near = found.select("row", F.explode("contexts").alias("c")).select("row", "c.*")
-    hits = near.join(telling, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    telling = disclosing(found, support, threshold).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    hits = occurrences(found, stored(telling, "disclosing"))
     terms = hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
     none = F.array().cast("array<struct<start:bigint,end:bigint,disclosure:double>>")
     return found.join(terms, "row", "left").select("doc_id", "row", *KINDS, F.coalesce("terms", none).alias("terms"))

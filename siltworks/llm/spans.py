@@ -10,18 +10,19 @@ from .common import bind, prefix_sums
 SPAN = "struct<start:bigint,end:bigint,value:string>"
 
 
-def find(text: Column, pattern: str, when: Column | None = None) -> Column:
+def find(text: Column, pattern: str, when: Column | None = None, block: int = 256) -> Column:
     """All matches, leftmost and non-overlapping, as an array of (start, end, value).
 
     The same pattern cuts the text into the pieces between matches; lengths summed up give the places. ``when``
-    is a cheap test without which there is no match. Patterns must not match the empty string.
+    is a cheap test without which there is no match. Patterns must not match the empty string. A smaller ``block`` is
+    for patterns that match at every word.
     """
     none = F.array().cast(f"array<{SPAN}>")
 
     def placed(matches: Column) -> Column:
         between = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
         steps = F.zip_with(between, matches, lambda b, m: (F.length(b) + F.length(m)).cast("bigint"))
-        before = prefix_sums(steps)
+        before = prefix_sums(steps, block)
         return F.zip_with(
             F.zip_with(before, between, lambda a, b: a + F.length(b)),
             matches,
@@ -52,6 +53,19 @@ def replaced(text: Column, spans: Column) -> Column:
     return F.aggregate(spans, begin, put, rest)
 
 
+def masked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of what sorted spans (start, end) cover, overlapping or not; places stay."""
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def put(acc: Column, s: Column) -> Column:
+        start, end = F.greatest(s["start"], acc["at"]), F.greatest(s["end"], acc["at"])
+        between = F.substring(text, (acc["at"] + 1).cast("int"), (start - acc["at"]).cast("int"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], between, F.repeat(F.lit(" "), (end - start).cast("int"))).alias("out"))
+
+    rest = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, begin, put, rest))
+
+
 def without_overlaps(spans: Column) -> Column:
     """Of sorted spans those that begin at or after the end of all before."""
 

@@ -121,3 +121,14 @@ def test_values_directly_after_a_sign_of_equality_are_candidates(spark):
     assert found[0] == [("name", "user=alice"), ("key", key)] and found[1] == [("name", "user=alice"), ("key", key + "==")]
     assert found[2] == [("endpoint", f"https://db.example/x?k={key}"), ("key", key), ("name", "user=alice1")] and found[3] == []
     assert found[4] == [("name", "user: alice1"), ("key", key)] and found[5] == [("name", "user=alice"), ("key", key)]
+
+
+def test_telling_terms_are_reported_wherever_they_occur(spark):
+    known = "the accountant Zebulon writes from zeb@corp.example every other week "
+    common = "letters arrive from people every week and other people writes back "
+    far = known + common * 5 + "signed Zebulon"
+    texts = [known + common] * 4 + [far, "people writes ZEBULON back", "zebulon@home.example and Zebulon"] + [common + f"mail u{i}@corp.example today" for i in range(80)]
+    rows = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["terms"]] for r in personal_data(documents(spark, texts)).collect()}
+    assert rows[4].count("Zebulon") == 2 and rows[5] == ["ZEBULON"] and rows[6] == ["Zebulon"] and not any(rows[i] for i in range(7, 87))
+    clean = {r["doc_id"]: r["text"] for r in sanitised(documents(spark, texts)).select("doc_id", "text").collect()}
+    assert "ebulon" not in clean[4].lower() and "ebulon" not in clean[5].lower() and "ebulon" not in clean[6].lower()
