@@ -28,7 +28,8 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
-TERM = r"\p{L}{4,}+"
+# Every run of letters (with their marks) and digits outside of base spans: what is common is for the score to say.
+TERM = r"[\p{L}\p{M}\p{N}]++"
 WINDOW = 128  # code points before and after a mention that are its context in the estimate; not a bound of what is reported
 SUPPORT = 3  # co-occurrences below which nothing is said about a term
 GENERALISE, REMOVE = 0.8, 0.95

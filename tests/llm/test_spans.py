@@ -132,3 +132,12 @@ def test_telling_terms_are_reported_wherever_they_occur(spark):
     assert rows[4].count("Zebulon") == 2 and rows[5] == ["ZEBULON"] and rows[6] == ["Zebulon"] and not any(rows[i] for i in range(7, 87))
     clean = {r["doc_id"]: r["text"] for r in sanitised(documents(spark, texts)).select("doc_id", "text").collect()}
     assert "ebulon" not in clean[4].lower() and "ebulon" not in clean[5].lower() and "ebulon" not in clean[6].lower()
+
+
+def test_short_terms_and_numbers_are_scored(spark):
+    common = "letters of 12 people arrive at it every week and of 12 people more so "
+    telling = ["Kim", "김민", "王", "4711", "X7", "AB12CD"]
+    texts = [common + "so " + " ".join(telling) + " it kim@corp.example every week " + common] * 4
+    texts += [common + f"mail u{i}@corp.example +49 170 {1000000 + i} today" for i in range(80)] + ["KIM at it"]
+    rows = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["terms"]] for r in personal_data(documents(spark, texts)).collect()}
+    assert rows[0] == telling and rows[84] == ["KIM"] and not any(rows[i] for i in range(4, 84))
