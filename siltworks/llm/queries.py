@@ -166,3 +166,39 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_model import scored
 
     return scored(table(spark, sf_dir))
+
+
+_BENCHMARK_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@register(
+    "op13_decontamination",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_BENCHMARK_WORDS} AS w FROM documents),
+    b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_BENCHMARK_WORDS} AS w FROM benchmark),
+    bw AS (
+      SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS g
+      FROM (SELECT *, least(10, len(w)) AS k FROM b WHERE len(w) > 0), unnest(range(1, len(w) - k + 2)) AS u(i)),
+    dw AS (
+      SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+      FROM d, (SELECT DISTINCT k FROM bw), unnest(range(1, len(w) - k + 2)) AS u(i)),
+    found AS (SELECT r, i, k, item FROM dw JOIN bw USING (k, g)),
+    hit AS (SELECT r, count(DISTINCT i + j) AS n_hit FROM found, unnest(range(k)) AS u(j) GROUP BY r),
+    who AS (
+      SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (r) LEFT JOIN who USING (r)
+    """,
+)
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontamination import contamination
+
+    return contamination(table(spark, sf_dir), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
