@@ -202,3 +202,47 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Rounds of assignment and averaging, one after another, over components as rows."""
+
+    def assigned(i: int) -> str:
+        return f"""
+        a{i} AS MATERIALIZED (
+          SELECT r, part, min({{'d': d, 'e': e}}) AS m
+          FROM (SELECT r, part, e, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM v JOIN c{i} c USING (part, pos) GROUP BY r, part, e)
+          GROUP BY r, part)"""
+
+    steps = []
+    for i in range(rounds):
+        steps += [
+            assigned(i),
+            f"""
+        c{i + 1} AS MATERIALIZED (
+          SELECT c.part, c.e, c.pos, coalesce((s - ((s % n) + n) % n) // n, c.x)::BIGINT AS x
+          FROM c{i} c LEFT JOIN (
+            SELECT part, a.m.e AS e, pos, sum(x) AS s, count(*) AS n FROM v JOIN a{i} a USING (r, part) GROUP BY ALL) USING (part, e, pos))""",
+        ]
+    return f"""
+    WITH kept AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r, vec_id, label, embedding, len(embedding) // 8 AS w FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    v AS MATERIALIZED (
+      SELECT r, (i - 1) // w AS part, (i - 1) % w AS pos, floor(4096 * embedding[i]::DOUBLE)::BIGINT AS x
+      FROM kept, unnest(range(1, len(embedding) + 1)) AS u(i)),
+    c0 AS MATERIALIZED (SELECT part, r AS e, pos, x FROM v WHERE r < 16), {",".join(steps)}, {assigned(rounds)},
+    coded AS MATERIALIZED (
+      SELECT r, string_agg(printf('%02x', a.m.e), '' ORDER BY part) AS code, sum(a.m.d)::BIGINT AS error FROM a{rounds} a GROUP BY r)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, e, pos)) FROM c{rounds}) AS codebooks_sha256
+    FROM coded JOIN kept USING (r)
+    """
+
+
+@register("op11_vector_codes", _codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .grid_codes import compress, label_errors
+
+    codes = compress(table(spark, sf_dir, "embeddings"))
+    return label_errors(codes.coded).select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
