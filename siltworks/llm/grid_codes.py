@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from .common import stored
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
-# Cells that a worker remembers for each part; beyond that it starts anew, which changes no result.
-CACHED_CELLS = 50_000
+# Cells that a worker remembers for each part; beyond that it starts anew with those of the last rows, which changes no result.
+CACHED_CELLS = 30_000
 # Rows that are worked on at a time.
 SLICE_ROWS = 4096
 LIMB = 40
@@ -49,20 +49,35 @@ def exact(values: np.ndarray) -> np.ndarray:
     return np.array([int(x) for x in values.ravel()], object).reshape(values.shape)
 
 
+class Memo(NamedTuple):
+    """Cells by their hash, ascending, and which entries matter in each."""
+
+    keys: np.ndarray
+    cells: np.ndarray
+    masks: np.ndarray
+
+    def joined(self, other: Memo) -> Memo:
+        if not len(other.keys):
+            return self
+        both = [np.concatenate(x) for x in zip(self, other)]
+        order = np.argsort(both[0])
+        return Memo(*(x[order] for x in both))
+
+
 class Grid:
     """The nearest entry of each part, with a memo of the entries that matter in each cell."""
 
     def __init__(self, codebooks: Codebooks):
         self.codebooks = [np.array(c, object).reshape(len(c), -1) for c in codebooks]
         self.small = [all(abs(x) < 1 << 26 for e in c for x in e) for c in codebooks]
-        self.memo: list[dict[int, tuple[bytes, np.ndarray]]] = [{} for _ in codebooks]
+        self.memo = [Memo(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)) for _ in codebooks]
         self.evaluated = self.parts = 0
 
     def side(self, part: int) -> int:
-        """log2 of a cell's side: about one standard deviation of the entries' components."""
+        """log2 of a cell's side: one to two standard deviations of the entries' components."""
         entries = self.codebooks[part].astype(np.float64)
         spread = float(np.sqrt(((entries - entries.mean(axis=0)) ** 2).mean())) if entries.size else 0.0
-        return max(0, int(np.log2(spread))) if spread >= 1 else 0
+        return int(np.ceil(np.log2(spread))) if spread >= 1 else 0
 
     def alive(self, part: int, cells: np.ndarray, book: np.ndarray, side: int) -> np.ndarray:
         """For each cell, which entries no other entry dominates across its box."""
@@ -81,18 +96,17 @@ class Grid:
         hashes = (plain * mixers).sum(axis=1, dtype=np.uint64)
         hashes ^= hashes >> np.uint64(31)
         keys, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        memo = self.memo[part]
-        if len(memo) + len(keys) > CACHED_CELLS:
-            memo.clear()
-        new = [i for i, k in enumerate(keys.tolist()) if k not in memo]
-        if new:
+        known = self.memo[part]
+        at = np.searchsorted(known.keys, keys)
+        new = np.append(known.keys, np.uint64(0))[at] != keys if len(known.keys) else np.ones(len(keys), bool)
+        if new.any():
             chosen = cells[first[new]]
-            for i, cell, row in zip(new, chosen, self.alive(part, chosen, book, side)):
-                memo[int(keys[i])] = (cell, row)
-        held = [memo[k] for k in keys.tolist()]
-        known = np.array([c for c, _ in held], cells.dtype).reshape(len(keys), -1)
-        masks = np.array([m for _, m in held])[place]
-        masks[(known[place] != cells).any(axis=1)] = True
+            known = Memo(keys[new], chosen, self.alive(part, chosen, book, side)).joined(known)
+            at = np.searchsorted(known.keys, keys)
+            # A slice's own cells are always at hand; beyond the bound only they are remembered.
+            self.memo[part] = known if len(known.keys) <= CACHED_CELLS else Memo(known.keys[at], known.cells[at], known.masks[at])
+        masks = known.masks[at][place]
+        masks[(known.cells[at][place] != cells).any(axis=1)] = True
         return masks
 
     def nearest(self, part: int, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

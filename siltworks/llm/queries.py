@@ -246,3 +246,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     codes = compress(table(spark, sf_dir, "embeddings"))
     return label_errors(codes.coded).select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+@register("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversation_repair import damaged, reports
+
+    conversations = table(spark, sf_dir, "conversations")
+    return reports(damaged(conversations), conversations)
