@@ -217,7 +217,8 @@ def segments(rows: DataFrame, size: int) -> DataFrame:
     code = F.when(F.col("end"), "$").when(blank, "b").when(full, initial).otherwise(F.upper(initial))
     small = rows.select("conv", "pos", key.alias("key"), code.alias("code"))
     first = small.filter("code NOT IN ('$', 'b')").groupBy("key").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "first")
-    known = small.join(first, "key", "left").withColumn("code", F.when(F.col("pos") > F.col("first"), "d").otherwise(F.col("code")))
+    # Stored, so that the join has plain exchanges on both sides (or a measured broadcast) and a hot text's rows are split.
+    known = small.join(stored(first, "first-places"), "key", "left").withColumn("code", F.when(F.col("pos") > F.col("first"), "d").otherwise(F.col("code")))
     letters = F.transform(F.array_sort(F.collect_list(F.struct("pos", "code"))), lambda x: x["code"])
     return stored(known.groupBy("conv", F.floor(F.col("pos") / size).alias("seg")).agg(F.array_join(letters, "").alias("codes")), "segments")
 

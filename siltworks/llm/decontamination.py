@@ -228,7 +228,7 @@ def cleaned(docs: DataFrame, items: DataFrame, remove: str = "spans", width: int
     found = located(docs, items, width, block_bytes)
     if remove == "documents":
         return found.filter(F.size("__hits") == 0).select(*docs.columns)
-    names = [*docs.columns, "__hits"]
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,10 +236,9 @@ def cleaned(docs: DataFrame, items: DataFrame, remove: str = "spans", width: int
             for i, places in enumerate(hits):
                 if places:
                     texts[i] = without_words(texts[i], np.array(places))
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names], names=names)
 
-    return found.select(*names).mapInArrow(run, docs.schema)
+    return found.select(*names, "__hits").mapInArrow(run, docs.schema)
 
 
 def without_words(text: str, places: np.ndarray) -> str:

@@ -10,7 +10,8 @@ hashes are checked against the cell's coordinates, and a part of another cell is
 A round is one pass without a shuffle of vectors: tasks send sums by part, entry and component, which Spark adds up.
 Integers are exact at any size: where squares could leave 64 bits, Python's integers are used, and sums travel in limbs.
 
-Defined results: vectors that are null, or hold a null or non-finite component, are dropped; no vectors give no rows;
+Defined results: vectors that are null, or hold a null or non-finite component (or one that is beyond a double when
+scaled, which single-precision input never is), are dropped; no vectors give no rows;
 fewer vectors than entries make smaller codebooks; vectors shorter than the longest are filled up with zeros to its
 length, rounded up to a whole number of components a part; rows of one id are coded each and come in the order of
 their vectors among the first, null ids last; an error beyond a 64-bit integer is given as the greatest one.
@@ -68,15 +69,15 @@ class Grid:
     """The nearest entry of each part, with a memo of the entries that matter in each cell."""
 
     def __init__(self, codebooks: Codebooks):
-        self.codebooks = [np.array(c, object).reshape(len(c), -1) for c in codebooks]
+        self.codebooks = [np.array(c, object).reshape(len(c), len(c[0]) if c else 0) for c in codebooks]
         self.small = [all(abs(x) < 1 << 26 for e in c for x in e) for c in codebooks]
         self.memo = [Memo(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)) for _ in codebooks]
         self.evaluated = self.parts = 0
 
     def side(self, part: int) -> int:
-        """log2 of a cell's side: one to two standard deviations of the entries' components."""
+        """log2 of a cell's side: one to two mean deviations of the entries' components."""
         entries = self.codebooks[part].astype(np.float64)
-        spread = float(np.sqrt(((entries - entries.mean(axis=0)) ** 2).mean())) if entries.size else 0.0
+        spread = float(np.abs(entries / 64 - (entries / 64).mean(axis=0)).mean() * 64) if entries.size else 0.0
         return int(np.ceil(np.log2(spread))) if spread >= 1 else 0
 
     def alive(self, part: int, cells: np.ndarray, book: np.ndarray, side: int) -> np.ndarray:
@@ -140,13 +141,13 @@ def vectors_of(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[tuple[
         for low in range(0, batch.num_rows, SLICE_ROWS):
             rows = batch.slice(low, SLICE_ROWS)
             values = rows.column("v").flatten().to_numpy(zero_copy_only=False)
-            whole = exact(values).reshape(rows.num_rows, parts, -1)
+            whole = exact(values).reshape(rows.num_rows, parts, len(values) // rows.num_rows // parts)
             yield rows, [whole[:, p] for p in range(parts)]
 
 
 def integers(vectors: DataFrame, parts: int, scale: int) -> DataFrame:
     """vec_id, label and ``v``, the components as whole doubles, of the vectors that are kept; all of one length."""
-    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) != float("inf"))
     kept = vectors.select("vec_id", "label", "embedding").filter(F.col("embedding").isNotNull() & F.forall("embedding", finite))
     longest = kept.agg(F.max(F.size("embedding"))).first()[0] or 0
     length = -(-longest // parts) * parts
@@ -154,6 +155,8 @@ def integers(vectors: DataFrame, parts: int, scale: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             values = np.floor(batch.column("embedding").flatten().to_numpy(zero_copy_only=False) * scale)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * length), pa.array(values))
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), lists], names=["vec_id", "label", "v"])
