@@ -85,6 +85,17 @@ def upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return target.read()
 
 
+@check("q21g_ten_batches_as_runs", UPSERTED)
+def upsert_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Merge on read: ten batches, each written as rows of its own; eight are gathered on the way."""
+    old, new = loads(spark, sf)
+    target = stored(spark, "q21g", buckets=8, delta_runs=True)
+    target.upsert(old, ["o_orderkey"], ["o_orderdate"], keys_are_unique=True)
+    for i in range(10):
+        target.upsert(new.filter(F.pmod(F.col("o_custkey"), F.lit(10)) == i), ["o_orderkey"], ["o_orderdate"], keys_are_unique=True)
+    return target.read()
+
+
 @check(
     "q21d_upsert_array_key",
     f"SELECT form, u.* FROM ({UPSERTED}) u, (VALUES ('joined'), ('broadcast')) AS f(form)",
@@ -441,15 +452,29 @@ EVENT_SILVER = TableContract(
        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, value DESC, event_id DESC) = 1""",
 )
 def streaming_silver(spark: SparkSession, sf: str) -> DataFrame:
+    return _two_drops(spark, sf, "q34", delta_runs=False)
+
+
+@check(
+    "q34b_streaming_silver_as_runs",
+    """SELECT user_id, event_type, ts AS seen_at, value, event_id FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, value DESC, event_id DESC) = 1""",
+)
+def streaming_silver_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The second drop lies beside the table and is merged when it is read."""
+    return _two_drops(spark, sf, "q34b", delta_runs=True)
+
+
+def _two_drops(spark: SparkSession, sf: str, label: str, delta_runs: bool) -> DataFrame:
     """Two drops, the later rows first; the second start finds the checkpoint of the first."""
-    home = work_folder(spark, "q34")
+    home = work_folder(spark, label)
     events = table(spark, sf, "events").withColumn("ts", stamp("ts"))
     bronze = events.withColumn("_ingested_at", F.col("ts"))
-    target = stored(spark, "q34")
+    target = stored(spark, label)
     for part in ("ts >= timestamp '2024-01-12 00:00:00'", "ts < timestamp '2024-01-12 00:00:00'"):
         bronze.filter(part).write.mode("append").parquet(f"{home}/bronze")
         stream = spark.readStream.schema(bronze.schema).parquet(f"{home}/bronze")
-        start_silver(stream, EVENT_SILVER, target, f"{home}/checkpoint").awaitTermination()
+        start_silver(stream, EVENT_SILVER, target, f"{home}/checkpoint", delta_runs=delta_runs).awaitTermination()
     return target.read().drop("_metadata")
 
 

@@ -91,10 +91,15 @@ def _silver_stream(spark: SparkSession, settings: Settings) -> None:
         bronze_stream(spark, _target(settings)),
         targets,
         settings["silver_checkpoint"],
+        keep_versions=int(settings["keep_versions"]) if "keep_versions" in settings else None,
+        delta_runs=settings.get("delta_runs", True),
         **_given(settings, "available_now", "on_error", "share_scan"),
     ).awaitTermination()
-    if "keep_versions" in settings:
-        for _, table in targets.values():
+    # A stream that was drained leaves the catalog with all rows: one fold, however many micro-batches there were.
+    for _, table in targets.values():
+        if settings.get("compact", True) and table.exists:
+            table.compact()
+        if "keep_versions" in settings and table.exists:
             table.expire(int(settings["keep_versions"]))
 
 

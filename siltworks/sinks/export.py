@@ -9,6 +9,7 @@ from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import read_table
 from . import files
 
 # Export format -> (Spark data source, extension of the exported file).
@@ -81,4 +82,4 @@ def export_frame(
 
 def export_table(spark: SparkSession, table: str, output: str, prefix: str, **kwargs) -> str:
     """Export a table or view by name."""
-    return export_frame(spark.read.table(table), output, prefix, **kwargs)
+    return export_frame(read_table(spark, table), output, prefix, **kwargs)

@@ -13,10 +13,17 @@ Two layouts, which belong to the table from its creation on:
 * ``buckets=n``: rows are kept by a hash bucket of the primary key. An upsert reads and rewrites only
   the buckets in which the batch has keys. Choose ``n`` so that a bucket is a few gigabytes;
   ``rebucket`` changes it.
+
+Either can take batches as *runs* (``delta_runs``): an upsert then writes its own rows only, sorted by key, and neither reads
+nor rewrites the table. ``read`` merges base and runs. Runs are gathered in tiers of growing size, and folded into the base
+when together they are a given share of it, so a row is rewritten a bounded number of times however many
+batches there are. The *catalog* shows the base; ``read_table`` and ``StoredTable.read`` show everything, ``compact`` folds
+at once.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Sequence
@@ -24,7 +31,7 @@ from dataclasses import asdict, dataclass, field, replace
 from functools import cached_property
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +39,7 @@ from ..contract import TableContract
 from ..functions.columns import METADATA, ref
 from ..functions.names import quoted
 from ..operators.merge import repeated_keys, upsert, upsert_small
+from ..operators.versions import RUN, Run, merged, run_of, thinned
 from . import files
 
 BUCKET = "_key_bucket"
@@ -42,7 +50,12 @@ SMALL_FILE_BYTES = 32 << 20
 # … and counts as small if its rows, as text, take no more than this: the table is not shuffled then.
 BROADCAST_BYTES = 256 << 20
 
-_VERSION_PROPERTY, _BASE_PROPERTY = "silver.published_version", "silver.base"
+# So many runs of one tier are gathered into one of the next …
+RUNS_PER_TIER = 8
+# … and runs of this share of the base's bytes are folded into it.
+FOLD_SHARE = 0.25
+
+_VERSION_PROPERTY, _LAYOUT_PROPERTY, _BASE_PROPERTY = "silver.published_version", "silver.published_layout", "silver.base"
 _SNAPSHOT = re.compile(r"snap-(\d+)$")
 
 
@@ -95,6 +108,9 @@ class Manifest:
     folders: dict[str, str] = field(default_factory=dict)  # by bucket; the plain layout has one, named ""
     batch: list | None = None
     mark: int | None = None  # greatest bronze ingestion time, in microseconds
+    # Oldest first: folder, tier, rows, bytes (of files), text (bytes of the rows as text), members (number, order_by, columns)
+    runs: list[dict] = field(default_factory=list)
+    base_bytes: int | None = None
 
     @property
     def struct(self) -> T.StructType:
@@ -112,15 +128,16 @@ class StoredTable:
     clustering: tuple[str, ...] = ()
     buckets: int = 0
     base: str | None = None
+    delta_runs: bool = False
 
     @classmethod
     def of_contract(
-        cls, spark: SparkSession, contract: TableContract, name: str, base: str | None = None
+        cls, spark: SparkSession, contract: TableContract, name: str, base: str | None = None, delta_runs: bool = False
     ) -> StoredTable:
         buckets = contract.key_buckets
         if buckets is None:
             buckets = DEFAULT_BUCKETS if contract.primary_keys else 0
-        return cls(spark, name, contract.clustering_keys, buckets, base)
+        return cls(spark, name, contract.clustering_keys, buckets, base, delta_runs)
 
     # -- reading ---------------------------------------------------------------------------
 
@@ -157,6 +174,20 @@ class StoredTable:
         return self._rows(self._known())
 
     def _rows(self, known: Manifest, buckets: Sequence[str] | None = None) -> DataFrame:
+        base = self._base_rows(known, buckets)
+        if not known.runs:
+            return base
+        runs = self._run_rows(known, known.runs)
+        if buckets is not None:
+            runs = runs.filter(_bucket_of(known.keys, known.buckets).cast("string").isin(list(buckets)))
+        small = sum(r["text"] for r in known.runs) <= BROADCAST_BYTES
+        return merged(base, runs, known.keys, _members(known.runs), small)
+
+    def _run_rows(self, known: Manifest, runs: Sequence[dict]) -> DataFrame:
+        schema = T.StructType([*known.struct.fields, T.StructField(RUN, T.LongType())])
+        return self.spark.read.schema(schema).parquet(*[f"{self.base_folder}/{r['folder']}" for r in runs])
+
+    def _base_rows(self, known: Manifest, buckets: Sequence[str] | None = None) -> DataFrame:
         chosen = [f for b, f in known.folders.items() if buckets is None or b in buckets]
         if not chosen:
             return self.spark.createDataFrame([], known.struct)
@@ -168,6 +199,20 @@ class StoredTable:
         """Current data folder of a plain table."""
         return f"{self.base_folder}/{self._known().folders['']}"
 
+    @property
+    def pending_runs(self) -> int:
+        """Runs that the base, and so the catalog, does not have yet."""
+        known = self.manifest()
+        return len(known.runs) if known else 0
+
+    @classmethod
+    def by_name(cls, spark: SparkSession, name: str) -> StoredTable | None:
+        """The stored table behind a name of the catalog; None for any other table or view."""
+        if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType not in ("EXTERNAL", "MANAGED"):
+            return None
+        table = cls(spark, name)
+        return table if _BASE_PROPERTY in table._properties() else None
+
     def last_batch(self) -> Batch | None:
         known = self.manifest()
         return Batch(*known.batch) if known and known.batch else None
@@ -196,7 +241,7 @@ class StoredTable:
             laid = clustered(df, self.clustering) if gather else df.sortWithinPartitions(*[ref(c) for c in self.clustering]) if self.clustering else df
             laid.write.mode("overwrite").parquet(folder)
             return {"": name}
-        placed = df.withColumn(BUCKET, F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(buckets)).cast("int"))
+        placed = df.withColumn(BUCKET, _bucket_of(keys, buckets).cast("int"))
         if gather:
             placed = placed.hint("rebalance", BUCKET)
         placed = placed.sortWithinPartitions(BUCKET, *[ref(c) for c in self.clustering])
@@ -267,8 +312,13 @@ class StoredTable:
         if known is None:
             self.create(new, keys, batch, refuse_repeats=not keys_are_unique)
             return
-        if known.buckets and [k.lower() for k in keys] != [k.lower() for k in known.keys]:
+        if (known.buckets or known.runs or self.delta_runs and known.keys) and [k.lower() for k in keys] != [k.lower() for k in known.keys]:
             raise ValueError(f"the table {self.name} is kept by {known.keys}, not by {list(keys)}")
+        if self.delta_runs:
+            return self._append_run(replace(known, keys=list(known.keys or keys)), new, keys, order_by, batch, keys_are_unique)
+        if known.runs:
+            self.compact()
+            known = self._known()
         self.publish()
         types = {f.name.lower(): f.dataType for f in known.struct.fields}
         for k in keys:
@@ -290,21 +340,79 @@ class StoredTable:
                 return
             touched = None
             if known.buckets:
-                bucket = F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(known.buckets))
-                touched = [str(r[0]) for r in staged.select(bucket).distinct().collect()]  # at most one row per bucket
+                touched = [str(r[0]) for r in staged.select(_bucket_of(keys, known.buckets)).distinct().collect()]  # at most one row per bucket
             small = self._is_small(staged, staged_path)
-            merged = (upsert_small if small else upsert)(self._rows(known, touched), staged, keys, order_by)
-            folders = self._write(merged, known.keys, known.buckets, version, gather=not small)
+            result = (upsert_small if small else upsert)(self._rows(known, touched), staged, keys, order_by)
+            folders = self._write(result, known.keys, known.buckets, version, gather=not small)
             kept = {b: f for b, f in known.folders.items() if touched is not None and b not in touched}
-            self._commit(replace(after, schema=_stored_schema(merged.schema), folders={**kept, **folders}))
+            self._commit(replace(after, schema=_stored_schema(result.schema), folders={**kept, **folders}, base_bytes=None))
         finally:
             files.delete(self.spark, staged_path)
 
+    def _append_run(self, known: Manifest, new: DataFrame, keys: Sequence[str], order_by: Sequence[str], batch: Batch | None, keys_are_unique: bool) -> None:
+        """Commit a batch as rows of its own. Values take the types that the table has; new columns are added."""
+        if not keys:
+            raise ValueError("an upsert needs at least one key")
+        have = {f.name.lower(): f for f in known.struct.fields}
+        columns = [ref(f.name).cast(have[f.name.lower()].dataType).alias(have[f.name.lower()].name) if f.name.lower() in have else ref(f.name) for f in new.schema.fields]
+        struct = _with_fields(known.struct, new.schema)
+        version = self._next_version(known)
+        folder, name = self._folder(version), f"snap-{version:06d}"
+        run = new.select(*columns, F.lit(version).cast("bigint").alias(RUN))
+        run.sortWithinPartitions(*[ref(k) for k in keys]).write.mode("overwrite").parquet(folder)
+        after = replace(known, version=version, batch=list(batch) if batch else known.batch, schema=_stored_schema(struct))
+        entry = {"folder": name, "tier": 0, "members": [[version, list(order_by), sorted(f.name.lower() for f in new.schema.fields)]]}
+        written = self._run_rows(after, [entry])
+        if not keys_are_unique:
+            try:
+                self._refuse_repeats(written, keys)
+            except ValueError:
+                files.delete(self.spark, folder)
+                raise
+        entry = self._measured(entry, written)
+        marks = [m for m in (known.mark, _mark_of(written)) if m is not None]
+        after = replace(after, mark=max(marks, default=None), runs=[*known.runs, entry] if entry["rows"] else known.runs)
+        self._commit(after)
+        self._tidy(after)
+
+    def _measured(self, entry: dict, rows: DataFrame) -> dict:
+        n, text = rows.agg(F.count(F.lit(1)), F.sum(_text_bytes(rows))).first()
+        return {**entry, "rows": n, "text": text or 0, "bytes": files.total_bytes(self.spark, f"{self.base_folder}/{entry['folder']}")}
+
+    def _tidy(self, known: Manifest) -> None:
+        """Gather the runs of a full tier, or fold all runs that have grown to a share of the base."""
+        if known.base_bytes is None:
+            known = replace(known, base_bytes=sum(files.total_bytes(self.spark, f"{self.base_folder}/{f}") for f in known.folders.values()))
+            self._commit(known)
+        if sum(r["bytes"] for r in known.runs) >= FOLD_SHARE * known.base_bytes and len(known.runs) >= RUNS_PER_TIER:
+            return self.compact()
+        while known.runs and len(newest := [r for r in known.runs if r["tier"] == known.runs[-1]["tier"]]) >= RUNS_PER_TIER:
+            version = self._next_version(known)
+            rows = thinned(self._run_rows(known, newest), known.keys, _members(newest))
+            keys = [ref(k) for k in known.keys]
+            rows.repartitionByRange(*keys).sortWithinPartitions(*keys, RUN).write.mode("overwrite").parquet(self._folder(version))
+            entry = {"folder": f"snap-{version:06d}", "tier": newest[0]["tier"] + 1, "members": [m for r in newest for m in r["members"]]}
+            entry = self._measured(entry, self._run_rows(known, [entry]))
+            known = replace(known, version=version, runs=[*[r for r in known.runs if r not in newest], entry])
+            self._commit(known)
+
+    def compact(self) -> None:
+        """Fold all runs into the base: only buckets that the runs have keys of are rewritten."""
+        known = self._known()
+        if not known.runs:
+            return
+        touched = None
+        if known.buckets:
+            touched = [str(r[0]) for r in self._run_rows(known, known.runs).select(_bucket_of(known.keys, known.buckets)).distinct().collect()]
+        version = self._next_version(known)
+        folders = self._write(self._rows(known, touched), known.keys, known.buckets, version)
+        kept = {b: f for b, f in known.folders.items() if touched is not None and b not in touched}
+        self._commit(replace(known, version=version, folders={**kept, **folders}, runs=[], base_bytes=None))
+
     def _is_small(self, staged: DataFrame, path: str) -> bool:
         if files.total_bytes(self.spark, path) > SMALL_FILE_BYTES:
             return False
-        text = F.octet_length(F.to_json(F.struct(*[ref(c) for c in staged.columns]), {"ignoreNullFields": "false"}))
-        return (staged.agg(F.sum(text)).first()[0] or 0) <= BROADCAST_BYTES
+        return (staged.agg(F.sum(_text_bytes(staged))).first()[0] or 0) <= BROADCAST_BYTES
 
     def _refuse_repeats(self, new: DataFrame, keys: Sequence[str]) -> None:
         if not repeated_keys(new, keys).isEmpty():
@@ -319,6 +427,10 @@ class StoredTable:
         properties = self._properties() if there else {}
         if properties.get(_VERSION_PROPERTY) == str(known.version):
             return
+        layout = hashlib.sha256(json.dumps([known.schema, known.folders], sort_keys=True).encode()).hexdigest()
+        if there and properties.get(_LAYOUT_PROPERTY) == layout:  # a commit of rows beside the base
+            self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{_VERSION_PROPERTY}' = '{known.version}')")
+            return
         whole = T.StructType([*known.struct.fields, *([T.StructField(BUCKET, T.IntegerType())] if known.buckets else [])])
         comment, comments = None, {}
         if there:
@@ -341,7 +453,7 @@ class StoredTable:
             self._point_buckets(known)
         else:
             self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{self.base_folder}/{known.folders['']}'")
-        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{_VERSION_PROPERTY}' = '{known.version}', '{_BASE_PROPERTY}' = '{self.base_folder}')")
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{_VERSION_PROPERTY}' = '{known.version}', '{_LAYOUT_PROPERTY}' = '{layout}', '{_BASE_PROPERTY}' = '{self.base_folder}')")
         self.spark.catalog.refreshTable(self.name)
 
     def _register(self, whole: T.StructType, known: Manifest, comment: str | None, comments: dict, properties: dict) -> None:
@@ -350,7 +462,7 @@ class StoredTable:
         ])
         where = self._folder(known.version) if known.buckets else f"{self.base_folder}/{known.folders['']}"
         literal = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        own = {k: v for k, v in properties.items() if k != _VERSION_PROPERTY and not k.startswith(("spark.", "transient_"))}
+        own = {k: v for k, v in properties.items() if k not in (_VERSION_PROPERTY, _LAYOUT_PROPERTY) and not k.startswith(("spark.", "transient_"))}
         self.spark.sql(
             f"CREATE TABLE {self.name} ({ddl(self.spark, described)}) USING parquet "
             + (f"PARTITIONED BY ({BUCKET}) " if known.buckets else "")
@@ -380,15 +492,29 @@ class StoredTable:
             raise ValueError("at least one version must be kept")
         known = self._known()
         self.publish()
-        current = set(known.folders.values())
+        current = {*known.folders.values(), *(r["folder"] for r in known.runs)}
         found = [(int(m.group(1)), f) for f in files.listing(self.spark, self.base_folder) if (m := _SNAPSHOT.search(f.name))]
         for _, f in sorted(found, key=lambda x: x[0])[:-keep]:
-            for part in files.listing(self.spark, f.path) if known.buckets else [f]:
-                name = f"{f.name}/{part.name}" if known.buckets else part.name
-                if part.is_dir and name not in current:
+            if f.name in current:
+                continue
+            parts = [p for p in files.listing(self.spark, f.path) if p.name.startswith(BUCKET + "=")]
+            for part in parts or [f]:
+                if not parts or f"{f.name}/{part.name}" not in current:
                     files.delete(self.spark, part.path)
 
 
+def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(buckets))
+
+
+def _members(runs: Sequence[dict]) -> list[Run]:
+    return [run_of(m) for r in runs for m in r["members"]]
+
+
+def _text_bytes(rows: DataFrame) -> Column:
+    return F.octet_length(F.to_json(F.struct(*[ref(c) for c in rows.columns]), {"ignoreNullFields": "false"}))
+
+
 def _mark_of(rows: DataFrame) -> int | None:
     """Greatest bronze ingestion time of rows with lineage, in microseconds."""
     if METADATA not in rows.columns or "bronze_ingested_at" not in getattr(rows.schema[METADATA].dataType, "names", ()):

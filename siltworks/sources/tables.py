@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sinks.store import StoredTable
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A named table; a missing one is an error."""
-    return spark.read.table(name)
+    """A named table with all its commits, those that are not folded into it yet included; a missing one is an error."""
+    stored = StoredTable.by_name(spark, name)
+    return stored.read() if stored is not None and stored.pending_runs else spark.read.table(name)
 
 
 def table_if_exists(spark: SparkSession, name: str) -> DataFrame | None:
-    return spark.read.table(name) if spark.catalog.tableExists(name) else None
+    return read_table(spark, name) if spark.catalog.tableExists(name) else None
