@@ -140,6 +140,61 @@ def ingest_late_fields(spark: SparkSession, sf: str) -> DataFrame:
     return read_bronze(spark, target).select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
+@check(
+    "q03c_repeated_headers",
+    """SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS name_1,
+              CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS balance FROM customer""",
+)
+def ingest_repeated_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """A file of nothing but a header, files whose header has a name twice, and files without it."""
+    landing, target = landing_and_bronze(spark, "q03c", "csv")
+    customer = table(spark, sf, "customer")
+    twice = ("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    drops = (
+        ("id,name,name,balance", None),
+        ("id,name,name,balance", customer.filter("c_custkey % 2 = 0").select(*twice)),
+        ("name,id", customer.filter("c_custkey % 2 = 1").select("c_name", "c_custkey")),
+    )
+    for hour, (header, rows) in enumerate(drops):
+        headed_lines(spark, header, rows).write.text(f"{landing.path}/20240101/0{hour}")
+        ingest(spark, landing, target)
+    return read_bronze(spark, target).select(F.col("id").cast("bigint").alias("id"), "name", "name_1", "balance")
+
+
+def headed_lines(spark: SparkSession, header: str, rows: DataFrame | None) -> DataFrame:
+    """Lines of comma-separated files, each task's file with the header; the writer of such files refuses repeated names."""
+    if rows is None:
+        return spark.range(1, numPartitions=1).select(F.lit(header).alias("value"))
+    line, first = F.concat_ws(",", *rows.columns), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    return rows.select(F.when(first, F.concat(F.lit(header + "\n"), line)).otherwise(line).alias("value"))
+
+
+@check(
+    "q04c_growing_types",
+    """SELECT form, CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey + 3000000000 ELSE o_orderkey END AS id,
+              CASE WHEN o_orderkey % 2 = 1 THEN o_totalprice ELSE floor(o_totalprice) END AS amount,
+              CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey % 3 = 0 END AS flag, true AS fits
+       FROM orders, (VALUES ('csv'), ('json')) AS f(form)""",
+)
+def ingest_growing_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Nothing but names, then small whole numbers, then large and broken ones, and a column whose first values come last."""
+    orders = table(spark, sf, "orders")
+    late = F.col("o_orderkey") % 2 == 1
+    whole = orders.filter(~late).select(F.col("o_orderkey").alias("id"), F.floor("o_totalprice").alias("amount"), F.lit(None).cast("string").alias("flag"))
+    broken = orders.filter(late).select((F.col("o_orderkey") + 3000000000).alias("id"), F.col("o_totalprice").alias("amount"), (F.col("o_orderkey") % 3 == 0).alias("flag"))
+    found = []
+    for form in ("csv", "json"):
+        landing, target = landing_and_bronze(spark, f"q04c_{form}", form)
+        for hour, rows in enumerate((whole.limit(0).coalesce(1), whole, broken)):
+            writer = rows.write.options(header="true", ignoreNullFields="false")
+            getattr(writer, form)(f"{landing.path}/20240101/0{hour}")
+            ingest(spark, landing, target)
+        bronze = read_bronze(spark, target)
+        fits = F.col("_rescued_data").isNull().alias("fits")
+        found.append(bronze.select(F.lit(form).alias("form"), F.col("id").cast("bigint").alias("id"), F.col("amount").cast("double").alias("amount"), "flag", fits))
+    return found[0].unionByName(found[1])
+
+
 def exported(spark: SparkSession, sf: str, label: str, file_format: str, **kwargs) -> tuple[DataFrame, str]:
     part = table(spark, sf, "part")
     path = export_frame(part, work_folder(spark, label), "parts", file_format, **kwargs)

@@ -15,8 +15,9 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import count
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,8 @@ JSON, CSV = "json", "csv"
 MAX_FILE_AGE = "36500d"
 # Files that one micro-batch takes at most, unless it is told otherwise; the driver holds their names.
 FILES_PER_BATCH = 5_000
+# Metadata of a field of which no value was seen yet.
+EVIDENCE = "evidence"
 # Options of the file source itself, the others are for the reader.
 SOURCE_OPTIONS = ("pathGlobFilter", "modifiedAfter", "modifiedBefore", "cleanSource", "sourceArchiveDir", "latestFirst")
 
@@ -107,36 +110,93 @@ def infer_schema(
     return T.StructType(fields) if fields else None
 
 
+def is_evident(f: T.StructField) -> bool:
+    """Whether any value has been seen: the type of a column without values is a mere placeholder."""
+    return (f.metadata or {}).get(EVIDENCE, True)
+
+
+def with_evidence(spark: SparkSession, landing: Landing, seen: T.StructType, paths: Sequence[str]) -> T.StructType:
+    """``seen`` with a mark on columns that inference calls text because they hold nothing at all.
+
+    Only text columns of which no value was seen in earlier batches either are looked at.
+    """
+    known = _kept_schema(spark, landing)
+    sure = {f.name for f in known.fields if is_evident(f)} if known else set()
+    doubtful = [f.name for f in seen.fields if isinstance(f.dataType, T.StringType) and f.name not in sure]
+    if not landing.infer_types or not doubtful:
+        return seen
+    reader = _configured(spark, landing).schema(seen).option("enforceSchema", "true")
+    rows = reader.load(list(map(literal_path, paths)))
+    found = rows.agg(*[F.max(ref(n).isNotNull()) for n in doubtful]).first()
+    empty = {n for n, any_value in zip(doubtful, found) if not any_value}
+    return T.StructType([T.StructField(f.name, f.dataType, True, {EVIDENCE: False} if f.name in empty else {}) for f in seen.fields])
+
+
 def widened(known: T.DataType, seen: T.DataType) -> T.DataType:
-    """Add the fields of ``seen`` at every depth; a type once remembered stays.
+    """The least type that holds what both hold, of those that files of either type can be read with.
 
-    Stored rows have the old type, so a value that does not fit it becomes null and its record is
-    kept in the rescue column.
+    Fields are added at every depth. A column of which no value was seen takes any type. Numbers grow:
+    int < bigint < decimal, int < double, float < double; bigint and double meet in a decimal. Between other types the known one
+    stays, and a value that does not fit it becomes null and its record is kept in the rescue column.
     """
     if isinstance(known, T.StructType) and isinstance(seen, T.StructType):
-        have = {f.name: f for f in known.fields}
+        have, others = {f.name for f in known.fields}, {s.name: s for s in seen.fields}
         fields = []
         for f in known.fields:
-            other = next((s for s in seen.fields if s.name == f.name), None)
-            dtype = widened(f.dataType, other.dataType) if other else f.dataType
-            fields.append(T.StructField(f.name, dtype, True))
-        fields += [T.StructField(s.name, s.dataType, True) for s in seen.fields if s.name not in have]
-        return T.StructType(fields)
+            other = others.get(f.name)
+            if other is None or not is_evident(other):
+                fields.append(_plain_field(f))
+            elif not is_evident(f):
+                fields.append(_plain_field(other))
+            else:
+                fields.append(T.StructField(f.name, widened(f.dataType, other.dataType), True))
+        return T.StructType(fields + [_plain_field(s) for s in seen.fields if s.name not in have])
     if isinstance(known, T.ArrayType) and isinstance(seen, T.ArrayType):
         return T.ArrayType(widened(known.elementType, seen.elementType), True)
-    return known
+    return _grown(known, seen)
+
+
+def _plain_field(f: T.StructField) -> T.StructField:
+    return T.StructField(f.name, f.dataType, True, {} if is_evident(f) else {EVIDENCE: False})
+
+
+def _grown(known: T.DataType, seen: T.DataType) -> T.DataType:
+    whole = {T.IntegerType: 10, T.LongType: 20}
+    real = (T.FloatType, T.DoubleType)
+    kinds = {type(known), type(seen)}
+    if kinds == {T.IntegerType, T.LongType}:
+        return T.LongType()
+    if isinstance(seen, T.DoubleType) and isinstance(known, (T.IntegerType, T.FloatType)):
+        return T.DoubleType()
+    if isinstance(known, real) or not kinds <= {*whole, *real, T.DecimalType}:
+        return known  # files of doubles cannot be read as anything wider
+    if kinds <= set(whole):
+        return known
+
+    def digits(t: T.DataType) -> tuple[int, int]:
+        """Digits before and after the point."""
+        return (t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (whole[type(t)], 0) if type(t) in whole else (20, 18)
+
+    (a, b), (c, d) = digits(known), digits(seen)
+    before = max(a, c)
+    return T.DecimalType(min(38, before + max(b, d)), min(max(b, d), max(b, 38 - before)))
+
+
+def _kept_schema(spark: SparkSession, landing: Landing) -> T.StructType | None:
+    if landing.schema_folder is None:
+        return None
+    text = files.read_text(spark, f"{landing.schema_folder.rstrip('/')}/schema.json")
+    return None if text is None else T.StructType.fromJson(json.loads(text)["schema"])
 
 
 def remembered_schema(spark: SparkSession, landing: Landing, seen: T.StructType | None) -> T.StructType | None:
     """What is kept in the schema folder, widened by what was seen now."""
     if landing.schema_folder is None:
         return seen
-    file = f"{landing.schema_folder.rstrip('/')}/schema.json"
-    text = files.read_text(spark, file)
-    known = None if text is None else T.StructType.fromJson(json.loads(text)["schema"])
+    known = _kept_schema(spark, landing)
     schema = seen if known is None else known if seen is None else widened(known, seen)
     if schema is not None and schema != known:
-        files.write_text(spark, file, json.dumps({"schema": schema.jsonValue()}))
+        files.write_text(spark, f"{landing.schema_folder.rstrip('/')}/schema.json", json.dumps({"schema": schema.jsonValue()}))
     return schema
 
 
@@ -146,14 +206,33 @@ def _with_rescue(schema: T.StructType, landing: Landing) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(landing.rescue_column, T.StringType())])
 
 
-def layouts(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+def layouts(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
     """CSV files by their header lines. Only first lines are fetched, of the files of one micro-batch."""
     by_header = defaultdict(list)
     with ThreadPoolExecutor(max_workers=16) as pool:
         for path, line in zip(paths, pool.map(lambda p: files.first_line(spark, p), paths)):
             if line is not None:
                 by_header[line].append(path)
-    return list(by_header.values())
+    return dict(by_header)
+
+
+def header_names(spark: SparkSession, landing: Landing, line: str, paths: Sequence[str], seen: T.StructType) -> T.StructType:
+    """The columns of one layout under the names of its header; of equal names the later ones get ``_1``, ``_2`` …
+
+    The reader numbers *all* columns of a name that occurs twice, by their place; such a header is split once more as it stands.
+    """
+    if all(f.name in line for f in seen.fields):
+        return seen
+    head = _configured(spark, landing).option("header", "false").load(literal_path(paths[0])).first()
+    taken: set[str] = set()
+    names = []
+    own = [n if n is not None else f.name for n, f in zip(head, seen.fields)]
+    reserved = {n.lower() for n in own}
+    for name in own:
+        free = name if name.lower() not in taken else next(t for i in count(1) if (t := f"{name}_{i}").lower() not in taken | reserved)
+        taken.add(free.lower())
+        names.append(free)
+    return T.StructType([T.StructField(n, f.dataType, True, f.metadata) for n, f in zip(names, seen.fields)])
 
 
 def read_files(
@@ -161,33 +240,48 @@ def read_files(
 ) -> DataFrame | None:
     """The rows of these files, under the remembered schema and what they add to it.
 
-    ``schema`` skips inference altogether. None when no file holds anything.
+    ``schema`` skips inference altogether. None when no file holds anything. Columns of which no value was seen
+    carry a mark in their metadata.
     """
     if landing.format == JSON:
-        schema = schema or remembered_schema(spark, landing, infer_schema(spark, landing, paths))
+        if schema is None:
+            seen = infer_schema(spark, landing, paths)
+            schema = remembered_schema(spark, landing, seen and with_evidence(spark, landing, seen, paths))
         if schema is None:
             return None
         reader = _configured(spark, landing).schema(_with_rescue(schema, landing))
-        return reader.load(list(map(literal_path, paths)))
+        rows = reader.load(list(map(literal_path, paths)))
+        return rows.select(*_marked(_with_rescue(schema, landing)))
     groups = layouts(spark, paths)
-    own = [infer_schema(spark, landing, group) for group in groups]
+    own = []
+    for line, group in groups.items():
+        seen = infer_schema(spark, landing, group)
+        if seen is not None:
+            if schema is None:
+                seen = with_evidence(spark, landing, seen, group)
+            own.append((header_names(spark, landing, line, group, seen), group, seen))
     if schema is None:
-        for seen in own:
-            schema = remembered_schema(spark, landing, seen if schema is None or seen is None else widened(schema, seen))
-    if schema is None or not any(own):
+        for named, _, _ in own:
+            schema = remembered_schema(spark, landing, named if schema is None else widened(schema, named))
+    if schema is None or not own:
         return None
     types = {f.name: f.dataType for f in schema.fields}
     frames = []
-    for group, seen in zip(groups, own):
-        if seen is not None:
-            ordered = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in seen.fields])
-            reader = _configured(spark, landing).schema(_with_rescue(ordered, landing))
-            frames.append(reader.load(list(map(literal_path, group))).select("*", "_metadata"))
+    for named, group, seen in own:
+        ordered = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in named.fields])
+        reader = _configured(spark, landing).schema(_with_rescue(ordered, landing))
+        if named.names != seen.names:  # one header for all files of the group, so columns are known by their place
+            reader = reader.option("enforceSchema", "true")
+        frames.append(reader.load(list(map(literal_path, group))).select("*", "_metadata"))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     for f in schema.fields:
         if f.name not in rows.columns:
             rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return rows.select(*[ref(n) for n in (*_with_rescue(schema, landing).names, "_metadata")])
+    return rows.select(*_marked(_with_rescue(schema, landing)), "_metadata")
+
+
+def _marked(schema: T.StructType) -> list[Column]:
+    return [ref(f.name) if is_evident(f) else ref(f.name).alias(f.name, metadata={EVIDENCE: False}) for f in schema.fields]
 
 
 def landed_files(

@@ -19,7 +19,7 @@ from ..functions.columns import INGESTION_DATE, with_audit_columns
 from ..functions.names import quoted, with_safe_names
 from ..sinks import files
 from ..sinks.store import ddl, ensure_database
-from ..sources.landing import MAX_FILE_AGE, Landing, landed_files, read_files, reading_session, widened
+from ..sources.landing import MAX_FILE_AGE, Landing, is_evident, landed_files, read_files, reading_session, widened
 
 BATCH = "_batch"
 
@@ -50,7 +50,7 @@ def _remember(spark: SparkSession, target: BronzeTarget, schema: T.StructType) -
     """Keep the union of all schemas written, so readers need not open any file footer for it."""
     text = files.read_text(spark, target.schema_file)
     known = None if text is None else T.StructType.fromJson(json.loads(text))
-    union = schema if known is None else widened(known, schema)
+    union = widened(T.StructType([]) if known is None else known, schema)
     if union != known:
         files.write_text(spark, target.schema_file, json.dumps(union.jsonValue()))
     return union
@@ -103,7 +103,9 @@ def start_ingest(
         bronze = bronze_frame(landed)
         stream = json.loads(files.read_text(session, f"{target.checkpoint.rstrip('/')}/metadata"))["id"]
         folder = f"{target.path.rstrip('/')}/{BATCH}={stream}-{batch_id:09d}"
-        bronze.write.mode("overwrite").options(**dict(target.write_options)).partitionBy(INGESTION_DATE).parquet(folder)
+        # A column without values takes no place in files, so it may still take any type.
+        valued = bronze.select(*[quoted(f.name) for f in bronze.schema.fields if is_evident(f)])
+        valued.write.mode("overwrite").options(**dict(target.write_options)).partitionBy(INGESTION_DATE).parquet(folder)
         _register(batch.sparkSession, target, _remember(session, target, bronze.schema), folder)
 
     writer = (
