@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Mapping
 from unittest import mock
@@ -251,6 +252,25 @@ def create_clustered(spark: SparkSession, sf: str) -> DataFrame:
     return target.read()
 
 
+@check(
+    "q20b_files_are_skipped",
+    """SELECT form, o.* FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
+         WHERE o_orderdate BETWEEN TIMESTAMP '1995-03-01' AND TIMESTAMP '1995-03-31' AND o_orderkey >= 100) o,
+         (VALUES ('plain'), ('buckets')) AS f(form)""",
+)
+def read_few_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of the clustering column opens the files whose ends, kept in the table's statistics, meet it."""
+    orders, _ = loads(spark, sf)
+    march = (dt.datetime(1995, 3, 1, tzinfo=dt.timezone.utc), dt.datetime(1995, 3, 31, tzinfo=dt.timezone.utc))
+    found = []
+    for form, buckets in (("plain", 0), ("buckets", 4)):
+        target = stored(spark, f"q20b_{form}", buckets=buckets, clustering=("o_orderdate",))
+        target.create(orders, ["o_orderkey"])
+        rows = target.read_where({"o_orderdate": march, "o_orderkey": (100, None)})
+        found.append(rows.select(F.lit(form).alias("form"), *ORDER_COLUMNS))
+    return found[0].unionByName(found[1])
+
+
 @check(
     "q05_overwrite_table",
     "SELECT s_suppkey, s_name, s_acctbal + 2 AS s_acctbal, s_nationkey % 5 AS zone FROM supplier",

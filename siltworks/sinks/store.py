@@ -17,7 +17,8 @@ Two layouts, which belong to the table from its creation on:
 Either can take batches as *runs* (``delta_runs``): an upsert then writes its own rows only, sorted by key, and neither reads
 nor rewrites the table. ``read`` merges base and runs. Runs are gathered in tiers of growing size, and folded into the base
 when together they are a given share of it, so a row is rewritten a bounded number of times however many
-batches there are. The *catalog* shows the base; ``read_table`` and ``StoredTable.read`` show everything, ``compact`` folds
+batches there are. For clustered tables the ends of clustering and key columns are kept by file, beside the data: ``read_where`` opens
+only files that can hold what is asked for. The *catalog* shows the base; ``read_table`` and ``StoredTable.read`` show everything, ``compact`` folds
 at once.
 """
 
@@ -26,9 +27,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import and_, or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,6 +113,8 @@ class Manifest:
     # Oldest first: folder, tier, rows, bytes (of files), text (bytes of the rows as text), members (number, order_by, columns)
     runs: list[dict] = field(default_factory=list)
     base_bytes: int | None = None
+    # Statistics of the base's files: folder of the statistics, snapshot they are of, columns
+    stats: list[dict] = field(default_factory=list)
 
     @property
     def struct(self) -> T.StructType:
@@ -173,8 +177,8 @@ class StoredTable:
         """The rows of the last commit."""
         return self._rows(self._known())
 
-    def _rows(self, known: Manifest, buckets: Sequence[str] | None = None) -> DataFrame:
-        base = self._base_rows(known, buckets)
+    def _rows(self, known: Manifest, buckets: Sequence[str] | None = None, paths: Sequence[str] | None = None) -> DataFrame:
+        base = self._base_rows(known, buckets, paths)
         if not known.runs:
             return base
         runs = self._run_rows(known, known.runs)
@@ -183,12 +187,55 @@ class StoredTable:
         small = sum(r["text"] for r in known.runs) <= BROADCAST_BYTES
         return merged(base, runs, known.keys, _members(known.runs), small)
 
+    def read_where(self, ranges: Mapping[str, tuple]) -> DataFrame:
+        """The rows whose columns lie in these ranges, ends included (None: open): ``{"day": (low, high)}``.
+
+        Files whose least and greatest values, kept since they were written, lie outside are not opened. While runs are
+        pending only ranges of key columns choose files, as a run may change any other value.
+        """
+        known = self._known()
+        if not ranges:
+            return self._rows(known)
+        chosen = [c for c in ranges if not known.runs or c.lower() in {k.lower() for k in known.keys}]
+        paths = self._matching_files(known, {c: ranges[c] for c in chosen}) if chosen else None
+        rows = self._rows(known, paths=paths)
+        return rows.filter(reduce(and_, [_within(ref(c), ref(c), *ends) for c, ends in ranges.items()]))
+
+    def _matching_files(self, known: Manifest, ranges: Mapping[str, tuple]) -> list[str]:
+        """Paths below the base folder; whole folders where a commit left no statistics."""
+        told = {s["of"] for s in known.stats}
+        found = [f for f in known.folders.values() if f.split("/")[0] not in told]
+        current = [F.col("folder") == f for f in known.folders.values()]
+        for s in known.stats:
+            slots = {c.lower(): i for i, c in enumerate(s["columns"])}
+            tests = [_within(F.col(f"low_{i}"), F.col(f"high_{i}"), *ends) for c, ends in ranges.items() if (i := slots.get(c.lower())) is not None]
+            files_of = self.spark.read.parquet(f"{self.base_folder}/{s['folder']}").filter(reduce(or_, current))
+            found += [r["file"] for r in reduce(DataFrame.filter, tests, files_of).select("file").collect()]
+        return found
+
+    def _with_stats(self, new: Manifest) -> Manifest:
+        """Count rows and note the ends of clustering and key columns, file by file, of the snapshot just written."""
+        name = f"snap-{new.version:06d}"
+        used = {f.split("/")[0] for f in new.folders.values()}
+        kept = [s for s in new.stats if s["of"] in used]
+        fields = {f.name.lower(): f for f in new.struct.fields}
+        plain = [f for c in dict.fromkeys([*self.clustering, *new.keys]) if (f := fields.get(c.lower())) and isinstance(f.dataType, T.AtomicType)]
+        if not self.clustering or not plain or name not in used:
+            return replace(new, stats=kept)
+        rows = self.spark.read.schema(T.StructType(plain)).parquet(*[f"{self.base_folder}/{f}" for f in new.folders.values() if f.split("/")[0] == name])
+        file = F.regexp_extract("_metadata.file_path", r"(snap-[0-9]+/.*)\z", 1).alias("file")
+        ends = [e for i, f in enumerate(plain) for e in (F.min(ref(f.name)).alias(f"low_{i}"), F.max(ref(f.name)).alias(f"high_{i}"))]
+        told = rows.select("*", file).groupBy("file").agg(F.count(F.lit(1)).alias("rows"), *ends)
+        told = told.withColumn("folder", F.regexp_replace("file", r"/[^/]*\z", ""))
+        told.coalesce(1).write.mode("overwrite").parquet(f"{self._folder(new.version)}-stats")
+        return replace(new, stats=[*kept, {"folder": f"{name}-stats", "of": name, "columns": [f.name for f in plain]}])
+
     def _run_rows(self, known: Manifest, runs: Sequence[dict]) -> DataFrame:
         schema = T.StructType([*known.struct.fields, T.StructField(RUN, T.LongType())])
         return self.spark.read.schema(schema).parquet(*[f"{self.base_folder}/{r['folder']}" for r in runs])
 
-    def _base_rows(self, known: Manifest, buckets: Sequence[str] | None = None) -> DataFrame:
-        chosen = [f for b, f in known.folders.items() if buckets is None or b in buckets]
+    def _base_rows(self, known: Manifest, buckets: Sequence[str] | None = None, paths: Sequence[str] | None = None) -> DataFrame:
+        chosen = [f for b, f in known.folders.items() if buckets is None or b in buckets] if paths is None else paths
         if not chosen:
             return self.spark.createDataFrame([], known.struct)
         paths = [f"{self.base_folder}/{f}" for f in chosen]
@@ -280,7 +327,7 @@ class StoredTable:
             except ValueError:
                 files.delete(self.spark, self._folder(version))
                 raise
-        self._commit(replace(new, mark=_mark_of(self._rows(new))))
+        self._commit(self._with_stats(replace(new, mark=_mark_of(self._rows(new)))))
 
     def overwrite(self, df: DataFrame, keys: Sequence[str] = ()) -> None:
         """Replace all rows; the schema may change. The query may read the table itself: it is written once, then switched to."""
@@ -345,7 +392,7 @@ class StoredTable:
             result = (upsert_small if small else upsert)(self._rows(known, touched), staged, keys, order_by)
             folders = self._write(result, known.keys, known.buckets, version, gather=not small)
             kept = {b: f for b, f in known.folders.items() if touched is not None and b not in touched}
-            self._commit(replace(after, schema=_stored_schema(result.schema), folders={**kept, **folders}, base_bytes=None))
+            self._commit(self._with_stats(replace(after, schema=_stored_schema(result.schema), folders={**kept, **folders}, base_bytes=None)))
         finally:
             files.delete(self.spark, staged_path)
 
@@ -407,7 +454,7 @@ class StoredTable:
         version = self._next_version(known)
         folders = self._write(self._rows(known, touched), known.keys, known.buckets, version)
         kept = {b: f for b, f in known.folders.items() if touched is not None and b not in touched}
-        self._commit(replace(known, version=version, folders={**kept, **folders}, runs=[], base_bytes=None))
+        self._commit(self._with_stats(replace(known, version=version, folders={**kept, **folders}, runs=[], base_bytes=None)))
 
     def _is_small(self, staged: DataFrame, path: str) -> bool:
         if files.total_bytes(self.spark, path) > SMALL_FILE_BYTES:
@@ -494,7 +541,10 @@ class StoredTable:
         self.publish()
         current = {*known.folders.values(), *(r["folder"] for r in known.runs)}
         found = [(int(m.group(1)), f) for f in files.listing(self.spark, self.base_folder) if (m := _SNAPSHOT.search(f.name))]
+        used = {c.split("/")[0] for c in current}
         for _, f in sorted(found, key=lambda x: x[0])[:-keep]:
+            if f.name not in used:
+                files.delete(self.spark, f"{f.path}-stats")
             if f.name in current:
                 continue
             parts = [p for p in files.listing(self.spark, f.path) if p.name.startswith(BUCKET + "=")]
@@ -503,6 +553,12 @@ class StoredTable:
                     files.delete(self.spark, part.path)
 
 
+def _within(low: Column, high: Column, least, most) -> Column:
+    """Whether values from ``low`` to ``high`` can lie between the ends."""
+    tests = [*([] if least is None else [high >= F.lit(least)]), *([] if most is None else [low <= F.lit(most)])]
+    return reduce(and_, tests, low.isNotNull())
+
+
 def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(buckets))
 
