@@ -12,7 +12,8 @@ import base64
 import sys
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,9 @@ SYMBOLS = O, L, N, SHORT, LONG, RUN, SPACE, BREAK = range(8)
 # States: what the token that is open consists of so far.
 STATES = NONE, LETTERS, NUMBERS, OTHERS, WHITES, LEAD, ONE_MORE, TWO_MORE = range(8)
 
+# Bytes of a piece beyond which it is merged by itself.
+LONG_PIECE = 256
+
 
 def step(state: int, symbol: int) -> tuple[int, bool]:
     """The next state, and whether a token begins here."""
@@ -145,14 +149,19 @@ class Vocabulary:
     def merge(self, pieces: list[bytes]) -> list[tuple]:
         """Token ids of pieces: the pair of lowest rank is merged first, of equal ones the leftmost.
 
-        All pieces go through the rounds together; a round makes one merge in each piece that has one.
+        All pieces go through the rounds together; a round makes one merge in each piece that has one. Pieces
+        beyond ``LONG_PIECE`` bytes go one by one through a queue of pairs, so that the work stays n log n.
         """
         out: list = [None] * len(pieces)
-        whole = [self.ranks.get(p) for p in pieces]
-        todo = [i for i, r in enumerate(whole) if r is None]
-        for i, r in enumerate(whole):
-            if r is not None:
-                out[i] = (r,)
+        todo = []
+        for i, p in enumerate(pieces):
+            whole = self.ranks.get(p)
+            if whole is not None:
+                out[i] = (whole,)
+            elif len(p) > LONG_PIECE:
+                out[i] = self.merge_long(p)
+            else:
+                todo.append(i)
         if not todo:
             return out
         number = np.array(todo)
@@ -180,6 +189,44 @@ class Vocabulary:
         return out
 
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """The pairs as a dictionary; made by workers that meet a long piece."""
+        return dict(zip(self.keys.tolist(), self.merged.tolist()))
+
+    def merge_long(self, piece: bytes) -> tuple:
+        """The same for one piece, by a heap of pairs and links between neighbours.
+
+        A pair in the heap counts only while its place still begins a pair of that rank.
+        """
+        ids = self.byte[np.frombuffer(piece, np.uint8)].tolist()
+        n, pairs = len(ids), self.pairs
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        rank = [pairs.get(a << 32 | b, -1) for a, b in zip(ids, ids[1:])] + [-1]
+        heap = [r << 32 | i for i, r in enumerate(rank) if r >= 0]
+        heapify(heap)
+        while heap:
+            top = heappop(heap)
+            i, r = top & 0xFFFFFFFF, top >> 32
+            if rank[i] != r:
+                continue
+            gone = after[i]
+            ids[i], rank[gone], ids[gone] = r, -1, -1
+            after[i] = right = after[gone]
+            rank[i] = -1
+            if right < n:
+                before[right] = i
+                rank[i] = pairs.get(r << 32 | ids[right], -1)
+                if rank[i] >= 0:
+                    heappush(heap, rank[i] << 32 | i)
+            left = before[i]
+            if left >= 0:
+                rank[left] = pairs.get(ids[left] << 32 | r, -1)
+                if rank[left] >= 0:
+                    heappush(heap, rank[left] << 32 | left)
+        return tuple(x for x in ids if x >= 0)
+
+
 @lru_cache(4)
 def vocabulary(path: str) -> tuple[Vocabulary, PieceCache]:
     v = Vocabulary(path)

@@ -130,3 +130,30 @@ def test_bpe_query(spark):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def library():
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.mark.parametrize("limit", [1, 8, byte_bpe.LONG_PIECE])
+def test_long_pieces_at_random(monkeypatch, limit):
+    monkeypatch.setattr(byte_bpe, "LONG_PIECE", limit)
+    rng, vocabulary, encoding = random.Random(limit), byte_bpe.Vocabulary(RANKS), library()
+    for _ in range(300):
+        letters = rng.choice(["ab", "aeinrst", "=-", "中文é", "xyz"])
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 400)))
+        assert vocabulary.merge([text.encode()]) == [tuple(encoding._core_bpe.encode_single_piece(text.encode()))]
+
+
+@pytest.mark.parametrize("letter", ["a", "=", "中", "xy"])
+def test_a_piece_of_very_many_bytes(letter):
+    import time
+
+    text = letter * (200_000 // len(letter))
+    raw, began = np.frombuffer(text.encode(), np.uint8), time.process_time()
+    ids, _, _ = byte_bpe.encode_texts(raw, np.array([0, len(raw)]), RANKS)
+    assert time.process_time() - began < 30
+    assert ids.tolist() == library().encode_ordinary(text)
