@@ -3,12 +3,14 @@
 Patterns find assignments, access identifiers and hexadecimal keys. Other strings are only *weak* candidates: names
 of accounts, random-looking words, addresses of services. Parts are linked by an interval join within
 documents: a weak candidate is reported if parts that complete it begin within its scope; a key needs an identifier,
-an identifier a key, an endpoint both.
+an identifier a key, an endpoint both. One string is one part: a name that overlaps a match of a base kind, and a key
+that overlaps such a match or a name, is no candidate, so nothing completes itself. An endpoint may hold other parts,
+as addresses do in their queries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, text_of
@@ -57,6 +59,25 @@ def parts(docs: DataFrame) -> DataFrame:
     return stored(found.select("doc_id", "row", F.concat(*map(plain, kinds)).alias("spans")), "parts")
 
 
+def apart(each: DataFrame) -> DataFrame:
+    """Without names that overlap a base match, and keys that overlap a base match or a name that stays.
+
+    In order of beginnings: something that began no later and ends within or beyond, or begins within.
+    """
+    order = Window.partitionBy("row").orderBy("start")
+    so_far, from_here = order.rangeBetween(Window.unboundedPreceding, 0), order.rangeBetween(0, Window.unboundedFollowing)
+
+    def met(strong: Column) -> Column:
+        before = F.max(F.when(strong, F.col("end"))).over(so_far) > F.col("start")
+        after = F.min(F.when(strong, F.col("start"))).over(from_here) < F.col("end")
+        return F.coalesce(before, F.lit(False)) | F.coalesce(after, F.lit(False))
+
+    base = F.col("kind").isin(*KINDS)
+    named = each.withColumn("stays", (F.col("kind") != "name") | ~met(base)).filter("stays")
+    keyed = named.withColumn("stays", (F.col("kind") != "key") | ~met(base | (F.col("kind") == "name")))
+    return keyed.filter("stays").drop("stays")
+
+
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(row, kind, start, end) of the weak candidates that complementary parts complete.
 
@@ -65,7 +86,8 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     meets three rows at most, however many parts a document has.
     """
     of = F.create_map(*[F.lit(x) for pair in PARTS.items() for x in pair])
-    each = found.select("row", F.explode("spans").alias("s")).select("row", "s.*").withColumn("part", of[F.col("kind")])
+    some = found.filter(F.exists("spans", lambda s: s["kind"].isin(*WEAK)))
+    each = apart(some.select("row", F.explode("spans").alias("s")).select("row", "s.*")).withColumn("part", of[F.col("kind")])
     each = each.withColumn("block", F.floor(F.col("start") / scope))
     ends = [
         f(F.when(F.col("part") == p, F.col("start"))).alias(f"{p}_{name}")
