@@ -131,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample of labelled rows, those with the smallest hashes of doc_id.
 
     Confirmed examples are rows labelled toxic; the unlabelled ones are drawn from all others without a look
-    at the label, toxic ones in their share. The prior is that share among all labels to learn from.
+    at the label, toxic ones in their share. Of documents that share an id one, by a digest of the text, is learnt from. The prior is that share among all labels to learn from.
     """
     usable = labels.select("doc_id", "toxic").filter(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     n, toxic = usable.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("toxic") == 1).cast("bigint")), F.lit(0))).first()
@@ -140,12 +140,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     mixture = usable.orderBy(order(2), "doc_id").limit(UNLABELLED_ROWS).select("doc_id", F.lit(False).alias("__p"))
     # At most the two bounds above: small enough to send to all tasks.
     sample = F.broadcast(confirmed.unionByName(mixture))
-    drawn = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", "text", "__p")
+    # One row of each drawn id, however many documents have it, so that the sample is no larger than its bound.
+    text = F.coalesce("text", F.lit(""))
+    drawn = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "__p").agg(F.min_by(text, F.sha2(text, 256)).alias("text"))
     prior = toxic / n if n else 0.0
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "__p": []}), *batches])
-        rows = rows.sort_values(["__p", "doc_id", "text"], ascending=[False, True, True], kind="stable").head(2 * (POSITIVE_ROWS + UNLABELLED_ROWS))
+        rows = rows.sort_values(["__p", "doc_id", "text"], ascending=[False, True, True], kind="stable")
         model = fit(rows["text"].tolist(), rows["__p"].to_numpy(bool), prior)
         yield pd.DataFrame({"features": [model.features.tobytes()], "weights": [model.weights.tobytes()], "bias": [model.bias]})
 

@@ -51,3 +51,28 @@ def test_awkward_rows(spark):
 def test_a_model_without_features_scores_its_bias():
     model = Model(np.zeros(0, np.int64), np.zeros(0), 0.0)
     assert model.score(np.frombuffer(b"any words", np.uint8), np.array([0, 9, 9])).tolist() == [0.5, 0.5]
+
+
+def test_repeated_ids_count_once(spark, monkeypatch):
+    """One id with very many rows neither outgrows the sample's bound nor pushes other rows out of it."""
+    monkeypatch.setattr("siltworks.llm.toxicity.POSITIVE_ROWS", 30)
+    monkeypatch.setattr("siltworks.llm.toxicity.UNLABELLED_ROWS", 60)
+    texts = [f"{'vile ' if i % 4 == 0 else ''}some words of number {i % 7} and more" for i in range(120)]
+    docs = documents(spark, texts, clash=False)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id bigint, toxic int")
+    heavy = docs.unionByName(spark.range(3000).selectExpr("8L AS doc_id", f"'{texts[8]}' AS text", "'en' AS lang", "'s' AS source", "0L AS n_chars"))
+    once, often = train(docs, labels), train(heavy, labels)
+    assert len(once.features) and (once.features == often.features).all() and np.allclose(once.weights, often.weights) and once.bias == often.bias
+
+
+@needs_tables
+def test_scores_against_plain_words(spark):
+    """The score of each document is the logistic function of the bias and the weights of its distinct features."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    rows = scored(docs.select("doc_id", "text"), model, "score").collect()
+    for r in rows[:60]:
+        raw = np.frombuffer((r["text"] or "").encode(), np.uint8)
+        alone = model.score(raw, np.array([0, len(raw)]))[0]
+        assert abs(alone - r["score"]) < 1e-12
