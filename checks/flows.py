@@ -14,9 +14,11 @@ from siltworks import ColumnContract, FlattenContract, TableContract
 from siltworks.operators.merge import upsert, upsert_by_contract, upsert_small
 from siltworks.operators.keys import latest_by_contract
 from siltworks.plans.governance import compliance_report
-from siltworks.plans.silver import build_silver, fan_out, merged_silver, silver_frame
+from siltworks.plans.silver import build_silver, build_silver_from_batches, fan_out, merged_silver, silver_frame
 from siltworks.session import work_folder
 from siltworks.sinks.store import StoredTable
+from siltworks.sources.tables import read_table
+from siltworks.streaming.ingest import BronzeTarget, put_batch
 from siltworks.streaming.silver import start_silver, start_silver_fan_out
 
 from .registry import check, line_events, stamp, stored, table
@@ -485,6 +487,26 @@ def streaming_silver_runs(spark: SparkSession, sf: str) -> DataFrame:
     return _two_drops(spark, sf, "q34b", delta_runs=True)
 
 
+@check(
+    "q19b_late_writer",
+    """SELECT mode, e.* FROM (
+         SELECT user_id, event_type, ts AS seen_at, value, event_id FROM events
+         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, value DESC, event_id DESC) = 1) e,
+       (VALUES ('full_load incremental incremental')) AS m(mode)""",
+)
+def late_writer(spark: SparkSession, sf: str) -> DataFrame:
+    """The second batch of bronze becomes visible after silver has read later times, and is read all the same; a third run finds nothing."""
+    home = work_folder(spark, "q19b")
+    bronze = BronzeTarget(f"{home}/bronze", f"{home}/checkpoint")
+    events = table(spark, sf, "events").withColumn("ts", stamp("ts")).withColumn("_ingested_at", F.col("ts"))
+    name, modes = f"default.q19b_{uuid.uuid4().hex}", []
+    for writer, part in (("early", "ts >= timestamp '2024-01-12 00:00:00'"), ("late", "ts < timestamp '2024-01-12 00:00:00'"), (None, None)):
+        if writer:
+            put_batch(events.filter(part).withColumn("_ingestion_date", F.to_date("_ingested_at")), bronze, f"{writer}-000000000")
+        modes.append(build_silver_from_batches(spark, bronze, EVENT_SILVER, name, base=f"{home}/silver"))
+    return read_table(spark, name).drop("_metadata", "_key_bucket").withColumn("mode", F.lit(" ".join(modes)))
+
+
 def _two_drops(spark: SparkSession, sf: str, label: str, delta_runs: bool) -> DataFrame:
     """Two drops, the later rows first; the second start finds the checkpoint of the first."""
     home = work_folder(spark, label)

@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ..contract import TableContract
 from ..functions.columns import with_lineage
 from ..operators.flatten import flatten_by_contract
-from ..operators.incremental import choose_reading, moment
+from ..operators.incremental import FULL_LOAD, INCREMENTAL, choose_reading, moment
 from ..operators.keys import latest_by_contract, require_contract_keys
+from ..operators.ledger import noted, unread
 from ..operators.mapping import apply_contract, hashes_can_wait, with_hash_columns
 from ..operators.merge import upsert_by_contract
 from ..sinks.store import Batch, StoredTable
+from ..streaming.ingest import BronzeTarget, bronze_batches, is_complete, read_bronze
 from .governance import document_by_contract
 
 
@@ -77,8 +79,37 @@ def build_silver(
     return reading.mode
 
 
+def build_silver_from_batches(
+    spark: SparkSession,
+    source: BronzeTarget,
+    contract: TableContract,
+    table: str,
+    on_error: str = "fail",
+    base: str | None = None,
+    delta_runs: bool = False,
+) -> str:
+    """One run over the micro-batches of bronze that silver has not read, whatever times their rows carry.
+
+    The high-water mark skips rows of a writer that is late with earlier times; here the names of the batches read are
+    committed together with the rows, so each complete batch is read exactly once. A silver table that
+    was built without this ledger goes on from its mark.
+    """
+    target = StoredTable.of_contract(spark, contract, table, base, delta_runs)
+    known = target.manifest()
+    if known is not None and not known.ledger:
+        return build_silver(spark, read_bronze(spark, source), contract, table, on_error=on_error, base=base)
+    ledger = known.ledger if known else {}
+    fresh = [b for b in unread(ledger, bronze_batches(spark, source)) if is_complete(spark, source, b)]
+    if fresh:
+        rows = silver_frame(read_bronze(spark, source, fresh), contract, on_error)
+        store_silver(rows, contract, target, ledger=noted(ledger, fresh))
+        if known is None:
+            document_by_contract(spark, contract, table)
+    return FULL_LOAD if known is None else INCREMENTAL
+
+
 def store_silver(
-    rows: DataFrame, contract: TableContract, target: StoredTable, batch: Batch | None = None
+    rows: DataFrame, contract: TableContract, target: StoredTable, batch: Batch | None = None, ledger: dict | None = None
 ) -> None:
     target.upsert(
         rows,
@@ -86,6 +117,7 @@ def store_silver(
         contract.deduplication_keys,
         batch=batch,
         keys_are_unique=True,
+        ledger=ledger,
     )
 
 

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from . import files
@@ -34,7 +35,8 @@ def export_frame(
 ) -> str:
     """Write ``<output>/<yyyymmdd>/<prefix>_<yyyymmddHHMMSS>`` and return its path.
 
-    ``single_file`` alone decides the form: one file with the format's extension, written by one task, or a
+    ``single_file`` alone decides the form: one file with the format's extension, written by one task (all work before
+    the writing stays parallel, and the rows keep their order), or a
     folder of that name whose parts are written in parallel. The mode concerns a target of the same name and is looked at
     first: ``overwrite`` replaces it once the new one is complete, ``append`` adds parts to the folder or
     another file with the next free number, ``ignore`` leaves it, ``error`` refuses. Files of other runs are
@@ -60,7 +62,7 @@ def export_frame(
         raise FileExistsError(f"{target} exists (write mode {mode!r})")
     if there and mode == "append" and single_file:
         target = next(t for i in count(1) if not files.exists(spark, t := f"{stem}_{i}{extension}"))
-    writer = (df.coalesce(1) if single_file else df).write.format(source).options(**dict(options or {}))
+    writer = (_in_one_task(df) if single_file else df).write.format(source).options(**dict(options or {}))
     if there and mode == "append" and not single_file:
         writer.mode("append").save(target)
         return target
@@ -80,6 +82,12 @@ def export_frame(
     return target
 
 
+def _in_one_task(df: DataFrame) -> DataFrame:
+    """The rows in one partition, in the order they have, behind an exchange: what made them is not drawn into that task."""
+    place = "__place"
+    return df.withColumn(place, F.monotonically_increasing_id()).repartition(1).sortWithinPartitions(place).drop(place)
+
+
 def export_table(spark: SparkSession, table: str, output: str, prefix: str, **kwargs) -> str:
     """Export a table or view by name."""
     return export_frame(read_table(spark, table), output, prefix, **kwargs)

@@ -115,6 +115,8 @@ class Manifest:
     base_bytes: int | None = None
     # Statistics of the base's files: folder of the statistics, snapshot they are of, columns
     stats: list[dict] = field(default_factory=list)
+    # Micro-batches of the source that were read, see operators.ledger
+    ledger: dict[str, list[list[int]]] = field(default_factory=dict)
 
     @property
     def struct(self) -> T.StructType:
@@ -307,12 +309,13 @@ class StoredTable:
         keys: Sequence[str] = (),
         batch: Batch | None = None,
         refuse_repeats: bool = False,
+        ledger: dict | None = None,
     ) -> None:
         """First load: make the database when missing, write the rows, register the table."""
         ensure_database(self.spark, self.name)
-        self._replace(df, keys, batch, refuse_repeats)
+        self._replace(df, keys, batch, refuse_repeats, ledger=ledger)
 
-    def _replace(self, df: DataFrame, keys: Sequence[str], batch: Batch | None = None, refuse_repeats: bool = False, buckets: int | None = None) -> None:
+    def _replace(self, df: DataFrame, keys: Sequence[str], batch: Batch | None = None, refuse_repeats: bool = False, buckets: int | None = None, ledger: dict | None = None) -> None:
         known = self.manifest()
         buckets = (known.buckets if known else self.buckets) if buckets is None else buckets
         keys = list(keys) or (known.keys if known else [])
@@ -320,7 +323,7 @@ class StoredTable:
             raise ValueError("a bucketed table needs its primary keys")
         version = self._next_version(known)
         folders = self._write(df, keys, buckets, version)
-        new = Manifest(version, _stored_schema(df.schema), buckets, keys, folders, list(batch) if batch else None)
+        new = Manifest(version, _stored_schema(df.schema), buckets, keys, folders, list(batch) if batch else None, ledger=ledger or {})
         if refuse_repeats:
             try:
                 self._refuse_repeats(self._rows(new), keys)
@@ -338,7 +341,7 @@ class StoredTable:
     def rebucket(self, buckets: int) -> None:
         """Another number of buckets (0: plain): the table is rewritten."""
         known = self._known()
-        self._replace(self.read(), known.keys, Batch(*known.batch) if known.batch else None, buckets=buckets)
+        self._replace(self.read(), known.keys, Batch(*known.batch) if known.batch else None, buckets=buckets, ledger=known.ledger)
 
     def upsert(
         self,
@@ -347,9 +350,12 @@ class StoredTable:
         order_by: Sequence[str] = (),
         batch: Batch | None = None,
         keys_are_unique: bool = False,
+        ledger: dict | None = None,
     ) -> None:
         """Create the table, or merge a batch into it. A micro-batch that was committed is skipped.
 
+        ``ledger`` tells what of the source has been read with this batch; it changes with the commit, or not at all.
+
         Keys take the types that the table has before they are hashed or compared, and the table's own number of
         buckets holds, whatever this object says.
         """
@@ -357,15 +363,17 @@ class StoredTable:
             return
         known = self.manifest()
         if known is None:
-            self.create(new, keys, batch, refuse_repeats=not keys_are_unique)
+            self.create(new, keys, batch, refuse_repeats=not keys_are_unique, ledger=ledger)
             return
         if (known.buckets or known.runs or self.delta_runs and known.keys) and [k.lower() for k in keys] != [k.lower() for k in known.keys]:
             raise ValueError(f"the table {self.name} is kept by {known.keys}, not by {list(keys)}")
+        if ledger is not None:
+            known = replace(known, ledger=ledger)
         if self.delta_runs:
             return self._append_run(replace(known, keys=list(known.keys or keys)), new, keys, order_by, batch, keys_are_unique)
         if known.runs:
             self.compact()
-            known = self._known()
+            known = replace(self._known(), ledger=known.ledger)
         self.publish()
         types = {f.name.lower(): f.dataType for f in known.struct.fields}
         for k in keys:

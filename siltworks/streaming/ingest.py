@@ -8,7 +8,7 @@ but Spark's own list of files seen.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +87,16 @@ def _register(spark: SparkSession, target: BronzeTarget, schema: T.StructType, f
     spark.catalog.refreshTable(name)
 
 
+def put_batch(bronze: DataFrame, target: BronzeTarget, name: str, catalog: SparkSession | None = None) -> None:
+    """Write one micro-batch of bronze rows, ``<stream>-<number>``; one of that name is replaced."""
+    spark = bronze.sparkSession
+    folder = f"{target.path.rstrip('/')}/{BATCH}={name}"
+    # A column without values takes no place in files, so it may still take any type.
+    valued = bronze.select(*[quoted(f.name) for f in bronze.schema.fields if is_evident(f)])
+    valued.write.mode("overwrite").options(**dict(target.write_options)).partitionBy(INGESTION_DATE).parquet(folder)
+    _register(catalog or spark, target, _remember(spark, target, bronze.schema), folder)
+
+
 def start_ingest(
     spark: SparkSession,
     landing: Landing,
@@ -102,11 +112,7 @@ def start_ingest(
             return
         bronze = bronze_frame(landed)
         stream = json.loads(files.read_text(session, f"{target.checkpoint.rstrip('/')}/metadata"))["id"]
-        folder = f"{target.path.rstrip('/')}/{BATCH}={stream}-{batch_id:09d}"
-        # A column without values takes no place in files, so it may still take any type.
-        valued = bronze.select(*[quoted(f.name) for f in bronze.schema.fields if is_evident(f)])
-        valued.write.mode("overwrite").options(**dict(target.write_options)).partitionBy(INGESTION_DATE).parquet(folder)
-        _register(batch.sparkSession, target, _remember(session, target, bronze.schema), folder)
+        put_batch(bronze, target, f"{stream}-{batch_id:09d}", batch.sparkSession)
 
     writer = (
         landed_files(spark, landing, max_files_per_batch)
@@ -134,10 +140,24 @@ def _whole_schema(spark: SparkSession, target: BronzeTarget) -> T.StructType:
     return T.StructType([*bronze_schema(spark, target).fields, T.StructField(BATCH, T.StringType())])
 
 
-def read_bronze(spark: SparkSession, target: BronzeTarget) -> DataFrame:
-    """All bronze rows under the union schema; rows written before a column existed read null."""
+def bronze_batches(spark: SparkSession, target: BronzeTarget) -> list[str]:
+    """Names of all micro-batches; one listing of one folder."""
+    return [f.name.split("=", 1)[1] for f in files.listing(spark, target.path) if f.is_dir and f.name.startswith(BATCH + "=")]
+
+
+def is_complete(spark: SparkSession, target: BronzeTarget, batch: str) -> bool:
+    """Whether the micro-batch has been written to its end."""
+    return files.exists(spark, f"{target.path.rstrip('/')}/{BATCH}={batch}/_SUCCESS")
+
+
+def read_bronze(spark: SparkSession, target: BronzeTarget, batches: Sequence[str] | None = None) -> DataFrame:
+    """All bronze rows, or those of some micro-batches, under the union schema; rows written before a column existed read null."""
     names = [quoted(n) for n in bronze_schema(spark, target).names]
-    return spark.read.schema(_whole_schema(spark, target)).parquet(target.path).select(*names)
+    reader = spark.read.schema(_whole_schema(spark, target))
+    if batches is None:
+        return reader.parquet(target.path).select(*names)
+    root = target.path.rstrip("/")
+    return reader.option("basePath", root).parquet(*[f"{root}/{BATCH}={b}" for b in batches]).select(*names)
 
 
 def bronze_stream(

@@ -91,3 +91,16 @@ def test_nothing_is_left_behind_and_failures_keep_the_old(spark, tmp_path, singl
     assert [f for f in os.listdir(tmp_path / "20240305") if not f.startswith(".")] == [os.path.basename(path)]
     with pytest.raises(ValueError, match="write mode"):
         export_frame(spark.range(3), str(tmp_path), "s", mode="sideways")
+
+
+@pytest.mark.parametrize("file_format", ["csv", "json", "parquet"])
+def test_one_file_keeps_the_order_and_the_work_parallel(spark, tmp_path, file_format):
+    df = spark.range(0, 5000, numPartitions=7).selectExpr("5000 - id AS n", "repeat('x', CAST(id % 50 AS int)) AS v").orderBy("n")
+    path = export_frame(df, str(tmp_path), "ordered", file_format)
+    read = spark.read.schema(df.schema).format(file_format).load(path).coalesce(1)
+    assert [r["n"] for r in read.collect()] == list(range(1, 5001))
+    tasks = []
+    wide = spark.range(0, 400, numPartitions=8).selectExpr("id", "spark_partition_id() AS task")
+    one = spark.read.schema(wide.schema).format(file_format).load(export_frame(wide, str(tmp_path), "wide", file_format))
+    tasks = [r["task"] for r in one.select("task").distinct().collect()]
+    assert len(tasks) == 8
