@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +53,10 @@ def without(docs: DataFrame, decided: DataFrame) -> DataFrame:
     return single.unionByName(one).select(*docs.columns)
 
 
-def prefix_sums(values: Column, block: int = 256) -> Column:
-    """Sums of all *earlier* elements of an array of longs, one for each element.
+def prefix_sums(values: Column, block: int = 256, combine: Callable[[Column, Column], Column] = operator.add) -> Column:
+    """Sums of all *earlier* elements of an array of longs, one for each element; 0 for the first.
+
+    ``combine`` may be another associative function to which 0 means nothing, such as the greater of natural numbers.
 
     An accumulating array is copied at every step, so sums are formed in blocks: the work is n * block
     rather than n * n for the arrays of very long texts.
@@ -63,11 +68,11 @@ def prefix_sums(values: Column, block: int = 256) -> Column:
         return F.aggregate(
             array,
             F.array(start),
-            lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)),
+            lambda acc, x: F.concat(acc, F.array(combine(F.element_at(acc, -1), x))),
         )
 
     def total(array: Column) -> Column:
-        return F.aggregate(array, zero, lambda acc, x: acc + x)
+        return F.aggregate(array, zero, lambda acc, x: combine(acc, x))
 
     def blocks_of(array: Column) -> Column:
         starts = F.sequence(F.lit(0), F.floor((F.size(array) - 1) / block).cast("int"))

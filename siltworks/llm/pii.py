@@ -13,11 +13,13 @@ that gives an entity away does so far from a mention, and in documents without o
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
-from .spans import find, masked, replaced, without_overlaps, written
+from .common import bind, stored, text_of
+from .spans import blocks_of, find, masked, piece, replaced, without_overlaps, written
 
 KINDS = ("email", "ip", "card", "phone")
 # The given patterns. Possessive repetition and the look-behind keep them linear and free of recursion in
@@ -33,9 +35,11 @@ TERM = r"[\p{L}\p{M}\p{N}]++"
 WINDOW = 128  # code points before and after a mention that are its context in the estimate; not a bound of what is reported
 SUPPORT = 3  # co-occurrences below which nothing is said about a term
 GENERALISE, REMOVE = 0.8, 0.95
-# Candidate or telling terms up to this many are sent to all tasks (under 50 MB); beyond it terms are counted first, or
-# all their places are shuffled.
-BROADCAST_TERMS = 200_000
+# Candidate or telling terms of this measured size (bytes of text, and what a row takes beside) are sent to all tasks;
+# beyond it terms are counted first, or all their places are shuffled.
+BROADCAST_BYTES, TERM_BYTES = 32 << 20, 64
+# Stands between the fields of a context: neither terms nor entities hold it.
+MARK = "\u0001"
 
 
 def digits(value: Column) -> Column:
@@ -72,33 +76,37 @@ def contexts(text: Column, spans: dict[str, Column]) -> Column:
     def entity(kind: str, s: Column) -> Column:
         return F.concat(F.lit(f"{kind}:"), F.lower(s["value"]) if kind in ("email", "ip") else digits(s["value"]))
 
-    def around(kind: str, s: Column) -> Column:
+    def around(blocks: Column, kind: str, s: Column) -> Column:
         begin = F.greatest(s["start"] - WINDOW, F.lit(0))
-        left = F.substring(text, (begin + 1).cast("int"), (s["start"] - begin).cast("int"))
-        right = F.substring(text, (s["end"] + 1).cast("int"), F.lit(WINDOW))
-        name = entity(kind, s)
-
-        def terms(side: Column, offset: Column, whole) -> Column:
-            return F.transform(
-                F.filter(find(side, TERM), whole),
-                lambda t: F.struct(
-                    name.alias("entity"), F.lower(t["value"]).alias("term"), (t["start"] + offset).alias("start"), (t["end"] + offset).alias("end")
-                ),
-            )
-
-        return F.concat(
-            terms(left, begin, lambda t: (t["start"] > 0) | (begin == 0)), terms(right, s["end"], lambda t: t["end"] < WINDOW)
+        left = piece(blocks, begin, s["start"] - begin)
+        right = piece(blocks, s["end"], F.lit(WINDOW))
+
+        def terms(name: Column, side: Column, offset: Column, whole) -> Column:
+            place = lambda t: (t["start"] + offset).cast("string")
+            return F.transform(F.filter(find(side, TERM, block=16), whole), lambda t: F.concat_ws(MARK, place(t), F.lower(t["value"]), name))
+
+        return bind(
+            entity(kind, s),
+            lambda name: F.concat(
+                terms(name, left, begin, lambda t: (t["start"] > 0) | (begin == 0)), terms(name, right, s["end"], lambda t: t["end"] < WINDOW)
+            ),
         )
 
-    def of(kind: str) -> Column:
-        return F.flatten(F.transform(spans[kind], lambda s: around(kind, s)))
+    def of(blocks: Column) -> Column:
+        kinds = [F.flatten(F.transform(spans[kind], partial(around, blocks, kind))) for kind in KINDS]
+        return F.concat(*kinds)
+
+    def parted(c: Column) -> Column:
+        fields = F.split(c, MARK)
+        return F.struct(fields[2].alias("entity"), fields[1].alias("term"))
 
-    return F.transform(F.array_distinct(F.concat(*map(of, KINDS))), lambda c: F.struct(c["entity"].alias("entity"), c["term"].alias("term")))
+    # Strings are told apart by hashing, where structs would be compared pair by pair.
+    return F.transform(F.array_distinct(bind(blocks_of(text), of)), parted)
 
 
 def mentions(docs: DataFrame) -> DataFrame:
     """doc_id, a row number, spans of each kind, their contexts, the text without the spans, and its number of terms; written once."""
-    found = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text_of().alias("text"))
+    found = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text_of().alias("text"), F.xxhash64(text_of()).alias("hash"))
     found = found.select("*", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
     places = F.sort_array(F.concat(*[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]))
     found = found.withColumn("places", places).withColumn("masked", masked(F.col("text"), F.col("places")))
@@ -106,13 +114,18 @@ def mentions(docs: DataFrame) -> DataFrame:
     mentioned = sum((F.size(k) for k in KINDS), F.lit(0)) > 0
     return stored(
         found.select(
-            "doc_id", "row", *KINDS,
+            "doc_id", "row", "hash", *KINDS,
             F.when(mentioned, near).alias("contexts"), "masked", F.regexp_count("masked", F.lit(TERM)).cast("bigint").alias("n_terms"),
         ),
         "mentions",
     )
 
 
+def fits_memory(terms: DataFrame) -> bool:
+    """Whether a stored table of terms is measured to be small enough to be sent to all tasks."""
+    return (terms.agg(F.sum(F.octet_length("term") + TERM_BYTES)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def disclosing(found: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure) from the whole corpus, for terms at or beyond the threshold.
 
@@ -126,7 +139,7 @@ def disclosing(found: DataFrame, support: int = SUPPORT, threshold: float = GENE
     pairs = pairs.filter(F.col("together") >= support)
     candidates = stored(pairs.select("term").distinct(), "candidates")
     terms = found.select(F.explode(F.regexp_extract_all("masked", F.lit(TERM), F.lit(0))).alias("term")).select(F.lower("term").alias("term"))
-    if candidates.count() <= BROADCAST_TERMS:
+    if fits_memory(candidates):
         terms = terms.join(F.broadcast(candidates), "term", "left_semi")
     totals = terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
     n = F.lit(float(found.agg(F.coalesce(F.sum("n_terms"), F.lit(0))).first()[0] or 1))
@@ -145,12 +158,12 @@ def occurrences(found: DataFrame, telling: DataFrame) -> DataFrame:
     """
     places = found.select("row", F.explode(find(F.col("masked"), TERM, block=32)).alias("t"))
     places = places.select("row", F.lower("t.value").alias("term"), "t.start", "t.end")
-    few = telling.count() <= BROADCAST_TERMS
+    few = fits_memory(telling)
     return places.join(F.broadcast(telling) if few else telling, "term").select("row", "start", "end", "disclosure")
 
 
 def personal_data(docs: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
-    """One row per document: doc_id, row, spans (start, end, value) of each kind, and ``terms`` (start, end, disclosure).
+    """One row per document: doc_id, row, hash (of the text), spans (start, end, value) of each kind, and ``terms`` (start, end, disclosure).
 
     Null text counts as empty and has none; repeated rows are treated each; columns besides doc_id and text are
     ignored; an empty table gives an empty result. A term is reported wherever it occurs outside of base spans, with the
@@ -162,7 +175,7 @@ def personal_data(docs: DataFrame, support: int = SUPPORT, threshold: float = GE
     hits = occurrences(found, stored(telling, "disclosing"))
     terms = hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
     none = F.array().cast("array<struct<start:bigint,end:bigint,disclosure:double>>")
-    return found.join(terms, "row", "left").select("doc_id", "row", *KINDS, F.coalesce("terms", none).alias("terms"))
+    return found.join(terms, "row", "left").select("doc_id", "row", "hash", *KINDS, F.coalesce("terms", none).alias("terms"))
 
 
 def span_texts(found: DataFrame) -> tuple[Column, Column]:
@@ -174,11 +187,11 @@ def span_texts(found: DataFrame) -> tuple[Column, Column]:
 def sanitised(docs: DataFrame, support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """All columns, with personal data replaced by its kind, and telling terms by [term] or nothing.
 
-    Documents meet their spans by doc_id and text hash, so rows that repeat get the same text.
+    Documents meet their spans by doc_id and the text's hash, whatever made their rows, so rows that repeat get the same text.
     """
     text = text_of()
     found = personal_data(docs, support, threshold)
-    keyed = docs.select(F.col("doc_id").alias("__id"), F.xxhash64(text).alias("__hash"), F.monotonically_increasing_id().alias("row")).join(found, "row")
+    keyed = found.withColumnRenamed("doc_id", "__id").withColumnRenamed("hash", "__hash")
 
     def by(array: Column, what) -> Column:
         return F.transform(array, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), what(s).alias("by")))

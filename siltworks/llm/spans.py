@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .common import bind, prefix_sums
 
+# Code points of a block by which places in a long text are reached.
+BLOCK = 512
 SPAN = "struct<start:bigint,end:bigint,value:string>"
 
 
@@ -41,29 +45,44 @@ def written(kind: str, spans: Column) -> Column:
     return F.transform(spans, lambda s: F.concat_ws(":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string")))
 
 
-def replaced(text: Column, spans: Column) -> Column:
-    """The text with each (start, end, by) of sorted, non-overlapping spans replaced."""
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+def blocks_of(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` code points, so that a place is found without counting from the beginning."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}+"), F.lit(0))
 
-    def put(acc: Column, s: Column) -> Column:
-        between = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.struct(s["end"].alias("at"), F.concat(acc["out"], between, s["by"]).alias("out"))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-    return F.aggregate(spans, begin, put, rest)
+def piece(blocks: Column, start: Column, length: Column) -> Column:
+    """``length`` code points from ``start`` on, from the blocks that hold them."""
+    first = F.floor(start / BLOCK).cast("int")
+    count = F.floor((start + length - 1) / BLOCK).cast("int") - first + 1
+    held = F.array_join(F.slice(blocks, first + 1, F.greatest(count, F.lit(0))), "")
+    return F.when(length > 0, F.substring(held, (start - first * BLOCK + 1).cast("int"), length.cast("int"))).otherwise("")
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with spaces in place of what sorted spans (start, end) cover, overlapping or not; places stay."""
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+def _rewritten(text: Column, spans: Column, instead: Callable[[Column, Column], Column]) -> Column:
+    """The text with ``instead(span, end of all before)`` in place of what sorted spans cover: one pass, whatever their number."""
+
+    def of(given: Column) -> Column:
+        """From a struct of blocks, spans and the greatest end before each."""
+        blocks, own = given["blocks"], given["spans"]
+        parts = F.zip_with(own, given["before"], lambda s, at: F.concat(piece(blocks, at, F.greatest(s["start"] - at, F.lit(0))), instead(s, at)))
+        last = F.greatest(F.element_at(own, -1)["end"], F.element_at(given["before"], -1))
+        return F.concat(F.array_join(parts, ""), piece(blocks, last, given["size"] - last))
+
+    def with_ends(own: Column) -> Column:
+        before = prefix_sums(F.transform(own, lambda s: s["end"]), combine=F.greatest)
+        return bind(F.struct(blocks_of(text).alias("blocks"), own.alias("spans"), before.alias("before"), F.length(text).cast("bigint").alias("size")), of)
 
-    def put(acc: Column, s: Column) -> Column:
-        start, end = F.greatest(s["start"], acc["at"]), F.greatest(s["end"], acc["at"])
-        between = F.substring(text, (acc["at"] + 1).cast("int"), (start - acc["at"]).cast("int"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], between, F.repeat(F.lit(" "), (end - start).cast("int"))).alias("out"))
+    return F.when(F.size(spans) == 0, text).otherwise(bind(spans, with_ends))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, begin, put, rest))
+
+def replaced(text: Column, spans: Column) -> Column:
+    """The text with each (start, end, by) of sorted, non-overlapping spans replaced."""
+    return _rewritten(text, spans, lambda s, at: s["by"])
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of what sorted spans (start, end) cover, overlapping or not; places stay."""
+    return _rewritten(text, spans, lambda s, at: F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], at), F.lit(0)).cast("int")))
 
 
 def without_overlaps(spans: Column) -> Column:
