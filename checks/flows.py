@@ -14,7 +14,7 @@ from siltworks import ColumnContract, FlattenContract, TableContract
 from siltworks.operators.merge import upsert, upsert_by_contract, upsert_small
 from siltworks.operators.keys import latest_by_contract
 from siltworks.plans.governance import compliance_report
-from siltworks.plans.silver import build_silver, build_silver_from_batches, fan_out, merged_silver, silver_frame
+from siltworks.plans.silver import build_silver, build_silver_from_batches, fan_out, merged_silver, read_rejects, silver_frame
 from siltworks.session import work_folder
 from siltworks.sinks.store import StoredTable
 from siltworks.sources.tables import read_table
@@ -507,6 +507,51 @@ def late_writer(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, name).drop("_metadata", "_key_bucket").withColumn("mode", F.lit(" ".join(modes)))
 
 
+MESSY_ORDERS = TableContract(
+    "messy_orders",
+    primary_keys=("order_key",),
+    deduplication_keys=("ordered_at",),
+    columns=(
+        ColumnContract("order_key", "bigint", source="key_text"),
+        ColumnContract("price", "double", source="price_text"),
+        ColumnContract("ordered_at", "timestamp", source="at_text"),
+        ColumnContract("half", "int", transform="CASE WHEN price > 100000 THEN 'much' ELSE '1' END"),
+    ),
+)
+
+
+@check(
+    "q13b_rejects",
+    """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 11 = 0 AS no_key, o_orderkey % 7 = 0 AS no_price, o_orderkey % 5 = 0 AS no_time, o_totalprice AS p FROM orders)
+       SELECT * FROM (
+         SELECT 'price' AS "column", 'type' AS reason, 'n/a' AS value, count(*) AS n FROM o WHERE no_price
+         UNION ALL SELECT 'ordered_at', 'type', 'soon', count(*) FROM o WHERE no_time
+         UNION ALL SELECT 'half', 'type', 'much', count(*) FROM o WHERE NOT no_price AND p > 100000
+         UNION ALL SELECT 'order_key', 'type', CASE WHEN k % 2 = 0 THEN 'x' ELSE '' END AS v, count(*) FROM o WHERE no_key GROUP BY v
+         UNION ALL SELECT 'order_key', 'no key', NULL, count(*) FROM o WHERE no_key
+         UNION ALL SELECT 'ordered_at', 'no key', NULL, count(*) FROM o WHERE no_time
+         UNION ALL SELECT 'silver', 'rows', NULL, count(*) FROM o WHERE NOT (no_key OR no_time)
+         UNION ALL SELECT 'observed', 'bad_values', NULL, (SELECT sum(no_price::INT + no_time::INT + (NOT no_price AND p > 100000)::INT + no_key::INT)::BIGINT FROM o)
+         UNION ALL SELECT 'observed', 'rows', NULL, count(*) FROM o
+         UNION ALL SELECT 'observed', 'rows_without_key', NULL, count(*) FROM o WHERE no_key OR no_time) WHERE n > 0""",
+)
+def rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Values that do not fit and rows without keys are told beside the table, and counted while they are written."""
+    key = F.col("o_orderkey")
+    bad = lambda n, instead, value: F.when(key % n == 0, F.lit(instead)).otherwise(value.cast("string"))
+    bronze = table(spark, sf, "orders").select(
+        F.when((key % 11 == 0) & (key % 2 == 0), "x").otherwise(bad(11, "", key)).alias("key_text"),
+        bad(7, "n/a", F.col("o_totalprice")).alias("price_text"), bad(5, "soon", F.col("o_orderdate")).alias("at_text"),
+        F.lit("2024-01-01").cast("timestamp").alias("_ingested_at"),
+    )
+    name, base = f"default.q13b_{uuid.uuid4().hex}", f"{work_folder(spark, 'q13b')}/silver"
+    build_silver(spark, bronze, MESSY_ORDERS, name, on_error="null", base=base, keep_rejects=True)
+    target = StoredTable(spark, name, base=base)
+    told = read_rejects(target).groupBy("column", "reason", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = [("silver", "rows", None, target.read().count()), *[("observed", k, None, n) for k, n in target.manifest().rejects.items()]]
+    return told.unionByName(spark.createDataFrame(counts, told.schema)).filter("n > 0")
+
+
 def _two_drops(spark: SparkSession, sf: str, label: str, delta_runs: bool) -> DataFrame:
     """Two drops, the later rows first; the second start finds the checkpoint of the first."""
     home = work_folder(spark, label)

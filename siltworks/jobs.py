@@ -5,7 +5,7 @@ A settings file maps job names to their settings; each has a ``kind``:
 * ``bronze``: landing, format, bronze, checkpoint, bronze_table, schema_folder, infer_column_types,
   reader_options, write_options, available_now, max_files_per_batch
 * ``silver``: bronze + checkpoint (or bronze_table), contract, silver_table, start_date, end_date,
-  on_error, keep_versions, delta_runs. From bronze + checkpoint each micro-batch is read once, by its name; with both dates,
+  on_error, keep_versions, delta_runs, keep_rejects. From bronze + checkpoint each micro-batch is read once, by its name; with both dates,
   or from a bronze_table, rows are chosen by their ingestion time
 * ``silver_stream``: bronze + checkpoint, silver_checkpoint, contracts (contract -> table), on_error, share_scan, keep_versions,
   delta_runs (true unless given), compact (fold what lies beside the tables when the stream ends; true unless given)
@@ -71,9 +71,9 @@ def _silver(spark: SparkSession, settings: Settings) -> str:
     contract, name = load_contract(settings["contract"]), settings["silver_table"]
     start, end = settings.get("start_date"), settings.get("end_date")
     if "bronze_table" in settings or (start and end):
-        mode = build_silver(spark, _bronze_rows(spark, settings), contract, name, start=start, end=end, **_given(settings, "on_error", "base"))
+        mode = build_silver(spark, _bronze_rows(spark, settings), contract, name, start=start, end=end, **_given(settings, "on_error", "base", "keep_rejects"))
     else:
-        mode = build_silver_from_batches(spark, _target(settings), contract, name, **_given(settings, "on_error", "base", "delta_runs"))
+        mode = build_silver_from_batches(spark, _target(settings), contract, name, **_given(settings, "on_error", "base", "delta_runs", "keep_rejects"))
     table = StoredTable.of_contract(spark, contract, name, settings.get("base"))
     if "keep_versions" in settings and table.exists:
         table.expire(int(settings["keep_versions"]))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..contract import ColumnContract, ContractError, TableContract, check_expression_on
 from ..functions.columns import HASH_SUFFIX, METADATA, pii_hash, ref
+from .rejects import NOTHING, PAYLOAD, REJECTS, misfit, payload_of
 
 _WORD = re.compile(r"\w+")
 
@@ -70,31 +71,40 @@ def _cast(value: Column, c: ColumnContract, on_error: str) -> Column:
 
 
 def apply_contract(
-    df: DataFrame, contract: TableContract, on_error: str = "fail", hashes: bool = True
+    df: DataFrame, contract: TableContract, on_error: str = "fail", hashes: bool = True, notes: bool = False
 ) -> DataFrame:
     """Contract columns in contract order, each hashed column after its base, ``_metadata`` last.
 
     ``hashes=False`` leaves the hashed columns to ``with_hash_columns``.
 
     ``on_error``: ``fail`` lets a value that does not fit its type end the job (ANSI cast),
-    ``null`` turns it into null.
+    ``null`` turns it into null. ``notes`` adds what did not fit, and the payload, as ``operators.rejects`` has them.
     """
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
     check_producible(df, contract)
+    if notes:
+        df = df.select("*", F.array().cast(NOTHING).alias(REJECTS), payload_of(df).alias(PAYLOAD))
     todo = _Projection(df)
+
+    def made(c: ColumnContract, value: Column, derived: bool) -> None:
+        cast = _cast(value, c, on_error)
+        if notes:
+            todo.define(REJECTS, F.concat(todo.value(REJECTS), misfit(c.name, value, cast)), derived=False)
+        todo.define(c.name, cast, derived)
+
     for c in contract.columns:
         if c.transform is not None:
             words = {w.lower() for w in _WORD.findall(c.transform)}
             if any(set(_WORD.findall(name)) <= words for name in todo.defined):
                 todo.settle()
             check_expression_on(todo.df, c.transform, c.name)
-            todo.define(c.name, _cast(F.expr(c.transform), c, on_error), derived=True)
+            made(c, F.expr(c.transform), derived=True)
         else:
             source = c.source if c.source and c.source.lower() in todo.names else c.name
             if source.lower() in todo.derived:
                 todo.settle()
-            todo.define(c.name, _cast(todo.value(source), c, on_error), derived=False)
+            made(c, todo.value(source), derived=False)
         if c.hashed and hashes:
             if c.name.lower() in todo.derived:
                 todo.settle()
@@ -102,6 +112,8 @@ def apply_contract(
     wanted = contract.output_names if hashes else [c.name for c in contract.columns]
     if METADATA.lower() in todo.names:
         wanted = [*wanted, METADATA]
+    if notes:
+        wanted = [*wanted, REJECTS, PAYLOAD]
     return todo.df.select(*[todo.value(n).alias(n) for n in wanted])
 
 

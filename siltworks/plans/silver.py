@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..contract import TableContract
 from ..functions.columns import with_lineage
@@ -16,6 +18,8 @@ from ..operators.keys import latest_by_contract, require_contract_keys
 from ..operators.ledger import noted, unread
 from ..operators.mapping import apply_contract, hashes_can_wait, with_hash_columns
 from ..operators.merge import upsert_by_contract
+from ..operators.rejects import kept, observed, rejected, with_key_rejects
+from ..sinks import files
 from ..sinks.store import Batch, StoredTable
 from ..streaming.ingest import BronzeTarget, bronze_batches, is_complete, read_bronze
 from .governance import document_by_contract
@@ -30,6 +34,13 @@ def cleaned_rows(bronze: DataFrame, contract: TableContract, on_error: str = "fa
     return require_contract_keys(rows, contract)
 
 
+def examined_rows(bronze: DataFrame, contract: TableContract, on_error: str = "null") -> DataFrame:
+    """The rows of ``cleaned_rows`` and those it turns away, each with what is wrong with it."""
+    flat = with_lineage(flatten_by_contract(bronze, contract.flatten))
+    rows = apply_contract(flat, contract, on_error, hashes=not hashes_can_wait(contract), notes=True)
+    return with_key_rejects(rows, contract.key_groups)
+
+
 def latest_rows(
     rows: DataFrame, contract: TableContract, keep_match_columns: bool = False
 ) -> DataFrame:
@@ -53,6 +64,36 @@ def merged_silver(
     return upsert_by_contract(old, latest_rows(rows, contract, keep_match_columns=True), contract)
 
 
+def rejects_folder(target: StoredTable) -> str:
+    return f"{target.base_folder}-rejects"
+
+
+def store_with_rejects(rows: DataFrame, contract: TableContract, target: StoredTable, on_error: str = "null", batch: Batch | None = None, ledger: dict | None = None) -> dict[str, int]:
+    """Upsert what a contract keeps of bronze rows and store what it turns away; the counts of both.
+
+    Rejects are written first, under the version that the commit will have: a run that dies in between writes them anew.
+    The manifest keeps the counts, which are observed while rejects are written: no row is counted by a job of its own.
+    """
+    if target.has(batch):
+        return {}
+    examined, note = observed(examined_rows(rows, contract, on_error), f"rejects-{uuid.uuid4().hex}")
+    version = target.next_version()
+    rejected(examined).write.mode("overwrite").parquet(f"{rejects_folder(target)}/version={version}")
+    counts = dict(note.get)
+    latest = latest_rows(kept(examined_rows(rows, contract, on_error)), contract)
+    target.upsert(latest, contract.primary_keys, contract.deduplication_keys, batch=batch, keys_are_unique=True, ledger=ledger, rejects=counts)
+    return counts
+
+
+def read_rejects(target: StoredTable) -> DataFrame:
+    """version, column, reason, value, payload, file_path and bronze_ingested_at of all that commits turned away."""
+    known = target.manifest()
+    schema = "column string, reason string, value string, payload string, file_path string, bronze_ingested_at timestamp, version bigint"
+    if known is None or not files.exists(target.spark, rejects_folder(target)):
+        return target.spark.createDataFrame([], schema)
+    return target.spark.read.schema(schema).parquet(rejects_folder(target)).filter(F.col("version") <= known.version)
+
+
 def build_silver(
     spark: SparkSession,
     bronze: DataFrame,
@@ -62,10 +103,11 @@ def build_silver(
     end=None,
     on_error: str = "fail",
     base: str | None = None,
+    keep_rejects: bool = False,
 ) -> str:
     """One run of the silver job; gives the reading mode that was used.
 
-    The first load also stores the contract's descriptions and tags with the table.
+    ``keep_rejects`` stores values and rows that the contract turns away beside the table. The first load also stores the contract's descriptions and tags with the table.
     """
     target = StoredTable.of_contract(spark, contract, table, base)
     known = target.manifest()
@@ -73,7 +115,10 @@ def build_silver(
     mark = moment(known.mark) if known and known.mark is not None else None
     reading = choose_reading(bronze, None if first_load else target.read(), start, end, mark)
     if not reading.nothing_to_do:
-        store_silver(silver_frame(reading.rows, contract, on_error), contract, target)
+        if keep_rejects:
+            store_with_rejects(reading.rows, contract, target, on_error)
+        else:
+            store_silver(silver_frame(reading.rows, contract, on_error), contract, target)
         if first_load:
             document_by_contract(spark, contract, table)
     return reading.mode
@@ -87,6 +132,7 @@ def build_silver_from_batches(
     on_error: str = "fail",
     base: str | None = None,
     delta_runs: bool = False,
+    keep_rejects: bool = False,
 ) -> str:
     """One run over the micro-batches of bronze that silver has not read, whatever times their rows carry.
 
@@ -97,12 +143,15 @@ def build_silver_from_batches(
     target = StoredTable.of_contract(spark, contract, table, base, delta_runs)
     known = target.manifest()
     if known is not None and not known.ledger:
-        return build_silver(spark, read_bronze(spark, source), contract, table, on_error=on_error, base=base)
+        return build_silver(spark, read_bronze(spark, source), contract, table, on_error=on_error, base=base, keep_rejects=keep_rejects)
     ledger = known.ledger if known else {}
     fresh = [b for b in unread(ledger, bronze_batches(spark, source)) if is_complete(spark, source, b)]
     if fresh:
-        rows = silver_frame(read_bronze(spark, source, fresh), contract, on_error)
-        store_silver(rows, contract, target, ledger=noted(ledger, fresh))
+        rows, read = read_bronze(spark, source, fresh), noted(ledger, fresh)
+        if keep_rejects:
+            store_with_rejects(rows, contract, target, on_error, ledger=read)
+        else:
+            store_silver(silver_frame(rows, contract, on_error), contract, target, ledger=read)
         if known is None:
             document_by_contract(spark, contract, table)
     return FULL_LOAD if known is None else INCREMENTAL

@@ -117,6 +117,8 @@ class Manifest:
     stats: list[dict] = field(default_factory=list)
     # Micro-batches of the source that were read, see operators.ledger
     ledger: dict[str, list[list[int]]] = field(default_factory=dict)
+    # What the last commit's contract turned away: counts by kind
+    rejects: dict[str, int] = field(default_factory=dict)
 
     @property
     def struct(self) -> T.StructType:
@@ -272,6 +274,10 @@ class StoredTable:
 
     # -- writing ---------------------------------------------------------------------------
 
+    def next_version(self) -> int:
+        """The number that the next commit will have, if nothing else is written before."""
+        return self._next_version(self.manifest())
+
     def _next_version(self, known: Manifest | None) -> int:
         numbers = [int(m.group(1)) for f in files.listing(self.spark, self.base_folder) if (m := _SNAPSHOT.search(f.name))]
         return max([*numbers, known.version if known else -1]) + 1
@@ -310,12 +316,13 @@ class StoredTable:
         batch: Batch | None = None,
         refuse_repeats: bool = False,
         ledger: dict | None = None,
+        rejects: dict | None = None,
     ) -> None:
         """First load: make the database when missing, write the rows, register the table."""
         ensure_database(self.spark, self.name)
-        self._replace(df, keys, batch, refuse_repeats, ledger=ledger)
+        self._replace(df, keys, batch, refuse_repeats, ledger=ledger, rejects=rejects)
 
-    def _replace(self, df: DataFrame, keys: Sequence[str], batch: Batch | None = None, refuse_repeats: bool = False, buckets: int | None = None, ledger: dict | None = None) -> None:
+    def _replace(self, df: DataFrame, keys: Sequence[str], batch: Batch | None = None, refuse_repeats: bool = False, buckets: int | None = None, ledger: dict | None = None, rejects: dict | None = None) -> None:
         known = self.manifest()
         buckets = (known.buckets if known else self.buckets) if buckets is None else buckets
         keys = list(keys) or (known.keys if known else [])
@@ -323,7 +330,7 @@ class StoredTable:
             raise ValueError("a bucketed table needs its primary keys")
         version = self._next_version(known)
         folders = self._write(df, keys, buckets, version)
-        new = Manifest(version, _stored_schema(df.schema), buckets, keys, folders, list(batch) if batch else None, ledger=ledger or {})
+        new = Manifest(version, _stored_schema(df.schema), buckets, keys, folders, list(batch) if batch else None, ledger=ledger or {}, rejects=rejects or {})
         if refuse_repeats:
             try:
                 self._refuse_repeats(self._rows(new), keys)
@@ -351,6 +358,7 @@ class StoredTable:
         batch: Batch | None = None,
         keys_are_unique: bool = False,
         ledger: dict | None = None,
+        rejects: dict | None = None,
     ) -> None:
         """Create the table, or merge a batch into it. A micro-batch that was committed is skipped.
 
@@ -363,17 +371,16 @@ class StoredTable:
             return
         known = self.manifest()
         if known is None:
-            self.create(new, keys, batch, refuse_repeats=not keys_are_unique, ledger=ledger)
+            self.create(new, keys, batch, refuse_repeats=not keys_are_unique, ledger=ledger, rejects=rejects)
             return
         if (known.buckets or known.runs or self.delta_runs and known.keys) and [k.lower() for k in keys] != [k.lower() for k in known.keys]:
             raise ValueError(f"the table {self.name} is kept by {known.keys}, not by {list(keys)}")
-        if ledger is not None:
-            known = replace(known, ledger=ledger)
+        known = replace(known, ledger=known.ledger if ledger is None else ledger, rejects=rejects or {})
         if self.delta_runs:
             return self._append_run(replace(known, keys=list(known.keys or keys)), new, keys, order_by, batch, keys_are_unique)
         if known.runs:
             self.compact()
-            known = replace(self._known(), ledger=known.ledger)
+            known = replace(self._known(), ledger=known.ledger, rejects=known.rejects)
         self.publish()
         types = {f.name.lower(): f.dataType for f in known.struct.fields}
         for k in keys:
