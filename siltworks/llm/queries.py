@@ -248,7 +248,67 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_errors(codes.coded).select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
 
 
-@register("op12_conversation_repair")
+@register(
+    "op12_conversation_repair",
+    r"""
+    WITH RECURSIVE source AS (
+      SELECT conv_id, turn, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text
+      FROM conversations),
+    summed AS (  -- the checksum, bit by bit
+      SELECT *, xor(4294967295, list_reduce(
+               list_concat([4294967295::BIGINT], list_transform(range(1, len(k) + 1), lambda i: ascii(k[i])::BIGINT)),
+               lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384)))) % 20 AS kind
+      FROM source),
+    damaged AS (
+      SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM summed, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS c(copy)),
+    placed AS MATERIALIZED (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM damaged),
+    told AS MATERIALIZED (
+      SELECT *, left(role, 1) AS init,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS earlier
+      FROM placed),
+    inserts(q, p, more, audit, made) AS (VALUES
+      (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+      (0, 2, 2, 'I', ['user:']), (1, 2, 2, 'I', ['user:']), (2, 3, 2, 'I', ['assistant:']), (3, 2, 2, 'I', ['user:']),
+      (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 3, 4, 'II', ['user:', 'assistant:']), (3, 3, 4, 'II', ['user:', 'assistant:']),
+      (2, 2, 4, 'II', ['assistant:', 'user:'])),
+    arcs AS MATERIALIZED (
+      SELECT conv_id, pos, q, q AS p, 3 AS more, 'D' AS edit, []::VARCHAR[] AS made FROM told, range(4) AS s(q)
+      UNION ALL
+      SELECT conv_id, pos, q, p, (fault IS NOT DISTINCT FROM 'truncated')::INT, 'K', [role || ':' || text]
+      FROM told JOIN (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS k(q, init, p) USING (init)
+      WHERE fault IS DISTINCT FROM 'blank' AND fault IS DISTINCT FROM 'duplicate'
+      UNION ALL
+      SELECT conv_id, pos, q, p, 2 + (fault IS NOT DISTINCT FROM 'truncated')::INT, 'R', [name || ':' || text]
+      FROM told, (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) AS k(q, p, name)
+      WHERE fault IS DISTINCT FROM 'blank' AND fault IS DISTINCT FROM 'duplicate'),
+    ways AS (
+      SELECT DISTINCT conv_id, 0::BIGINT AS pos, 0 AS q, {'cost': 0::BIGINT, 'audit': '', 'made': []::VARCHAR[]} AS way FROM source
+      UNION ALL
+      SELECT w.conv_id, w.pos + 1, a.p,
+             min({'cost': w.way.cost + i.more + a.more, 'audit': w.way.audit || i.audit || a.edit, 'made': list_concat(list_concat(w.way.made, i.made), a.made)})
+      FROM ways w JOIN inserts i ON w.q = i.q
+        JOIN arcs a ON a.conv_id IS NOT DISTINCT FROM w.conv_id AND a.pos = w.pos + 1 AND a.q = i.p
+      GROUP BY w.conv_id, w.pos, a.p),
+    counts AS (
+      SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (earlier IS NOT NULL AND earlier || init NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM told GROUP BY conv_id),
+    least AS (
+      SELECT w.conv_id, min({'cost': w.way.cost + i.more, 'audit': w.way.audit || i.audit, 'made': list_concat(w.way.made, i.made)}) AS way
+      FROM ways w JOIN inserts i ON w.q = i.q LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+      WHERE i.p IN (0, 3) AND w.pos = coalesce(c.n, 0) GROUP BY w.conv_id)
+    SELECT l.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, l.way.cost AS cost, l.way.audit AS audit, sha256(array_to_string(l.way.made, chr(10))) AS repaired_sha256
+    FROM least l LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM l.conv_id
+    """,
+)
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .conversation_repair import damaged, reports
 

@@ -8,7 +8,7 @@ import zlib
 import pytest
 
 from siltworks.llm import conversation_repair as repair
-from siltworks.llm.queries import QUERIES
+from siltworks.llm.queries import ORACLES, QUERIES
 
 from .helpers import SF, needs_tables
 
@@ -88,6 +88,9 @@ def same(got, rows, want):
 
 @needs_tables
 def test_query_on_whole_table(spark):
+    from checks.compare import differences, duck
+
+    assert differences(QUERIES["op12_conversation_repair"](spark, SF), duck(SF), ORACLES["op12_conversation_repair"]) is None
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     same(QUERIES["op12_conversation_repair"](spark, SF), rows, expected([r[0] for r in rows], list(broken(rows))))
 
