@@ -158,7 +158,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import similar_documents
 
-    return similar_documents(table(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
+    return similar_documents(table(spark, sf_dir), width=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @register("op5_language_model")
