@@ -114,3 +114,30 @@ def test_later_rules_are_not_evaluated(spark):
     fails = F.raise_error(F.lit("evaluated"))
     verdict = quality_rules.cascade(quality_rules.RULES[:2], lambda m: F.lit(3) if m == "n_words" else fails.cast("bigint"))
     assert spark.range(3).select(verdict.alias("v")).distinct().collect()[0]["v"] == "too_short"
+
+
+def test_documents_leave_the_walk_at_the_first_rule_that_rejects_them(spark, monkeypatch):
+    order = [r for name in ("too_short", "symbols", "repetitive") for r in quality_rules.RULES if r.name == name]
+    docs = documents(spark, ["# " * 60, "one two", None, " ".join(map(str, range(60)))]).selectExpr("doc_id", "coalesce(text, '') AS __text")
+    raised = lambda text: F.when(F.lit(True), F.raise_error(F.lit("evaluated"))).cast("bigint")
+    plain = {r["doc_id"]: r for r in quality_rules.walked(docs, order).collect()}
+    assert {i: r["__rejected_by"] for i, r in plain.items()} == {0: "symbols", 1: "too_short", 2: "too_short", 3: None}
+    assert [(plain[i]["__n_symbols"], plain[i]["__n_repeat_words"]) for i in range(4)] == [(60, None), (None, None), (None, None), (0, 0)]
+    monkeypatch.setitem(quality_rules.METRICS, "n_repeat_words", raised)
+    assert quality_rules.walked(docs.filter("doc_id < 3"), order).select("__rejected_by").distinct().count() == 2
+    with pytest.raises(Exception, match="evaluated"):
+        quality_rules.walked(docs, order).collect()
+
+
+def test_verdicts_are_the_same_with_and_without_the_metrics(spark):
+    docs = documents(spark, RULES).selectExpr("*", "'mine' AS rejected_by")
+    verdict = lambda df: {r["doc_id"]: r["rejected_by"] is None for r in df.collect()}
+    assert verdict(quality_rules.judged(docs)) == verdict(quality_rules.measured(docs))
+    assert quality_rules.judged(docs).columns == docs.columns and quality_rules.judged(empty(spark)).count() == 0
+
+
+def test_estimates_are_of_a_sample_of_bounded_size(spark):
+    docs = documents(spark, RULES * 200, clash=False)
+    found = quality_rules.estimate(docs, rows=100)
+    assert [e["rule"] for e in found] == list(quality_rules.RULES) and all(e["cost"] > 0 for e in found)
+    assert 0.5 < found[0]["selectivity"] <= 1.0
