@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import TableContract
+from ..functions.columns import ref
 from ..functions.names import quoted
 from .keys import match_columns, with_match_columns
 
 _OLD, _NEW = "__in_old", "__in_new"
+# A batch that nobody has measured is broadcast if its rows, as text, take no more than this.
+SMALL_TEXT_BYTES = 32 << 20
 
 
 def _side(alias: str, name: str) -> Column:
@@ -88,16 +91,24 @@ def upsert(
     )
 
 
+def text_bytes(rows: DataFrame) -> Column:
+    """Bytes of a row as text."""
+    return F.octet_length(F.to_json(F.struct(*[ref(c) for c in rows.columns]), {"ignoreNullFields": "false"}))
+
+
 def upsert_small(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+    old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), measured: bool = False
 ) -> DataFrame:
-    """For a ``new`` whose size the caller has *measured* to fit in memory: ``old`` is not shuffled.
+    """For a small ``new``: ``old`` is not shuffled.
 
     Gives what ``upsert`` gives. A full outer join cannot broadcast, so it is split in two. Updates: ``old`` left join
     broadcast ``new``. Inserts: ``new`` minus the old keys that occur in ``new``, of which there
-    are no more than rows in ``new``.
+    are no more than rows in ``new``. ``measured`` tells that the caller has found ``new`` to fit in memory; else its rows are
+    measured here, by one job, and joined without a broadcast where they take too much.
     """
-    hinted = F.broadcast(new.withColumn(_NEW, F.lit(True))).alias("new")
+    small = measured or (new.agg(F.sum(text_bytes(new))).first()[0] or 0) <= SMALL_TEXT_BYTES
+    sent = F.broadcast if small else (lambda df: df.hint("merge"))
+    hinted = sent(new.withColumn(_NEW, F.lit(True))).alias("new")
     take_new = _side("new", _NEW).isNotNull() & may_replace(order_by)
     updated = old.alias("old").join(hinted, merge_key(keys), "left").select(
         *_merged_columns(old, new, take_new)
@@ -106,9 +117,9 @@ def upsert_small(
     known = (
         old.select(*key_columns)
         .alias("old")
-        .join(F.broadcast(new.select(*key_columns)).alias("new"), merge_key(keys), "left_semi")
+        .join(sent(new.select(*key_columns)).alias("new"), merge_key(keys), "left_semi")
     )
-    fresh = new.alias("new").join(F.broadcast(known).alias("old"), merge_key(keys), "left_anti")
+    fresh = new.alias("new").join(sent(known).alias("old"), merge_key(keys), "left_anti")
     inserted = fresh.select(
         *[
             (_side("new", name).cast(dtype) if name.lower() in {c.lower() for c in new.columns}

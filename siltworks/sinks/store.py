@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from ..contract import TableContract
 from ..functions.columns import METADATA, ref
 from ..functions.names import quoted
-from ..operators.merge import repeated_keys, upsert, upsert_small
+from ..operators.merge import repeated_keys, text_bytes, upsert, upsert_small
 from ..operators.versions import RUN, Run, merged, run_of, thinned
 from . import files
 
@@ -404,7 +404,8 @@ class StoredTable:
             if known.buckets:
                 touched = [str(r[0]) for r in staged.select(_bucket_of(keys, known.buckets)).distinct().collect()]  # at most one row per bucket
             small = self._is_small(staged, staged_path)
-            result = (upsert_small if small else upsert)(self._rows(known, touched), staged, keys, order_by)
+            old = self._rows(known, touched)
+            result = upsert_small(old, staged, keys, order_by, measured=True) if small else upsert(old, staged, keys, order_by)
             folders = self._write(result, known.keys, known.buckets, version, gather=not small)
             kept = {b: f for b, f in known.folders.items() if touched is not None and b not in touched}
             self._commit(self._with_stats(replace(after, schema=_stored_schema(result.schema), folders={**kept, **folders}, base_bytes=None)))
@@ -438,7 +439,7 @@ class StoredTable:
         self._tidy(after)
 
     def _measured(self, entry: dict, rows: DataFrame) -> dict:
-        n, text = rows.agg(F.count(F.lit(1)), F.sum(_text_bytes(rows))).first()
+        n, text = rows.agg(F.count(F.lit(1)), F.sum(text_bytes(rows))).first()
         return {**entry, "rows": n, "text": text or 0, "bytes": files.total_bytes(self.spark, f"{self.base_folder}/{entry['folder']}")}
 
     def _tidy(self, known: Manifest) -> None:
@@ -474,7 +475,7 @@ class StoredTable:
     def _is_small(self, staged: DataFrame, path: str) -> bool:
         if files.total_bytes(self.spark, path) > SMALL_FILE_BYTES:
             return False
-        return (staged.agg(F.sum(_text_bytes(staged))).first()[0] or 0) <= BROADCAST_BYTES
+        return (staged.agg(F.sum(text_bytes(staged))).first()[0] or 0) <= BROADCAST_BYTES
 
     def _refuse_repeats(self, new: DataFrame, keys: Sequence[str]) -> None:
         if not repeated_keys(new, keys).isEmpty():
@@ -582,10 +583,6 @@ def _members(runs: Sequence[dict]) -> list[Run]:
     return [run_of(m) for r in runs for m in r["members"]]
 
 
-def _text_bytes(rows: DataFrame) -> Column:
-    return F.octet_length(F.to_json(F.struct(*[ref(c) for c in rows.columns]), {"ignoreNullFields": "false"}))
-
-
 def _mark_of(rows: DataFrame) -> int | None:
     """Greatest bronze ingestion time of rows with lineage, in microseconds."""
     if METADATA not in rows.columns or "bronze_ingested_at" not in getattr(rows.schema[METADATA].dataType, "names", ()):

@@ -139,3 +139,16 @@ def test_repeated_keys(spark):
 def test_null_hashes_never_match(spark):
     df = spark.createDataFrame([(1, "h"), (2, None), (3, "h"), (4, None), (5, "z"), (6, "h")], "id int, h string")
     assert rows(matching_rows(df, "h", "id")) == [("h", 3, 1, 6, 3)]
+
+
+def test_a_batch_that_measures_large_is_not_broadcast(spark, monkeypatch):
+    old = spark.createDataFrame([([1], "1", "old"), (None, "1", "old"), ([2], "5", "old")], "id array<long>, at string, v string")
+    new = spark.createDataFrame([([1], "2", "new"), (None, "0", "new"), ([3], "1", "new")], "id array<long>, at string, v string")
+    wanted = rows(upsert(old, new, ["id"], ["at"]))
+    plans = []
+    for limit in (1 << 20, 0):
+        monkeypatch.setattr("siltworks.operators.merge.SMALL_TEXT_BYTES", limit)
+        merged = upsert_small(old, new, ["id"], ["at"])
+        plans.append(merged._jdf.queryExecution().optimizedPlan().toString())
+        assert rows(merged) == wanted
+    assert "strategy=broadcast" in plans[0] and "strategy=broadcast" not in plans[1]
