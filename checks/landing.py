@@ -52,6 +52,10 @@ def ingest_json(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Bytes of documents, as Parquet, in one landed array.
+ARRAY_BYTES = 8 << 20
+
+
 def json_array_lines(batches):
     """Lines of one indented JSON array per task, written as they come."""
     opening = "["
@@ -65,7 +69,9 @@ def json_array_lines(batches):
 def ingest_multi_line(spark: SparkSession, sf: str) -> DataFrame:
     """Each landed file is one indented document, an array of whole texts."""
     landing, target = landing_and_bronze(spark, "q02b", "json", options={"multiLine": "true"})
-    documents = table(spark, sf, "documents")
+    # A document of many lines is read by one task: files stay small however large the table is.
+    n_files = max(8, -(-files.total_bytes(spark, f"{sf}/documents.parquet") // ARRAY_BYTES))
+    documents = table(spark, sf, "documents").repartition(n_files)
     indented = documents.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("doc"))
     lines = indented.mapInPandas(json_array_lines, "line string")
     lines.write.text(f"{landing.path}/20240101/00")

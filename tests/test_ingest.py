@@ -210,3 +210,15 @@ def test_landed_file_names():
 
     now = dt.datetime(2024, 1, 2, 23, 4, 5, tzinfo=dt.timezone(dt.timedelta(hours=-2)))
     assert landed_file("/land/", "places", 300, now) == "/land/20240103/01/places_20240103010405_300.json"
+
+
+def test_landed_arrays_stay_small_whatever_the_table(spark, tmp_path, monkeypatch):
+    from checks import landing as checks_landing
+
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "'web' AS source", "8L AS n_chars")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(checks_landing, "ARRAY_BYTES", 300)
+    monkeypatch.setattr(checks_landing, "work_folder", lambda spark, label: f"{tmp_path}/{label}")
+    assert rows(checks_landing.ingest_multi_line(spark, str(tmp_path))) == rows(docs)
+    landed = list((tmp_path / "q02b/landing/20240101/00").glob("part-*"))
+    assert len(landed) > 8
