@@ -104,3 +104,22 @@ def test_one_file_keeps_the_order_and_the_work_parallel(spark, tmp_path, file_fo
     one = spark.read.schema(wide.schema).format(file_format).load(export_frame(wide, str(tmp_path), "wide", file_format))
     tasks = [r["task"] for r in one.select("task").distinct().collect()]
     assert len(tasks) == 8
+
+
+def test_one_file_is_put_together_by_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("siltworks.sinks.export.PIECE_BYTES", 1000)
+    monkeypatch.setattr("siltworks.sinks.export._in_one_task", lambda df: pytest.fail("one task writes everything"))
+    df = spark.range(3000).selectExpr("id", "concat('text ', id) AS t").repartitionByRange(7, "id")
+    wanted = "".join(f"{i}|text {i}\n" for i in range(3000))
+    for now in (NOW, NOW):  # the second replaces the first
+        path = export_frame(df, str(tmp_path), "s", options={"header": "true", "sep": "|"}, now=now)
+        assert open(path).read() == "id|t\n" + wanted
+        assert spark.read.csv(path, sep="|", header=True).count() == 3000
+    empty = export_frame(df.limit(0), str(tmp_path), "none", "json", now=NOW)
+    assert os.path.getsize(empty) == 0
+    assert not [f for f in os.listdir(tmp_path / "20240305") if "_writing_" in f]
+
+
+def test_packed_single_files_are_not_joined(spark, tmp_path):
+    path = export_frame(spark.range(100).repartition(4), str(tmp_path), "s", options={"compression": "gzip"}, now=NOW)
+    assert os.path.isfile(path)
