@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
@@ -32,6 +33,9 @@ STATES = NONE, LETTERS, NUMBERS, OTHERS, WHITES, LEAD, ONE_MORE, TWO_MORE = rang
 
 # Bytes of a piece beyond which it is merged by itself.
 LONG_PIECE = 256
+# Bytes of text that are cut into pieces at a time, and entries of the cache: a worker's memory grows with both.
+ENCODED_BYTES = 1 << 20
+ENCODED_PIECES = 50_000
 
 
 def step(state: int, symbol: int) -> tuple[int, bool]:
@@ -133,15 +137,16 @@ class Vocabulary:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         tokens = [b""] * (max(self.ranks.values()) + 1)
-        pairs = {}
+        keys, merged = array("q"), array("q")
         for token, rank in self.ranks.items():
             tokens[rank] = token
             for cut in range(1, len(token)):
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.merged = np.array([pairs[int(k)] for k in self.keys], np.int64)
+                    keys.append(a << 32 | b)
+                    merged.append(rank)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys, self.merged = np.array(keys, np.int64)[order], np.array(merged, np.int64)[order]
         self.lengths = np.array([len(x) for x in tokens], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
@@ -230,7 +235,7 @@ class Vocabulary:
 @lru_cache(4)
 def vocabulary(path: str) -> tuple[Vocabulary, PieceCache]:
     v = Vocabulary(path)
-    return v, PieceCache(v.merge)
+    return v, PieceCache(v.merge, limit=ENCODED_PIECES)
 
 
 def encode_texts(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,7 +270,7 @@ def encode(docs: DataFrame, path: str, offsets: bool = False, decoded: bool = Fa
     schema = "doc_id bigint, ids binary, n_tokens bigint" + (", begins binary" if offsets else "") + (", decoded binary" if decoded else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, starts in slices(batches):
+        for rows, data, starts in slices(batches, size=ENCODED_BYTES):
             ids, bounds, begins = encode_texts(data, starts, path)
             columns = [rows.column("doc_id"), binary(ids.view(np.uint8), bounds * 4), pa.array(np.diff(bounds), pa.int64())]
             if offsets:
