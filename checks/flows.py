@@ -338,7 +338,7 @@ CHARGE_SILVER = f"""
 def silver_build(spark: SparkSession, sf: str) -> DataFrame:
     """Rows shipped before 1998 are there from an earlier load; then all rows arrive."""
     bronze = line_events(table(spark, sf, "lineitem"))
-    early = silver_frame(bronze.filter("_ingested_at < timestamp '1998-01-01 00:00:00'"), CHARGES)
+    early = silver_frame(bronze.filter("_ingested_at < timestamp '1998-01-01 00:00:00'"), CHARGES, keep_match_columns=True)
     merged = merged_silver(early.withColumn("was_there", F.lit(True)), bronze, CHARGES)
     return merged.select(
         *CHARGES.output_names,

@@ -96,6 +96,8 @@ class TableContract:
     clustering_keys: tuple[str, ...] = ()
     flatten: FlattenContract | None = None
     key_buckets: int | None = None
+    # A key can hold a large share of all rows: tasks limit their rows per key before they send them, which costs a sort.
+    hot_keys: bool = False
 
     @property
     def output_names(self) -> list[str]:
@@ -150,6 +152,7 @@ def contract_from_dict(document: Mapping) -> TableContract:
         deduplication_keys=tuple(table.get("deduplication_keys") or ()),
         clustering_keys=tuple(table.get("clustering_keys") or ()),
         key_buckets=None if table.get("key_buckets") is None else int(table["key_buckets"]),
+        hot_keys=bool(table.get("hot_keys")),
         flatten=None
         if flat is None
         else FlattenContract(

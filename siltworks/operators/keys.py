@@ -95,13 +95,17 @@ def latest_per_key(
     whole_frame: bool = False,
     break_ties: bool = True,
     keep_match_columns: bool = False,
+    limit_first: bool = True,
+    place: Column | None = None,
 ) -> DataFrame:
     """One row per key: the greatest by ``order_by``, nulls last. A null key is a value.
 
     Catalyst turns ``row_number() = 1`` into a group limit that runs *before* the exchange too:
     each task forwards one row per key, so a key that holds a third of all rows costs the reducer
-    no more than one row per map task. ``keep_match_columns`` prepares the result for an upsert
-    that reuses this exchange.
+    no more than one row per map task. That limit sorts what each task has read, on disk where it is much;
+    without ``limit_first`` rows are sorted once, after the exchange: for keys that are seldom repeated.
+    ``keep_match_columns`` prepares the result for an upsert that reuses this exchange. ``place``, an expression of
+    the keys, says which rows are brought together (without ``limit_first``), as a writer needs them.
     """
     if not keys and not whole_frame:
         raise ValueError("no keys: one row of the whole frame would survive; ask for it with whole_frame")
@@ -109,13 +113,32 @@ def latest_per_key(
         return _latest_of_all(df, order_by, break_ties)
     order = [ref(c).desc_nulls_last() for c in order_by]
     if break_ties or not order:
-        order += _tie_break(df, {*keys, *order_by})
+        # Keys are equal among the rows compared, however they are spelled.
+        order += _tie_break(df, {*order_by, *(f.name for f in df.schema.fields if f.name.lower() in {k.lower() for k in keys})})
     order = order or [F.lit(1).asc()]
-    partition = [ref(k) for k in keys]
-    if keep_match_columns:
+    partition, columns, fields = [ref(k) for k in keys], df.columns, {f.name.lower(): f for f in df.schema.fields}
+    if place is not None and not limit_first:
+        df, partition = df.withColumn("__place", place), [F.col("__place"), *partition]
+        df = df.repartition("__place")
+    elif keep_match_columns:
         df, partition = with_match_columns(df, keys), [F.col(n) for n in match_columns(keys)]
-    rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
-    return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
+        if not limit_first:
+            # The keys do not travel beside the columns that stand for them.
+            ordering = {c.lower() for c in order_by}
+            df = df.drop(*[fields[k.lower()].name for k in keys if k.lower() not in ordering])
+    window = Window.partitionBy(*partition).orderBy(*order)
+    # A rank is limited on both sides of the exchange, a look at the row before is not.
+    place_in_key = F.row_number().over(window) if limit_first else F.lag(F.lit(1)).over(window)
+    found = F.col("__rank") == 1 if limit_first else F.col("__rank").isNull()
+    latest = df.withColumn("__rank", place_in_key).filter(found).drop("__rank", "__place")
+    if not keep_match_columns:
+        return latest
+    back = {fields[k.lower()].name: i for i, k in enumerate(keys)}
+    whole = [
+        F.when(~F.col(f"__key_{i}_null"), F.col(f"__key_{i}")).alias(c) if c not in latest.columns and (i := back.get(c)) is not None else ref(c)
+        for c in columns
+    ]
+    return latest.select(*whole, *[m for m in match_columns(keys) if m not in columns])
 
 
 def _latest_of_all(df: DataFrame, order_by: Sequence[str], break_ties: bool) -> DataFrame:
@@ -126,10 +149,11 @@ def _latest_of_all(df: DataFrame, order_by: Sequence[str], break_ties: bool) ->
     return df.orderBy(*order).limit(1)
 
 
-def latest_by_contract(df: DataFrame, contract: TableContract, keep_match_columns=False) -> DataFrame:
+def latest_by_contract(df: DataFrame, contract: TableContract, keep_match_columns=False, **how) -> DataFrame:
     return latest_per_key(
         df,
         contract.primary_keys,
         contract.deduplication_keys,
         keep_match_columns=keep_match_columns,
+        **how,
     )

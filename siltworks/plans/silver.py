@@ -42,24 +42,27 @@ def examined_rows(bronze: DataFrame, contract: TableContract, on_error: str = "n
 
 
 def latest_rows(
-    rows: DataFrame, contract: TableContract, keep_match_columns: bool = False
+    rows: DataFrame, contract: TableContract, keep_match_columns: bool = False, target: StoredTable | None = None
 ) -> DataFrame:
     """Latest row per key, then the hashed columns: they neither travel nor are made for rows that
-    do not survive."""
-    latest = latest_by_contract(rows, contract, keep_match_columns)
+    do not survive. With ``target`` rows are brought together as its layout needs them, so that writing moves none again."""
+    place = target.place_of(rows, contract.primary_keys) if target is not None else None
+    latest = latest_by_contract(rows, contract, keep_match_columns, limit_first=contract.hot_keys, place=place)
     return with_hash_columns(latest, contract) if hashes_can_wait(contract) else latest
 
 
-def silver_frame(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
-    """One row per primary key; the only shuffle is by that key."""
-    return latest_rows(cleaned_rows(bronze, contract, on_error), contract)
+def silver_frame(
+    bronze: DataFrame, contract: TableContract, on_error: str = "fail", keep_match_columns: bool = False, target: StoredTable | None = None
+) -> DataFrame:
+    """One row per primary key; the only shuffle is by that key. ``keep_match_columns`` prepares it for ``merged_silver``, ``target`` for being stored."""
+    return latest_rows(cleaned_rows(bronze, contract, on_error), contract, keep_match_columns, target)
 
 
 def merged_silver(
     old: DataFrame, bronze: DataFrame, contract: TableContract, on_error: str = "fail"
 ) -> DataFrame:
     """Silver after this bronze has been upserted, as a frame: two exchanges, one per side, since
-    the one of the latest-row step serves the join too."""
+    the one of the latest-row step serves the join too, for ``old`` where its match columns are kept."""
     rows = cleaned_rows(bronze, contract, on_error)
     return upsert_by_contract(old, latest_rows(rows, contract, keep_match_columns=True), contract)
 
@@ -80,8 +83,8 @@ def store_with_rejects(rows: DataFrame, contract: TableContract, target: StoredT
     version = target.next_version()
     rejected(examined).write.mode("overwrite").parquet(f"{rejects_folder(target)}/version={version}")
     counts = dict(note.get)
-    latest = latest_rows(kept(examined_rows(rows, contract, on_error)), contract)
-    target.upsert(latest, contract.primary_keys, contract.deduplication_keys, batch=batch, keys_are_unique=True, ledger=ledger, rejects=counts)
+    latest = latest_rows(kept(examined_rows(rows, contract, on_error)), contract, target=target)
+    store_silver(latest, contract, target, batch, ledger, counts)
     return counts
 
 
@@ -118,7 +121,7 @@ def build_silver(
         if keep_rejects:
             store_with_rejects(reading.rows, contract, target, on_error)
         else:
-            store_silver(silver_frame(reading.rows, contract, on_error), contract, target)
+            store_silver(silver_frame(reading.rows, contract, on_error, target=target), contract, target)
         if first_load:
             document_by_contract(spark, contract, table)
     return reading.mode
@@ -151,15 +154,21 @@ def build_silver_from_batches(
         if keep_rejects:
             store_with_rejects(rows, contract, target, on_error, ledger=read)
         else:
-            store_silver(silver_frame(rows, contract, on_error), contract, target, ledger=read)
+            store_silver(silver_frame(rows, contract, on_error, target=target), contract, target, ledger=read)
         if known is None:
             document_by_contract(spark, contract, table)
     return FULL_LOAD if known is None else INCREMENTAL
 
 
 def store_silver(
-    rows: DataFrame, contract: TableContract, target: StoredTable, batch: Batch | None = None, ledger: dict | None = None
+    rows: DataFrame,
+    contract: TableContract,
+    target: StoredTable,
+    batch: Batch | None = None,
+    ledger: dict | None = None,
+    rejects: dict | None = None,
 ) -> None:
+    """``rows`` were made for this target (``silver_frame``)."""
     target.upsert(
         rows,
         contract.primary_keys,
@@ -167,6 +176,8 @@ def store_silver(
         batch=batch,
         keys_are_unique=True,
         ledger=ledger,
+        rejects=rejects,
+        placed=not contract.hot_keys,
     )
 
 
@@ -206,7 +217,7 @@ def build_fan_out(
                 pool.submit(
                     # The jobs keep the caller's pool, group and description.
                     inheritable_thread_target(bronze.sparkSession)(_store_and_document),
-                    silver_frame(source, contract, on_error), contract, table, batch,
+                    silver_frame(source, contract, on_error, target=table), contract, table, batch,
                 )
                 for contract, table in targets.values()
             ]

@@ -29,7 +29,7 @@ import json
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
-from functools import cached_property, reduce
+from functools import cached_property, reduce, wraps
 from operator import and_, or_
 from typing import NamedTuple
 
@@ -42,6 +42,7 @@ from ..functions.columns import METADATA, ref
 from ..functions.names import quoted
 from ..operators.merge import repeated_keys, text_bytes, upsert, upsert_small
 from ..operators.versions import RUN, Run, merged, run_of, thinned
+from ..session import shuffles_deleted
 from . import files
 
 BUCKET = "_key_bucket"
@@ -52,6 +53,11 @@ SMALL_FILE_BYTES = 32 << 20
 # … and counts as small if its rows, as text, take no more than this: the table is not shuffled then.
 BROADCAST_BYTES = 256 << 20
 
+# Rows that come placed lie in so many places of each bucket, so that tasks are not bound to their number …
+PLACES_PER_BUCKET = 16
+# … and a large batch is merged by groups of buckets of about so many bytes of Parquet, or an eighth of all that is merged.
+GROUP_BYTES = 1 << 30
+
 # So many runs of one tier are gathered into one of the next …
 RUNS_PER_TIER = 8
 # … and runs of this share of the base's bytes are folded into it.
@@ -61,6 +67,17 @@ _VERSION_PROPERTY, _LAYOUT_PROPERTY, _BASE_PROPERTY = "silver.published_version"
 _SNAPSHOT = re.compile(r"snap-(\d+)$")
 
 
+def _scratch_deleted(method):
+    """Shuffle files of each query in the method are deleted when it ends: what a commit needs on disk is that of its largest query."""
+
+    @wraps(method)
+    def run(self, *args, **kwargs):
+        with shuffles_deleted(self.spark):
+            return method(self, *args, **kwargs)
+
+    return run
+
+
 class Batch(NamedTuple):
     """A micro-batch: the stream that made it, by the id its checkpoint holds, and its number there.
 
@@ -285,7 +302,17 @@ class StoredTable:
     def _folder(self, version: int) -> str:
         return f"{self.base_folder}/snap-{version:06d}"
 
-    def _write(self, df: DataFrame, keys: Sequence[str], buckets: int, version: int, gather: bool = True) -> dict[str, str]:
+    def place_of(self, rows: DataFrame, keys: Sequence[str]) -> Column | None:
+        """Where rows belong in this table's layout: rows of one place are in one bucket. None where the layout has no buckets."""
+        known = self.manifest()
+        buckets = known.buckets if known else self.buckets
+        if not buckets or not keys or known and [k.lower() for k in keys] != [k.lower() for k in known.keys]:
+            return None
+        types = {f.name.lower(): f.dataType for f in (known.struct if known else rows.schema).fields}
+        columns = [ref(k).cast(types[k.lower()]) for k in keys]
+        return F.pmod(F.xxhash64(*columns), F.lit(buckets * PLACES_PER_BUCKET))
+
+    def _write(self, df: DataFrame, keys: Sequence[str], buckets: int, version: int, gather: bool = True, mode: str = "overwrite") -> dict[str, str]:
         """Write rows into a new folder; what the manifest will say of them.
 
         Clustering is kept inside buckets, so nothing but the rewritten buckets is sorted. ``gather`` brings a bucket's rows
@@ -300,7 +327,7 @@ class StoredTable:
         if gather:
             placed = placed.hint("rebalance", BUCKET)
         placed = placed.sortWithinPartitions(BUCKET, *[ref(c) for c in self.clustering])
-        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        placed.write.mode(mode).partitionBy(BUCKET).parquet(folder)
         made = [f.name for f in files.listing(self.spark, folder) if f.is_dir and f.name.startswith(BUCKET + "=")]
         return {n.split("=")[1]: f"{name}/{n}" for n in made}
 
@@ -317,19 +344,21 @@ class StoredTable:
         refuse_repeats: bool = False,
         ledger: dict | None = None,
         rejects: dict | None = None,
+        placed: bool = False,
     ) -> None:
         """First load: make the database when missing, write the rows, register the table."""
         ensure_database(self.spark, self.name)
-        self._replace(df, keys, batch, refuse_repeats, ledger=ledger, rejects=rejects)
+        self._replace(df, keys, batch, refuse_repeats, ledger=ledger, rejects=rejects, placed=placed)
 
-    def _replace(self, df: DataFrame, keys: Sequence[str], batch: Batch | None = None, refuse_repeats: bool = False, buckets: int | None = None, ledger: dict | None = None, rejects: dict | None = None) -> None:
+    @_scratch_deleted
+    def _replace(self, df: DataFrame, keys: Sequence[str], batch: Batch | None = None, refuse_repeats: bool = False, buckets: int | None = None, ledger: dict | None = None, rejects: dict | None = None, placed: bool = False) -> None:
         known = self.manifest()
         buckets = (known.buckets if known else self.buckets) if buckets is None else buckets
         keys = list(keys) or (known.keys if known else [])
         if buckets and not keys:
             raise ValueError("a bucketed table needs its primary keys")
         version = self._next_version(known)
-        folders = self._write(df, keys, buckets, version)
+        folders = self._write(df, keys, buckets, version, gather=not (placed and buckets))
         new = Manifest(version, _stored_schema(df.schema), buckets, keys, folders, list(batch) if batch else None, ledger=ledger or {}, rejects=rejects or {})
         if refuse_repeats:
             try:
@@ -350,6 +379,7 @@ class StoredTable:
         known = self._known()
         self._replace(self.read(), known.keys, Batch(*known.batch) if known.batch else None, buckets=buckets, ledger=known.ledger)
 
+    @_scratch_deleted
     def upsert(
         self,
         new: DataFrame,
@@ -359,19 +389,21 @@ class StoredTable:
         keys_are_unique: bool = False,
         ledger: dict | None = None,
         rejects: dict | None = None,
+        placed: bool = False,
     ) -> None:
         """Create the table, or merge a batch into it. A micro-batch that was committed is skipped.
 
         ``ledger`` tells what of the source has been read with this batch; it changes with the commit, or not at all.
 
         Keys take the types that the table has before they are hashed or compared, and the table's own number of
-        buckets holds, whatever this object says.
+        buckets holds, whatever this object says. ``placed`` tells that the batch's rows lie together by ``place_of``; it decides how
+        they are moved, not what is stored.
         """
         if self.has(batch):
             return
         known = self.manifest()
         if known is None:
-            self.create(new, keys, batch, refuse_repeats=not keys_are_unique, ledger=ledger, rejects=rejects)
+            self.create(new, keys, batch, refuse_repeats=not keys_are_unique, ledger=ledger, rejects=rejects, placed=placed)
             return
         if (known.buckets or known.runs or self.delta_runs and known.keys) and [k.lower() for k in keys] != [k.lower() for k in known.keys]:
             raise ValueError(f"the table {self.name} is kept by {known.keys}, not by {list(keys)}")
@@ -389,9 +421,12 @@ class StoredTable:
         # The batch is needed more than once: write it, so that it is computed once, survives the
         # loss of executors, and has a size that is known and not guessed.
         staged_path = f"{self._folder(version)}-staged"
-        new.write.mode("overwrite").parquet(staged_path)
+        placed = placed and known.buckets > 0
+        laid = new.withColumn(BUCKET, _bucket_of(keys, known.buckets).cast("int")).write.partitionBy(BUCKET) if placed else new.write
+        laid.mode("overwrite").parquet(staged_path)
         try:
-            staged = self.spark.read.schema(new.schema).parquet(staged_path)
+            parts = {f.name.split("=")[1]: f.path for f in files.listing(self.spark, staged_path) if f.is_dir} if placed else {}
+            staged = self._staged(new.schema, list(parts.values()) if placed else [staged_path])
             if not keys_are_unique:
                 self._refuse_repeats(staged, keys)
             marks = [m for m in (known.mark, _mark_of(staged)) if m is not None]
@@ -400,18 +435,48 @@ class StoredTable:
                 struct = _with_fields(known.struct, staged.schema)
                 self._commit(replace(after, schema=_stored_schema(struct)))
                 return
-            touched = None
-            if known.buckets:
+            touched = list(parts) if placed else None
+            if known.buckets and not placed:
                 touched = [str(r[0]) for r in staged.select(_bucket_of(keys, known.buckets)).distinct().collect()]  # at most one row per bucket
             small = self._is_small(staged, staged_path)
-            old = self._rows(known, touched)
-            result = upsert_small(old, staged, keys, order_by, measured=True) if small else upsert(old, staged, keys, order_by)
-            folders = self._write(result, known.keys, known.buckets, version, gather=not small)
+            folders, mode = {}, "overwrite"
+            for group in [touched] if small or touched is None else self._groups(known, touched, staged_path, parts):
+                old, rows = self._rows(known, group), staged
+                if placed:
+                    rows = self._staged(new.schema, [parts[b] for b in group])
+                elif group != touched:
+                    rows = staged.filter(_bucket_of(keys, known.buckets).cast("string").isin(group))
+                result = upsert_small(old, rows, keys, order_by, measured=True) if small else upsert(old, rows, keys, order_by)
+                folders.update(self._write(result, known.keys, known.buckets, version, gather=not small, mode=mode))
+                mode = "append"
+                for b in group if placed else ():
+                    files.delete(self.spark, parts[b])
             kept = {b: f for b, f in known.folders.items() if touched is not None and b not in touched}
             self._commit(self._with_stats(replace(after, schema=_stored_schema(result.schema), folders={**kept, **folders}, base_bytes=None)))
         finally:
             files.delete(self.spark, staged_path)
 
+    def _staged(self, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _groups(self, known: Manifest, touched: Sequence[str], staged_path: str, parts: Mapping[str, str]) -> list[list[str]]:
+        """Buckets to merge together: a merge shuffles what it merges, so a few groups need a fraction of the disk."""
+        each = 0 if parts else files.total_bytes(self.spark, staged_path) / len(touched)
+        size_of = lambda b: (
+            (files.total_bytes(self.spark, parts[b]) if parts else each)
+            + (files.total_bytes(self.spark, f"{self.base_folder}/{known.folders[b]}") if b in known.folders else 0)
+        )
+        sizes = {b: size_of(b) for b in sorted(touched, key=int)}
+        most = max(GROUP_BYTES, sum(sizes.values()) / 8)
+        groups, filled = [[]], 0
+        for b, size in sizes.items():
+            if groups[-1] and filled + size > most:
+                groups.append([])
+                filled = 0
+            groups[-1].append(b)
+            filled += size
+        return groups
+
     def _append_run(self, known: Manifest, new: DataFrame, keys: Sequence[str], order_by: Sequence[str], batch: Batch | None, keys_are_unique: bool) -> None:
         """Commit a batch as rows of its own. Values take the types that the table has; new columns are added."""
         if not keys:
@@ -459,6 +524,7 @@ class StoredTable:
             known = replace(known, version=version, runs=[*[r for r in known.runs if r not in newest], entry])
             self._commit(known)
 
+    @_scratch_deleted
     def compact(self) -> None:
         """Fold all runs into the base: only buckets that the runs have keys of are rewritten."""
         known = self._known()

@@ -90,3 +90,13 @@ def test_match_columns_tell_null_from_its_stand_in(spark):
     df = spark.createDataFrame([(None, 1), ("", 2), (None, 3)], "k string, o int")
     out = latest_per_key(df, ["k"], ["o"], keep_match_columns=True).select("k", "o")
     assert rows(out) == [("", 2), (None, 3)]
+
+
+def test_rows_sorted_once_give_the_same_latest(spark):
+    df = spark.createDataFrame([(None, 1, "a", 2.0), (None, 1, "b", 1.0), (3, 9, None, None), (3, 4, "c", 5.0), (0, 1, "d", 0.0)], "K long, o int, v string, x double")
+    for order in (["o"], ["o", "K"], []):
+        first = latest_per_key(df, ["k"], order, keep_match_columns=True)
+        once = latest_per_key(df, ["k"], order, keep_match_columns=True, limit_first=False)
+        assert once.columns == first.columns and rows(once) == rows(first)
+        assert "WindowGroupLimit" not in once._jdf.queryExecution().executedPlan().toString()
+        assert rows(latest_per_key(df, ["k"], order, limit_first=False)) == rows(latest_per_key(df, ["k"], order))

@@ -1,6 +1,9 @@
 import pytest
 
 from conftest import rows
+from siltworks.operators.keys import latest_per_key
+from siltworks.operators.merge import upsert
+from siltworks.session import shuffles_deleted
 from siltworks.sinks import files
 from siltworks.sinks import store as store_module
 from siltworks.sinks.store import Batch, StoredTable, clustered
@@ -212,3 +215,43 @@ def test_the_mark_is_part_of_the_commit(spark, stored):
     assert stored.manifest().mark == 1704240000000000
     stored.upsert(rows_at("2024-01-02"), ["id"], ["at"])
     assert stored.manifest().mark == 1704240000000000
+
+
+@pytest.mark.parametrize("placed", [True, False], ids=["placed", "as it comes"])
+def test_large_batches_are_merged_by_groups_of_buckets(spark, table_name, tmp_path, monkeypatch, placed):
+    monkeypatch.setattr(store_module, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(store_module, "GROUP_BYTES", 1)
+    merged = []
+    monkeypatch.setattr(store_module, "upsert", lambda old, new, *how: merged.append(1) or upsert(old, new, *how))
+    target = StoredTable(spark, table_name, buckets=16, base=str(tmp_path / "base"))
+    first, second = ([(i if i % 10 else None if i == lo else -i, v, f"{v}{i}") for i in range(lo, lo + 200)] for lo, v in ((0, 1), (100, 2)))
+    for data in (first, second):
+        df = frame(spark, *data)
+        df = df.repartition(target.place_of(df, ["id"])) if placed else df
+        target.upsert(df, ["id"], ["at"], keys_are_unique=True, placed=placed)
+    wanted = {r[0]: r for r in first} | {r[0]: r for r in second}
+    assert rows(target.read()) == rows(frame(spark, *wanted.values())) and len(merged) > 3
+    assert rows(spark.table(table_name).drop(store_module.BUCKET)) == rows(target.read())
+    assert not [f for f in files.listing(spark, target.base_folder) if f.name.endswith("-staged")]
+
+
+def test_placed_rows_are_not_moved_again(spark, table_name, tmp_path):
+    target = StoredTable(spark, table_name, buckets=4, base=str(tmp_path / "base"))
+    df = frame(spark, *[(i % 50, i, str(i)) for i in range(400)])
+    latest = latest_per_key(df, ["id"], ["at"], limit_first=False, place=target.place_of(df, ["id"]))
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "WindowGroupLimit" not in plan
+    writes = []
+    hinted = type(df).hint
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(df), "hint", lambda self, *a: writes.append(a) or hinted(self, *a))
+        target.upsert(latest, ["id"], ["at"], keys_are_unique=True, placed=True)
+    assert not writes and rows(target.read()) == [(i, 350 + i, str(350 + i)) for i in sorted(range(50), key=str)]
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with shuffles_deleted(spark), shuffles_deleted(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before
