@@ -56,7 +56,9 @@ BROADCAST_BYTES = 256 << 20
 # Rows that come placed lie in so many places of each bucket, so that tasks are not bound to their number …
 PLACES_PER_BUCKET = 16
 # … and a large batch is merged by groups of buckets of about so many bytes of Parquet, or an eighth of all that is merged.
-GROUP_BYTES = 1 << 30
+GROUP_BYTES = 512 << 20
+# Stored rows hold hashes as hexadecimal text, which takes half the bytes where the codec has an entropy coder.
+CODEC = "zstd"
 
 # So many runs of one tier are gathered into one of the next …
 RUNS_PER_TIER = 8
@@ -65,6 +67,7 @@ FOLD_SHARE = 0.25
 
 _VERSION_PROPERTY, _LAYOUT_PROPERTY, _BASE_PROPERTY = "silver.published_version", "silver.published_layout", "silver.base"
 _SNAPSHOT = re.compile(r"snap-(\d+)$")
+_WRITTEN = re.compile(r"snap-(\d+)(-staged|-stats)?$")
 
 
 def _scratch_deleted(method):
@@ -299,6 +302,12 @@ class StoredTable:
         numbers = [int(m.group(1)) for f in files.listing(self.spark, self.base_folder) if (m := _SNAPSHOT.search(f.name))]
         return max([*numbers, known.version if known else -1]) + 1
 
+    def _drop_unfinished(self, known: Manifest) -> None:
+        """Delete what runs that died before their commit have left: data newer than the manifest, which nothing refers to."""
+        for f in files.listing(self.spark, self.base_folder):
+            if (m := _WRITTEN.match(f.name)) and int(m.group(1)) > known.version:
+                files.delete(self.spark, f.path)
+
     def _folder(self, version: int) -> str:
         return f"{self.base_folder}/snap-{version:06d}"
 
@@ -321,13 +330,13 @@ class StoredTable:
         folder, name = self._folder(version), f"snap-{version:06d}"
         if not buckets:
             laid = clustered(df, self.clustering) if gather else df.sortWithinPartitions(*[ref(c) for c in self.clustering]) if self.clustering else df
-            laid.write.mode("overwrite").parquet(folder)
+            laid.write.mode("overwrite").parquet(folder, compression=CODEC)
             return {"": name}
         placed = df.withColumn(BUCKET, _bucket_of(keys, buckets).cast("int"))
         if gather:
             placed = placed.hint("rebalance", BUCKET)
         placed = placed.sortWithinPartitions(BUCKET, *[ref(c) for c in self.clustering])
-        placed.write.mode(mode).partitionBy(BUCKET).parquet(folder)
+        placed.write.mode(mode).partitionBy(BUCKET).parquet(folder, compression=CODEC)
         made = [f.name for f in files.listing(self.spark, folder) if f.is_dir and f.name.startswith(BUCKET + "=")]
         return {n.split("=")[1]: f"{name}/{n}" for n in made}
 
@@ -358,6 +367,8 @@ class StoredTable:
         if buckets and not keys:
             raise ValueError("a bucketed table needs its primary keys")
         version = self._next_version(known)
+        if known:
+            self._drop_unfinished(known)
         folders = self._write(df, keys, buckets, version, gather=not (placed and buckets))
         new = Manifest(version, _stored_schema(df.schema), buckets, keys, folders, list(batch) if batch else None, ledger=ledger or {}, rejects=rejects or {})
         if refuse_repeats:
@@ -418,12 +429,13 @@ class StoredTable:
         for k in keys:
             new = new.withColumn(k, ref(k).cast(types[k.lower()]))
         version = self._next_version(known)
+        self._drop_unfinished(known)
         # The batch is needed more than once: write it, so that it is computed once, survives the
         # loss of executors, and has a size that is known and not guessed.
         staged_path = f"{self._folder(version)}-staged"
         placed = placed and known.buckets > 0
         laid = new.withColumn(BUCKET, _bucket_of(keys, known.buckets).cast("int")).write.partitionBy(BUCKET) if placed else new.write
-        laid.mode("overwrite").parquet(staged_path)
+        laid.mode("overwrite").parquet(staged_path, compression=CODEC)
         try:
             parts = {f.name.split("=")[1]: f.path for f in files.listing(self.spark, staged_path) if f.is_dir} if placed else {}
             staged = self._staged(new.schema, list(parts.values()) if placed else [staged_path])
@@ -485,9 +497,10 @@ class StoredTable:
         columns = [ref(f.name).cast(have[f.name.lower()].dataType).alias(have[f.name.lower()].name) if f.name.lower() in have else ref(f.name) for f in new.schema.fields]
         struct = _with_fields(known.struct, new.schema)
         version = self._next_version(known)
+        self._drop_unfinished(known)
         folder, name = self._folder(version), f"snap-{version:06d}"
         run = new.select(*columns, F.lit(version).cast("bigint").alias(RUN))
-        run.sortWithinPartitions(*[ref(k) for k in keys]).write.mode("overwrite").parquet(folder)
+        run.sortWithinPartitions(*[ref(k) for k in keys]).write.mode("overwrite").parquet(folder, compression=CODEC)
         after = replace(known, version=version, batch=list(batch) if batch else known.batch, schema=_stored_schema(struct))
         entry = {"folder": name, "tier": 0, "members": [[version, list(order_by), sorted(f.name.lower() for f in new.schema.fields)]]}
         written = self._run_rows(after, [entry])
@@ -518,7 +531,7 @@ class StoredTable:
             version = self._next_version(known)
             rows = thinned(self._run_rows(known, newest), known.keys, _members(newest))
             keys = [ref(k) for k in known.keys]
-            rows.repartitionByRange(*keys).sortWithinPartitions(*keys, RUN).write.mode("overwrite").parquet(self._folder(version))
+            rows.repartitionByRange(*keys).sortWithinPartitions(*keys, RUN).write.mode("overwrite").parquet(self._folder(version), compression=CODEC)
             entry = {"folder": f"snap-{version:06d}", "tier": newest[0]["tier"] + 1, "members": [m for r in newest for m in r["members"]]}
             entry = self._measured(entry, self._run_rows(known, [entry]))
             known = replace(known, version=version, runs=[*[r for r in known.runs if r not in newest], entry])

@@ -255,3 +255,35 @@ def test_shuffle_files_go_with_their_query(spark):
     with shuffles_deleted(spark), shuffles_deleted(spark):
         assert spark.conf.get(name) == "true"
     assert spark.conf.get(name, None) == before
+
+
+def test_what_a_dead_run_left_is_deleted_by_the_next(spark, stored, monkeypatch):
+    stored.upsert(frame(spark, (1, 1, "a"), (2, 5, "b")), ["id"], ["at"])
+    for method, kept in (("_commit", "b"), ("_point_buckets" if stored.buckets else "publish", "c")):
+        with monkeypatch.context() as patch:
+            # The commit itself dies, then what comes after it.
+            calls = iter([None] * (method == "publish"))
+            whole = getattr(StoredTable, method)
+
+            def gone(self, *args, calls=calls, whole=whole):
+                if next(calls, 0) is None:
+                    return whole(self, *args)
+                raise OSError("gone")
+
+            patch.setattr(StoredTable, method, gone)
+            with pytest.raises(OSError):
+                stored.upsert(frame(spark, (2, 6, "c")), ["id"], ["at"])
+        assert rows(stored.read()) == [(1, 1, "a"), (2, 5 + (kept == "c"), kept)]
+    files.make_dirs(spark, f"{stored.base_folder}/snap-000009-staged")
+    before = stored.read()
+    stored.upsert(frame(spark, (3, 1, "d")), ["id"], ["at"])
+    assert rows(before) == [(1, 1, "a"), (2, 6, "c")]
+    assert rows(stored.read()) == [(1, 1, "a"), (2, 6, "c"), (3, 1, "d")]
+    # The first load, the commit that reached the manifest and the last one; nothing of the run that did not.
+    assert len([f for f in files.listing(spark, stored.base_folder) if f.name.startswith("snap-")]) == 3
+
+
+def test_stored_hashes_take_about_their_own_bytes(spark, table_name, tmp_path):
+    stored = StoredTable(spark, table_name, buckets=2, base=str(tmp_path / "base"))
+    stored.upsert(spark.range(20000).selectExpr("id", "sha2(string(id), 256) v"), ["id"], [])
+    assert files.total_bytes(spark, stored.base_folder) < 20000 * 50
