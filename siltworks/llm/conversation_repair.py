@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shuffle_partitions
+from ..session import shuffle_partitions, whole_numbers
 from .common import SPACE, WORD, stored
 
 SEGMENT, FAN = 128, 64
@@ -204,7 +204,7 @@ def ordered(rows: DataFrame, ids: DataFrame) -> DataFrame:
     for r in sorted(placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()):
         starts.append((r["part"], total))
         total += r["n"]
-    first = F.broadcast(spark.createDataFrame(starts, "part int, first bigint"))
+    first = F.broadcast(whole_numbers(spark, starts, "part int, first bigint"))
     return placed.withColumn("part", part).join(first, "part").withColumn("pos", F.col("first") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "first", "at")
 
 

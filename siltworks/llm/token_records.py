@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions, work_folder
+from ..session import shuffle_partitions, whole_numbers, work_folder
 from .vector import LOWER, PieceCache, binary, per_text, slices, words
 
 HEAD, TAIL = struct.Struct("<QI"), struct.Struct("<I")
@@ -72,10 +72,15 @@ def document_of(record: bytes, width: int) -> tuple[int, bytes]:
     return ID.unpack_from(payload)[0], np.frombuffer(payload, f"<u{width}", offset=ID.size).astype("<u4").tobytes()
 
 
-# Between an ASCII letter and one of these a pre-token ends, whatever else is around.
-_CLASS = np.zeros(256, np.int8)
+# Between a letter, a sign and a digit a pre-token ends, whatever else is around, and between two digits. Signs
+# that contractions and special tokens hold are none of these, nor are bytes of characters beyond ASCII.
+_CLASS = np.zeros(256, np.uint8)
 _CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
-_CLASS[list(b".,;:!?")] = -1
+_CLASS[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = 2
+_CLASS[list(b"0123456789")] = 3
+_ENDS = np.array([[a and b and (a != b or a == 3) for b in range(4)] for a in range(4)], bool).ravel()
+# The letters U+00C0 to U+00FF begin with this byte; two of that range are signs.
+_LATIN, _SIGNS = 0xC3, (0x97, 0xB7)
 
 
 def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -85,7 +90,10 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarr
     may hold a special token, which is found before that, is left as it is.
     """
     kind = _CLASS[data]
-    cuts = np.append(False, kind[1:] * kind[:-1] == -1)[: len(data)]
+    latin = np.flatnonzero(data == _LATIN)
+    latin = latin[~np.isin(data[latin + 1], _SIGNS)]
+    kind[latin] = kind[latin + 1] = 1
+    cuts = np.append(False, _ENDS[kind[:-1] << 2 | kind[1:]])[: len(data)]
     return words(data if b"<|" in data.tobytes() else LOWER[data], offsets, cuts)
 
 
@@ -102,6 +110,7 @@ def word_encoder(path: str) -> PieceCache:
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     moved = iter(range(0x100, 0x200))
     table = {b: chr(b if b in shown else next(moved)) for b in range(256)}
+    tokenize = model.tokenize
 
     def encode(pieces: list[bytes]) -> list[tuple]:
         out: list = [None] * len(pieces)
@@ -113,11 +122,11 @@ def word_encoder(path: str) -> PieceCache:
             else:
                 low = unicodedata.normalize("NFC", text).lower()
                 latin = text.isalpha() and low.isalpha() and max(text) < "\u0180"
-                plain = "".join(table[b] for b in low.encode()) if latin else None
+                plain = low.encode().decode("latin-1").translate(table) if latin else None
             if plain is None:
                 rest.append(i)
             else:
-                out[i] = tuple(t.id for t in model.tokenize(plain))
+                out[i] = tuple([t.id for t in tokenize(plain)])
         found = tokenizer.encode_batch([pieces[i].decode("utf-8") for i in rest], add_special_tokens=False)
         for i, e in zip(rest, found, strict=True):
             out[i] = tuple(e.ids)
@@ -176,7 +185,7 @@ class TokenRecords:
         for r in sums:  # one row per shard
             bases.append((r["shard"], total))
             total += r["n"]
-        base = spark.createDataFrame(bases, "shard int, base bigint")
+        base = whole_numbers(spark, bases, "shard int, base bigint")
         return rows.join(F.broadcast(base), "shard").withColumn("start", F.col("base") + F.col("shard_start")).drop("base")
 
     def read(self, index: DataFrame) -> DataFrame:

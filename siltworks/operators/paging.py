@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ref
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import ensure_checkpoint_dir, shuffle_partitions, whole_numbers
 
 # Rows that one task makes from one block of a page plan.
 PAGES_PER_BLOCK = 10_000
@@ -44,7 +44,7 @@ def numbered(df: DataFrame, order_by: str, name: str = "position") -> DataFrame:
     for row in sorted(counts, key=lambda r: r["__part"]):
         first.append((row["__part"], total))
         total += row["__n"]
-    starts = F.broadcast(df.sparkSession.createDataFrame(first, "__part int, __first bigint"))
+    starts = F.broadcast(whole_numbers(df.sparkSession, first, "__part int, __first bigint"))
     return (
         placed.withColumn("__part", part)
         .join(starts, "__part")

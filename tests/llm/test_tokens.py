@@ -3,10 +3,12 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -54,6 +56,38 @@ def test_pieces_at_random(spark):
     assert sorted(map(tuple, got)) == sorted(expected_records(docs.collect()))
 
 
+def test_signs_digits_and_latin_letters_are_pieces_of_their_own():
+    text = "the*** 12a (été)$ l'été ×= e\u0301. <|endoftext|>".encode()
+    pieces, first = token_records.pieces_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    wanted = ["the", "***", "1", "2", "a", "(", "été", ")$", "l'été", "×=", "e\u0301.", "<|endoftext|>"]
+    assert [p.decode() for p in pieces.to_pylist()] == wanted and first.tolist() == [0, len(wanted)]
+
+
+def test_pieces_at_random_with_signs_digits_and_marks():
+    rng = random.Random(6)
+    parts = ["a", "É", "ß", "×", "÷", "\u0301", "\u0338", "=", "<", ">", "$", "#", "'s", "'", "_", "\\", "{", "12", "½", "²", "\u0100", " ", "<|endoftext|>", "|", "中", "\u0308"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(5000)]
+    data = "".join(texts).encode()
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    pieces, first = token_records.pieces_of(np.frombuffer(data, np.uint8), offsets)
+    ids, lengths = token_records.word_encoder(WORDS)(pieces)
+    ends = np.concatenate([[0], np.cumsum(lengths)])[first]
+    wanted = Tokenizer.from_file(WORDS).encode_batch(texts, add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [e.ids for e in wanted]
+
+
+def test_a_slice_of_text_is_encoded_in_bounded_memory():
+    words = " ".join(random.Random(7).choices(["the", "running", "naïve", "x1", "Grüße", "..."], k=400_000)).encode()
+    column = pa.record_batch([pa.array([words[i : i + 4000].decode("utf-8", "ignore") for i in range(0, len(words), 4000)])], names=["text"])
+    byte_bpe.vocabulary(RANKS), byte_bpe.tables()
+    for _, data, offsets in byte_bpe.slices([column], size=byte_bpe.ENCODED_BYTES):
+        tracemalloc.start()
+        byte_bpe.encode_texts(data, offsets, RANKS)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 30 << 20
+
+
 def test_shuffled_reads_hold_the_same_records(spark):
     written = token_records.write_records(documents(spark), WORDS, end_id=2, shards=3)
     plain = [tuple(r) for r in written.read(written.index(spark)).collect()]

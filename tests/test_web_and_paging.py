@@ -9,6 +9,7 @@ from conftest import rows
 from siltworks.functions.web import overlay, query_map, redact, url_host, url_problem
 from siltworks.operators import paging
 from siltworks.operators.paging import distinct_keys, key_batches, numbered, page_plan, pages_before_first_empty
+from siltworks.session import whole_numbers
 
 
 def expected_map(text):
@@ -110,3 +111,12 @@ def test_stop_at_first_empty_page(spark):
     df = spark.createDataFrame(data, "s string, o int, n int")
     out = pages_before_first_empty(df, "s", "o", F.col("n") == 0)
     assert rows(out) == [("a", 0, 5), ("b", 0, 0), ("b", 10, 1), ("c", 0, 1), (None, 0, 1)]
+
+
+def test_first_positions_start_no_python_workers(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(paging, "whole_numbers", lambda *a: made.append(whole_numbers(*a)) or made[-1], raising=False)
+    assert rows(numbered(spark.range(10, 15), "id")) == [(i, i - 10) for i in range(10, 15)]
+    assert "LocalTableScan" in made[0]._jdf.queryExecution().executedPlan().toString()
+    assert whole_numbers(spark, [], "a int, b bigint").collect() == []
+    assert whole_numbers(spark, [(1, None), (None, 1 << 40)], "a int, b bigint").collect() == [(1, None), (None, 1 << 40)]
