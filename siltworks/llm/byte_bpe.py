@@ -34,7 +34,7 @@ STATES = NONE, LETTERS, NUMBERS, OTHERS, WHITES, LEAD, ONE_MORE, TWO_MORE = rang
 # Bytes of a piece beyond which it is merged by itself.
 LONG_PIECE = 256
 # Bytes of text that are cut into pieces at a time, and entries of the cache: a worker's memory grows with both.
-ENCODED_BYTES = 1 << 20
+ENCODED_BYTES = 1 << 19
 ENCODED_PIECES = 50_000
 
 

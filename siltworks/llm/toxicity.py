@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .vector import LOWER, PieceCache, per_text, slices, words
+from .vector import LOWER, SMALL_SLICE_BYTES, PieceCache, per_text, slices, words
 
 # Bounds of the training sample: confirmed toxic rows, and rows used without their label.
 POSITIVE_ROWS = 3_000
@@ -168,7 +168,7 @@ def scored(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in slices(batches):
+        for rows, data, offsets in slices(batches, size=SMALL_SLICE_BYTES):
             score = pa.array(broadcast.value.score(data, offsets), pa.float64())
             yield pa.RecordBatch.from_arrays([*rows.columns, score], names=[*rows.schema.names, name])
 
