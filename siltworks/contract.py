@@ -108,6 +108,29 @@ class TableContract:
     def hashed_columns(self) -> list[str]:
         return [c.name for c in self.columns if c.hashed]
 
+    @property
+    def document_keys(self) -> list[str]:
+        """The primary keys beside the index of the one array that is exploded: they tell whose elements a document's are.
+
+        None where another key comes from an element, or from another column of the contract.
+        """
+        flat, names = self.flatten, [c.name.lower() for c in self.columns]
+        if flat is None or not flat.with_index or len(flat.explode) != 1 or self.hot_keys or len({*names}) < len(names):
+            return []
+        array, found, index = flat.explode[0].lower(), [], 0
+        for key in self.primary_keys:
+            at = names.index(key.lower()) if key.lower() in names else None
+            if at is None or self.columns[at].transform is not None:
+                return []
+            source = (self.columns[at].source or key).lower()
+            if source == f"{array}__index":
+                index += 1
+            elif source.startswith(f"{array}__") or source in {n.lower() for c in self.columns[:at] for n in c.output_names}:
+                return []
+            else:
+                found.append(key)
+        return found if index == 1 else []
+
     @property
     def key_groups(self) -> list[list[str]]:
         return [list(g) for g in (self.primary_keys, self.deduplication_keys) if g]

@@ -52,6 +52,11 @@ def match_columns(keys: Sequence[str]) -> list[str]:
     return [n for i in range(len(keys)) for n in (f"__key_{i}", f"__key_{i}_null")]
 
 
+def match_values(key: Column, dtype: T.DataType) -> tuple[Column, Column]:
+    """What the match columns of a key hold."""
+    return F.coalesce(key, _stand_in(dtype)), key.isNull()
+
+
 def with_match_columns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add, per key, its value (a constant for null) and whether it is null.
 
@@ -63,12 +68,8 @@ def with_match_columns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     if set(names) <= set(df.columns):
         return df
     types = {f.name.lower(): f.dataType for f in df.schema.fields}
-    values = [
-        c
-        for k in keys
-        for c in (F.coalesce(ref(k), _stand_in(types[k.lower()])), ref(k).isNull())
-    ]
-    return df.select("*", *[v.alias(n) for v, n in zip(values, names)])
+    values = [c for k in keys for c in match_values(ref(k), types[k.lower()])]
+    return df.select("*", *[v.alias(n) for v, n in zip(values, names) if n not in df.columns])
 
 
 def _orderable(dtype: T.DataType) -> bool:
@@ -97,6 +98,7 @@ def latest_per_key(
     keep_match_columns: bool = False,
     limit_first: bool = True,
     place: Column | None = None,
+    lies: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key: the greatest by ``order_by``, nulls last. A null key is a value.
 
@@ -105,7 +107,8 @@ def latest_per_key(
     no more than one row per map task. That limit sorts what each task has read, on disk where it is much;
     without ``limit_first`` rows are sorted once, after the exchange: for keys that are seldom repeated.
     ``keep_match_columns`` prepares the result for an upsert that reuses this exchange. ``place``, an expression of
-    the keys, says which rows are brought together (without ``limit_first``), as a writer needs them.
+    the keys, says which rows are brought together (without ``limit_first``), as a writer needs them. ``lies`` names columns,
+    made of keys, by which rows have been brought together before; they go, but for match columns that are kept.
     """
     if not keys and not whole_frame:
         raise ValueError("no keys: one row of the whole frame would survive; ask for it with whole_frame")
@@ -114,10 +117,12 @@ def latest_per_key(
     order = [ref(c).desc_nulls_last() for c in order_by]
     if break_ties or not order:
         # Keys are equal among the rows compared, however they are spelled.
-        order += _tie_break(df, {*order_by, *(f.name for f in df.schema.fields if f.name.lower() in {k.lower() for k in keys})})
+        order += _tie_break(df, {*order_by, *lies, *(f.name for f in df.schema.fields if f.name.lower() in {k.lower() for k in keys})})
     order = order or [F.lit(1).asc()]
     partition, columns, fields = [ref(k) for k in keys], df.columns, {f.name.lower(): f for f in df.schema.fields}
-    if place is not None and not limit_first:
+    if lies and not keep_match_columns:
+        partition = [*map(F.col, lies), *partition]
+    elif place is not None and not limit_first:
         df, partition = df.withColumn("__place", place), [F.col("__place"), *partition]
         df = df.repartition("__place")
     elif keep_match_columns:
@@ -132,7 +137,7 @@ def latest_per_key(
     found = F.col("__rank") == 1 if limit_first else F.col("__rank").isNull()
     latest = df.withColumn("__rank", place_in_key).filter(found).drop("__rank", "__place")
     if not keep_match_columns:
-        return latest
+        return latest.drop(*lies)
     back = {fields[k.lower()].name: i for i, k in enumerate(keys)}
     whole = [
         F.when(~F.col(f"__key_{i}_null"), F.col(f"__key_{i}")).alias(c) if c not in latest.columns and (i := back.get(c)) is not None else ref(c)

@@ -9,6 +9,7 @@ input already has would win over the alias.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,16 +67,16 @@ class _Projection:
             self._open(self.frame())
 
 
-def _cast(value: Column, c: ColumnContract, on_error: str) -> Column:
+def cast_by_contract(value: Column, c: ColumnContract, on_error: str) -> Column:
     return value.try_cast(c.type) if on_error == "null" else value.cast(c.type)
 
 
 def apply_contract(
-    df: DataFrame, contract: TableContract, on_error: str = "fail", hashes: bool = True, notes: bool = False
+    df: DataFrame, contract: TableContract, on_error: str = "fail", hashes: bool = True, notes: bool = False, carried: Sequence[str] = ()
 ) -> DataFrame:
     """Contract columns in contract order, each hashed column after its base, ``_metadata`` last.
 
-    ``hashes=False`` leaves the hashed columns to ``with_hash_columns``.
+    ``hashes=False`` leaves the hashed columns to ``with_hash_columns``. ``carried`` columns of ``df`` stay, at the end.
 
     ``on_error``: ``fail`` lets a value that does not fit its type end the job (ANSI cast),
     ``null`` turns it into null. ``notes`` adds what did not fit, and the payload, as ``operators.rejects`` has them.
@@ -88,7 +89,7 @@ def apply_contract(
     todo = _Projection(df)
 
     def made(c: ColumnContract, value: Column, derived: bool) -> None:
-        cast = _cast(value, c, on_error)
+        cast = cast_by_contract(value, c, on_error)
         if notes:
             todo.define(REJECTS, F.concat(todo.value(REJECTS), misfit(c.name, value, cast)), derived=False)
         todo.define(c.name, cast, derived)
@@ -114,6 +115,7 @@ def apply_contract(
         wanted = [*wanted, METADATA]
     if notes:
         wanted = [*wanted, REJECTS, PAYLOAD]
+    wanted = [*wanted, *carried]
     return todo.df.select(*[todo.value(n).alias(n) for n in wanted])
 
 

@@ -2,34 +2,97 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contract import TableContract
-from ..functions.columns import with_lineage
-from ..operators.flatten import flatten_by_contract
+from ..functions.columns import ref, with_lineage
+from ..operators.flatten import SEPARATOR, flatten, flatten_by_contract
 from ..operators.incremental import FULL_LOAD, INCREMENTAL, choose_reading, moment
-from ..operators.keys import latest_by_contract, require_contract_keys
+from ..operators.keys import latest_by_contract, match_columns, match_values, require_contract_keys
 from ..operators.ledger import noted, unread
-from ..operators.mapping import apply_contract, hashes_can_wait, with_hash_columns
+from ..operators.mapping import apply_contract, cast_by_contract, hashes_can_wait, with_hash_columns
 from ..operators.merge import upsert_by_contract
 from ..operators.rejects import kept, observed, rejected, with_key_rejects
+from ..session import join_where_rows_lie
 from ..sinks import files
 from ..sinks.store import Batch, StoredTable
 from ..streaming.ingest import BronzeTarget, bronze_batches, is_complete, read_bronze
 from .governance import document_by_contract
 
+_WORD = re.compile(r"\w+")
 
-def cleaned_rows(bronze: DataFrame, contract: TableContract, on_error: str = "fail") -> DataFrame:
+
+def documents_together(
+    bronze: DataFrame, contract: TableContract, on_error: str = "fail", keep_match_columns: bool = False, target: StoredTable | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Bronze rows whose exploded array is still whole, brought together by ``document_keys``; the columns that they lie by.
+
+    What a document's elements have in common travels once, and of the elements only leaves that the contract names. Where its
+    keys do not tell the document, bronze is given as it is, and no columns.
+    """
+    by_name, keys = {c.name.lower(): c for c in contract.columns}, contract.document_keys
+    if not keys:
+        return bronze, []
+    array, keep = contract.flatten.explode[0], contract.flatten.keep
+    flat = flatten(bronze, keep=keep)
+    names, columns = {c.lower(): c for c in flat.columns}, [by_name[k.lower()] for k in keys]
+    sources = [c.source if c.source and c.source.lower() in names else c.name for c in columns]
+    dtype = flat.schema[array].dataType if array in flat.columns else None
+    if array in keep or not isinstance(dtype, T.ArrayType) or not isinstance(dtype.elementType, T.StructType) or not all(s.lower() in names for s in sources):
+        return bronze, []
+    values = {k: cast_by_contract(ref(names[s.lower()]), c, on_error) for k, s, c in zip(keys, sources, columns, strict=True)}
+    if keep_match_columns:
+        types = flat.select(*[v.alias(k) for k, v in values.items()]).schema
+        at = {k.lower(): i for i, k in enumerate(contract.primary_keys)}
+        own = {f"__key_{at[k.lower()]}{end}": x for k, v in values.items() for end, x in zip(("", "_null"), match_values(v, types[k].dataType))}
+    else:
+        own = {"__place": F.xxhash64(*values.values()) if target is None else target.place_of(flat, contract.primary_keys, values)}
+    if own.get("__place", True) is None:
+        return bronze, []
+    leaves = _named_leaves(dtype.elementType, array, contract)
+    others = [ref(c) for c in flat.columns if c != array or not leaves]
+    inside = {f"__leaf_{i}": reduce(Column.getField, path, ref(array)) for i, path in enumerate(leaves.values())}
+    # The elements' leaves travel as arrays of their own, which take less room than an array of structs.
+    by = [n for n in own if not n.endswith("_null")]  # a flag of a key that is never null is a constant, which no plan can match
+    placed = flat.filter(F.size(ref(array)) > 0).select(*others, *[v.alias(n) for n, v in {**inside, **own}.items()]).repartition(*by)
+    if leaves:
+        placed = placed.withColumn(array, F.arrays_zip(*[F.col(n).alias(leaf) for n, leaf in zip(inside, leaves, strict=True)])).drop(*inside)
+    return placed, list(own)
+
+
+def _named_leaves(element: T.StructType, array: str, contract: TableContract) -> dict[str, tuple[str, ...]]:
+    """Leaves of an array's elements that the contract names, by their name below the array; none where an element has to stay whole."""
+    if any(n.startswith(array + SEPARATOR) for n in contract.flatten.keep):
+        return {}
+    words = {w.lower() for c in contract.columns for text in (c.transform, c.source, c.name) for w in _WORD.findall(text or "")}
+    found, todo = {}, [((f.name,), f.dataType) for f in reversed(element.fields)]
+    while todo:
+        path, dtype = todo.pop()
+        if isinstance(dtype, T.StructType):
+            todo += [((*path, f.name), f.dataType) for f in reversed(dtype.fields)]
+            continue
+        name = SEPARATOR.join(path)
+        if name in found:
+            return {}
+        if {w.lower() for w in _WORD.findall(array + SEPARATOR + name)} <= words:
+            found[name] = path
+    return found
+
+
+def cleaned_rows(bronze: DataFrame, contract: TableContract, on_error: str = "fail", carried: Sequence[str] = ()) -> DataFrame:
     """Flat, typed rows with lineage and populated keys: narrow work only, no shuffle."""
     flat = flatten_by_contract(bronze, contract.flatten)
     rows = apply_contract(
-        with_lineage(flat), contract, on_error, hashes=not hashes_can_wait(contract)
+        with_lineage(flat), contract, on_error, hashes=not hashes_can_wait(contract), carried=carried
     )
     return require_contract_keys(rows, contract)
 
@@ -42,12 +105,13 @@ def examined_rows(bronze: DataFrame, contract: TableContract, on_error: str = "n
 
 
 def latest_rows(
-    rows: DataFrame, contract: TableContract, keep_match_columns: bool = False, target: StoredTable | None = None
+    rows: DataFrame, contract: TableContract, keep_match_columns: bool = False, target: StoredTable | None = None, lies: Sequence[str] = ()
 ) -> DataFrame:
     """Latest row per key, then the hashed columns: they neither travel nor are made for rows that
-    do not survive. With ``target`` rows are brought together as its layout needs them, so that writing moves none again."""
-    place = target.place_of(rows, contract.primary_keys) if target is not None else None
-    latest = latest_by_contract(rows, contract, keep_match_columns, limit_first=contract.hot_keys, place=place)
+    do not survive. With ``target`` rows are brought together as its layout needs them, so that writing moves none again.
+    ``lies`` names the columns by which ``documents_together`` has done so."""
+    place = target.place_of(rows, contract.primary_keys) if target is not None and not lies else None
+    latest = latest_by_contract(rows, contract, keep_match_columns, limit_first=contract.hot_keys, place=place, lies=lies)
     return with_hash_columns(latest, contract) if hashes_can_wait(contract) else latest
 
 
@@ -55,7 +119,8 @@ def silver_frame(
     bronze: DataFrame, contract: TableContract, on_error: str = "fail", keep_match_columns: bool = False, target: StoredTable | None = None
 ) -> DataFrame:
     """One row per primary key; the only shuffle is by that key. ``keep_match_columns`` prepares it for ``merged_silver``, ``target`` for being stored."""
-    return latest_rows(cleaned_rows(bronze, contract, on_error), contract, keep_match_columns, target)
+    bronze, lies = documents_together(bronze, contract, on_error, keep_match_columns, target)
+    return latest_rows(cleaned_rows(bronze, contract, on_error, lies), contract, keep_match_columns, target, lies)
 
 
 def merged_silver(
@@ -63,8 +128,12 @@ def merged_silver(
 ) -> DataFrame:
     """Silver after this bronze has been upserted, as a frame: two exchanges, one per side, since
     the one of the latest-row step serves the join too, for ``old`` where its match columns are kept."""
-    rows = cleaned_rows(bronze, contract, on_error)
-    return upsert_by_contract(old, latest_rows(rows, contract, keep_match_columns=True), contract)
+    if set(match_columns(contract.primary_keys)) <= set(old.columns):
+        join_where_rows_lie(bronze.sparkSession)
+        new = silver_frame(bronze, contract, on_error, keep_match_columns=True)
+    else:  # the join brings both sides together by whole keys
+        new = latest_rows(cleaned_rows(bronze, contract, on_error), contract, keep_match_columns=True)
+    return upsert_by_contract(old, new, contract)
 
 
 def rejects_folder(target: StoredTable) -> str:

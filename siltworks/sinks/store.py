@@ -139,6 +139,12 @@ class Manifest:
     ledger: dict[str, list[list[int]]] = field(default_factory=dict)
     # What the last commit's contract turned away: counts by kind
     rejects: dict[str, int] = field(default_factory=dict)
+    # The keys that buckets are made of, where not of all
+    placed_by: list[str] = field(default_factory=list)
+
+    @property
+    def bucket_keys(self) -> list[str]:
+        return self.placed_by or self.keys
 
     @property
     def struct(self) -> T.StructType:
@@ -157,6 +163,8 @@ class StoredTable:
     buckets: int = 0
     base: str | None = None
     delta_runs: bool = False
+    # Buckets are made of these keys, of all where there are none: rows that share them lie together. It holds from the table's creation on.
+    placed_by: tuple[str, ...] = ()
 
     @classmethod
     def of_contract(
@@ -165,7 +173,7 @@ class StoredTable:
         buckets = contract.key_buckets
         if buckets is None:
             buckets = DEFAULT_BUCKETS if contract.primary_keys else 0
-        return cls(spark, name, contract.clustering_keys, buckets, base, delta_runs)
+        return cls(spark, name, contract.clustering_keys, buckets, base, delta_runs, tuple(contract.document_keys))
 
     # -- reading ---------------------------------------------------------------------------
 
@@ -207,7 +215,7 @@ class StoredTable:
             return base
         runs = self._run_rows(known, known.runs)
         if buckets is not None:
-            runs = runs.filter(_bucket_of(known.keys, known.buckets).cast("string").isin(list(buckets)))
+            runs = runs.filter(_bucket_of(known.bucket_keys, known.buckets).cast("string").isin(list(buckets)))
         small = sum(r["text"] for r in known.runs) <= BROADCAST_BYTES
         return merged(base, runs, known.keys, _members(known.runs), small)
 
@@ -311,15 +319,28 @@ class StoredTable:
     def _folder(self, version: int) -> str:
         return f"{self.base_folder}/snap-{version:06d}"
 
-    def place_of(self, rows: DataFrame, keys: Sequence[str]) -> Column | None:
-        """Where rows belong in this table's layout: rows of one place are in one bucket. None where the layout has no buckets."""
+    def place_of(self, rows: DataFrame, keys: Sequence[str], values: Mapping[str, Column] | None = None) -> Column | None:
+        """Where rows belong in this table's layout: rows of one place are in one bucket. None where the layout has no buckets.
+
+        ``values`` are those of some keys, for rows that have no key columns yet; None too where the layout needs others.
+        """
         known = self.manifest()
         buckets = known.buckets if known else self.buckets
         if not buckets or not keys or known and [k.lower() for k in keys] != [k.lower() for k in known.keys]:
             return None
         types = {f.name.lower(): f.dataType for f in (known.struct if known else rows.schema).fields}
-        columns = [ref(k).cast(types[k.lower()]) for k in keys]
-        return F.pmod(F.xxhash64(*columns), F.lit(buckets * PLACES_PER_BUCKET))
+        by = known.bucket_keys if known else self._placed_by(keys)
+        if values is not None:
+            values = {k.lower(): v for k, v in values.items()}
+            if not {k.lower() for k in by} <= set(values):
+                return None
+            return _place([values[k.lower()].cast(types[k.lower()]) if known else values[k.lower()] for k in by], buckets)
+        return _place([ref(k).cast(types[k.lower()]) for k in by], buckets)
+
+    def _placed_by(self, keys: Sequence[str]) -> list[str]:
+        """The keys that buckets of a table with these keys are made of."""
+        some = {k.lower() for k in self.placed_by}
+        return [k for k in keys if k.lower() in some] if some and some <= {k.lower() for k in keys} else list(keys)
 
     def _write(self, df: DataFrame, keys: Sequence[str], buckets: int, version: int, gather: bool = True, mode: str = "overwrite") -> dict[str, str]:
         """Write rows into a new folder; what the manifest will say of them.
@@ -332,7 +353,7 @@ class StoredTable:
             laid = clustered(df, self.clustering) if gather else df.sortWithinPartitions(*[ref(c) for c in self.clustering]) if self.clustering else df
             laid.write.mode("overwrite").parquet(folder, compression=CODEC)
             return {"": name}
-        placed = df.withColumn(BUCKET, _bucket_of(keys, buckets).cast("int"))
+        placed = df.withColumn(BUCKET, _bucket_of(keys, buckets).cast("int"))  # of the keys that buckets are made of
         if gather:
             placed = placed.hint("rebalance", BUCKET)
         placed = placed.sortWithinPartitions(BUCKET, *[ref(c) for c in self.clustering])
@@ -369,8 +390,10 @@ class StoredTable:
         version = self._next_version(known)
         if known:
             self._drop_unfinished(known)
-        folders = self._write(df, keys, buckets, version, gather=not (placed and buckets))
-        new = Manifest(version, _stored_schema(df.schema), buckets, keys, folders, list(batch) if batch else None, ledger=ledger or {}, rejects=rejects or {})
+        same = known and [k.lower() for k in known.keys] == [k.lower() for k in keys]
+        by = known.bucket_keys if same else self._placed_by(keys)
+        folders = self._write(df, by, buckets, version, gather=not (placed and buckets))
+        new = Manifest(version, _stored_schema(df.schema), buckets, keys, folders, list(batch) if batch else None, ledger=ledger or {}, rejects=rejects or {}, placed_by=by if by != keys else [])
         if refuse_repeats:
             try:
                 self._refuse_repeats(self._rows(new), keys)
@@ -434,7 +457,7 @@ class StoredTable:
         # loss of executors, and has a size that is known and not guessed.
         staged_path = f"{self._folder(version)}-staged"
         placed = placed and known.buckets > 0
-        laid = new.withColumn(BUCKET, _bucket_of(keys, known.buckets).cast("int")).write.partitionBy(BUCKET) if placed else new.write
+        laid = new.withColumn(BUCKET, _bucket_of(known.bucket_keys, known.buckets).cast("int")).write.partitionBy(BUCKET) if placed else new.write
         laid.mode("overwrite").parquet(staged_path, compression=CODEC)
         try:
             parts = {f.name.split("=")[1]: f.path for f in files.listing(self.spark, staged_path) if f.is_dir} if placed else {}
@@ -449,7 +472,7 @@ class StoredTable:
                 return
             touched = list(parts) if placed else None
             if known.buckets and not placed:
-                touched = [str(r[0]) for r in staged.select(_bucket_of(keys, known.buckets)).distinct().collect()]  # at most one row per bucket
+                touched = [str(r[0]) for r in staged.select(_bucket_of(known.bucket_keys, known.buckets)).distinct().collect()]  # at most one row per bucket
             small = self._is_small(staged, staged_path)
             folders, mode = {}, "overwrite"
             for group in [touched] if small or touched is None else self._groups(known, touched, staged_path, parts):
@@ -457,9 +480,9 @@ class StoredTable:
                 if placed:
                     rows = self._staged(new.schema, [parts[b] for b in group])
                 elif group != touched:
-                    rows = staged.filter(_bucket_of(keys, known.buckets).cast("string").isin(group))
+                    rows = staged.filter(_bucket_of(known.bucket_keys, known.buckets).cast("string").isin(group))
                 result = upsert_small(old, rows, keys, order_by, measured=True) if small else upsert(old, rows, keys, order_by)
-                folders.update(self._write(result, known.keys, known.buckets, version, gather=not small, mode=mode))
+                folders.update(self._write(result, known.bucket_keys, known.buckets, version, gather=not small, mode=mode))
                 mode = "append"
                 for b in group if placed else ():
                     files.delete(self.spark, parts[b])
@@ -545,9 +568,9 @@ class StoredTable:
             return
         touched = None
         if known.buckets:
-            touched = [str(r[0]) for r in self._run_rows(known, known.runs).select(_bucket_of(known.keys, known.buckets)).distinct().collect()]
+            touched = [str(r[0]) for r in self._run_rows(known, known.runs).select(_bucket_of(known.bucket_keys, known.buckets)).distinct().collect()]
         version = self._next_version(known)
-        folders = self._write(self._rows(known, touched), known.keys, known.buckets, version)
+        folders = self._write(self._rows(known, touched), known.bucket_keys, known.buckets, version)
         kept = {b: f for b, f in known.folders.items() if touched is not None and b not in touched}
         self._commit(self._with_stats(replace(known, version=version, folders={**kept, **folders}, runs=[], base_bytes=None)))
 
@@ -654,6 +677,10 @@ def _within(low: Column, high: Column, least, most) -> Column:
     return reduce(and_, tests, low.isNotNull())
 
 
+def _place(keys: Sequence[Column], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets * PLACES_PER_BUCKET))
+
+
 def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[ref(k) for k in keys]), F.lit(buckets))
 

@@ -2,10 +2,12 @@ import json
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from siltworks import ColumnContract, FlattenContract, TableContract
-from siltworks.plans.silver import build_fan_out, build_silver, fan_out, silver_frame
+from siltworks.plans.silver import build_fan_out, build_silver, cleaned_rows, fan_out, latest_rows, merged_silver, silver_frame, store_silver
+from siltworks.sinks import store as store_module
 from siltworks.sinks.store import StoredTable
 from siltworks.streaming.silver import start_silver, start_silver_fan_out
 
@@ -170,3 +172,98 @@ def test_landing_to_silver(spark, tmp_path, table_name):
     assert rows(spark.table(table_name).select("place_id", "name")) == AFTER_2
     file_name = spark.table(table_name).filter("place_id = 'c'").first()["_metadata"]["file_name"]
     assert file_name == "places_20240101100000_0.json"
+
+
+CHARGES = TableContract(
+    "charges",
+    primary_keys=("doc", "at_index"),
+    deduplication_keys=("seen",),
+    key_buckets=4,
+    flatten=FlattenContract(explode=("body__charges",), keep=("_metadata",), with_index=True),
+    columns=(
+        ColumnContract("doc", "bigint", source="id", hashed=True),
+        ColumnContract("at_index", "bigint", source="body__charges__index"),
+        ColumnContract("seen", "timestamp"),
+        ColumnContract("kind", "string", transform="upper(body__charges__kind)"),
+        ColumnContract("rate", "double", source="body__charges__tax__rate"),
+        ColumnContract("zone", "string", source="body__zone"),
+    ),
+)
+CHARGE_SCHEMA = """id string, seen string, body struct<zone: string, charges: array<struct<kind: string, note: string, tax: struct<code: string, rate: string>>>>,
+                   stamp string"""
+
+
+def charge_rows(spark, *data):
+    df = spark.createDataFrame(data, CHARGE_SCHEMA)
+    return df.selectExpr("id", "seen", "body", "cast(stamp as timestamp) _ingested_at")
+
+
+CHARGED_1 = [
+    ("1", "2024-01-02", ("a", [("x", "n", ("c", "0.5")), ("y", "n", None), None]), "2024-01-02"),
+    ("1", "2024-01-01", ("b", [("z", "n", ("c", "0.7")), ("z", "n", ("c", "0.7")), ("z", "n", ("c", None)), ("w", None, ("d", "1"))]), "2024-01-02"),
+    ("1", "2024-01-02", ("a", [("x", "n", ("c", "0.6"))]), "2024-01-02"),
+    (None, "2024-01-01", ("c", [("o", "n", ("c", "2")), ("p", "n", ("c", "3"))]), "2024-01-01"),
+    ("0", "2024-01-01", ("d", [("q", "n", ("c", "2"))]), "2024-01-01"),
+    ("3", None, ("e", [("r", "n", ("c", "2"))]), "2024-01-01"),
+    ("4", "2024-01-01", ("f", []), "2024-01-01"),
+    ("5", "2024-01-01", ("g", None), "2024-01-01"),
+    ("6", "2024-01-01", None, "2024-01-01"),
+    ("07", "2024-01-01", ("h", [("s", "n", ("c", "5"))]), "2024-01-01"),
+]
+CHARGED_2 = [
+    ("7", "2024-02-01", ("h", [("S", "n", ("c", "6")), ("T", "n", ("c", "7"))]), "2024-02-01"),
+    ("1", "2024-01-01", ("i", [("old", "n", ("c", "9"))]), "2024-02-01"),
+    (None, "2024-02-01", ("j", [("new", "n", ("c", "9"))]), "2024-02-01"),
+    ("8", "2024-02-01", ("k", [("u", "n", ("c", "9"))]), "2024-02-01"),
+]
+CHARGE_COLUMNS = ["doc", "at_index", "seen", "kind", "rate", "zone", "doc_hashed_key"]
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_documents_travel_whole(spark, kept):
+    """Elements are made after the exchange, and are those that travelling one by one gives."""
+    df = charge_rows(spark, *CHARGED_1)
+    whole = silver_frame(df, CHARGES, keep_match_columns=kept)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate" in plan.partition("Exchange")[0] and "note" not in plan.partition("Exchange")[0]
+    plain = latest_rows(cleaned_rows(df, CHARGES), CHARGES, keep_match_columns=kept)
+    assert [c for c in whole.columns if not c.startswith("__")] == [c for c in plain.columns if not c.startswith("__")]
+    assert rows(whole.select(CHARGE_COLUMNS)) == rows(plain.select(CHARGE_COLUMNS)) and whole.count() == 8
+
+
+def test_frames_are_merged_where_documents_lie(spark):
+    first, second = charge_rows(spark, *CHARGED_1), charge_rows(spark, *CHARGED_2)
+    merge = lambda old: merged_silver(old, second, CHARGES).select(CHARGE_COLUMNS)
+    whole = merge(silver_frame(first, CHARGES, keep_match_columns=True))
+    assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+    assert rows(whole) == rows(merge(latest_rows(cleaned_rows(first, CHARGES), CHARGES)))
+
+
+def test_what_tells_a_document():
+    keys = lambda **how: replace(CHARGES, **how).document_keys
+    assert keys() == ["doc"] and keys(hot_keys=True) == [] and keys(primary_keys=("at_index",)) == [] and keys(primary_keys=("doc",)) == []
+    assert keys(primary_keys=("doc", "at_index", "rate")) == [] and keys(primary_keys=("doc", "at_index", "kind")) == []
+    assert keys(primary_keys=("doc_hashed_key", "at_index")) == [] and PLACES.document_keys == []
+    assert keys(columns=(ColumnContract("id", "string", transform="upper(zone)"), *CHARGES.columns)) == []
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_elements_of_a_document_are_stored_together(spark, table_name, tmp_path, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(store_module, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(store_module, "GROUP_BYTES", 1)
+    run = lambda *data: build_silver(spark, charge_rows(spark, *data), CHARGES, table_name, base=str(tmp_path / "a"))
+    run(*CHARGED_1)
+    run(*CHARGED_2)
+    table = StoredTable(spark, table_name, base=str(tmp_path / "a"))
+    assert table.manifest().placed_by == ["doc"]
+    assert spark.table(table_name).groupBy("doc").agg(F.countDistinct(store_module.BUCKET).alias("n")).filter("n > 1").isEmpty()
+    wanted = rows(merged_silver(latest_rows(cleaned_rows(charge_rows(spark, *CHARGED_1), CHARGES), CHARGES), charge_rows(spark, *CHARGED_2), CHARGES).select(CHARGE_COLUMNS))
+    assert rows(table.read().select(CHARGE_COLUMNS)) == wanted
+    table.rebucket(3)
+    assert table.manifest().placed_by == ["doc"] and rows(table.read().select(CHARGE_COLUMNS)) == wanted
+    # A table of an earlier layout keeps it.
+    old = StoredTable(spark, f"{table_name}_old", buckets=4, base=str(tmp_path / "b"))
+    store_silver(latest_rows(cleaned_rows(charge_rows(spark, *CHARGED_1), CHARGES), CHARGES, target=old), CHARGES, old)
+    build_silver(spark, charge_rows(spark, *CHARGED_2), CHARGES, old.name, base=old.base)
+    assert old.manifest().placed_by == [] and rows(old.read().select(CHARGE_COLUMNS)) == wanted
