@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 from ..contract import TableContract
 from ..functions.columns import ref
 from ..functions.names import quoted
+from ..session import join_where_rows_lie
 from .keys import match_columns, with_match_columns
 
-_OLD, _NEW = "__in_old", "__in_new"
+_OLD, _NEW, _PLACE = "__in_old", "__in_new", "__place"
 # A batch that nobody has measured is broadcast if its rows, as text, take no more than this.
 SMALL_TEXT_BYTES = 32 << 20
 
@@ -69,20 +70,25 @@ def _merged_columns(old: DataFrame, new: DataFrame, take_new: Column) -> list[Co
 
 
 def upsert(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+    old: DataFrame, new: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), place: Column | None = None
 ) -> DataFrame:
     """Any sizes: one full outer join on the keys, null equal to null, both sides shuffled once.
 
     Keys are unique on both sides, so no key is hot. A side that comes from ``latest_per_key`` with
     its match columns kept is joined where it lies, without another exchange or sort. Matched and not older: new values. Matched
-    and older: old ones. Rows of one side only are kept or inserted.
+    and older: old ones. Rows of one side only are kept or inserted. ``place``, an expression of keys that have one type on
+    both sides, says which rows are brought together, as a writer needs them: the result is not moved again.
     """
     if not keys:
         raise ValueError("an upsert needs at least one key")
     prepared_old, prepared_new = with_match_columns(old, keys), with_match_columns(new, keys)
+    if place is not None:
+        join_where_rows_lie(old.sparkSession)
+        prepared_old, prepared_new = (df.withColumn(_PLACE, place).repartition(_PLACE) for df in (prepared_old, prepared_new))
     o = prepared_old.withColumn(_OLD, F.lit(True)).alias("old")
     n = prepared_new.withColumn(_NEW, F.lit(True)).alias("new")
-    same_key = reduce(and_, [_side("old", m) == _side("new", m) for m in match_columns(keys)])
+    alike = [*([] if place is None else [_PLACE]), *match_columns(keys)]
+    same_key = reduce(and_, [_side("old", m) == _side("new", m) for m in alike])
     matched = _side("old", _OLD).isNotNull() & _side("new", _NEW).isNotNull()
     take_new = _side("new", _NEW).isNotNull() & (~matched | may_replace(order_by))
     helpers = match_columns(keys)

@@ -481,8 +481,10 @@ class StoredTable:
                     rows = self._staged(new.schema, [parts[b] for b in group])
                 elif group != touched:
                     rows = staged.filter(_bucket_of(known.bucket_keys, known.buckets).cast("string").isin(group))
-                result = upsert_small(old, rows, keys, order_by, measured=True) if small else upsert(old, rows, keys, order_by)
-                folders.update(self._write(result, known.bucket_keys, known.buckets, version, gather=not small, mode=mode))
+                # Joined where the buckets need them, rows are not moved again to be written.
+                where = [_place([ref(k) for k in known.bucket_keys], known.buckets)] if known.buckets else []
+                result = upsert_small(old, rows, keys, order_by, measured=True) if small else upsert(old, rows, keys, order_by, *where)
+                folders.update(self._write(result, known.bucket_keys, known.buckets, version, gather=not small and not where, mode=mode))
                 mode = "append"
                 for b in group if placed else ():
                     files.delete(self.spark, parts[b])

@@ -249,6 +249,20 @@ def test_placed_rows_are_not_moved_again(spark, table_name, tmp_path):
     assert not writes and rows(target.read()) == [(i, 350 + i, str(350 + i)) for i in sorted(range(50), key=str)]
 
 
+def test_a_large_merge_moves_rows_once(spark, table_name, tmp_path, monkeypatch):
+    """Both sides are joined where the buckets need them, and the result is written from there."""
+    monkeypatch.setattr(store_module, "BROADCAST_BYTES", -1)
+    plans, hinted = [], type(frame(spark, (1, 1, "a"))).hint
+    monkeypatch.setattr(store_module, "upsert", lambda old, new, *how: plans.append(upsert(old, new, *how)) or plans[-1])
+    target = StoredTable(spark, table_name, buckets=4, base=str(tmp_path / "base"))
+    target.upsert(frame(spark, *[(i, 1, "a") for i in range(100)]), ["id"], ["at"])
+    writes = []
+    monkeypatch.setattr(type(target.read()), "hint", lambda self, *a: writes.append(a) or hinted(self, *a))
+    target.upsert(frame(spark, *[(i, 2, "b") for i in range(50, 150)]), ["id"], ["at"])
+    assert not writes and plans[0]._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+    assert rows(target.read()) == rows(frame(spark, *[(i, 1 + (i > 49), "ab"[i > 49]) for i in range(150)]))
+
+
 def test_shuffle_files_go_with_their_query(spark):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, None)
