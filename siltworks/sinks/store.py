@@ -55,7 +55,7 @@ BROADCAST_BYTES = 256 << 20
 
 # Rows that come placed lie in so many places of each bucket, so that tasks are not bound to their number …
 PLACES_PER_BUCKET = 16
-# … and a large batch is merged by groups of buckets of about so many bytes of Parquet, or an eighth of all that is merged.
+# … and a large batch is merged by groups of buckets of about so many bytes of Parquet, or a sixteenth of all that is merged.
 GROUP_BYTES = 512 << 20
 # Stored rows hold hashes as hexadecimal text, which takes half the bytes where the codec has an entropy coder.
 CODEC = "zstd"
@@ -504,7 +504,7 @@ class StoredTable:
             + (files.total_bytes(self.spark, f"{self.base_folder}/{known.folders[b]}") if b in known.folders else 0)
         )
         sizes = {b: size_of(b) for b in sorted(touched, key=int)}
-        most = max(GROUP_BYTES, sum(sizes.values()) / 8)
+        most = max(GROUP_BYTES, sum(sizes.values()) / 16)
         groups, filled = [[]], 0
         for b, size in sizes.items():
             if groups[-1] and filled + size > most:
