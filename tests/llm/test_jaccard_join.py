@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siltworks.llm import jaccard_join
 from siltworks.llm.components import components
@@ -101,6 +102,20 @@ def test_families_around_the_limit(spark, monkeypatch, least_common, many):
     assert counted(result) == plain_links(list(enumerate(texts)), 4, 85)
 
 
+@pytest.mark.parametrize("slots", [1 << 14, 1 << 23])
+def test_common_shingles_are_counted_over_all_documents(spark, monkeypatch, slots):
+    """Of 25,000 documents 25 make a shingle common, wherever they are; copies that a task has met hold none."""
+    monkeypatch.setattr(jaccard_join, "MOST_SLOTS", slots)
+    own = F.array(*[F.xxhash64("id", F.lit(k)) for k in range(6)])
+    shared = F.when(F.col("id") % 1000 == 1, F.array(F.lit(-7).cast("bigint"), F.lit(5).cast("bigint"))).when(F.col("id") % 1042 == 3, F.array(F.lit(9).cast("bigint")))
+    sets = spark.range(25_000).repartition(7).select(F.col("id").alias("key"), F.array_union(own, F.coalesce(shared, own)).alias("shingles"))
+    copies = spark.range(50).select(F.col("id").alias("key"), F.lit(None).cast("array<bigint>").alias("shingles"))
+    mine = sets.union(copies).select("*", F.size("shingles").alias("n_shingles"), F.col("shingles").isNotNull().alias("held"))
+    assert sets.filter("array_contains(shingles, 9)").count() == 24
+    assert jaccard_join.common_shingles(mine, 25_000).view(np.int64).tolist() == [5, -7]
+    assert len(jaccard_join.common_shingles(mine.limit(0), 0)) == 0
+
+
 def test_blocks_find_all_links():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 2**63, 60).astype(np.uint64)
